@@ -130,8 +130,13 @@ def cap_outliers_iqr(df: DataFrame, columns: Sequence[str], method: str = "exact
     for c in cols:
         aggs += [F.max(F.when(F.col("column") == c, F.col("lower"))).alias(f"_lo_{c}"),
                  F.max(F.when(F.col("column") == c, F.col("upper"))).alias(f"_hi_{c}")]
-    wide = fences.groupBy(*by).agg(*aggs)
-    joined = df.join(wide, list(by), "left")
+    wide = fences.groupBy(*by).agg(*aggs).select(*[F.col(b).alias(f"_by_{b}") for b in by],
+                                                 *[F.col(a) for c in cols for a in (f"_lo_{c}", f"_hi_{c}")])
+    cond = None
+    for b in by:
+        t = F.col(b).eqNullSafe(F.col(f"_by_{b}"))
+        cond = t if cond is None else cond & t
+    joined = df.join(wide, cond, "left").drop(*[f"_by_{b}" for b in by])
     out = {}
     for c in cols:
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")

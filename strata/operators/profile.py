@@ -158,8 +158,8 @@ def auto_target(df: DataFrame, candidates: Sequence[str]) -> str | None:
 
 def group_mean_median_count(df: DataFrame, by: str, value: str, method: str = "exact") -> DataFrame:
     basic = df.groupBy(by).agg(F.avg(value).alias("mean"), F.count(value).alias("count"))
-    med = quantiles(df, [value], [0.5], [by], method).select(by, F.col("value").alias("median"))
-    return (basic.join(med, basic[by].eqNullSafe(med[by]), "left").drop(med[by])
+    med = quantiles(df, [value], [0.5], [by], method).select(F.col(by).alias("_mk"), F.col("value").alias("median"))
+    return (basic.join(med, F.col(by).eqNullSafe(F.col("_mk")), "left")
             .select(by, "mean", "median", "count"))
 
 
@@ -209,8 +209,12 @@ def quantile_segment_profile(df: DataFrame, column: str, columns: Sequence[str]
     edges = edges_long.agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("e"))
     e = edges.select("e").scalar()
     nbins = F.size(e) - 1
-    band = F.when(F.col(column).isNotNull() & (F.col(column) >= e[0]) & (F.col(column) <= F.element_at(e, -1)),
-                  F.size(F.filter(F.slice(e, 2, 1000), lambda x: x < F.col(column))) + 1)
+    v = F.col(column)
+    above = [F.coalesce((F.try_element_at(e, F.lit(i)) < v).cast("int"), F.lit(0)) for i in range(2, q + 2)]
+    band = F.lit(1)
+    for a in above:
+        band = band + a
+    band = F.when(v.isNotNull() & (v >= F.element_at(e, 1)) & (v <= F.element_at(e, -1)), band)
     rows = df.withColumn("_band", band).where(F.col("_band").isNotNull() & (nbins >= 2)) \
         .groupBy("_band").agg(*[F.avg(c).alias(c) for c in cols])
     labels = F.array(*[F.lit(x) for x in QCUT_LABELS])
@@ -269,14 +273,15 @@ def boxplot_stats(df: DataFrame, value: str, by: str, order: Sequence[str] | Non
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     v = F.col(value).cast("double")
-    rows = df.select(F.col(by), v.alias("_v")).where(F.col("_v").isNotNull())
-    j = rows.join(q.select(by, "_lo", "_hi"), rows[by].eqNullSafe(q[by])).drop(q[by])
-    w = j.groupBy(by).agg(
+    rows = df.select(F.col(by).alias("_k"), v.alias("_v")).where(F.col("_v").isNotNull())
+    fences = q.select(F.col(by).alias("_qk"), "_lo", "_hi")
+    j = rows.join(fences, F.col("_k").eqNullSafe(F.col("_qk")))
+    w = j.groupBy("_k").agg(
         F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("whisker_low"),
         F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("whisker_high"),
         F.count_if((F.col("_v") < F.col("_lo")) | (F.col("_v") > F.col("_hi"))).alias("outliers"),
         F.count(F.lit(1)).alias("count"))
-    out = q.join(w, q[by].eqNullSafe(w[by])).drop(w[by]).select(
+    out = q.join(w, F.col(by).eqNullSafe(F.col("_k"))).select(
         by, "count", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers")
     if order is not None:
         dim = df.sparkSession.createDataFrame([(str(x), i) for i, x in enumerate(order)], f"_k string, _rank int")
