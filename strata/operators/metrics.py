@@ -95,8 +95,9 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
 
 def confusion_counts(df: DataFrame, label: str, prediction: Column | str) -> DataFrame:
     """One row: tn, fp, fn, tp."""
-    y = F.col(label).cast("int")
     p = (F.col(prediction) if isinstance(prediction, str) else prediction).cast("int")
+    df = df.select(F.col(label).cast("int").alias("_y"), p.alias("_p"))
+    y, p = F.col("_y"), F.col("_p")
     return df.agg(F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
                   F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"))
 

@@ -1070,3 +1070,130 @@ def _(spark, d):
 @q("target_not_null", STU + "SELECT student_id, cgpa FROM stu WHERE cgpa IS NOT NULL", ["cgpa"])
 def _(spark, d):
     return marts.target_not_null(stu(spark, d).select("student_id", "cgpa"), "cgpa")
+
+
+# ------------------------------------------- model fitting & streams (rows only)
+
+def _emb_frame(spark, d):
+    """embedding array → 8 numeric features (means of 8-wide slices) + label."""
+    e = S.table(spark, d, "embeddings")
+    feats = {f"e{i}": F.aggregate(F.slice("embedding", i * 8 + 1, 8), F.lit(0.0),
+                                  lambda acc, x: acc + x.cast("double")) / 8 for i in range(8)}
+    return e.select("vec_id", "label", *[v.alias(k) for k, v in feats.items()])
+
+
+def _doc_frame(spark, d):
+    docs = S.table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars",
+                                                 F.size(F.split("text", r"\s+")).alias("n_words"))
+    lab = S.table(spark, d, "labels")
+    return docs.join(lab, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double")) \
+               .withColumn("n_words", F.col("n_words").cast("double"))
+
+
+DOC_FEATURES = ["n_chars", "n_words", "lang", "source"]
+
+
+@q("fit_candidates")
+def _(spark, d):
+    """Both classifiers on documents ⋈ labels; validation metrics per model."""
+    df = ml.stratified_split(_doc_frame(spark, d), "doc_id", "quality")
+    df = ml.class_weights(df, "quality")
+    train = df.where(F.col("split") == "train")
+    valid = df.where(F.col("split") == "validation")
+    models = ml.fit_candidates(train, DOC_FEATURES, "quality", num_trees=500)
+    rows = None
+    for name, m in models.items():
+        scored = ml.positive_probability(m, valid, "p", ["n_chars", "n_words"])
+        sweep = metrics.best_threshold(metrics.threshold_sweep(scored, "quality", "p"))
+        met = metrics.classification_metrics(scored, "quality", "p", sweep.select("threshold").scalar())
+        met = met.withColumn("model", F.lit(name))
+        rows = met if rows is None else rows.unionByName(met)
+    return rows
+
+
+@q("fit_regressor")
+def _(spark, d):
+    """Random-forest regressor on embedding features; test-split metrics."""
+    df = ml.random_split(_emb_frame(spark, d), "vec_id")
+    feats = [f"e{i}" for i in range(8)]
+    model = ml.fit_regressor(df.where(F.col("split") == "train"), feats, "label", num_trees=160)
+    pred = model.transform(ml.prepare_numeric(df.where(F.col("split") == "test"), feats))
+    return metrics.regression_metrics(pred, "label", "prediction")
+
+
+@q("score_table")
+def _(spark, d):
+    df = ml.class_weights(_doc_frame(spark, d), "quality")
+    model = ml.fit_candidates(df, DOC_FEATURES, "quality", num_trees=50)["random_forest"]
+    return ml.score_table(model, df, 0.58, ["doc_id"], "quality", ["n_chars", "n_words"])
+
+
+@q("feature_importance")
+def _(spark, d):
+    df = ml.class_weights(_doc_frame(spark, d), "quality")
+    model = ml.fit_candidates(df, DOC_FEATURES, "quality", num_trees=50)["random_forest"]
+    return ml.feature_importance(model, ml.prepare_numeric(df, ["n_chars", "n_words"]), 15)
+
+
+@q("multiclass_score")
+def _(spark, d):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    e = _emb_frame(spark, d)
+    feats = [f"e{i}" for i in range(8)]
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)])
+    scored = pipe.fit(e).transform(e)
+    names = e.select(F.col("label").alias("class_id")).distinct() \
+             .withColumn("class_name", F.concat(F.lit("class_"), F.col("class_id").cast("string")))
+    return ml.multiclass_score(scored, ["vec_id"], names)
+
+
+@q("batch_score")
+def _(spark, d):
+    """Validated batch scoring: valid rows scored, invalid rows (NULL value) rejected."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    e = ev(spark, d).select("event_id", "user_id", "value")
+    train = e.where(F.col("value").isNotNull())
+    model = Pipeline(stages=[VectorAssembler(inputCols=["user_id"], outputCol="features"),
+                             LinearRegression(featuresCol="features", labelCol="value")]).fit(train)
+    good, bad = ml.batch_score(model, e.select("event_id", "user_id", "value"), ["user_id", "value"], ["user_id"])
+    return good.select("event_id", "prediction").unionByName(
+        bad.select("event_id", F.lit(None).cast("double").alias("prediction")))
+
+
+@q("freshness_report")
+def _(spark, d):
+    from strata.sources.files import freshness_report
+    return freshness_report(spark, f"{d}/events.parquet", fmt="parquet")
+
+
+@q("stale_check")
+def _(spark, d):
+    from strata.streaming.incremental import stale_check
+    return stale_check(spark, f"{d}/events.parquet", f"{d}/_no_run_log_", fmt="parquet")
+
+
+@q("stream_score")
+def _(spark, d):
+    """Events replayed as a file stream (availableNow) and scored per batch."""
+    import tempfile
+    import uuid
+    from strata.streaming.incremental import stream_score
+    e = S.table(spark, d, "events")
+    stream = spark.readStream.schema(e.schema).parquet(f"{d}/events*.parquet")
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    model = Pipeline(stages=[VectorAssembler(inputCols=["user_id"], outputCol="features"),
+                             LinearRegression(featuresCol="features", labelCol="value")]).fit(e)
+    scored, _bad = stream_score(stream, model, ["user_id"], ["user_id"])
+    name = "stream_score_" + uuid.uuid4().hex[:8]
+    base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
+    qy = (scored.select("event_id", "prediction").writeStream.format("memory").queryName(name)
+          .option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start())
+    qy.awaitTermination()
+    return spark.table(name)
