@@ -26,15 +26,18 @@ def n_thresholds(start: float = K.THRESHOLD_START, stop: float = K.THRESHOLD_STO
 
 
 def threshold_value(i: Column, start: float = K.THRESHOLD_START, step: float = K.THRESHOLD_STEP) -> Column:
-    """The i-th threshold with the float arithmetic of ``arange``: start + i·step."""
-    return F.lit(start) + i.cast("double") * F.lit(step)
+    """The i-th threshold with the float arithmetic of ``arange``:
+    start + i·delta where delta = (start + step) − start in doubles."""
+    delta = (float(start) + float(step)) - float(start)
+    return F.lit(float(start)) + i.cast("double") * F.lit(delta)
 
 
 def threshold_index(p: Column, start: float = K.THRESHOLD_START, step: float = K.THRESHOLD_STEP,
                     n: int | None = None) -> Column:
     """Index of the highest threshold ≤ p (−1 when p is below all of them)."""
     n = n or n_thresholds(start, K.THRESHOLD_STOP, step)
-    g = F.floor((p - F.lit(start)) / F.lit(step)).cast("int")
+    delta = (float(start) + float(step)) - float(start)
+    g = F.floor((p - F.lit(float(start))) / F.lit(delta)).cast("int")
     g = F.least(F.greatest(g, F.lit(-1)), F.lit(n - 1))
     g = F.when((g >= 0) & (threshold_value(g, start, step) > p), g - 1).otherwise(g)
     g = F.when((g < n - 1) & (threshold_value(g + 1, start, step) <= p), g + 1).otherwise(g)

@@ -885,7 +885,8 @@ def _(spark, d):
 # ------------------------------------------------------------------- metrics
 
 SC = S.cte(s=S.SCORED_SQL)
-THR = "(SELECT i AS threshold_index, 0.2 + i * 0.02 AS t FROM range(31) r(i))"
+THR = ("(SELECT i AS threshold_index, CAST(0.2 AS DOUBLE) + CAST(i AS DOUBLE) * ((CAST(0.2 AS DOUBLE) "
+       "+ CAST(0.02 AS DOUBLE)) - CAST(0.2 AS DOUBLE)) AS t FROM range(31) r(i))")
 
 
 @q("threshold_sweep", SC + f""", th AS {THR}, c AS (SELECT threshold_index, t,
