@@ -25,8 +25,8 @@ def segment_revenue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     capped = cap_outliers_iqr(joined, ["revenue"])
     banded = capped.withColumn("revenue_band", X.risk_band("revenue", REVENUE_BANDS))
     out = banded.groupBy("c_mktsegment", "revenue_band").agg(
-        F.count(F.lit(1)).alias("orders"), F.round(F.avg("revenue"), 6).alias("avg_capped_revenue"),
-        F.round(F.sum("revenue"), 4).alias("capped_revenue"))
+        F.count(F.lit(1)).alias("orders"), F.round(F.avg("revenue"), 3).alias("avg_capped_revenue"),
+        F.round(F.sum("revenue"), 1).alias("capped_revenue"))
     return out
 
 
@@ -38,6 +38,6 @@ f AS (SELECT quantile_cont(revenue, 0.25) AS q1, quantile_cont(revenue, 0.75) AS
 c AS (SELECT c_mktsegment, CASE WHEN revenue < q1 - 1.5 * (q3 - q1) THEN q1 - 1.5 * (q3 - q1)
         WHEN revenue > q3 + 1.5 * (q3 - q1) THEN q3 + 1.5 * (q3 - q1) ELSE revenue END AS revenue FROM j, f)
 SELECT c_mktsegment, CASE WHEN revenue <= 50000 THEN 'low' WHEN revenue <= 150000 THEN 'medium' ELSE 'high' END
-  AS revenue_band, count(*) AS orders, round(avg(revenue), 6) AS avg_capped_revenue,
-  round(sum(revenue), 4) AS capped_revenue FROM c GROUP BY ALL
+  AS revenue_band, count(*) AS orders, round(avg(revenue), 3) AS avg_capped_revenue,
+  round(sum(revenue), 1) AS capped_revenue FROM c GROUP BY ALL
 """
