@@ -121,12 +121,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     entries = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
-            entries.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                    _pair_corr(a, b).alias("corr")))
-    upper = df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("s")).select("s.*")
-    lower = upper.where(F.col("column_a") != F.col("column_b")).select(
-        F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr")
-    return upper.unionByName(lower)
+            corr = _pair_corr(a, b)
+            entries.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), corr.alias("corr")))
+            if a != b:
+                entries.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"),
+                                        corr.alias("corr")))
+    return df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("s")).select("s.*")
 
 
 def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:
