@@ -1198,3 +1198,17 @@ def _(spark, d):
           .option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start())
     qy.awaitTermination()
     return spark.table(name)
+
+
+@q("metadata_tables")
+def _(spark, d):
+    """Required/numeric fields and allowed categories of a fitted indexer."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    df = _doc_frame(spark, d)
+    model = Pipeline(stages=[StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"],
+                                           handleInvalid="keep")]).fit(df)
+    meta = ml.metadata_tables(model, DOC_FEATURES, ["n_chars", "n_words"])
+    rows = ([("required", f, None) for f in meta["required"]] + [("numeric", f, None) for f in meta["numeric"]]
+            + [("category", c, v) for c, vals in meta["categories"].items() for v in vals])
+    return spark.createDataFrame(rows, "kind string, field string, value string")

@@ -76,3 +76,13 @@ def test_ingest_upload_unions_missing_columns(spark):
     up = spark.createDataFrame([(2, 7.5)], "Student_ID int, CGPA double")
     out = files.ingest_upload(base, up)
     assert out.count() == 2 and "cgpa" in out.columns and "gender" in out.columns
+
+
+def test_save_warehouse_casts_to_layout(spark, tmp_path):
+    gold = spark.createDataFrame([(1, "m", "CSE", 150.5, "yes")], "student_id long, gender string, branch string, "
+                                 "heightcm double, parttime_job string")
+    tables = marts.star_schema(gold)
+    assert set(tables) == {"dim_student", "dim_behavior"} or "dim_student" in tables
+    files.save_warehouse({"dim_student": tables["dim_student"]}, str(tmp_path))
+    out = spark.read.parquet(str(tmp_path / "dim_student"))
+    assert dict(out.dtypes)["student_id"] == "int" and out.count() == 1
