@@ -102,7 +102,9 @@ def class_weights(df: DataFrame, label: str, output: str = "weight") -> DataFram
     tot = per.agg(F.sum("_cw_n").alias("n"), F.count(F.lit(1)).alias("k"))
     s = tot.select(F.struct("n", "k")).scalar()
     w = per.select(label, (s.getField("n") / (s.getField("k") * F.col("_cw_n"))).alias(output))
-    return df.join(F.broadcast(w), label, "left")
+    # one row per class; AQE broadcasts it after measuring, otherwise a
+    # sort-merge join with skew splitting handles a dominant class
+    return df.join(w, label, "left")
 
 
 def class_distribution(df: DataFrame, label: str, split: str | None = None) -> DataFrame:
@@ -190,7 +192,9 @@ def label_encode(df: DataFrame, column: str, vocabulary: DataFrame, on_unknown:
     """
     output = output or f"{column}_index"
     vocab = vocabulary.select(F.col("value").alias("_le_v"), F.col("index").alias("_le_i"))
-    j = df.join(F.broadcast(vocab), F.col(column).cast("string") == F.col("_le_v"), "left")
+    # the vocabulary grows with the column's cardinality: no forced broadcast,
+    # AQE picks broadcast only when the measured size allows
+    j = df.join(vocab, F.col(column).cast("string") == F.col("_le_v"), "left")
     miss = F.col("_le_i").isNull()
     if on_unknown == "error":
         idx = F.when(miss, F.raise_error(F.concat(F.lit(f"unknown {column}: "),

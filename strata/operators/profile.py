@@ -180,8 +180,9 @@ def crosstab_pct(df: DataFrame, index: str, columns: str, normalize: str = "colu
     column value (``normalize="columns"``) or each index value (``"index"``)."""
     counts = df.groupBy(index, columns).agg(F.count(F.lit(1)).alias("count"))
     part = columns if normalize == "columns" else index
-    w = Window.partitionBy(part)
-    return counts.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(w))
+    totals = counts.groupBy(F.col(part).alias("_ct_k")).agg(F.sum("count").alias("_ct_n"))
+    return (counts.join(totals, F.col(part).eqNullSafe(F.col("_ct_k")))
+            .select(index, columns, "count", (F.col("count") * 100.0 / F.col("_ct_n")).alias("pct")))
 
 
 def median_split_profile(df: DataFrame, split: str, columns: Sequence[str] | None = None,

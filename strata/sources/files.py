@@ -68,27 +68,43 @@ def write_json_row(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def land_new_files(spark: SparkSession, source_glob: str, landing_path: str, log_path: str,
-                   fmt: str = "csv") -> DataFrame:
-    """Copy rows of source files whose name is not yet in the landing log.
-
-    File identity comes from ``_metadata``; the log is an append-only table of
-    (file_name, landed_at).  Returns the newly landed file names.
+def land_new_files(spark: SparkSession, source_dir: str, landing_path: str, log_path: str,
+                   fmt: str = "csv", schema: T.StructType | str | None = None) -> DataFrame:
+    """Copy the rows of source files not landed before, then stop.
+
+    A Structured Streaming file source with ``availableNow`` lists the folder
+    and remembers processed files in its checkpoint (``<log_path>/_stream``),
+    so earlier files are neither re-read nor re-landed.  Each run appends
+    (file_name, run_id, landed_at) to the log; the files of this run are
+    returned.
     """
+    import uuid
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    src = reader.load(source_glob).withColumn("_file_name", F.col("_metadata.file_name"))
+    if schema is None:
+        schema = reader.load(source_dir).schema
+    stream = spark.readStream.format(fmt).schema(schema)
+    if fmt == "csv":
+        stream = stream.option("header", True)
+    run_id = uuid.uuid4().hex
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        rows = batch.withColumn("_file_name", F.col("_metadata.file_name"))
+        rows.write.mode("append").partitionBy("_file_name").parquet(landing_path)
+        (rows.select(F.col("_file_name").alias("file_name")).distinct()
+         .withColumn("run_id", F.lit(run_id)).withColumn("landed_at", F.current_timestamp())
+         .write.mode("append").parquet(f"{log_path}/entries"))
+
+    q = (stream.load(source_dir).select("*", "_metadata").writeStream
+         .option("checkpointLocation", f"{log_path}/_stream")
+         .foreachBatch(land).trigger(availableNow=True).start())
+    q.awaitTermination()
     try:
-        seen = spark.read.parquet(log_path).select("file_name")
-    except Exception:  # first run: empty log
-        seen = spark.createDataFrame([], "file_name string")
-    new_rows = src.join(seen.withColumnRenamed("file_name", "_file_name"), "_file_name", "left_anti")
-    new_rows.write.mode("append").partitionBy("_file_name").parquet(landing_path)
-    landed = spark.read.parquet(landing_path).select(F.col("_file_name").alias("file_name")).distinct()
-    newly = landed.join(seen, "file_name", "left_anti").withColumn("landed_at", F.current_timestamp())
-    newly.write.mode("append").parquet(log_path)
-    return spark.read.parquet(log_path).join(seen, "file_name", "left_anti")
+        log = spark.read.parquet(f"{log_path}/entries")
+    except Exception:  # nothing landed yet
+        return spark.createDataFrame([], "file_name string, run_id string, landed_at timestamp")
+    return log.where(F.col("run_id") == run_id)
 
 
 def freshness_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

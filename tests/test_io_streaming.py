@@ -35,10 +35,10 @@ def test_land_new_files_only_once(spark, tmp_path):
     src.mkdir()
     (src / "a.csv").write_text("x,y\n1,2\n")
     landing, log = str(tmp_path / "landing"), str(tmp_path / "log")
-    first = files.land_new_files(spark, str(src / "*.csv"), landing, log)
+    first = files.land_new_files(spark, str(src), landing, log)
     assert [r.file_name for r in first.collect()] == ["a.csv"]
     (src / "b.csv").write_text("x,y\n3,4\n5,6\n")
-    second = files.land_new_files(spark, str(src / "*.csv"), landing, log)
+    second = files.land_new_files(spark, str(src), landing, log)
     assert [r.file_name for r in second.collect()] == ["b.csv"]
     assert spark.read.parquet(landing).count() == 3
 
