@@ -480,7 +480,7 @@ def _(spark, d):
     return marts.foreign_key_violations(S.table(spark, d, "lineitem"), sup, ["l_suppkey"], ["s_suppkey"])
 
 
-@q("star_join", """SELECT n_name, o_orderstatus, sum(l_extendedprice * (1 - l_discount)) AS revenue,
+@q("star_join", """SELECT n_name, o_orderstatus, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
   count(DISTINCT o_orderkey) AS orders, count(*) AS lines
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, o_orderstatus""", ["revenue"])
@@ -491,7 +491,7 @@ def _(spark, d):
     n = S.table(spark, d, "nation").select("n_nationkey", "n_name")
     return marts.star_join(li, [(o, ["o_orderkey"]), (c, ["o_custkey"]), (n, ["n_nationkey"])],
                            ["n_name", "o_orderstatus"],
-                           [F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+                           [F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
                             F.count_distinct("o_orderkey").alias("orders"), F.count(F.lit(1)).alias("lines")])
 
 
@@ -1212,3 +1212,109 @@ def _(spark, d):
     rows = ([("required", f, None) for f in meta["required"]] + [("numeric", f, None) for f in meta["numeric"]]
             + [("category", c, v) for c, vals in meta["categories"].items() for v in vals])
     return spark.createDataFrame(rows, "kind string, field string, value string")
+
+
+# ------------------------------------------------------------ cleaning chains
+
+# raw header spellings (applied on the Spark side; SQL uses plain aliases)
+PERF_HEADERS = ['Student ID', 'Age', 'Gender', 'Major', 'Study Hours Per Day', 'Semester', 'Exam Score', 'Diet Quality']
+RESEARCH_HEADERS = ['Branch', 'Marks[10th]', 'Board[10th]', 'Board[12th]', 'CGPA', 'GPA 1', 'Engg. Coaching', 'Current Back', 'Rank']
+
+RAW_PERF_SQL = """
+SELECT o_orderkey AS _row,
+  CAST(o_custkey AS STRING) AS r_student_id,
+  CASE WHEN o_custkey % 13 = 0 THEN 'NA' ELSE CAST(18 + o_custkey % 10 AS STRING) END AS r_age,
+  CASE WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS r_gender,
+  CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS r_major,
+  CASE WHEN o_custkey % 11 = 0 THEN 'n/a' ELSE CAST(o_custkey % 9 AS STRING) || '.25' END AS r_study_hours_per_day,
+  CASE WHEN o_custkey % 7 = 0 THEN 'abc' ELSE CAST(o_custkey % 8 AS STRING) || '.5' END AS r_semester,
+  CAST(o_custkey % 100 AS STRING) AS r_exam_score,
+  CASE WHEN o_custkey % 5 = 0 THEN NULL WHEN o_custkey % 5 = 1 THEN 'Poor' WHEN o_custkey % 5 = 2 THEN 'Good'
+       ELSE 'Fair' END AS r_diet_quality
+FROM orders
+"""
+
+
+def _mode_sql(col, src):
+    return (f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} "
+            f"ORDER BY count(*) DESC, {col} LIMIT 1)")
+
+
+PERF_ORACLE = S.cte(raw=RAW_PERF_SQL) + f""", d AS (SELECT DISTINCT r_student_id AS student_id, r_age AS age,
+  r_gender AS gender, r_major AS major, r_study_hours_per_day AS study_hours_per_day, r_semester AS semester,
+  r_exam_score AS exam_score, r_diet_quality AS diet_quality FROM raw),
+c AS (SELECT {duck_num('student_id')} AS student_id, {duck_num('age')} AS age, gender, major,
+  {duck_num('study_hours_per_day')} AS study_hours_per_day, {duck_num('semester')} AS semester,
+  {duck_num('exam_score')} AS exam_score, diet_quality FROM d)
+SELECT coalesce(student_id, (SELECT median(student_id) FROM c)) AS student_id,
+  coalesce(age, (SELECT median(age) FROM c)) AS age,
+  coalesce(gender, {_mode_sql('gender', 'c')}, 'unknown') AS gender,
+  coalesce(major, {_mode_sql('major', 'c')}, 'unknown') AS major,
+  coalesce(study_hours_per_day, (SELECT median(study_hours_per_day) FROM c)) AS study_hours_per_day,
+  CAST(round_even(coalesce(semester, (SELECT median(semester) FROM c)), 0) AS INTEGER) AS semester,
+  coalesce(exam_score, (SELECT median(exam_score) FROM c)) AS exam_score,
+  coalesce(diet_quality, {_mode_sql('diet_quality', 'c')}, 'unknown') AS diet_quality
+FROM c"""
+
+
+@q("clean_performance", PERF_ORACLE, ["student_id", "age", "study_hours_per_day", "exam_score"])
+def _(spark, d):
+    from strata.plans import student
+    raw = S.frame(spark, d, RAW_PERF_SQL).toDF("_row", *PERF_HEADERS)
+    return student.clean_performance(raw).drop(student.ROW)
+
+
+RAW_RESEARCH_SQL = """
+SELECT c_custkey AS _row,
+  c_mktsegment AS r_branch,
+  CASE WHEN c_custkey % 19 = 0 THEN 'NA' ELSE CAST(c_custkey % 60 + 40 AS STRING) END AS r_marks_10th_,
+  CASE c_custkey % 7 WHEN 0 THEN 'BSEB Patna' WHEN 1 THEN 'C.B.S.E' WHEN 2 THEN 'cbse' WHEN 3 THEN 'Unmapped Board'
+       WHEN 4 THEN NULL WHEN 5 THEN 'Bihar Board' ELSE 'ICSE' END AS r_board_10th_,
+  CASE c_custkey % 6 WHEN 0 THEN 'I Sc' WHEN 1 THEN 'NIOS BOARD' WHEN 2 THEN 'bhopal' WHEN 3 THEN 'state'
+       WHEN 4 THEN 'H.S.E.B' ELSE 'CBSE Board' END AS r_board_12th_,
+  CAST(c_custkey % 50 AS STRING) || '.' || CAST(c_nationkey % 10 AS STRING) AS r_cgpa,
+  CASE WHEN c_custkey % 97 = 0 THEN '99' ELSE CAST(c_custkey % 4 + 6 AS STRING) END AS r_gpa_1,
+  CAST(c_nationkey % 3 AS STRING) AS r_engg__coaching,
+  '0' AS r_current_back,
+  CASE WHEN c_custkey % 23 = 0 THEN 'x' ELSE CAST(c_nationkey AS STRING) END AS r_rank
+FROM customer
+"""
+
+
+def _board_case(col, mapping):
+    def lit(v):
+        return "'" + v.replace("'", "''") + "'"
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {col} END"
+
+
+def _cap(col, src):
+    f = f"(SELECT quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.75) AS q3 FROM {src})"
+    lo = f"(SELECT q1 - 1.5 * (q3 - q1) FROM {f} _f)"
+    hi = f"(SELECT q3 + 1.5 * (q3 - q1) FROM {f} _f)"
+    return f"CASE WHEN {col} < {lo} THEN {lo} WHEN {col} > {hi} THEN {hi} ELSE {col} END"
+
+
+def _research_oracle():
+    from strata.functions import constants as K
+    num = ["marks_10th", "cgpa", "gpa_1", "engg_coaching", "current_back", "rank"]
+    filled = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM c)) AS {c}" for c in num)
+    txt = ", ".join(f"coalesce({c}, {_mode_sql(c, 'c')}, 'Unknown') AS {c}" for c in ["branch", "board_10th", "board_12th"])
+    capped = ", ".join(f"{_cap(c, 'm')} AS {c}" for c in num)
+    return S.cte(raw=RAW_RESEARCH_SQL) + f""", d AS (SELECT DISTINCT r_branch AS branch, r_marks_10th_ AS marks_10th,
+  r_board_10th_ AS board_10th, r_board_12th_ AS board_12th, r_cgpa AS cgpa, r_gpa_1 AS gpa_1,
+  r_engg__coaching AS engg_coaching, r_current_back AS current_back, r_rank AS rank FROM raw),
+c AS (SELECT branch, {duck_num('marks_10th')} AS marks_10th, board_10th, board_12th, {duck_num('cgpa')} AS cgpa,
+  {duck_num('gpa_1')} AS gpa_1, {duck_num('engg_coaching')} AS engg_coaching,
+  {duck_num('current_back')} AS current_back, {duck_num('rank')} AS rank FROM d),
+i AS (SELECT {filled}, {txt} FROM c),
+m AS (SELECT * REPLACE ({_board_case('board_10th', K.BOARD_10TH_MAPPING)} AS board_10th,
+  {_board_case('board_12th', K.BOARD_12TH_MAPPING)} AS board_12th) FROM i)
+SELECT branch, board_10th, board_12th, {capped} FROM m"""
+
+
+@q("clean_research", _research_oracle(), ["marks_10th", "cgpa", "gpa_1", "engg_coaching", "current_back", "rank"])
+def _(spark, d):
+    from strata.plans import student
+    raw = S.frame(spark, d, RAW_RESEARCH_SQL).toDF("_row", *RESEARCH_HEADERS)
+    return student.clean_research(raw).drop(student.ROW)
