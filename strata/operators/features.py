@@ -24,7 +24,7 @@ def add_ml_features(gold: DataFrame, bmi_method: str = "exact") -> DataFrame:
     if has("marks_10th", "marks_12th", "cgpa"):
         df = df.withColumn("academic_score", X.academic_score())
     if has("technical_projects", "tech_quiz", "olympiads_qualified"):
-        df = df.withColumn("technical_score", X.technical_score(df))
+        df = df.withColumn("technical_score", X.technical_score(df).cast("double"))
     gpa = [c for c in GPA_COLUMNS if c in df.columns]
     if gpa:
         df = df.withColumns({"avg_gpa": X.row_mean(gpa), "gpa_variance": X.row_var_pop(gpa)})
@@ -33,8 +33,9 @@ def add_ml_features(gold: DataFrame, bmi_method: str = "exact") -> DataFrame:
     if has("thispresent", "prispresent"):
         df = df.withColumn("attendance_score", X.attendance_score())
     if has("technical_projects", "miscellany_tech_events"):
-        df = df.withColumn("engagement_score", X.engagement_score(df))
-    df = df.withColumns({"stress_risk": X.stress_risk(df), "productivity_score": X.productivity_score(df)})
+        df = df.withColumn("engagement_score", X.engagement_score(df).cast("double"))
+    df = df.withColumns({"stress_risk": X.stress_risk(df).cast("double"),
+                         "productivity_score": X.productivity_score(df).cast("double")})
     if has("current_back", "ever_back", "noofbacklog"):
         df = df.withColumn("backlog_pressure", X.backlog_pressure())
     if has("theorycredit", "practicalcredit"):
@@ -44,8 +45,8 @@ def add_ml_features(gold: DataFrame, bmi_method: str = "exact") -> DataFrame:
     if has("theoryagggradepoint", "theorycredit", "practicalagggradepoint", "practicalcredit"):
         df = df.withColumn("credit_efficiency", X.credit_efficiency())
     df = df.withColumn("wellbeing_balance", X.wellbeing_balance())
-    df = df.withColumn("employability_signal", X.employability_signal(df))
-    df = df.withColumn("student_support_need", X.student_support_need(df))
+    df = df.withColumn("employability_signal", X.employability_signal(df).cast("double"))
+    df = df.withColumn("student_support_need", X.student_support_need(df).cast("double"))
     if has("weightkg", "heightcm"):
         df = impute_median(df.withColumn("bmi", X.bmi_raw()), ["bmi"], method=bmi_method)
     return df

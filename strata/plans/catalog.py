@@ -317,7 +317,8 @@ _feat_q("academic_score", "academic_score", ["academic_score"], ["academic_score
 _feat_q("technical_score", "technical_score", ["technical_score"], ["technical_score"])
 _feat_q("engagement_score", "engagement_score", ["engagement_score"], ["engagement_score"])
 _feat_q("stress_risk", "stress_risk, productivity_score, wellbeing_balance",
-        ["stress_risk", "productivity_score", "wellbeing_balance"], [])
+        ["stress_risk", "productivity_score", "wellbeing_balance"],
+        ["stress_risk", "productivity_score", "wellbeing_balance"])
 _feat_q("employability_signal", "employability_signal, student_support_need",
         ["employability_signal", "student_support_need"], ["employability_signal", "student_support_need"])
 _feat_q("bmi", "bmi", ["bmi"], ["bmi"])
@@ -696,7 +697,7 @@ def _(spark, d):
 
 
 def _outlier_sql(cols):
-    parts = [f"""SELECT '{c}' AS "column", lower, upper, count_if({c} < lower OR {c} > upper) AS outlier_count,
+    parts = [f"""SELECT '{c}' AS "column", lower, upper, CAST(count_if({c} < lower OR {c} > upper) AS BIGINT) AS outlier_count,
       count_if({c} < lower OR {c} > upper) * 100.0 / count(*) AS outlier_pct FROM lineitem,
       (SELECT lower, upper FROM f WHERE "column" = '{c}') ff GROUP BY lower, upper""" for c in cols]
     return "WITH f AS (" + _fence_sql(cols) + ")\n" + " UNION ALL ".join(parts)
@@ -807,7 +808,7 @@ def _(spark, d):
 b AS (SELECT len(list_filter(e[2:], lambda x: x < l_discount)) + 1 AS band_rank, l_extendedprice, l_quantity
   FROM lineitem, e),
 dim AS (SELECT unnest(range(1, len(e))) AS band_rank FROM e WHERE len(e) >= 3)
-SELECT dim.band_rank, ['Low', 'Mid-Low', 'Mid', 'Mid-High', 'High'][dim.band_rank] AS segment,
+SELECT CAST(dim.band_rank AS INTEGER) AS band_rank, ['Low', 'Mid-Low', 'Mid', 'Mid-High', 'High'][dim.band_rank] AS segment,
   avg(l_extendedprice) AS l_extendedprice, avg(l_quantity) AS l_quantity
 FROM dim LEFT JOIN b USING (band_rank) GROUP BY dim.band_rank""", ["l_extendedprice", "l_quantity"])
 def _(spark, d):
@@ -826,7 +827,7 @@ g2 AS (SELECT CASE WHEN v >= (CASE WHEN g1 + 1 >= {bins} THEN hi ELSE lo + (g1 +
   THEN g1 + 1 ELSE g1 END + 1 AS bin FROM g1),
 c AS (SELECT bin, count(*) AS n FROM g2 GROUP BY bin),
 dim AS (SELECT unnest(range(1, {bins + 1})) AS bin, lo, hi FROM mm)
-SELECT dim.bin, lo + (dim.bin - 1) * ((hi - lo) / {float(bins)}) AS lower,
+SELECT CAST(dim.bin AS INTEGER) AS bin, lo + (dim.bin - 1) * ((hi - lo) / {float(bins)}) AS lower,
   CASE WHEN dim.bin = {bins} THEN hi ELSE lo + dim.bin * ((hi - lo) / {float(bins)}) END AS upper,
   CAST(coalesce(n, 0) AS BIGINT) AS count FROM dim LEFT JOIN c USING (bin)"""
 
@@ -852,7 +853,7 @@ def _(spark, d):
   quantile_cont(value, 0.75) AS q3 FROM ev WHERE value IS NOT NULL GROUP BY event_type),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT f.event_type, count(*) AS count, q1, median, q3, min(value) FILTER (WHERE value >= lo) AS whisker_low,
-  max(value) FILTER (WHERE value <= hi) AS whisker_high, count_if(value < lo OR value > hi) AS outliers
+  max(value) FILTER (WHERE value <= hi) AS whisker_high, CAST(count_if(value < lo OR value > hi) AS BIGINT) AS outliers
 FROM ev JOIN f ON ev.event_type IS NOT DISTINCT FROM f.event_type WHERE value IS NOT NULL
 GROUP BY f.event_type, q1, median, q3""", ["q1", "median", "q3", "whisker_low", "whisker_high"])
 def _(spark, d):
@@ -869,7 +870,7 @@ def _(spark, d):
 
 @q("regression_line", """SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS slope,
   regr_intercept(l_extendedprice, l_quantity) AS intercept, regr_r2(l_extendedprice, l_quantity) AS r2,
-  regr_count(l_extendedprice, l_quantity) AS n FROM lineitem GROUP BY l_returnflag""", ["slope", "intercept", "r2"])
+  CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY l_returnflag""", ["slope", "intercept", "r2"])
 def _(spark, d):
     return profile.regression_line(S.table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"])
 
@@ -892,7 +893,8 @@ THR = ("(SELECT i AS threshold_index, CAST(0.2 AS DOUBLE) + CAST(i AS DOUBLE) *
 @q("threshold_sweep", SC + f""", th AS {THR}, c AS (SELECT threshold_index, t,
   count_if(p >= t AND y = 1) AS tp, count_if(p >= t AND y = 0) AS fp, count_if(p < t AND y = 1) AS fn,
   count_if(p < t AND y = 0) AS tn FROM th, s GROUP BY threshold_index, t)
-SELECT CAST(threshold_index AS INT) AS threshold_index, round(t, 2) AS threshold, tp, fp, fn, tn,
+SELECT CAST(threshold_index AS INT) AS threshold_index, round(t, 2) AS threshold, CAST(tp AS BIGINT) AS tp,
+  CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
   coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
   coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM c""", ["threshold", "precision", "recall", "f1"])
 def _(spark, d):
@@ -902,7 +904,8 @@ def _(spark, d):
 @q("best_threshold", SC + f""", th AS {THR}, c AS (SELECT threshold_index, t,
   count_if(p >= t AND y = 1) AS tp, count_if(p >= t AND y = 0) AS fp, count_if(p < t AND y = 1) AS fn,
   count_if(p < t AND y = 0) AS tn FROM th, s GROUP BY threshold_index, t)
-SELECT CAST(threshold_index AS INT) AS threshold_index, round(t, 2) AS threshold, tp, fp, fn, tn,
+SELECT CAST(threshold_index AS INT) AS threshold_index, round(t, 2) AS threshold, CAST(tp AS BIGINT) AS tp,
+  CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
   coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
   coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM c ORDER BY f1 DESC, threshold_index LIMIT 1""",
    ["threshold", "precision", "recall", "f1"])

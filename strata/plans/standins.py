@@ -121,18 +121,18 @@ SELECT s.*,
   CASE WHEN technical_projects > 2 THEN 'technical' WHEN gpa_1 > 8 THEN 'academic'
        WHEN career_willingness > 70 THEN 'business' ELSE 'balanced' END AS career_path,
   (marks_10th + marks_12th + cgpa) / 3 AS academic_score,
-  technical_projects + tech_quiz + olympiads_qualified
-    + CASE lower(certification_course) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE 0 END AS technical_score,
-  technical_projects + miscellany_tech_events
-    + CASE lower(certification_course) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE 0 END AS engagement_score,
+  CAST(technical_projects + tech_quiz + olympiads_qualified
+    + CASE lower(certification_course) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE 0 END AS DOUBLE) AS technical_score,
+  CAST(technical_projects + miscellany_tech_events
+    + CASE lower(certification_course) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE 0 END AS DOUBLE) AS engagement_score,
   gpa_6 - gpa_1 AS gpa_trend,
-  (CASE lower(stress_level) WHEN 'fabulous' THEN 0 WHEN 'good' THEN 1 WHEN 'bad' THEN 3 WHEN 'awful' THEN 4 ELSE 2 END)
+  CAST((CASE lower(stress_level) WHEN 'fabulous' THEN 0 WHEN 'good' THEN 1 WHEN 'bad' THEN 3 WHEN 'awful' THEN 4 ELSE 2 END)
   + (CASE lower(social_media_time) WHEN '0-30_min' THEN 1 WHEN '30-60_min' THEN 2 WHEN '1-2_hour' THEN 3
-          WHEN '2+_hour' THEN 4 WHEN 'other' THEN 2 ELSE 2 END) AS stress_risk,
-  (CASE lower(daily_study_time) WHEN '0-30_min' THEN 1 WHEN '30-60_min' THEN 2 WHEN '1-2_hour' THEN 3
+          WHEN '2+_hour' THEN 4 WHEN 'other' THEN 2 ELSE 2 END) AS DOUBLE) AS stress_risk,
+  CAST((CASE lower(daily_study_time) WHEN '0-30_min' THEN 1 WHEN '30-60_min' THEN 2 WHEN '1-2_hour' THEN 3
           WHEN '2+_hour' THEN 4 WHEN 'other' THEN 2 ELSE 2 END)
   - (CASE lower(social_media_time) WHEN '0-30_min' THEN 1 WHEN '30-60_min' THEN 2 WHEN '1-2_hour' THEN 3
-          WHEN '2+_hour' THEN 4 WHEN 'other' THEN 2 ELSE 2 END) AS productivity_score,
+          WHEN '2+_hour' THEN 4 WHEN 'other' THEN 2 ELSE 2 END) AS DOUBLE) AS productivity_score,
   CASE lower(like_degree) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE 0 END AS like01,
   CASE lower(parttime_job) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE 0 END AS part01,
   CASE lower(financial_status) WHEN 'awful' THEN 1 WHEN 'bad' THEN 2 WHEN 'good' THEN 3 WHEN 'fabulous' THEN 4 ELSE 2 END AS fin,
