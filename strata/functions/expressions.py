@@ -174,23 +174,35 @@ def technical_score(df: DataFrame) -> Column:
             + yes01(df, "certification_course"))
 
 
-def _present(cols: Sequence[str]) -> Column:
-    return F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
+def _count_present(cols: Sequence[str]) -> Column:
+    n = F.lit(0)
+    for c in cols:
+        n = n + F.col(c).isNotNull().cast("int")
+    return n
+
+
+def _sum_present(cols: Sequence[str]) -> Column:
+    total = F.lit(0.0)
+    for c in cols:
+        total = total + F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return total
 
 
 def row_mean(cols: Sequence[str]) -> Column:
-    """Mean of the non-null values across ``cols`` (NULL when all are NULL)."""
-    arr = _present(cols)
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(arr) > 0, total / F.size(arr))
+    """Mean of the non-null values across ``cols`` (NULL when all are NULL).
+    Plain arithmetic, so it stays inside generated code."""
+    n = _count_present(cols)
+    return F.when(n > 0, _sum_present(cols) / n)
 
 
 def row_var_pop(cols: Sequence[str]) -> Column:
     """Population variance (ddof=0) across the non-null values of ``cols``."""
-    arr = _present(cols)
-    n = F.size(arr)
-    mean = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x) / n
-    ss = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
+    n = _count_present(cols)
+    mean = _sum_present(cols) / n
+    ss = F.lit(0.0)
+    for c in cols:
+        x = F.col(c).cast("double")
+        ss = ss + F.when(x.isNotNull(), (x - mean) * (x - mean)).otherwise(F.lit(0.0))
     return F.when(n > 0, ss / n)
 
 

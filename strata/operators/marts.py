@@ -54,11 +54,11 @@ def risk_band_summary(features: DataFrame, source: str | None = None,
     counts = (features.select(X.risk_band(source, bands).alias("risk_band"))
               .groupBy("risk_band").agg(F.count(F.lit(1)).alias("n")))
     dim = spark.createDataFrame([(label, i) for i, (label, _, _) in enumerate(bands)],
-                                "risk_band string, band_rank int")
-    labelled = dim.join(counts, "risk_band", "left")
-    nulls = counts.where(F.col("risk_band").isNull()).withColumn("band_rank", F.lit(len(bands)))
-    out = labelled.unionByName(nulls.select("risk_band", "band_rank", "n"))
-    return (out.select("risk_band", F.coalesce("n", F.lit(0)).cast("long").alias("student_count"), "band_rank")
+                                "_band string, band_rank int")
+    out = dim.join(counts, dim["_band"] == counts["risk_band"], "full")
+    return (out.select(F.coalesce("_band", "risk_band").alias("risk_band"),
+                       F.coalesce("n", F.lit(0)).cast("long").alias("student_count"),
+                       F.coalesce("band_rank", F.lit(len(bands))).alias("band_rank"))
             .orderBy("band_rank").drop("band_rank"))
 
 

@@ -96,13 +96,28 @@ FROM events
 """
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    for t in TABLES:
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
+def register(spark: SparkSession, sf_dir: str, names=None) -> None:
+    """Temp views for the named tables (all by default), re-created only when
+    the view currently points at another folder."""
+    for t in (names or TABLES):
+        key = (id(spark), t)
+        if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists(t):
+            continue
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        _REGISTERED[key] = sf_dir
+
+
+def tables_in(sql: str) -> list[str]:
+    import re
+    words = set(re.findall(r"[a-z_]+", sql.lower()))
+    return [t for t in TABLES if t in words]
 
 
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    register(spark, sf_dir)
+    register(spark, sf_dir, tables_in(sql))
     return spark.sql(sql)
 
 
