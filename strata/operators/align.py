@@ -50,7 +50,7 @@ def positional_align(frames: Sequence[DataFrame], order_bys: Sequence[Sequence[s
 
 def backfill_keys(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """NULL keys become max+1, max+2, ... in ``order_by`` order (1, 2, ... if none)."""
-    top = df.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("m")).scalar()
+    top = F.lit(df.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("m")).first()["m"])
     have = df.where(F.col(key).isNotNull())
     missing = df.where(F.col(key).isNull()).drop(key)
     numbered = with_row_number(missing, order_by, "_bk_rn")

@@ -51,10 +51,27 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def stats_scalar(stats_row: DataFrame, columns: Sequence[str]) -> Column:
-    """One-row stats table → a struct-valued scalar subquery column."""
+    """One-row stats table → a struct-valued scalar subquery column (lazy;
+    for terminal reports, where the plan is not built upon further)."""
     return stats_row.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("s")).scalar()
 
 
+def stats_literals(stats_row: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """One-row stats table → one literal per column.
+
+    Used by chain operators: the statistics job runs once here, and the
+    rewritten frame carries literals instead of a subquery holding the whole
+    upstream plan, so plans stay flat however many cleaning steps follow.
+    The row is bounded by the number of columns.
+    """
+    row = stats_row.first()
+    out = {}
+    for c in columns:
+        v = None if row is None else row[c]
+        out[c] = F.lit(v) if v is not None else F.lit(None).cast(stats_row.schema[c].dataType)
+    return out
+
+
 def median_values(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     cols = _existing(df, columns, numeric=True)
     return column_stats_row(medians(df, cols, method=method), cols)
@@ -65,8 +82,8 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, method: s
     cols = _existing(df, columns, numeric=True)
     if not cols:
         return df
-    s = stats_scalar(median_values(df, cols, method), cols)
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), s.getField(c)) for c in cols})
+    s = stats_literals(median_values(df, cols, method), cols)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), s[c].cast("double")) for c in cols})
 
 
 def mode_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -79,8 +96,8 @@ def impute_mode(df: DataFrame, columns: Sequence[str] | None = None, fallback: s
     cols = _existing(df, columns, numeric=False)
     if not cols:
         return df
-    s = stats_scalar(mode_values(df, cols), cols)
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("string"), s.getField(c), F.lit(fallback))
+    s = stats_literals(mode_values(df, cols), cols)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("string"), s[c].cast("string"), F.lit(fallback))
                            for c in cols})
 
 
@@ -117,13 +134,15 @@ def cap_outliers_iqr(df: DataFrame, columns: Sequence[str], method: str = "exact
         return df
     fences = iqr_fences(df, cols, by, method)
     if not by:
-        lo = stats_scalar(column_stats_row(fences.select("column", F.col("lower").alias("value")), cols), cols)
-        hi = stats_scalar(column_stats_row(fences.select("column", F.col("upper").alias("value")), cols), cols)
+        # one row per column (bounded by the column count), one job
+        got = {r["column"]: (r["lower"], r["upper"]) for r in fences.select("column", "lower", "upper").collect()}
         out = {}
         for c in cols:
-            capped = _cap(F.col(f"`{c}`").cast("double"), lo.getField(c), hi.getField(c))
+            lo_v, hi_v = got.get(c, (None, None))
+            lo_c, hi_c = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
+            capped = _cap(F.col(f"`{c}`").cast("double"), lo_c, hi_c)
             if skip_zero_iqr:
-                capped = F.when(lo.getField(c) == hi.getField(c), F.col(f"`{c}`").cast("double")).otherwise(capped)
+                capped = F.when(lo_c == hi_c, F.col(f"`{c}`").cast("double")).otherwise(capped)
             out[c] = capped
         return df.withColumns(out)
     aggs = []

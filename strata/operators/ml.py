@@ -99,9 +99,8 @@ def random_split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42,
 def class_weights(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
     """weight = n / (k · n_class) attached to every row (balanced weighting)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cw_n"))
-    tot = per.agg(F.sum("_cw_n").alias("n"), F.count(F.lit(1)).alias("k"))
-    s = tot.select(F.struct("n", "k")).scalar()
-    w = per.select(label, (s.getField("n") / (s.getField("k") * F.col("_cw_n"))).alias(output))
+    tot = per.agg(F.sum("_cw_n").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    w = per.select(label, (F.lit(tot["n"]) / (F.lit(tot["k"]) * F.col("_cw_n"))).alias(output))
     # one row per class; AQE broadcasts it after measuring, otherwise a
     # sort-merge join with skew splitting handles a dominant class
     return df.join(w, label, "left")

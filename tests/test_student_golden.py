@@ -65,3 +65,47 @@ def test_career_and_risk_counts(spark):
     assert careers == {"academic": 27, "balanced": 46, "technical": 70, "business": 92}
     bands = [(r["risk_band"], r["student_count"]) for r in marts.risk_band_summary(feats).collect()]
     assert bands == [("low", 124), ("medium", 94), ("high", 17)]
+
+
+def _write_performance_csv(path, n=300):
+    import numpy as np
+    rng = np.random.default_rng(42)
+    pdf = pd.DataFrame({
+        "student_id": np.arange(1, n + 1),
+        "age": rng.integers(18, 25, n),
+        "gender": rng.choice(["Male", "Female", "Other"], n),
+        "major": rng.choice(["Arts", "Science", None], n),
+        "study_hours_per_day": np.round(rng.random(n) * 6, 1),
+        "social_media_hours": np.round(rng.random(n) * 4, 1),
+        "attendance_percentage": np.round(rng.random(n) * 100, 1),
+        "semester": rng.choice(["1", "2.5", "3", "abc", ""], n),
+        "stress_level": rng.integers(1, 10, n),
+        "exam_anxiety_score": rng.integers(1, 10, n),
+        "exam_score": np.round(rng.random(n) * 100, 1),
+    })
+    pdf.loc[::17, "exam_score"] = np.nan
+    pdf.to_csv(path, index=False)
+
+
+def test_full_layer_run(spark, tmp_path):
+    perf = tmp_path / "performance.csv"
+    _write_performance_csv(perf)
+    layers = student.run_layers(spark, os.path.join(FIXTURES, "research_bronze.csv"),
+                                os.path.join(FIXTURES, "attitude_raw.csv"), str(perf))
+    silver = layers["silver"]
+    assert silver.count() == 300
+    assert [r.student_id for r in silver.select("student_id").orderBy("student_id").collect()] == list(range(1, 301))
+    # first source wins on shared names: stress_level is the attitude text
+    assert dict(silver.dtypes)["stress_level"] == "string"
+    # imputation leaves no NULL in silver
+    assert marts.total_missing(silver.drop(*[c for c in silver.columns if c.endswith("_record_available")])).first()[0] == 0
+    cov = marts.source_coverage(silver, ["research", "attitude", "performance"]).first()
+    assert (cov.research_record_available, cov.attitude_record_available, cov.performance_record_available) == (222, 235, 300)
+    gold, feats = layers["gold"], layers["features"]
+    assert gold.columns[0] == "student_id" and len(gold.columns) <= 71
+    assert len(feats.columns) - len(gold.columns) == 13
+    assert layers["semester_summary"].where(F.col("semester").isNull()).count() == 0
+    assert sum(r.student_count for r in layers["risk_summary"].collect()) == 300
+    assert layers["dim_student"].count() == 300 and "dim_subject" not in layers
+    status = marts.layer_counts({k: layers[k] for k in ("silver", "gold", "features")}, "gold")
+    assert {r.table: r.rows for r in status.collect()} == {"silver": 300, "gold": 300, "features": 300}
