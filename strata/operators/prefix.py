@@ -80,14 +80,16 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], output: str = "row_i
                     num_partitions: int | None = None) -> DataFrame:
     """Consecutive numbers ``start, start+1, ...`` in ``order_by`` order.
 
-    A hash of the whole row and a per-row id break ties, so even millions of
-    rows sharing one order key are spread over many range partitions.  Rows that
-    are identical in every column are interchangeable, so their relative numbers
-    do not change the result.
+    Two independent hashes of the whole row break ties, so even millions of
+    distinct rows sharing one order key are spread over many range partitions.
+    The tie-break is a pure function of the row (no per-task id), so a
+    recomputed task after an executor loss routes every row exactly as
+    before.  Rows that still tie are identical in every column and therefore
+    interchangeable.
     """
     cols = df.columns
-    tie = df.withColumn("_rn_h", F.xxhash64(*cols)).withColumn("_rn_m", F.monotonically_increasing_id())
-    out = running_total(tie, list(order_by) + ["_rn_h", "_rn_m"], None, partition_by,
+    tie = df.withColumn("_rn_h", F.xxhash64(*cols)).withColumn("_rn_g", F.hash(*cols))
+    out = running_total(tie, list(order_by) + ["_rn_h", "_rn_g"], None, partition_by,
                         output="_rn_x", num_partitions=num_partitions)
     return (out.withColumn(output, (F.col("_rn_x") + F.lit(start - 1)).cast("long"))
-            .drop("_rn_x", "_rn_h", "_rn_m"))
+            .drop("_rn_x", "_rn_h", "_rn_g"))

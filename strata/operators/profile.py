@@ -22,15 +22,26 @@ def _num(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     return split_by_type(df)[0] if cols is None else [c for c in cols if c in df.columns]
 
 
-def data_quality_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: missing count, missing % (2 dp), distinct values incl. NULL, type."""
+def data_quality_audit(df: DataFrame, columns: Sequence[str] | None = None,
+                       approx_unique: bool = False) -> DataFrame:
+    """Per column: missing count, missing % (2 dp), distinct values incl. NULL, type.
+
+    Exact distinct counts go through one (column, value) aggregation with
+    map-side combining; ``approx_unique`` uses HyperLogLog sketches in the same
+    single pass as the missing counts instead.
+    """
     cols = list(columns or df.columns)
     n = F.count(F.lit(1))
     miss = df.agg(n.alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in cols])
     missing = miss.unpivot(["_n"], cols, "column", "missing_count")
-    long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "v")
-    uniq = (long.groupBy("column", "v").agg(F.lit(1).alias("_one"))
-            .groupBy("column").agg(F.count(F.lit(1)).alias("n_unique")))
+    if approx_unique:
+        one = df.agg(*[(F.approx_count_distinct(F.col(f"`{c}`"))
+                        + F.max(F.col(f"`{c}`").isNull().cast("int"))).alias(c) for c in cols])
+        uniq = one.unpivot([], cols, "column", "n_unique")
+    else:
+        long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "v")
+        uniq = (long.groupBy("column", "v").agg(F.lit(1).alias("_one"))
+                .groupBy("column").agg(F.count(F.lit(1)).alias("n_unique")))
     types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name in cols],
         "column string, dtype string")

@@ -1184,8 +1184,8 @@ def _(spark, d):
 @q("stream_score")
 def _(spark, d):
     """Events replayed as a file stream (availableNow) and scored per batch."""
-    import tempfile
     import uuid
+    from strata.session import ensure_checkpoint_dir
     from strata.streaming.incremental import stream_score
     e = S.table(spark, d, "events")
     stream = spark.readStream.schema(e.schema).parquet(f"{d}/events*.parquet")
@@ -1196,7 +1196,7 @@ def _(spark, d):
                              LinearRegression(featuresCol="features", labelCol="value")]).fit(e)
     scored, _bad = stream_score(stream, model, ["user_id"], ["user_id"])
     name = "stream_score_" + uuid.uuid4().hex[:8]
-    base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
+    base = ensure_checkpoint_dir(spark)
     qy = (scored.select("event_id", "prediction").writeStream.format("memory").queryName(name)
           .option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start())
     qy.awaitTermination()
