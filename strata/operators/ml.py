@@ -44,7 +44,9 @@ def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str],
         oh = [f"{c}__oh" for c in categorical]
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
                                     stringOrderType="frequencyDesc"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="keep"))
+        # "keep" on the indexer only: unknowns take the last index, which dropLast
+        # removes, so an unseen category encodes as all zeros
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True))
         cat_out = oh
     stages.append(VectorAssembler(inputCols=num_out + cat_out, outputCol=output))
     return stages

@@ -1321,3 +1321,22 @@ def _(spark, d):
     from strata.plans import student
     raw = S.frame(spark, d, RAW_RESEARCH_SQL).toDF("_row", *RESEARCH_HEADERS)
     return student.clean_research(raw).drop(student.ROW)
+
+
+@q("refresh_if_new")
+def _(spark, d):
+    """availableNow refresh: unseen event files rebuild a per-type count mart."""
+    import uuid
+    from strata.session import ensure_checkpoint_dir
+    from strata.sources.files import write_layer
+    from strata.streaming.incremental import refresh_if_new
+    base = f"{ensure_checkpoint_dir(spark)}/refresh_{uuid.uuid4().hex[:8]}"
+    schema = S.table(spark, d, "events").schema
+
+    def rebuild(batch, epoch):
+        mart = batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
+                                               F.round(F.avg("value"), 6).alias("avg_value"))
+        write_layer(mart, f"{base}/mart/epoch={epoch}")
+
+    refresh_if_new(spark, f"{d}/events*.parquet", schema, f"{base}/_stream", rebuild, fmt="parquet")
+    return spark.read.parquet(f"{base}/mart")
