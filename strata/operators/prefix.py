@@ -35,9 +35,11 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
 
 def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = None,
                   partition_by: Sequence[str] = (), output: str = "running_total",
-                  total: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                  total: str | None = None, num_partitions: int | None = None,
+                  partition_col: str | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` (1 per row when None) over ``order_by``
-    within each ``partition_by`` segment.  ``total`` also attaches the segment sum.
+    within each ``partition_by`` segment.  ``total`` also attaches the segment sum;
+    ``partition_col`` keeps the range-partition id (to inspect the split).
 
     Ties in ``order_by`` are summed in an arbitrary order; pass a unique order
     when the exact position matters (row numbering).
@@ -70,9 +72,10 @@ def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = N
     extra = [F.col(f"_rt_o.{total}")] if total else []
     out = (r.join(o, cond, "inner")
            .select("_rt_r.*", F.col("_rt_o._rt_off"), *extra)
-           .withColumn(output, F.col("_rt_off") + F.col("_rt_loc"))
-           .drop("_rt_pid", "_rt_w", "_rt_loc", "_rt_off"))
-    return out
+           .withColumn(output, F.col("_rt_off") + F.col("_rt_loc")))
+    if partition_col:
+        out = out.withColumnRenamed("_rt_pid", partition_col)
+    return out.drop("_rt_pid", "_rt_w", "_rt_loc", "_rt_off")
 
 
 def with_row_number(df: DataFrame, order_by: Sequence[str], output: str = "row_id",

@@ -95,7 +95,7 @@ def silver(research: DataFrame, attitude: DataFrame, performance: DataFrame | No
     """Positional alignment (first source wins on names) + imputation."""
     frames, orders, names = [research, attitude], [[ROW], [ROW]], ["research", "attitude"]
     if performance is not None:
-        frames.append(performance.drop("student_id"))
+        frames.append(schema.drop_columns(performance, ["student_id"]))
         orders.append([ROW])
         names.append("performance")
     frames = [f.withColumnRenamed(ROW, f"_row_{n}") for f, n in zip(frames, names)]

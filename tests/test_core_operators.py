@@ -171,3 +171,14 @@ def test_results_unchanged_by_repartitioning(spark):
     b = quantiles(df.repartition(7, "user_id"), ["value"], [0.25, 0.5], ["event_type"]).collect()
     key = lambda r: (r.event_type, r.p)
     assert sorted(a, key=key) == sorted(b, key=key)
+
+
+def test_hot_segment_is_split_across_partitions(spark):
+    # segment 0 holds a third of all rows; the running total must not put it in one task
+    df = spark.range(6000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1)
+                                  .alias("seg"))
+    out = running_total(df, ["id"], None, ["seg"], "rt", num_partitions=8, partition_col="pid")
+    hot = out.where(F.col("seg") == 0)
+    assert hot.select("pid").distinct().count() >= 3
+    got = [r.rt for r in hot.orderBy("id").collect()]
+    assert got == list(range(1, 2001))
