@@ -67,7 +67,7 @@ def dashboard_frame(df: DataFrame) -> DataFrame:
 
 def risk_pct_rescale(df: DataFrame, column: str, output: str = "risk_probability_pct") -> DataFrame:
     """×100 when the column's global max ≤ 1.1, then clip to [0, 100]."""
-    mx = df.agg(F.max(X.to_number(column)).alias("m")).select("m").scalar()
+    mx = F.lit(df.agg(F.max(X.to_number(column)).alias("m")).first()["m"]).cast("double")
     v = X.to_number(column)
     scaled = F.when(mx <= 1.1, v * 100).otherwise(v)
     return df.withColumn(output, X.clip(scaled, 0.0, 100.0))

@@ -58,18 +58,20 @@ def threshold_sweep(df: DataFrame, label: str, score: str,
     y = F.col(label).cast("int")
     per = (df.select(threshold_index(F.col(score), start, step, n).alias("k"), y.alias("y"))
            .groupBy("k").agg(F.sum("y").alias("pos"), F.count_if(F.col("y") == 0).alias("neg")))
-    totals = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    tot = totals.select(F.struct("P", "N")).scalar()
-    grid = per.sparkSession.range(n).select(F.col("id").cast("int").alias("k"))
+    # grid -1..n-1 (-1 = below every threshold): at most n + 1 rows, so the
+    # single-partition windows below run over a bounded table
+    grid = per.sparkSession.range(-1, n).select(F.col("id").cast("int").alias("k"))
+    everything = Window.partitionBy()
     suffix = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = (grid.join(per, "k", "left")
          .select("k", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg"))
+         .withColumn("P", F.sum("pos").over(everything))
+         .withColumn("N", F.sum("neg").over(everything))
          .withColumn("tp", F.sum("pos").over(suffix))
-         .withColumn("fp", F.sum("neg").over(suffix)))
-    P = F.coalesce(tot.getField("P"), F.lit(0))
-    N = F.coalesce(tot.getField("N"), F.lit(0))
-    fn = P - F.col("tp")
-    tn = N - F.col("fp")
+         .withColumn("fp", F.sum("neg").over(suffix))
+         .where(F.col("k") >= 0))
+    fn = F.col("P") - F.col("tp")
+    tn = F.col("N") - F.col("fp")
     return j.select(F.col("k").alias("threshold_index"),
                     F.round(threshold_value(F.col("k"), start, step), 2).alias("threshold"),
                     F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),

@@ -236,14 +236,15 @@ def fitted_stats(df: DataFrame, columns: Sequence[str], method: str = "exact") -
 
 def impute_scale_stored(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(coalesce(x, median) − mean) / std with stored statistics (std 0 → 0)."""
-    one = stats.agg(*[F.max(F.when(F.col("column") == c, F.struct("median", "mean", "std"))).alias(c)
-                      for c in columns])
-    s = one.select(F.struct(*columns)).scalar()
+    # stored statistics: one row per column, collected once
+    got = {r["column"]: r for r in stats.select("column", "median", "mean", "std").collect()}
     out = {}
     for c in columns:
-        st = s.getField(c)
-        x = F.coalesce(F.col(c).cast("double"), st.getField("median"))
-        out[c] = F.coalesce(F.try_divide(x - st.getField("mean"), st.getField("std")), F.lit(0.0))
+        st = got.get(c)
+        med, mean, std = ((F.lit(st[k]).cast("double") for k in ("median", "mean", "std")) if st is not None
+                          else (F.lit(None).cast("double"),) * 3)
+        x = F.coalesce(F.col(c).cast("double"), med)
+        out[c] = F.coalesce(F.try_divide(x - mean, std), F.lit(0.0))
     return df.withColumns(out)
 
 

@@ -62,22 +62,24 @@ def outlier_summary(df: DataFrame, columns: Sequence[str] | None = None, base: s
                     method: str = "exact") -> DataFrame:
     """Per column: fences, outlier count and % of all rows (``base="all"``) or
     of non-null rows (``base="non_null"``), sorted by % descending."""
-    from strata.operators.clean import iqr_fences, stats_scalar
+    from strata.operators.clean import iqr_fences
     cols = _num(df, columns)
-    fences = iqr_fences(df, cols, method=method)
-    lo = stats_scalar(column_stats_row(fences.select("column", F.col("lower").alias("value")), cols), cols)
-    hi = stats_scalar(column_stats_row(fences.select("column", F.col("upper").alias("value")), cols), cols)
+    fences = iqr_fences(df, cols, method=method).select("column", "lower", "upper").collect()  # one row per column
+    got = {r["column"]: (r["lower"], r["upper"]) for r in fences}
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         v = F.col(f"`{c}`")
-        aggs.append(F.count_if((v < lo.getField(c)) | (v > hi.getField(c))).alias(f"o_{c}"))
+        lo, hi = (F.lit(x).cast("double") for x in got.get(c, (None, None)))
+        aggs.append(F.count_if((v < lo) | (v > hi)).alias(f"o_{c}"))
         aggs.append(F.count(v).alias(f"n_{c}"))
     one = df.agg(*aggs)
     counts = one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"o_{c}").alias("outlier_count"),
                  F.col(f"n_{c}").alias("non_null"), F.col("_rows").alias("rows")) for c in cols])).alias("s")).select("s.*")
     denom = F.col("rows") if base == "all" else F.col("non_null")
-    return (counts.join(fences.select("column", "lower", "upper"), "column")
+    fence_df = df.sparkSession.createDataFrame([(c, *got.get(c, (None, None))) for c in cols],
+                                               "column string, lower double, upper double")
+    return (counts.join(fence_df, "column")
             .select("column", "lower", "upper", F.col("outlier_count").cast("long").alias("outlier_count"),
                     F.try_divide(F.col("outlier_count") * 100.0, denom).alias("outlier_pct"))
             .orderBy(F.col("outlier_pct").desc_nulls_last(), "column"))
@@ -218,20 +220,20 @@ def quantile_segment_profile(df: DataFrame, column: str, columns: Sequence[str]
     cols = _num(df, columns)
     probs = [i / q for i in range(q + 1)]
     edges_long = quantiles(df, [column], probs, method=method)
-    edges = edges_long.agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("e"))
-    e = edges.select("e").scalar()
-    nbins = F.size(e) - 1
+    # at most q + 1 edge values: collected once, used as literals
+    edges = sorted({r["value"] for r in edges_long.select("value").collect()})
+    if len(edges) < 3:
+        return df.sparkSession.createDataFrame(
+            [], "band_rank int, segment string, " + ", ".join(f"`{c}` double" for c in cols))
     v = F.col(column)
-    above = [F.coalesce((F.try_element_at(e, F.lit(i)) < v).cast("int"), F.lit(0)) for i in range(2, q + 2)]
     band = F.lit(1)
-    for a in above:
-        band = band + a
-    band = F.when(v.isNotNull() & (v >= F.element_at(e, 1)) & (v <= F.element_at(e, -1)), band)
-    rows = df.withColumn("_band", band).where(F.col("_band").isNotNull() & (nbins >= 2)) \
+    for e_i in edges[1:]:
+        band = band + (F.lit(float(e_i)) < v).cast("int")
+    band = F.when(v.isNotNull() & (v >= F.lit(float(edges[0]))) & (v <= F.lit(float(edges[-1]))), band)
+    rows = df.withColumn("_band", band).where(F.col("_band").isNotNull()) \
         .groupBy("_band").agg(*[F.avg(c).alias(c) for c in cols])
     labels = F.array(*[F.lit(x) for x in QCUT_LABELS])
-    dim = edges.select(F.explode(F.sequence(F.lit(1), F.greatest(F.size("e") - 1, F.lit(1)))).alias("_band"),
-                       (F.size("e") - 1).alias("_nb")).where(F.col("_nb") >= 2)
+    dim = df.sparkSession.range(1, len(edges)).select(F.col("id").cast("int").alias("_band"))
     return (dim.join(rows, "_band", "left")
             .select(F.col("_band").alias("band_rank"), F.element_at(labels, F.col("_band")).alias("segment"), *cols)
             .orderBy("band_rank"))
@@ -245,11 +247,16 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     uses the range (v−0.5, v+0.5).
     """
     v = F.col(column).cast("double")
-    mm = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    mm = mm.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-                   F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    s = mm.select(F.struct("lo", "hi").alias("s")).scalar()
-    lo, hi = s.getField("lo"), s.getField("hi")
+    # the two range ends are collected once (one bounded row) and used as literals
+    r = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    lo_v, hi_v = r["lo"], r["hi"]
+    if lo_v is None:
+        return df.sparkSession.range(1, bins + 1).select(
+            F.col("id").cast("int").alias("bin"), F.lit(None).cast("double").alias("lower"),
+            F.lit(None).cast("double").alias("upper"), F.lit(0).cast("long").alias("count"))
+    if lo_v == hi_v:
+        lo_v, hi_v = lo_v - 0.5, hi_v + 0.5
+    lo, hi = F.lit(float(lo_v)), F.lit(float(hi_v))
     step = (hi - lo) / F.lit(float(bins))
 
     def edge(i: Column) -> Column:
@@ -261,7 +268,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     up = F.when((v >= edge(down + 1)) & (down != bins - 1), down + 1).otherwise(down)
     counts = (df.where(v.isNotNull()).select((up + 1).alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
-    dim = mm.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi")
+    dim = counts.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"),
+                                                        lo.alias("lo"), hi.alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return (dim.join(counts, "bin", "left")
             .select("bin", (F.col("lo") + (F.col("bin") - 1).cast("double") * width).alias("lower"),
