@@ -1,9 +1,11 @@
 """Cleaning operators (C1–C13, C17): dedupe, coercion, imputation, fences.
 
 Statistics (median, mode, quartile fences) are distributed aggregates
-(``strata.operators.quantiles``).  Their one-row result is applied to the rows
-through a scalar subquery (``DataFrame.scalar()``), which Spark evaluates once
-and ships to every task — no cross join, no driver round trip.
+(``strata.operators.quantiles``).  Their result — one value per column, so
+bounded by the column count — is collected once and applied as literals: no
+cross join, and the rewritten frame keeps a flat plan however many cleaning
+steps follow.  ``stats_scalar`` offers the lazy scalar-subquery form for
+single-reference report use.
 """
 
 from __future__ import annotations

@@ -1109,7 +1109,7 @@ def _(spark, d):
     for name, m in models.items():
         scored = ml.positive_probability(m, valid, "p", ["n_chars", "n_words"])
         sweep = metrics.best_threshold(metrics.threshold_sweep(scored, "quality", "p"))
-        met = metrics.classification_metrics(scored, "quality", "p", sweep.select("threshold").scalar())
+        met = metrics.classification_metrics(scored, "quality", "p", float(sweep.first()["threshold"]))
         met = met.withColumn("model", F.lit(name))
         rows = met if rows is None else rows.unionByName(met)
     return rows

@@ -32,11 +32,12 @@ def stale_check(spark: SparkSession, raw_path: str, run_log_path: str, fmt: str
         log = spark.read.parquet(run_log_path)
     except Exception:  # no run yet
         log = spark.createDataFrame([], "file_name string, run_at timestamp")
-    last = log.agg(F.max("run_at").alias("r")).select("r").scalar()
-    unseen = files.join(log.select("file_name"), "file_name", "left_anti").agg(F.count(F.lit(1))).scalar()
+    # two one-value results, collected once
+    last = F.lit(log.agg(F.max("run_at").alias("r")).first()["r"]).cast("timestamp")
+    unseen = files.join(log.select("file_name"), "file_name", "left_anti").count()
     return files.agg(F.max("modified_at").alias("newest_raw_at")).select(
         "newest_raw_at", last.alias("last_run_at"),
-        (last.isNull() | (F.col("newest_raw_at") > last) | (unseen > 0)).alias("stale"))
+        (last.isNull() | (F.col("newest_raw_at") > last) | F.lit(unseen > 0)).alias("stale"))
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv",
