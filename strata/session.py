@@ -11,6 +11,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # wide one-pass statistics (pairwise correlations, audits) carry more than
+    # the default 100 aggregate-buffer fields; keep them in generated code
+    "spark.sql.codegen.maxFields": "1000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
