@@ -46,11 +46,16 @@ def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = N
     """
     seg = list(partition_by)
     order = list(order_by)
-    n = _num_partitions(df, num_partitions)
     w = F.lit(1).cast("long") if weight is None else F.col(weight)
-    ranged = (df.withColumn("_rt_w", w)
-              .repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in seg + order])
-              .withColumn("_rt_pid", F.spark_partition_id()))
+    keys = [F.col(c).asc_nulls_last() for c in seg + order]
+    weighted = df.withColumn("_rt_w", w)
+    # Without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE may merge adjacent (still contiguous) ranges when the
+    # data is small; the partition id is read after that merge, so every id
+    # is one contiguous key range either way.
+    ranged = (weighted.repartitionByRange(int(num_partitions), *keys) if num_partitions
+              else weighted.repartitionByRange(*keys))
+    ranged = ranged.withColumn("_rt_pid", F.spark_partition_id())
     ranged = checkpoint(ranged)
 
     slices = ranged.groupBy("_rt_pid", *seg).agg(F.sum("_rt_w").alias("_rt_tot"))
