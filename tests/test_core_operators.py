@@ -182,3 +182,13 @@ def test_hot_segment_is_split_across_partitions(spark):
     assert hot.select("pid").distinct().count() >= 3
     got = [r.rt for r in hot.orderBy("id").collect()]
     assert got == list(range(1, 2001))
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"v": rng.normal(0, 1, 5000)})
+    df = spark.createDataFrame(pdf)
+    got = {r.p: r.value for r in quantiles(df, ["v"], [0.1, 0.5, 0.9], method="approx").collect()}
+    for p, v in got.items():
+        rank = (pdf.v <= v).mean()
+        assert abs(rank - p) < 0.01
