@@ -60,14 +60,25 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
 
     counts = long.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
     cum = running_total(counts, ["_v"], "_c", by + ["_col"], output="_cum", total="_n")
+    first = F.col("_cum") - F.col("_c")
+
+    def straddles(rank):
+        return (first <= rank) & (rank < F.col("_cum"))
+
+    # keep only distinct values that hold a wanted rank for some probability
+    # (≤ 2 per probability and segment) before fanning out over probabilities
+    relevant = None
+    for p in probs:
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        t = straddles(F.floor(h)) | straddles(F.ceil(h))
+        relevant = t if relevant is None else (relevant | t)
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    ranked = (cum.withColumn("_p", F.explode(arr))
+    ranked = (cum.where(relevant).withColumn("_p", F.explode(arr))
               .withColumn("_h", (F.col("_n") - 1) * F.col("_p"))
               .withColumn("_lo", F.floor("_h"))
               .withColumn("_hi", F.ceil("_h")))
-    first = F.col("_cum") - F.col("_c")
-    has_lo = (first <= F.col("_lo")) & (F.col("_lo") < F.col("_cum"))
-    has_hi = (first <= F.col("_hi")) & (F.col("_hi") < F.col("_cum"))
+    has_lo = straddles(F.col("_lo"))
+    has_hi = straddles(F.col("_hi"))
     picked = (ranked.where(has_lo | has_hi)
               .groupBy(*by, "_col", "_p")
               .agg(F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"),
