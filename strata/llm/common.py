@@ -37,8 +37,8 @@ def pin(df: DataFrame, name: str) -> DataFrame:
 def row_key(text: Column, doc_id: Column) -> list[Column]:
     """A row's identity: its doc_id (null: the least long) and a hash of its
     text, so that rows which share a doc_id but not a text stay apart."""
-    return [F.coalesce(doc_id.cast("long"), F.lit(MIN_LONG)).alias("_id"),
-            F.xxhash64(text).alias("_th")]
+    return [F.coalesce(doc_id.cast("long"), F.lit(MIN_LONG)).alias("_llm_id"),
+            F.xxhash64(text).alias("_llm_th")]
 
 
 def let(value: Column, body) -> Column:

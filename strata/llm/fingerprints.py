@@ -74,22 +74,22 @@ def with_next(docs: DataFrame, cols: list[str]) -> DataFrame:
     """
     spark = docs.sparkSession
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.select(F.percentile_approx("_id", [i / n for i in range(1, n)], 20 * n).alias("q")).first()[0] or []
+    cuts = docs.select(F.percentile_approx("_llm_id", [i / n for i in range(1, n)], 20 * n).alias("q")).first()[0] or []
     cuts = sorted(set(cuts))
     bounds = F.lit(cuts).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    d = docs.withColumn("_b", let(bounds, lambda q: F.size(F.filter(q, lambda c: c < F.col("_id")))))
-    heads = d.groupBy("_b").agg(F.max(F.struct("_id", F.bitwise_not("_th").alias("_nt"))).alias("m")) \
-        .select("_b", "m._id", F.bitwise_not(F.col("m._nt")).alias("_th")).orderBy(F.desc("_b")).collect()
-    rows = [(h["_id"], h["_th"], heads[i - 1]["_b"]) for i, h in enumerate(heads)]
-    to = spark.createDataFrame(rows, "_id long, _th long, _to int")
-    slot = F.struct(F.col("_b").alias("_b"), F.lit(0).alias("_extra"))
-    extra = F.struct(F.col("_to").alias("_b"), F.lit(1).alias("_extra"))
+    d = docs.withColumn("_llm_b", let(bounds, lambda q: F.size(F.filter(q, lambda c: c < F.col("_llm_id")))))
+    heads = d.groupBy("_llm_b").agg(F.max(F.struct("_llm_id", F.bitwise_not("_llm_th").alias("_nt"))).alias("m")) \
+        .select("_llm_b", "m._llm_id", F.bitwise_not(F.col("m._nt")).alias("_llm_th")).orderBy(F.desc("_llm_b")).collect()
+    rows = [(h["_llm_id"], h["_llm_th"], heads[i - 1]["_llm_b"]) for i, h in enumerate(heads)]
+    to = spark.createDataFrame(rows, "_llm_id long, _llm_th long, _llm_to int")
+    slot = F.struct(F.col("_llm_b").alias("_llm_b"), F.lit(0).alias("_llm_extra"))
+    extra = F.struct(F.col("_llm_to").alias("_llm_b"), F.lit(1).alias("_llm_extra"))
     names = [c for c in docs.columns]
-    d = (d.join(F.broadcast(to), ["_id", "_th"], "left")
-         .withColumn("_slot", F.explode(F.when(F.col("_to").isNull(), F.array(slot)).otherwise(F.array(slot, extra))))
-         .select(*names, "_slot.*"))
-    w = Window.partitionBy("_b").orderBy("_extra", F.desc("_id"), "_th")
-    return d.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in cols]).where("_extra = 0").drop("_b", "_extra")
+    d = (d.join(F.broadcast(to), ["_llm_id", "_llm_th"], "left")
+         .withColumn("_llm_slot", F.explode(F.when(F.col("_llm_to").isNull(), F.array(slot)).otherwise(F.array(slot, extra))))
+         .select(*names, "_llm_slot.*"))
+    w = Window.partitionBy("_llm_b").orderBy("_llm_extra", F.desc("_llm_id"), "_llm_th")
+    return d.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in cols]).where("_llm_extra = 0").drop("_llm_b", "_llm_extra")
 
 
 def fingerprint_text(anchors: Column) -> Column:

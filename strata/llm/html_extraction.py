@@ -201,11 +201,11 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     with a third of all pages is reduced in every task before it is shuffled.
     """
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "_page", "token", "times", "place", "depth", "is_text"]
+        names = ["host", "_llm_page", "token", "times", "place", "depth", "is_text"]
         types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
         for b in batches:
             out = []
-            for host, key, page in zip(*(b.column(c).to_pylist() for c in ("host", "_page", "html"))):
+            for host, key, page in zip(*(b.column(c).to_pylist() for c in ("host", "_llm_page", "html"))):
                 out += [(host, key, *t) for t in page_tokens(page)]
                 if len(out) > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
@@ -213,10 +213,10 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
             cols = list(zip(*out)) or [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    found = pages.select("host", "_page", "html").mapInArrow(
-        tokens, "host string, _page long, token long, times int, place int, depth int, is_text boolean")
+    found = pages.select("host", "_llm_page", "html").mapInArrow(
+        tokens, "host string, _llm_page long, token long, times int, place int, depth int, is_text boolean")
     vector = found.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("pages"), F.expr("bit_xor(xxhash64(_page, times))").alias("vector"),
+        F.count(F.lit(1)).alias("pages"), F.expr("bit_xor(xxhash64(_llm_page, times))").alias("vector"),
         F.min("times").alias("least"), F.max("times").alias("most"),
         F.avg("place").alias("place"), F.min("depth").alias("depth"), F.max("is_text").alias("is_text")) \
         .where(F.col("pages") >= MIN_PAGES)
@@ -230,8 +230,8 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
         F.max(F.when(~F.col("is_text"), 1).otherwise(0)).alias("framed"))
     valid = classes.where((F.col("tokens") >= MIN_TOKENS) & (F.col("framed") == 1))
     texts = F.transform(F.filter("members", lambda m: m["is_text"]), lambda m: m["token"])
-    return valid.groupBy("host").agg(F.flatten(F.collect_list(texts)).alias("template")) \
-        .where(F.size("template") > 0)
+    return valid.groupBy("host").agg(F.flatten(F.collect_list(texts)).alias("_llm_template")) \
+        .where(F.size("_llm_template") > 0)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -241,12 +241,12 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     one nameless host; repeated rows are pages each; an empty table gives an
     empty result.
     """
-    names = [c for c in pages.columns if c not in ("text", "n_chars", "template", "_host", "_page")]
-    d = pages.select(*names, host_of(F.col("url")).alias("_host"),
-                     F.xxhash64("page_id", "url", F.length("html")).alias("_page"))
-    templates = pin(deduce_templates(d.select(F.col("_host").alias("host"), "_page", "html")), "templates")
-    j = d.join(if_small(templates.withColumnRenamed("host", "_host"), 256), "_host", "left")
-    columns = [*names, "template"]
+    names = [c for c in pages.columns if c not in ("text", "n_chars", "_llm_template", "_llm_host", "_llm_page")]
+    d = pages.select(*names, host_of(F.col("url")).alias("_llm_host"),
+                     F.xxhash64("page_id", "url", F.length("html")).alias("_llm_page"))
+    templates = pin(deduce_templates(d.select(F.col("_llm_host").alias("host"), "_llm_page", "html")), "templates")
+    j = d.join(if_small(templates.withColumnRenamed("host", "_llm_host"), 256), "_llm_host", "left")
+    columns = [*names, "_llm_template"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

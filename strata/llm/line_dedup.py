@@ -44,7 +44,7 @@ def _add_run(levels: dict[int, list[DataFrame]], run: DataFrame, fanout: int) ->
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:
-    """(_id, _th, dropped: array<int>): the line positions each row loses.
+    """(_llm_id, _llm_th, _llm_dropped: array<int>): the line positions each row loses.
 
     Hashes are 128 bits wide.  A line held by a third of all documents is one
     row per map task before the owner shuffle, and the join back is an
@@ -56,7 +56,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
                  F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
         .withColumn("k", line_key(F.col("line")))
         .where(F.char_length("k") >= min_chars)
-        .select("_id", "_th", "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(11), "k").alias("h2"))
+        .select("_llm_id", "_llm_th", "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(11), "k").alias("h2"))
     )
     cuts = d.select(F.percentile_approx(
         "doc_id", [i / batches for i in range(1, batches)], 10000).alias("q")).first()[0] or []
@@ -66,11 +66,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
     for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
         batch = lines
         if lo is not None:
-            batch = batch.where(F.col("_id") > lo)
+            batch = batch.where(F.col("_llm_id") > lo)
         if hi is not None:
-            batch = batch.where(F.col("_id") <= hi)
+            batch = batch.where(F.col("_llm_id") <= hi)
         batch = pin(batch, f"batch{i}")
-        own = batch.groupBy("h1", "h2").agg(F.min("_id").alias("own"), F.max("_id").alias("last"))
+        own = batch.groupBy("h1", "h2").agg(F.min("_llm_id").alias("own"), F.max("_llm_id").alias("last"))
         seen = _runs(levels)
         if seen is None:
             own = own.withColumn("old", F.lit(False))
@@ -83,9 +83,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
         shared = own.where("old or own < last").select(
             "h1", "h2", F.when(~F.col("old"), F.col("own")).alias("own"))
         drops.append(batch.join(shared, ["h1", "h2"])
-                     .where("own is null or _id <> own").select("_id", "_th", "pos"))
+                     .where("own is null or _llm_id <> own").select("_llm_id", "_llm_th", "pos"))
     return (reduce(DataFrame.unionByName, drops)
-            .groupBy("_id", "_th").agg(F.collect_set("pos").alias("dropped")))
+            .groupBy("_llm_id", "_llm_th").agg(F.collect_set("pos").alias("_llm_dropped")))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:
@@ -97,18 +97,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     one document; an empty table gives an empty result.
     """
     drops = dropped_lines(docs, min_chars, batches, fanout)
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_id", "_th", "_k", "dropped", "_lines")]
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_llm_id", "_llm_th", "_llm_k", "_llm_dropped", "_llm_lines")]
     left = docs.select(*names, *row_key(F.col("text"), F.col("doc_id")))
-    j = left.join(drops, ["_id", "_th"], "left")
+    j = left.join(drops, ["_llm_id", "_llm_th"], "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    j = j.withColumn("_lines", lines)
-    j = j.withColumn("_k", F.when(F.col("dropped").isNotNull(), F.array_except(
-        F.sequence(F.lit(1), F.size("_lines")), F.transform("dropped", lambda p: p + 1))))
-    kept = F.when(F.col("_k").isNull(), F.col("text")).otherwise(F.array_join(
-        F.transform("_k", lambda p: F.element_at("_lines", p)), "\n"))
+    j = j.withColumn("_llm_lines", lines)
+    j = j.withColumn("_llm_k", F.when(F.col("_llm_dropped").isNotNull(), F.array_except(
+        F.sequence(F.lit(1), F.size("_llm_lines")), F.transform("_llm_dropped", lambda p: p + 1))))
+    kept = F.when(F.col("_llm_k").isNull(), F.col("text")).otherwise(F.array_join(
+        F.transform("_llm_k", lambda p: F.element_at("_llm_lines", p)), "\n"))
     return j.select(*[kept.alias("text") if c == "text" else F.col(c) for c in names],
-                    F.size("_lines").cast("long").alias("n_lines"),
-                    F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"))
+                    F.size("_llm_lines").cast("long").alias("n_lines"),
+                    F.coalesce(F.size("_llm_dropped"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,11 +220,11 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
             cols = list(zip(*rows)) or [[]] * 6
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("_id"), b.column("_th"), *(pa.array(c, t) for c, t in zip(cols, types))],
-                ["doc_id", "_id", "_th", "part", "doc_tokens", "whole", "rest", "rank", "crcs"])
+                [b.column("doc_id"), b.column("_llm_id"), b.column("_llm_th"), *(pa.array(c, t) for c, t in zip(cols, types))],
+                ["doc_id", "_llm_id", "_llm_th", "part", "doc_tokens", "whole", "rest", "rank", "crcs"])
 
     measured = pin(keyed.mapInArrow(
-        measure, f"doc_id {id_type}, _id long, _th long, part int, doc_tokens long, whole long, rest int, "
+        measure, f"doc_id {id_type}, _llm_id long, _llm_th long, part int, doc_tokens long, whole long, rest int, "
                  "rank long, crcs array<long>"), "tokens")
     # ranks count up within a task; tasks follow each other by their number
     per = measured.groupBy("part", "rest").agg(F.count(F.lit(1)).alias("n")).where("rest > 0").unionByName(
@@ -239,9 +239,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
     base = per.select("part", "rest", "before")
     j = (measured.join(base.where(F.col("rest") == window).select("part", F.col("before").alias("whole0")), "part", "left")
          .join(base, ["part", "rest"], "left")
-         .select("doc_id", "_id", "_th", "doc_tokens", (F.col("whole") + F.coalesce("whole0", F.lit(0))).alias("whole"),
+         .select("doc_id", "_llm_id", "_llm_th", "doc_tokens", (F.col("whole") + F.coalesce("whole0", F.lit(0))).alias("whole"),
                  "rest", (F.col("rank") + F.coalesce("before", F.lit(0))).alias("rank"), "crcs"))
-    names = ["doc_id", "_id", "_th", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = ["doc_id", "_llm_id", "_llm_th", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records, starts = shared.value
@@ -260,27 +260,27 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
                         rows.append((full * window + start, n, crcs[-1] if len(pieces) == 1 else None, tokens,
                                      n_whole + s, off))
             out = list(zip(*rows)) or [[]] * 6
-            keys = b.select(["doc_id", "_id", "_th"]).take(pa.array(at, pa.int64()))
+            keys = b.select(["doc_id", "_llm_id", "_llm_th"]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([*keys.columns, *(pa.array(c, pa.int64()) for c in out)], names)
 
-    pieces = j.mapInArrow(assign, f"doc_id {id_type}, _id long, _th long, start long, length long, ids_crc32 long, "
+    pieces = j.mapInArrow(assign, f"doc_id {id_type}, _llm_id long, _llm_th long, start long, length long, ids_crc32 long, "
                                   "doc_tokens long, sequence_id long, offset long")
     if n_cuts:
         pieces = pin(pieces, "pieces")
         pieces = pieces.where("ids_crc32 is not null").unionByName(
             _checksum_cuts(keyed, pieces.where("ids_crc32 is null"), n_cuts, path))
-    return pieces.drop("_id", "_th")
+    return pieces.drop("_llm_id", "_llm_th")
 
 
 def _checksum_cuts(keyed: DataFrame, cut: DataFrame, n_cuts: int, path: str) -> DataFrame:
     """Checksums of the pieces of cut documents, from their texts."""
-    texts = keyed.select("_id", "_th", "text")
-    ids = cut.select("_id", "_th").distinct()
+    texts = keyed.select("_llm_id", "_llm_th", "text")
+    ids = cut.select("_llm_id", "_llm_th").distinct()
     if n_cuts <= BROADCAST_ROWS:
-        texts = texts.join(F.broadcast(ids), ["_id", "_th"], "left_semi")
+        texts = texts.join(F.broadcast(ids), ["_llm_id", "_llm_th"], "left_semi")
     else:
-        texts = texts.join(ids, ["_id", "_th"], "left_semi")
-    j = cut.join(texts.dropDuplicates(["_id", "_th"]).withColumnRenamed("text", "_text"), ["_id", "_th"])
+        texts = texts.join(ids, ["_llm_id", "_llm_th"], "left_semi")
+    j = cut.join(texts.dropDuplicates(["_llm_id", "_llm_th"]).withColumnRenamed("text", "_text"), ["_llm_id", "_llm_th"])
     names = cut.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -65,10 +65,10 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                  F.coalesce("source", F.lit("")).alias("owner"), F.coalesce("lang", F.lit("")).alias("lang"),
                  F.concat(*[_matches(F.col("text"), k) for k in KINDS]).alias("found"))
         .where(F.size("found") > 0)
-        .dropDuplicates(["_id", "_th"])
-        .select("_id", "_th", "owner", "lang", F.inline("found"))
+        .dropDuplicates(["_llm_id", "_llm_th"])
+        .select("_llm_id", "_llm_th", "owner", "lang", F.inline("found"))
     )
-    before = Window.partitionBy("_id", "_th", "kind").orderBy("i")
+    before = Window.partitionBy("_llm_id", "_llm_th", "kind").orderBy("i")
     n = F.char_length("match")
     spans = (
         found.withColumn("end", F.sum(F.col("gap") + n).over(before))
@@ -76,7 +76,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         .withColumn("value", _value(F.col("kind"), F.col("match")))
         .where("value is not null")
         .withColumn("h", F.sha2("value", 256))
-        .select("_id", "_th", "owner", "lang", "kind", "start", "end", "value", "h")
+        .select("_llm_id", "_llm_th", "owner", "lang", "kind", "start", "end", "value", "h")
     )
     spans = pin(spans, "spans")
     owned = (
@@ -88,8 +88,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     token = len(BASE)
     # a token overlapped by a base span of its row adds nothing: intervals in
     # order of start carry the furthest base end so far and the next base start
-    up = Window.partitionBy("_id", "_th").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy("_id", "_th").orderBy("start", "kind").rowsBetween(1, Window.unboundedFollowing)
+    up = Window.partitionBy("_llm_id", "_llm_th").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("_llm_id", "_llm_th").orderBy("start", "kind").rowsBetween(1, Window.unboundedFollowing)
     base = F.col("kind") < token
     spans = spans.withColumn("_e", F.max(F.when(base, F.col("end"))).over(up)) \
                  .withColumn("_s", F.min(F.when(base, F.col("start"))).over(down))
@@ -102,7 +102,7 @@ def _masked(text: Column, n: int, mask: str) -> Column:
     pattern = BASE[KINDS[n]][0] if KINDS[n] in BASE else TOKEN
 
     def put(match):
-        hit = _value(F.lit(n), match).isNotNull() if KINDS[n] in BASE else F.array_contains("_tokens", match)
+        hit = _value(F.lit(n), match).isNotNull() if KINDS[n] in BASE else F.array_contains("_llm_tokens", match)
         return F.coalesce(F.when(hit, F.lit(mask)).otherwise(match), F.lit(""))
 
     def joined(gaps, matches):
@@ -110,7 +110,7 @@ def _masked(text: Column, n: int, mask: str) -> Column:
 
     new = let(F.split(text, pattern, -1), lambda gaps: let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda matches: joined(gaps, matches)))
-    return F.when(F.col("_tokens").isNotNull() & text.rlike(pattern), new).otherwise(text)
+    return F.when(F.col("_llm_tokens").isNotNull() & text.rlike(pattern), new).otherwise(text)
 
 
 def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
@@ -118,10 +118,10 @@ def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
     order, each on the outcome of the one before); n_chars follows if there.
     Rows without a span, and null texts, stay as they are."""
     spans = find_secrets(docs)
-    per = spans.groupBy("_id", "_th").agg(
-        F.collect_set(F.when(F.col("kind") == len(BASE), F.col("value"))).alias("_tokens"))
-    names = [c for c in docs.columns if c not in ("_id", "_th", "_tokens")]
-    j = docs.select(*names, *row_key(F.col("text"), F.col("doc_id"))).join(per, ["_id", "_th"], "left")
+    per = spans.groupBy("_llm_id", "_llm_th").agg(
+        F.collect_set(F.when(F.col("kind") == len(BASE), F.col("value"))).alias("_llm_tokens"))
+    names = [c for c in docs.columns if c not in ("_llm_id", "_llm_th", "_llm_tokens")]
+    j = docs.select(*names, *row_key(F.col("text"), F.col("doc_id"))).join(per, ["_llm_id", "_llm_th"], "left")
     for n, kind in enumerate(KINDS):
         j = j.withColumn("text", _masked(F.col("text"), n, mask))
     cols = [F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
@@ -135,17 +135,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     token = len(BASE)
     label = F.array(*[F.lit(k) for k in KINDS])
     text = F.concat_ws(":", F.get(label, F.col("kind")), F.col("start"), F.col("end"))
-    per = spans.groupBy("_id", "_th").agg(
+    per = spans.groupBy("_llm_id", "_llm_th").agg(
         *[F.count(F.when(F.col("kind") == n, 1)).alias(f"n_{k}") for n, k in enumerate(BASE)],
         F.count(F.when(F.col("kind") == token, 1)).alias("n_token"),
         F.count(F.when(F.col("live"), 1)).alias("n_live"),
         F.sort_array(F.collect_list(F.struct("start", "kind", text.alias("s")))).alias("all"))
     per = per.select(
-        "_id", "_th", *[f"n_{k}" for k in BASE], "n_token", "n_live",
+        "_llm_id", "_llm_th", *[f"n_{k}" for k in BASE], "n_token", "n_live",
         F.array_join(F.transform(F.filter("all", lambda x: x["kind"] < token), lambda x: x["s"]), ",").alias("base"),
         F.array_join(F.transform("all", lambda x: x["s"]), ",").alias("spans"))
     counts = [f"n_{k}" for k in BASE] + ["n_token", "n_live"]
-    return (d.select("doc_id", *row_key(F.col("text"), F.col("doc_id"))).join(per, ["_id", "_th"], "left")
+    return (d.select("doc_id", *row_key(F.col("text"), F.col("doc_id"))).join(per, ["_llm_id", "_llm_th"], "left")
             .select("doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
                     F.sha2(F.coalesce("base", F.lit("")).cast("binary"), 256).alias("base_sha256"),
                     F.coalesce("spans", F.lit("")).alias("spans")))

@@ -216,9 +216,9 @@ def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """(_id, _th, text): _th tells rows of one doc_id apart and is 0 where doc_ids are unique."""
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_LONG)).alias("_id"), "text")
-    twice = d.groupBy("_id").count().where("count > 1").limit(1).count()
-    return d.select("_id", (F.xxhash64("text") if twice else F.lit(0).cast("long")).alias("_th"), "text")
+    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_LONG)).alias("_llm_id"), "text")
+    twice = d.groupBy("_llm_id").count().where("count > 1").limit(1).count()
+    return d.select("_llm_id", (F.xxhash64("text") if twice else F.lit(0).cast("long")).alias("_llm_th"), "text")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -240,16 +240,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
                 out[2].append(h), out[3].append(pos << 16 | (pos - hi) << 8 | (pos - lo))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out],
-                ["_id", "_th", "gram", "at"])
+                ["_llm_id", "_llm_th", "gram", "at"])
 
-    found = keyed.mapInArrow(find, "_id long, _th long, gram long, at long")
+    found = keyed.mapInArrow(find, "_llm_id long, _llm_th long, gram long, at long")
     often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    per = (found.join(often, "gram").select("_id", "_th", F.struct("gram", "at", salts.alias("salts")).alias("a"))
-           .groupBy("_id", "_th").agg(F.collect_list("a").alias("a")))
+    per = (found.join(often, "gram").select("_llm_id", "_llm_th", F.struct("gram", "at", salts.alias("salts")).alias("a"))
+           .groupBy("_llm_id", "_llm_th").agg(F.collect_list("a").alias("a")))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "salt", "salts", "_id", "_th", "lo", "left", "context"]
+        names = ["gram", "salt", "salts", "_llm_id", "_llm_th", "lo", "left", "context"]
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for b in batches:
             out = []
@@ -268,11 +268,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
             cols = list(zip(*out)) or [[]] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)], names)
 
-    suffixes = keyed.where("text is not null").join(per, ["_id", "_th"]).mapInArrow(
-        contexts, "gram long, salt int, salts int, _id long, _th long, lo long, left int, context binary")
+    suffixes = keyed.where("text is not null").join(per, ["_llm_id", "_llm_th"]).mapInArrow(
+        contexts, "gram long, salt int, salts int, _llm_id long, _llm_th long, lo long, left int, context binary")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_id", "_th", "lo", "hi", "w"]
+        names = ["_llm_id", "_llm_th", "lo", "hi", "w"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
         def solve(rows):
@@ -302,13 +302,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
             yield solve(rows)
 
     settled = pin(
-        suffixes.repartition(shuffle_partitions(spark), "gram", "salt").sortWithinPartitions("gram", "salt", "_id", "lo")
-        .mapInArrow(settle, "_id long, _th long, lo long, hi long, w binary"), "spans")
+        suffixes.repartition(shuffle_partitions(spark), "gram", "salt").sortWithinPartitions("gram", "salt", "_llm_id", "lo")
+        .mapInArrow(settle, "_llm_id long, _llm_th long, lo long, hi long, w binary"), "spans")
     open_ = settled.where("w is not null")
     again = open_.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
-    late = open_.where("hi is not null").join(again, "w").select("_id", "_th", "lo", "hi")
-    return (settled.where("w is null").select("_id", "_th", "lo", "hi").unionByName(late)
-            .groupBy("_id", "_th").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans")))
+    late = open_.where("hi is not null").join(again, "w").select("_llm_id", "_llm_th", "lo", "hi")
+    return (settled.where("w is null").select("_llm_id", "_llm_th", "lo", "hi").unionByName(late)
+            .groupBy("_llm_id", "_llm_th").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans")))
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -320,12 +320,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataF
     """
     names = _keyed(docs)
     spans = pin(repeated_spans(docs, window, k), "merged")
-    j = names.join(if_small(spans, 96), ["_id", "_th"], "left")
+    j = names.join(if_small(spans, 96), ["_llm_id", "_llm_th"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for i, text, spans in zip(b.column("_id").to_pylist(), b.column("text").to_pylist(),
+            for i, text, spans in zip(b.column("_llm_id").to_pylist(), b.column("text").to_pylist(),
                                       b.column("spans").to_pylist()):
                 raw = (text or "").encode()
                 kept, at, runs = [], 0, []
@@ -345,7 +345,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return j.select("_id", "text", "spans").mapInArrow(
+    return j.select("_llm_id", "text", "spans").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -47,7 +47,7 @@ def test_line_dedup_batches_and_compaction_do_not_change_the_result(spark, texts
 
 def test_line_dedup_odd_rows(spark, odd, odd_rows, nothing):
     out = dedup_lines(odd)
-    assert set(odd.columns) - {"_id", "dropped"} <= set(out.columns)
+    assert set(odd.columns) - {"_llm_id", "dropped"} <= set(out.columns)
     got = sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in out.collect()), key=str)
     assert got == sorted(brute_lines([(r[0], r[1]) for r in odd_rows]), key=str)
     assert dedup_lines(nothing).count() == 0
@@ -69,8 +69,10 @@ def digest(spans):
     return hashlib.sha256(",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest()
 
 
-def test_secret_scan_base_spans(spark, sf, texts):
-    got = {r["doc_id"]: r for r in op7_secret_scan(spark, sf).collect()}
+def test_secret_scan_base_spans(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall())
+    got = {r["doc_id"]: r for r in op7_secret_scan(spark, folder).collect()}
     assert set(got) == set(texts)
     assert sum(len(brute_spans(t)) for t in texts.values()) > 0
     for d, t in texts.items():
@@ -88,8 +90,8 @@ def test_secret_ownership_separates_examples_from_live_values(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     spans = [r.asDict() for r in find_secrets(d).collect()]
     for i, t, *_ in rows:
-        assert sorted((s["start"], s["kind"], s["end"]) for s in spans if s["_id"] == i and s["kind"] < 3) == brute_spans(t)
-    assert [(s["_id"], s["value"]) for s in spans if s["kind"] == 3] == [(2, live)]  # doc 6: a base span covers it
+        assert sorted((s["start"], s["kind"], s["end"]) for s in spans if s["_llm_id"] == i and s["kind"] < 3) == brute_spans(t)
+    assert [(s["_llm_id"], s["value"]) for s in spans if s["kind"] == 3] == [(2, live)]  # doc 6: a base span covers it
     out = {r["doc_id"]: r["text"] for r in redact(d).collect()}
     assert out[2] == "x [REDACTED] y" and out[3] == rows[2][1] and out[5] is None
     assert "AKIA" not in out[1] and out[1].startswith("secret: token: abcdefgh é")
@@ -131,7 +133,7 @@ def test_syncmer_choice(spark):
 
 def test_fingerprint_odd_rows(spark, odd, nothing):
     d = odd.select("doc_id", "text", *row_key(F.col("text"), F.col("doc_id")), closed_syncmers(F.col("text")).alias("a"))
-    j = with_next(d.select("doc_id", "text", "_id", "_th", F.transform("a", lambda x: x["h"]).alias("fp")), ["text", "fp"])
+    j = with_next(d.select("doc_id", "text", "_llm_id", "_llm_th", F.transform("a", lambda x: x["h"]).alias("fp")), ["text", "fp"])
     assert j.count() == odd.count()
     assert j.where("next_fp is null").count() == 0
     e = nothing.select("doc_id", "text", *row_key(F.col("text"), F.col("doc_id")))
