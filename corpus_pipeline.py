@@ -21,17 +21,33 @@ from strata.llm.secrets import redact
 from strata.llm.toxicity import score_toxicity
 
 
+def _bare(docs: DataFrame) -> DataFrame:
+    """doc_id, text and, under one name, whatever other columns there are: no
+    column of the documents can clash with one of an operator's."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_llm_none"), *rest).alias("_llm_rest"))
+
+
+def _whole(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again; n_chars is the length of the text."""
+    length = F.char_length("text")
+    return out.select(*[
+        F.col(c) if c in ("doc_id", "text") else
+        F.when(F.col("text").isNotNull(), length).otherwise(F.col(f"_llm_rest.{c}")).cast(docs.schema[c].dataType).alias(c)
+        if c == "n_chars" else F.col(f"_llm_rest.{c}").alias(c) for c in docs.columns])
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below one half stay, null texts included."""
-    names = docs.columns
-    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("toxicity < 0.5").select(*names)
+    scored = score_toxicity(_bare(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("toxicity < 0.5").select(
+        *[c if c in ("doc_id", "text") else F.col(f"_llm_rest.{c}").alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in the smallest doc_id only; n_chars follows.  A
     document stays, also when it has lost every line."""
-    return _with_length(dedup_lines(docs).select(*docs.columns), docs)
+    return _whole(dedup_lines(_bare(docs)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +61,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; every document stays."""
-    return redact(docs)
+    names = [c for c in ("source", "lang") if c in docs.columns]
+    return _whole(redact(_bare(docs).select("*", *[F.col(f"_llm_rest.{c}").alias(c) for c in names])), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,12 +70,6 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs.select("doc_id", "text"))
 
 
-def _with_length(out: DataFrame, docs: DataFrame) -> DataFrame:
-    if "n_chars" not in docs.columns:
-        return out
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-
-
 STAGES = [
     ("toxicity", toxicity_filter),
     ("line_dedup", line_dedup),
