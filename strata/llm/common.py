@@ -79,7 +79,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 #: A table of at most so many rows and bytes may be broadcast; larger ones are joined by shuffle.
-SMALL_ROWS, SMALL_BYTES = 1_000_000, 32 << 20
+SMALL_ROWS, SMALL_BYTES = 50_000, 8 << 20
 
 
 def if_small(df: DataFrame, row_bytes: int) -> DataFrame:

@@ -10,7 +10,8 @@ Every byte covered by a WINDOW-byte string that also starts elsewhere goes.
 3. Suffixes of one gram meet in a task.  They are merge-sorted to the right
    and to the left of the anchor; a comparison finds the common extension by
    binary search over polynomial prefix hashes, and the common lengths of
-   neighbours are verified against the bytes.  Two strings at the same offset
+   neighbours are verified against the bytes.  Equal contexts are settled
+   beforehand and sorted once.  Two strings at the same offset
    are equal when both common lengths reach their ends, so neighbours in the
    two orders give classes of equal strings.
 4. A gram with more than SALT_ROWS suffixes is split over tasks by salt.
@@ -25,12 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import MIN_LONG, documents, if_small, pin, shuffle_partitions
 
-WINDOW, K = 200, 48
+WINDOW, K = 200, 32
 SALT_ROWS = 2000
 BATCH_ROWS = 8192
 _POS = 24  # bits of a position beside a truncated hash; longer texts are read in overlapping parts
@@ -214,6 +216,53 @@ def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     return list(zip(lo.tolist(), hi.tolist()))
 
 
+def _settled(rows: list[tuple], window: int) -> list[tuple]:
+    """Result rows (_id, _th, lo, hi, w) of whole (gram, salt) groups of
+    (gram, salt, salts, _id, _th, lo, left, context)."""
+    classes: dict[tuple, int] = {}
+    kind = [classes.setdefault((r[0], r[1], r[6], r[7]), len(classes)) for r in rows]
+    times = np.bincount(kind)
+    keys = list(classes)
+    pairs = [k[:2] for k in keys]
+    group = np.cumsum([0] + [a != b for a, b in zip(pairs, pairs[1:])])
+    mixed = np.flatnonzero(np.bincount(group)[group] > 1)  # groups of several distinct contexts
+    repeat: list[np.ndarray] = [np.zeros(len(k[3]) - window + 1, bool) for k in keys]
+    stands: list[np.ndarray] = [np.ones(len(k[3]) - window + 1, bool) for k in keys]
+    if len(mixed):
+        found, first, span = repeated_windows([keys[i][3] for i in mixed], np.array([keys[i][2] for i in mixed]),
+                                              group[mixed], window)
+        for i, f, s, n in zip(mixed.tolist(), found, first, span.tolist()):
+            repeat[i], stands[i] = f[:n + 1], s[:n + 1]
+    out, shown = [], set()
+    for r, k in zip(rows, kind):
+        n = len(r[7]) - window
+        rep = repeat[k]
+        if times[k] > 1:
+            out.append((r[3], r[4], r[5], r[5] + n + window, None))
+        elif rep.any():
+            out += [(r[3], r[4], r[5] + lo, r[5] + hi, None) for lo, hi in _runs(np.flatnonzero(rep), window)]
+        if r[2] > 1:  # a salted gram: what this salt could not settle meets the other salts
+            settled = rep | (times[k] > 1)
+            show = stands[k] if k not in shown else np.zeros_like(settled)
+            shown.add(k)
+            for s in np.flatnonzero(~settled | show).tolist():
+                out.append((r[3], r[4], r[5] + s, None if settled[s] else r[5] + s + window,
+                            xxhash.xxh3_128_digest(r[7][s:s + window])))
+    return out
+
+
+def _squeezed(keyed: DataFrame) -> DataFrame:
+    """(_id, _th, raw): the texts' bytes under zstd, for the way through a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            raw = [squeeze((t or "").encode()) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(raw, pa.binary())],
+                                             ["_llm_id", "_llm_th", "raw"])
+
+    return keyed.mapInArrow(run, "_llm_id long, _llm_th long, raw binary")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """(_id, _th, text): _th tells rows of one doc_id apart and is 0 where doc_ids are unique."""
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_LONG)).alias("_llm_id"), "text")
@@ -242,7 +291,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
                 [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out],
                 ["_llm_id", "_llm_th", "gram", "at"])
 
-    found = keyed.mapInArrow(find, "_llm_id long, _llm_th long, gram long, at long")
+    # one exchange serves the counts and the join
+    found = keyed.mapInArrow(find, "_llm_id long, _llm_th long, gram long, at long").repartition(
+        shuffle_partitions(spark), "gram")
     often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
     per = (found.join(often, "gram").select("_llm_id", "_llm_th", F.struct("gram", "at", salts.alias("salts")).alias("a"))
@@ -251,13 +302,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["gram", "salt", "salts", "_llm_id", "_llm_th", "lo", "left", "context"]
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = []
             for i, t, text, found in zip(*(b.column(c).to_pylist() for c in range(4))):
-                raw = text.encode()
-                for a in {(x["gram"], x["at"], x["salts"]) for x in found} if t == 0 else \
-                        [(x["gram"], x["at"], x["salts"]) for x in found]:
-                    gram, at, salts = a
+                raw = unpack(text)
+                for a in found:
+                    gram, at, salts = a["gram"], a["at"], a["salts"]
                     pos = at >> 16
                     hi, lo = pos - (at >> 8 & 255), pos - (at & 255)
                     salt = (i * 31 + lo * 7 + t) % salts if salts > 1 else 0
@@ -268,7 +319,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
             cols = list(zip(*out)) or [[]] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)], names)
 
-    suffixes = keyed.where("text is not null").join(per, ["_llm_id", "_llm_th"]).mapInArrow(
+    suffixes = _squeezed(keyed.where("text is not null")).join(per, ["_llm_id", "_llm_th"]).mapInArrow(
         contexts, "gram long, salt int, salts int, _llm_id long, _llm_th long, lo long, left int, context binary")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,18 +327,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
         def solve(rows):
-            keys = [r[:2] for r in rows]
-            group = np.cumsum([0] + [a != b for a, b in zip(keys, keys[1:])])
-            context = [r[7] for r in rows]
-            repeat, stands, span = repeated_windows(context, np.array([r[6] for r in rows]), group, window)
-            out = []
-            for r, rep, st, sp in zip(rows, repeat, stands, span):
-                out += [(r[3], r[4], r[5] + lo, r[5] + hi, None) for lo, hi in _runs(np.flatnonzero(rep), window)]
-                if r[2] > 1:  # a salted gram: what this salt could not settle meets the other salts
-                    for s in np.flatnonzero(~rep[:sp + 1] | st[:sp + 1]).tolist():
-                        out.append((r[3], r[4], r[5] + s, None if rep[s] else r[5] + s + window,
-                                    xxhash.xxh3_128_digest(r[7][s:s + window])))
-            cols = list(zip(*out)) or [[]] * 5
+            cols = list(zip(*_settled(rows, window))) or [[]] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)], names)
 
         rows, last = [], None
@@ -318,16 +358,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataF
     shorter than the window lose nothing, a repeated row loses all that its
     copy covers, and rows with a null doc_id take part like any other.
     """
-    names = _keyed(docs)
     spans = pin(repeated_spans(docs, window, k), "merged")
-    j = names.join(if_small(spans, 96), ["_llm_id", "_llm_th"], "left")
+    j = _squeezed(_keyed(docs)).join(if_small(spans, 96), ["_llm_id", "_llm_th"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = []
-            for i, text, spans in zip(b.column("_llm_id").to_pylist(), b.column("text").to_pylist(),
-                                      b.column("spans").to_pylist()):
-                raw = (text or "").encode()
+            for i, raw, spans in zip(*(b.column(c).to_pylist() for c in range(3))):
+                raw = unpack(raw)
                 kept, at, runs = [], 0, []
                 for s in spans or ():
                     if runs and s["lo"] <= runs[-1][1]:
@@ -345,7 +384,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return j.select("_llm_id", "text", "spans").mapInArrow(
+    return j.select("_llm_id", "raw", "spans").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
