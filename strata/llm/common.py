@@ -97,5 +97,10 @@ def _parse(kind: str):
     return {"string": StringType(), "long": LongType(), "double": DoubleType()}[kind]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker is handed at once by bytes: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import if_small, pin, with_fields
+from .common import if_small, pin, small_batches, with_fields
 
 #: Least pages behind a class, least share of the host's pages, least tokens in a class.
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 3, 0.5, 2
@@ -241,6 +241,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     one nameless host; repeated rows are pages each; an empty table gives an
     empty result.
     """
+    small_batches(pages.sparkSession)
     names = [c for c in pages.columns if c not in ("text", "n_chars", "_llm_template", "_llm_host", "_llm_page")]
     d = pages.select(*names, host_of(F.col("url")).alias("_llm_host"),
                      F.xxhash64("page_id", "url", F.length("html")).alias("_llm_page"))

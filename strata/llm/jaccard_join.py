@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, documents, if_small, pin, shuffle_partitions
+from .common import connected_components, documents, pin, shuffle_partitions, small_batches
 
 #: Extra shared tokens asked of the hash-order prefix, as a share of the set (per cent).
 EXTRA = 5
@@ -189,13 +189,12 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
     nothing; rows with a null doc_id have no component; rows repeated under
     one doc_id are one document; ties need no order.
     """
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     rows = pin(_profile(docs, n, num, den), "sets")
     sets = rows.where("n_shingles > 0 and doc_id is not null")
     reps = sets.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     copies = pin(sets.select("doc_id", "sig").join(reps.where("n > 1"), "sig").where("doc_id <> rep")
                  .select("doc_id", "sig", "rep").distinct(), "copies")
-    copies = if_small(copies, 48)
     alone = sets.join(copies.select("doc_id", "sig"), ["doc_id", "sig"], "left_anti")
     cand = pin(_candidate_rows(alone, num, den), "candidates")
     pivots = cand.groupBy("token").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top")
@@ -243,7 +242,7 @@ def _block_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, n: int, n
     keys = pin(j.withColumn("salt", salt).select(
         "doc_id", "n_shingles", "grp", F.when(F.col("grp_parts") <= 1, one).otherwise(F.concat(same, up, down)).alias("keys")),
         "blocks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(if_small(keys, 64), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(keys, "doc_id")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

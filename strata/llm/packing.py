@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, pin, row_key
+from .common import documents, pin, row_key, small_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -200,6 +200,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
     document of its own, also under a repeated or null doc_id.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     path = tokenizer or default_tokenizer()
     keyed = docs.select("doc_id", "text", *row_key(F.col("text"), F.col("doc_id")))
     id_type = docs.schema["doc_id"].dataType.simpleString()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, small_batches
 
 MARK = "▁"
 #: How far an uncovered character's score lies below the least piece score.
@@ -312,6 +312,7 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     Null and empty texts have no ids and decode to nothing; a literal marker
     character is written as bytes, so decoding gives every text back.
     """
+    small_batches(docs.sparkSession)
     path = model or default_model()
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
@@ -336,6 +337,7 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
 def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: pieces, byte pieces, crc32 of the ids (little-endian
     32-bit) and of their order, and whether decoding gives the text back."""
+    small_batches(spark)
     path = default_model()
     docs = documents(spark, sf_dir).select("doc_id", "text")
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MIN_LONG, documents, if_small, pin, shuffle_partitions
+from .common import MIN_LONG, documents, pin, shuffle_partitions, small_batches
 
 WINDOW, K = 200, 32
 SALT_ROWS = 2000
@@ -358,8 +358,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataF
     shorter than the window lose nothing, a repeated row loses all that its
     copy covers, and rows with a null doc_id take part like any other.
     """
+    small_batches(docs.sparkSession)
     spans = pin(repeated_spans(docs, window, k), "merged")
-    j = _squeezed(_keyed(docs)).join(if_small(spans, 96), ["_llm_id", "_llm_th"], "left")
+    j = _squeezed(_keyed(docs)).join(spans, ["_llm_id", "_llm_th"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

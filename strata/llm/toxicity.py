@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, with_fields
+from .common import documents, small_batches, with_fields
 
 BITS = 40
 #: Bounds of the training sample, rows of label 1 and of label 0, picked by hash order.
@@ -122,6 +122,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with toxicity (0 to 1); null and blank texts get the bias alone."""
+    small_batches(docs.sparkSession)
     keys, w, bias = fit_toxicity(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast((keys, w, bias))
     names = [c for c in docs.columns if c != "toxicity"]
