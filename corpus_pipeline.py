@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import if_small, pin, shared_dir
+from strata.llm.common import pin, shared_dir
 from strata.llm.jaccard_join import link_documents
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.packing import pack
@@ -56,7 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     or without a doc_id are linked with nothing and stay."""
     groups = link_documents(docs.select("doc_id", "text"), n=5, num=80, den=100)
     gone = pin(groups.where("doc_id <> component_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(if_small(gone, 16), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
