@@ -193,9 +193,10 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
     rows = pin(_profile(docs, n, num, den), "sets")
     sets = rows.where("n_shingles > 0 and doc_id is not null")
     reps = sets.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # joins with texts and sets are merge joins at every size: what is small here grows
     copies = pin(sets.select("doc_id", "sig").join(reps.where("n > 1"), "sig").where("doc_id <> rep")
                  .select("doc_id", "sig", "rep").distinct(), "copies")
-    alone = sets.join(copies.select("doc_id", "sig"), ["doc_id", "sig"], "left_anti")
+    alone = sets.join(copies.select("doc_id", "sig").hint("merge"), ["doc_id", "sig"], "left_anti")
     cand = pin(_candidate_rows(alone, num, den), "candidates")
     pivots = cand.groupBy("token").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top")
     groups = connected_components(cand.join(pivots, "token").select(F.col("doc_id").alias("a"), "b"))
@@ -242,7 +243,7 @@ def _block_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, n: int, n
     keys = pin(j.withColumn("salt", salt).select(
         "doc_id", "n_shingles", "grp", F.when(F.col("grp_parts") <= 1, one).otherwise(F.concat(same, up, down)).alias("keys")),
         "blocks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(keys, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(keys.hint("merge"), "doc_id")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
