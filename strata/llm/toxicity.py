@@ -53,8 +53,8 @@ def features(text: str | None) -> np.ndarray:
     return np.unique((np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64))
 
 
-def train(rows: list[tuple[np.ndarray, int]], alpha: float = 0.2, beta: float = 1.0, l1: float = 1.0,
-          l2: float = 0.5, epochs: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
+def train(rows: list[tuple[np.ndarray, int]], alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
+          l2: float = 0.5, epochs: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
     """(sorted feature hashes, weights, bias).  Without rows of both classes
     there is no feature and the bias is far below or above zero."""
     labels = {y for _, y in rows}
