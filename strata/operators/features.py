@@ -15,7 +15,15 @@ from strata.operators.clean import impute_median
 GPA_COLUMNS = ["gpa_1", "gpa_2", "gpa_3", "gpa_4", "gpa_5", "gpa_6"]
 
 
-def add_ml_features(gold: DataFrame, bmi_method: str = "exact") -> DataFrame:
+def fill_bmi(df: DataFrame, method: str = "exact") -> DataFrame:
+    """Add bmi, its gaps filled with the median: the one feature that needs a
+    statistics job, kept apart from the row-wise ones."""
+    if "weightkg" not in df.columns or "heightcm" not in df.columns:
+        return df
+    return impute_median(df.withColumn("bmi", X.bmi_raw()), ["bmi"], method=method)
+
+
+def add_ml_features(gold: DataFrame) -> DataFrame:
     """Career path, scores, GPA statistics, wellbeing and support signals, BMI."""
     df = gold
     has = lambda *c: X.has(df, *c)
@@ -47,8 +55,6 @@ def add_ml_features(gold: DataFrame, bmi_method: str = "exact") -> DataFrame:
     df = df.withColumn("wellbeing_balance", X.wellbeing_balance())
     df = df.withColumn("employability_signal", X.employability_signal(df).cast("double"))
     df = df.withColumn("student_support_need", X.student_support_need(df).cast("double"))
-    if has("weightkg", "heightcm"):
-        df = impute_median(df.withColumn("bmi", X.bmi_raw()), ["bmi"], method=bmi_method)
     return df
 
 

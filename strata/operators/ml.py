@@ -12,7 +12,7 @@ from fractions import Fraction
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -24,17 +24,40 @@ from strata.functions import expressions as X
 from strata.operators.prefix import with_row_number
 
 
+#: Spark's limit on the depth of a tree.
+MAX_DEPTH = 30
+
+
 # ------------------------------------------------------------- preprocessing
 
+def category_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """Most frequent value per column, ties to the smallest (one row each)."""
+    out = {}
+    for c in columns:
+        top = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
+               .orderBy(F.desc("count"), "v").first())
+        if top is not None:
+            out[c] = top["v"]
+    return out
+
+
+def _fill_modes(modes: Mapping[str, str]) -> SQLTransformer:
+    def lit(v):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cols = ", ".join(f"coalesce(CAST(`{c}` AS STRING), {lit(v)}) AS `{c}__cat`" for c, v in modes.items())
+    return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
+
+
 def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str],
-                       output: str = "features") -> list:
-    """Median impute + standardise numerics; index (unknown → extra slot that
-    one-hot drops, i.e. all zeros) + one-hot categoricals; assemble."""
+                       output: str = "features", modes: Mapping[str, str] | None = None) -> list:
+    """Exact median impute + standardise numerics (with the sample standard
+    deviation); fill NULL categories with ``modes``; index (unknown → extra
+    slot that one-hot drops, i.e. all zeros) + one-hot; assemble."""
     stages = []
     num_out = []
     if numeric:
         imp = [f"{c}__imp" for c in numeric]
-        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imp))
+        stages.append(Imputer(strategy="median", relativeError=0.0, inputCols=list(numeric), outputCols=imp))
         stages.append(VectorAssembler(inputCols=imp, outputCol="_num_vec", handleInvalid="keep"))
         stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
         num_out = ["_num_scaled"]
@@ -42,7 +65,11 @@ def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str],
     if categorical:
         idx = [f"{c}__idx" for c in categorical]
         oh = [f"{c}__oh" for c in categorical]
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
+        modes = {c: v for c, v in (modes or {}).items() if c in categorical}
+        if modes:
+            stages.append(_fill_modes(modes))
+        filled = [f"{c}__cat" if c in modes else c for c in categorical]
+        stages.append(StringIndexer(inputCols=filled, outputCols=idx, handleInvalid="keep",
                                     stringOrderType="frequencyDesc"))
         # "keep" on the indexer only: unknowns take the last index, which dropLast
         # removes, so an unseen category encodes as all zeros
@@ -66,14 +93,8 @@ def prepare_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 # -------------------------------------------------------------------- splits
 
-def _ceil_frac(n: Column, frac: float) -> Column:
-    fr = Fraction(frac).limit_denominator(10000)
-    return ((n * fr.numerator + (fr.denominator - 1)) / fr.denominator).cast("long") if fr.denominator != 1 \
-        else n * fr.numerator
-
-
 def _ceil_div(n: Column, frac: float) -> Column:
-    fr = Fraction(frac).limit_denominator(10000)
+    fr = Fraction(str(frac))  # the decimal text, exactly
     return F.floor((n * F.lit(fr.numerator) + F.lit(fr.denominator - 1)) / F.lit(fr.denominator)).cast("long")
 
 
@@ -86,7 +107,8 @@ def stratified_split(df: DataFrame, id_col: str, label: str | None = None, test:
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
     ranked = with_row_number(df.withColumn("_sp_h", h), ["_sp_h", id_col], "_sp_r", partition_by=by)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_sp_n"))
-    j = ranked.join(sizes, by, "inner") if by else ranked.withColumn("_sp_n", sizes.select("_sp_n").scalar())
+    j = (ranked.join(sizes.withColumnRenamed(label, "_sp_c"), F.col(label).eqNullSafe(F.col("_sp_c"))).drop("_sp_c")
+         if by else ranked.withColumn("_sp_n", sizes.select("_sp_n").scalar()))
     n_test = _ceil_div(F.col("_sp_n"), test)
     n_val = _ceil_div(F.col("_sp_n") - n_test, validation) if validation else F.lit(0)
     split = (F.when(F.col("_sp_r") <= n_test, "test")
@@ -116,28 +138,30 @@ def class_distribution(df: DataFrame, label: str, split: str | None = None) -> D
 # ----------------------------------------------------------------- training
 
 def fit_candidates(train: DataFrame, features: Sequence[str], label: str, weight: str = "weight",
-                   num_trees: int = 500, seed: int = 42) -> dict[str, PipelineModel]:
-    """Logistic regression and random forest, both class-weighted."""
+                   num_trees: int = 500, seed: int = 42, max_depth: int = MAX_DEPTH,
+                   max_iter: int = 3000) -> dict[str, PipelineModel]:
+    """Logistic regression and random forest, both class-weighted; trees grow
+    to Spark's depth limit unless ``max_depth`` says otherwise."""
     num, cat = split_feature_types(train, features)
     train = prepare_numeric(train, num)
-    pre = build_preprocessor(num, cat)
+    pre = build_preprocessor(num, cat, modes=category_modes(train, cat))
     total_w = train.agg(F.sum(weight)).first()[0] or 1.0
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=3000,
+    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=max_iter,
                             regParam=1.0 / float(total_w), elasticNetParam=0.0, standardization=False)
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=weight, numTrees=num_trees,
                                 minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
-                                maxDepth=12)
+                                maxDepth=max_depth)
     return {"logistic_regression": Pipeline(stages=pre + [lr]).fit(train),
             "random_forest": Pipeline(stages=pre + [rf]).fit(train)}
 
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 160,
-                  seed: int = 42) -> PipelineModel:
+                  seed: int = 42, max_depth: int = MAX_DEPTH) -> PipelineModel:
     num, cat = split_feature_types(train, features)
     train = prepare_numeric(train, num).withColumn(label, F.col(label).cast("double"))
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                               minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=12)
-    return Pipeline(stages=build_preprocessor(num, cat) + [rf]).fit(train)
+                               minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=max_depth)
+    return Pipeline(stages=build_preprocessor(num, cat, modes=category_modes(train, cat)) + [rf]).fit(train)
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, output: str = "probability_1",
@@ -287,11 +311,14 @@ def metadata_tables(model: PipelineModel, required: Sequence[str], numeric: Sequ
 def multiclass_score(scored: DataFrame, id_cols: Sequence[str], class_names: DataFrame) -> DataFrame:
     """Per row and class: probability %, rank and display name (from a
     (class_id, class_name) table), plus the top class's confidence."""
-    probs = scored.select(*id_cols, F.posexplode(vector_to_array("probability")).alias("class_id", "p"))
-    named = probs.join(F.broadcast(class_names), "class_id", "left")
-    from pyspark.sql import Window
-    w = Window.partitionBy(*id_cols).orderBy(F.col("p").desc(), "class_id")
-    return named.withColumn("rank", F.row_number().over(w)).withColumn("confidence_pct", F.round(F.col("p") * 100, 2))
+    # ranked inside the row: sorted by falling probability, then by class
+    by_class = F.transform(vector_to_array("probability"), lambda p, i: F.struct((-p).alias("n"), i.alias("class_id")))
+    probs = scored.select(*id_cols, F.posexplode(F.sort_array(by_class)).alias("_pos", "_c")) \
+        .select(*id_cols, F.col("_c.class_id").alias("class_id"), (-F.col("_c.n")).alias("p"),
+                (F.col("_pos") + 1).alias("rank"))
+    named = probs.join(class_names, "class_id", "left")
+    return named.select("class_id", *id_cols, "p", *[c for c in class_names.columns if c != "class_id"], "rank",
+                        F.round(F.col("p") * 100, 2).alias("confidence_pct"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -214,10 +214,11 @@ QCUT_LABELS = ["Low", "Mid-Low", "Mid", "Mid-High", "High"]
 
 def quantile_segment_profile(df: DataFrame, column: str, columns: Sequence[str] | None = None,
                              q: int = 4, method: str = "exact") -> DataFrame:
-    """qcut ``column`` into ≤ q bands (duplicate edges dropped; right-closed,
-    lowest edge included) and average ``columns`` per band, empty bands kept.
+    """qcut ``column`` into ≤ min(q, distinct values) bands (duplicate edges
+    dropped; right-closed, lowest edge included) and average ``columns`` per band, empty bands kept.
     Fewer than two bands → empty result."""
     cols = _num(df, columns)
+    q = max(1, min(q, df.where(F.col(column).isNotNull()).select(column).distinct().limit(q).count()))
     probs = [i / q for i in range(q + 1)]
     edges_long = quantiles(df, [column], probs, method=method)
     # at most q + 1 edge values: collected once, used as literals
@@ -232,7 +233,8 @@ def quantile_segment_profile(df: DataFrame, column: str, columns: Sequence[str]
     band = F.when(v.isNotNull() & (v >= F.lit(float(edges[0]))) & (v <= F.lit(float(edges[-1]))), band)
     rows = df.withColumn("_band", band).where(F.col("_band").isNotNull()) \
         .groupBy("_band").agg(*[F.avg(c).alias(c) for c in cols])
-    labels = F.array(*[F.lit(x) for x in QCUT_LABELS])
+    labels = F.array(*[F.lit(x) for x in (QCUT_LABELS if len(edges) - 1 <= len(QCUT_LABELS)
+                                           else [f"Q{i}" for i in range(1, len(edges))])])
     dim = df.sparkSession.range(1, len(edges)).select(F.col("id").cast("int").alias("_band"))
     return (dim.join(rows, "_band", "left")
             .select(F.col("_band").alias("band_rank"), F.element_at(labels, F.col("_band")).alias("segment"), *cols)

@@ -58,6 +58,10 @@ def feat(spark, d):
     return features.add_ml_features(stu(spark, d))
 
 
+def feat_bmi(spark, d):
+    return features.fill_bmi(feat(spark, d))
+
+
 EV = S.cte(ev=S.EV_SQL)
 STU = S.cte(stu=S.STU_SQL)
 FEAT = S.features_oracle_cte()
@@ -309,7 +313,7 @@ def _(spark, d):
 def _feat_q(name, cols_sql, cols_spark, rcols):
     @q(name, FEAT + f"SELECT student_id, {cols_sql} FROM feat", rcols)
     def _(spark, d):
-        return feat(spark, d).select("student_id", *cols_spark)
+        return (feat_bmi if "bmi" in cols_spark else feat)(spark, d).select("student_id", *cols_spark)
 
 
 _feat_q("career_path", "career_path", ["career_path"], [])
@@ -567,7 +571,7 @@ def _(spark, d):
    ["cgpa", "academic_score", "technical_score", "engagement_score", "bmi", "student_support_need",
     "employability_signal"])
 def _(spark, d):
-    return schema.student_overview(feat(spark, d))
+    return schema.student_overview(feat_bmi(spark, d))
 
 
 @q("metric_row", "SELECT count(*) AS records, avg(effective_cgpa) AS avg_cgpa, avg(study_hours_per_day) AS avg_study_hours, "
@@ -1086,11 +1090,11 @@ def _emb_frame(spark, d):
     return e.select("vec_id", "label", *[v.alias(k) for k, v in feats.items()])
 
 
-def _doc_frame(spark, d):
+def _doc_frame(spark, d, how="inner"):
     docs = S.table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars",
                                                  F.size(F.split("text", r"\s+")).alias("n_words"))
     lab = S.table(spark, d, "labels")
-    return docs.join(lab, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double")) \
+    return docs.join(lab, "doc_id", how).withColumn("n_chars", F.col("n_chars").cast("double")) \
                .withColumn("n_words", F.col("n_words").cast("double"))
 
 
@@ -1128,14 +1132,15 @@ def _(spark, d):
 @q("score_table")
 def _(spark, d):
     df = ml.class_weights(_doc_frame(spark, d), "quality")
-    model = ml.fit_candidates(df, DOC_FEATURES, "quality", num_trees=50)["random_forest"]
+    model = ml.fit_candidates(df, DOC_FEATURES, "quality")["random_forest"]
+    df = _doc_frame(spark, d, "left")  # fitted on labelled rows, scores every row
     return ml.score_table(model, df, 0.58, ["doc_id"], "quality", ["n_chars", "n_words"])
 
 
 @q("feature_importance")
 def _(spark, d):
     df = ml.class_weights(_doc_frame(spark, d), "quality")
-    model = ml.fit_candidates(df, DOC_FEATURES, "quality", num_trees=50)["random_forest"]
+    model = ml.fit_candidates(df, DOC_FEATURES, "quality")["random_forest"]
     return ml.feature_importance(model, ml.prepare_numeric(df, ["n_chars", "n_words"]), 15)
 
 
@@ -1147,14 +1152,18 @@ def _(spark, d):
     e = _emb_frame(spark, d)
     feats = [f"e{i}" for i in range(8)]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
-                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)])
+                            LogisticRegression(featuresCol="features", labelCol="label", maxIter=3000)])
     scored = pipe.fit(e).transform(e)
     names = e.select(F.col("label").alias("class_id")).distinct() \
              .withColumn("class_name", F.concat(F.lit("class_"), F.col("class_id").cast("string")))
     return ml.multiclass_score(scored, ["vec_id"], names)
 
 
-@q("batch_score")
+_FITTED = """WITH f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM events)
+SELECT event_id, CASE WHEN {ok} THEN round(i + s * user_id, 4) END AS prediction FROM events, f"""
+
+
+@q("batch_score", _FITTED.format(ok="user_id IS NOT NULL AND value IS NOT NULL"), ["prediction"])
 def _(spark, d):
     """Validated batch scoring: valid rows scored, invalid rows (NULL value) rejected."""
     from pyspark.ml import Pipeline
@@ -1181,7 +1190,7 @@ def _(spark, d):
     return stale_check(spark, f"{d}/events.parquet", f"{d}/_no_run_log_", fmt="parquet")
 
 
-@q("stream_score")
+@q("stream_score", _FITTED.format(ok="user_id IS NOT NULL"), ["prediction"])
 def _(spark, d):
     """Events replayed as a file stream (availableNow) and scored per batch."""
     import uuid
@@ -1194,13 +1203,15 @@ def _(spark, d):
     from pyspark.ml.regression import LinearRegression
     model = Pipeline(stages=[VectorAssembler(inputCols=["user_id"], outputCol="features"),
                              LinearRegression(featuresCol="features", labelCol="value")]).fit(e)
-    scored, _bad = stream_score(stream, model, ["user_id"], ["user_id"])
-    name = "stream_score_" + uuid.uuid4().hex[:8]
-    base = ensure_checkpoint_dir(spark)
-    qy = (scored.select("event_id", "prediction").writeStream.format("memory").queryName(name)
-          .option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start())
-    qy.awaitTermination()
-    return spark.table(name)
+    scored, bad = stream_score(stream, model, ["user_id"], ["user_id"])
+    base = f"{ensure_checkpoint_dir(spark)}/stream_score_{uuid.uuid4().hex[:8]}"
+    reject = bad.select("event_id", F.lit(None).cast("double").alias("prediction"))
+    for name, part in (("scored", scored.select("event_id", "prediction")), ("rejected", reject)):
+        (part.writeStream.format("parquet").option("path", f"{base}/{name}")
+         .option("checkpointLocation", f"{base}/_{name}").trigger(availableNow=True).start().awaitTermination())
+    schema = "event_id long, prediction double"
+    return spark.read.schema(schema).parquet(f"{base}/scored").unionByName(
+        spark.read.schema(schema).parquet(f"{base}/rejected"))
 
 
 @q("metadata_tables")
@@ -1323,7 +1334,8 @@ def _(spark, d):
     return student.clean_research(raw).drop(student.ROW)
 
 
-@q("refresh_if_new")
+@q("refresh_if_new", "SELECT event_type, count(*) AS events, round(avg(value), 6) AS avg_value FROM events "
+   "GROUP BY event_type", ["avg_value"])
 def _(spark, d):
     """availableNow refresh: unseen event files rebuild a per-type count mart."""
     import uuid
@@ -1334,9 +1346,11 @@ def _(spark, d):
     schema = S.table(spark, d, "events").schema
 
     def rebuild(batch, epoch):
-        mart = batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
-                                               F.round(F.avg("value"), 6).alias("avg_value"))
-        write_layer(mart, f"{base}/mart/epoch={epoch}")
+        # additive parts per batch (a replayed batch replaces its own part)
+        part = batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("total"),
+                                               F.count("value").alias("valued"))
+        write_layer(part, f"{base}/mart/epoch={epoch}")
 
     refresh_if_new(spark, f"{d}/events*.parquet", schema, f"{base}/_stream", rebuild, fmt="parquet")
-    return spark.read.parquet(f"{base}/mart")
+    return spark.read.parquet(f"{base}/mart").groupBy("event_type").agg(
+        F.sum("events").alias("events"), F.round(F.sum("total") / F.sum("valued"), 6).alias("avg_value"))

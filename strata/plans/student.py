@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from strata.functions import constants as K
 from strata.operators import align, clean, features, marts, schema
+from strata.operators.prefix import with_row_number
 from strata.sources.files import read_csv_text
 
 ROW = "_row"  # file position of a raw row (monotonic within a file read)
@@ -22,7 +23,10 @@ ROW = "_row"  # file position of a raw row (monotonic within a file read)
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Text CSV with NA tokens as NULL and the row's file position in ``_row``."""
-    return read_csv_text(spark, path).withColumn(ROW, F.monotonically_increasing_id())
+    df = read_csv_text(spark, path).withColumn("_at", F.monotonically_increasing_id())
+    # file order, then block, then the position inside the split
+    place = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    return with_row_number(place, ["_file", "_block", "_at"], ROW).drop("_file", "_block", "_at")
 
 
 def _dedupe_keep_first(df: DataFrame) -> DataFrame:
@@ -45,8 +49,8 @@ def _infer_numeric(df: DataFrame, columns) -> DataFrame:
 
 def clean_research(raw: DataFrame) -> DataFrame:
     df = _rename_keep_row(raw, schema.bracket_name)
-    df = _dedupe_keep_first(df)
     df = _infer_numeric(df, [c for c in df.columns if c != ROW])
+    df = _dedupe_keep_first(df)  # on typed values: 1 and 1.0 are equal
     df = clean.coerce_numeric(df, K.RESEARCH_NUMERIC)
     num = [c for c in schema.split_by_type(df)[0] if c != ROW]
     df = clean.impute_median(df, num)
@@ -61,8 +65,8 @@ def clean_research(raw: DataFrame) -> DataFrame:
 def clean_attitude(raw: DataFrame) -> DataFrame:
     df = _rename_keep_row(raw, schema.alnum_name)
     df = schema.rename_columns(df, K.ATTITUDE_RENAMES)
-    df = _dedupe_keep_first(df)
     df = _infer_numeric(df, [c for c in df.columns if c != ROW])
+    df = _dedupe_keep_first(df)  # on typed values: 1 and 1.0 are equal
     df = clean.coerce_numeric(df, K.ATTITUDE_NUMERIC)
     df = clean.percent_to_number(df, ["career_willingness"])
     num = [c for c in schema.split_by_type(df)[0] if c != ROW]
@@ -77,8 +81,8 @@ def clean_attitude(raw: DataFrame) -> DataFrame:
 
 def clean_performance(raw: DataFrame) -> DataFrame:
     df = _rename_keep_row(raw, schema.alnum_name)
-    df = _dedupe_keep_first(df)
     df = _infer_numeric(df, [c for c in df.columns if c != ROW])
+    df = _dedupe_keep_first(df)  # on typed values: 1 and 1.0 are equal
     df = clean.coerce_numeric(df, K.PERFORMANCE_NUMERIC)
     num = [c for c in schema.split_by_type(df)[0] if c != ROW]
     df = clean.impute_median(df, num)
@@ -119,7 +123,7 @@ def run_layers(spark: SparkSession, research_path: str | None, attitude_path: st
         res = att.select(ROW).where(F.lit(False))
     sil = silver(res, att, perf)
     gold = schema.gold_projection(sil)
-    feats = features.add_ml_features(gold)
+    feats = features.fill_bmi(features.add_ml_features(gold))
     out = {"bronze_research": res.drop(ROW), "bronze_attitude": att.drop(ROW), "silver": sil, "gold": gold,
            "features": feats, "student_overview": schema.student_overview(feats),
            "career_summary": marts.career_summary(feats) if "career_path" in feats.columns else None,

@@ -20,10 +20,13 @@ __all__ = ["read_table", "read_csv_text", "apply_na_tokens", "write_layer", "wri
            "warehouse_schemas", "save_warehouse"]
 
 
-def read_csv_text(spark: SparkSession, path: str | Sequence[str], na_tokens: Sequence[str] = K.NA_TOKENS) -> DataFrame:
-    """All columns as strings, NA tokens → NULL (Spark's ``nullValue`` takes one)."""
+def read_csv_text(spark: SparkSession, path: str | Sequence[str], na_tokens: Sequence[str] = K.NA_TOKENS,
+                  multi_line: bool = False) -> DataFrame:
+    """All columns as strings, NA tokens → NULL (Spark's ``nullValue`` takes one).
+    Files whose quoted fields hold line ends need ``multi_line``: they cannot
+    be split, so each is one task."""
     df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("multiLine", False).option("escape", '"').csv(path))
+          .option("multiLine", multi_line).option("escape", '"').csv(path))
     return apply_na_tokens(df, na_tokens)
 
 
@@ -33,7 +36,7 @@ def apply_na_tokens(df: DataFrame, na_tokens: Sequence[str] = K.NA_TOKENS) -> Da
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
             c = F.col(f"`{f.name}`")
-            out[f.name] = F.when(~F.coalesce(F.trim(c).isin(toks), F.lit(False)) & c.isNotNull(), c)
+            out[f.name] = F.when(~F.coalesce(c.isin(toks), F.lit(False)) & c.isNotNull(), c)
     return df.withColumns(out) if out else df
 
 
