@@ -1159,11 +1159,9 @@ def _(spark, d):
     return ml.multiclass_score(scored, ["vec_id"], names)
 
 
-_FITTED = """WITH f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM events)
-SELECT event_id, CASE WHEN {ok} THEN round(i + s * user_id, 4) END AS prediction FROM events, f"""
-
-
-@q("batch_score", _FITTED.format(ok="user_id IS NOT NULL AND value IS NOT NULL"), ["prediction"])
+@q("batch_score", EV + """, f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM ev)
+SELECT event_id, CASE WHEN user_id IS NOT NULL AND value IS NOT NULL THEN round(i + s * user_id, 4) END AS prediction
+FROM ev, f""", ["prediction"])
 def _(spark, d):
     """Validated batch scoring: valid rows scored, invalid rows (NULL value) rejected."""
     from pyspark.ml import Pipeline
@@ -1190,7 +1188,9 @@ def _(spark, d):
     return stale_check(spark, f"{d}/events.parquet", f"{d}/_no_run_log_", fmt="parquet")
 
 
-@q("stream_score", _FITTED.format(ok="user_id IS NOT NULL"), ["prediction"])
+@q("stream_score", """WITH f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM events)
+SELECT event_id, CASE WHEN user_id IS NOT NULL THEN round(i + s * user_id, 4) END AS prediction FROM events, f""",
+   ["prediction"])
 def _(spark, d):
     """Events replayed as a file stream (availableNow) and scored per batch."""
     import uuid
