@@ -300,11 +300,8 @@ def metadata_tables(model: PipelineModel, required: Sequence[str], numeric: Sequ
     cats = {}
     for st in model.stages:
         if hasattr(st, "labelsArray") and hasattr(st, "getInputCols"):
-            try:
-                for c, labels in zip(st.getInputCols(), st.labelsArray):
-                    cats[c] = list(labels)
-            except Exception:  # single-column indexer
-                pass
+            names = st.getInputCols() if st.isSet("inputCols") else [st.getInputCol()]
+            cats.update({c: list(labels) for c, labels in zip(names, st.labelsArray)})
     return {"required": list(required), "numeric": list(numeric), "categories": cats}
 
 

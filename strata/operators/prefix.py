@@ -18,21 +18,6 @@ from pyspark.sql import functions as F
 from strata.session import checkpoint
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return max(int(conf), 1)
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column | None:
-    cond = None
-    for c in cols:
-        term = left[c].eqNullSafe(right[c])
-        cond = term if cond is None else cond & term
-    return cond
-
-
 def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = None,
                   partition_by: Sequence[str] = (), output: str = "running_total",
                   total: str | None = None, num_partitions: int | None = None,
@@ -83,21 +68,39 @@ def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = N
     return out.drop("_rt_pid", "_rt_w", "_rt_loc", "_rt_off")
 
 
+#: Numbers that one row of a group of identical rows is expanded to at a time.
+CHUNK = 1000
+
+
 def with_row_number(df: DataFrame, order_by: Sequence[str], output: str = "row_id",
                     start: int = 1, partition_by: Sequence[str] = (),
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, unique: bool = False) -> DataFrame:
     """Consecutive numbers ``start, start+1, ...`` in ``order_by`` order.
 
     Two independent hashes of the whole row break ties, so even millions of
     distinct rows sharing one order key are spread over many range partitions.
     The tie-break is a pure function of the row (no per-task id), so a
     recomputed task after an executor loss routes every row exactly as
-    before.  Rows that still tie are identical in every column and therefore
-    interchangeable.
+    before.  Rows identical in every column are interchangeable: they are
+    counted (map-side combined), numbered as one weighted row and expanded
+    again, in chunks dealt over the partitions where there are many.  Callers
+    whose order is unique say so and save that shuffle.
     """
     cols = df.columns
     tie = df.withColumn("_rn_h", F.xxhash64(*cols)).withColumn("_rn_g", F.hash(*cols))
-    out = running_total(tie, list(order_by) + ["_rn_h", "_rn_g"], None, partition_by,
-                        output="_rn_x", num_partitions=num_partitions)
-    return (out.withColumn(output, (F.col("_rn_x") + F.lit(start - 1)).cast("long"))
-            .drop("_rn_x", "_rn_h", "_rn_g"))
+    order = [*order_by, "_rn_h", "_rn_g"]
+    if unique:
+        out = running_total(tie, order, None, partition_by, output="_rn_x", num_partitions=num_partitions)
+        return (out.withColumn(output, (F.col("_rn_x") + F.lit(start - 1)).cast("long"))
+                .drop("_rn_x", "_rn_h", "_rn_g"))
+    groups = tie.groupBy(*[F.col(f"`{c}`") for c in tie.columns]).agg(F.count(F.lit(1)).alias("_rn_c"))
+    numbered = running_total(groups, order, "_rn_c", partition_by, output="_rn_x", num_partitions=num_partitions)
+    first, last = F.col("_rn_x") - F.col("_rn_c") + start, F.col("_rn_x") + F.lit(start - 1)
+    few = numbered.where(F.col("_rn_c") <= CHUNK).withColumn(output, F.explode(F.sequence(first, last)))
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = (numbered.where(F.col("_rn_c") > CHUNK)
+            .withColumn("_rn_s", F.explode(F.sequence(first, last, F.lit(CHUNK).cast("long"))))
+            .repartition(parts, "_rn_s")
+            .withColumn(output, F.explode(F.sequence("_rn_s", F.least(F.col("_rn_s") + (CHUNK - 1), last)))))
+    named = [F.col(f"`{c}`") for c in cols if c != output] + [F.col(output).cast("long").alias(output)]
+    return few.select(*named).unionByName(many.select(*named))

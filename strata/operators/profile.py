@@ -8,8 +8,10 @@ quantile operator; nothing gathers a group into one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,11 @@ def data_quality_audit(df: DataFrame, columns: Sequence[str] | None = None,
                         + F.max(F.col(f"`{c}`").isNull().cast("int"))).alias(c) for c in cols])
         uniq = one.unpivot([], cols, "column", "n_unique")
     else:
-        long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "v")
+        def key(c: str) -> Column:  # a 128-bit hash of the value stands for it: long texts are not shuffled
+            v = F.col(f"`{c}`").cast("string")
+            return F.when(v.isNotNull(), F.struct(F.xxhash64(v).alias("a"), F.xxhash64(F.lit(1), v).alias("b"))).alias(c)
+
+        long = df.select(*[key(c) for c in cols]).unpivot([], [F.col(f"`{c}`") for c in cols], "column", "v")
         uniq = (long.groupBy("column", "v").agg(F.lit(1).alias("_one"))
                 .groupBy("column").agg(F.count(F.lit(1)).alias("n_unique")))
     types = df.sparkSession.createDataFrame(
@@ -120,26 +126,56 @@ def value_counts(df: DataFrame, column: str, by_value: bool = False, dropna: boo
         out.orderBy(F.col("count").desc(), F.col(column).asc_nulls_last())
 
 
-def _pair_corr(a: str, b: str) -> Column:
-    x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    xm, ym = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
+def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
+    """(column_a, column_b, corr) for every pair of a left and a right column.
+
+    One pass: a task sums, per pair, counts, values, squares and products over
+    the rows where both are present (matrix products of an Arrow batch, values
+    shifted by the column mean), so state and shuffle are tasks x pairs rows of
+    sums at any width.  NaN counts as NULL; a column that is constant over a
+    pair's rows (variance below 1e-13 of its square sum) gives NULL.
+    """
+    cols = list(dict.fromkeys([*left, *right]))
+    cells = [F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)]
+    narrow = df.select(*cells)
+    means = narrow.agg(*[F.avg(F.when(~F.isnan(f"x{i}"), F.col(f"x{i}"))) for i in range(len(cols))]).first()
+    shift = np.nan_to_num(np.array([0.0 if m is None else m for m in means]), nan=0.0, posinf=0.0, neginf=0.0)
+    at, bt = [cols.index(c) for c in left], [cols.index(c) for c in right]
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(sums), len(at), len(bt)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - shift
+            there = ~np.isnan(v)
+            v = np.where(there, v, 0.0)
+            x, y, mx, my = v[:, at].T, v[:, bt], there[:, at].T.astype(float), there[:, bt].astype(float)
+            total += np.stack([mx @ my, x @ my, mx @ y, (x * x) @ my, mx @ (y * y), x @ y])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(at) * len(bt))), *[pa.array(t.ravel()) for t in total]], ["id", *sums])
+
+    parts = narrow.mapInArrow(moments, "id long, " + ", ".join(f"{c} double" for c in sums))
+    pairs = df.sparkSession.range(len(at) * len(bt)).join(
+        parts.groupBy("id").agg(*[F.sum(c).alias(c) for c in sums]), "id", "left")
+
+    def spread(s: str, ss: str) -> Column:
+        var = F.col(ss) - F.try_divide(F.col(s) * F.col(s), F.col("n"))
+        return F.sqrt(F.when(var > 1e-13 * F.col(ss), var).otherwise(0.0))
+
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    names = [F.array(*[F.lit(c) for c in side]) for side in (left, right)]
+    return pairs.select(F.get(names[0], F.floor(F.col("id") / len(bt)).cast("int")).alias("column_a"),
+                        F.get(names[1], (F.col("id") % len(bt)).cast("int")).alias("column_b"),
+                        F.try_divide(cov, spread("sx", "sxx") * spread("sy", "syy")).alias("corr"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Long (column_a, column_b, corr): Pearson, pairwise-complete, all ordered
-    pairs incl. the diagonal; a constant column gives NULL.  One pass."""
+    pairs incl. the diagonal; a constant column gives NULL."""
     cols = _num(df, columns)
-    entries = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            corr = _pair_corr(a, b)
-            entries.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), corr.alias("corr")))
-            if a != b:
-                entries.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"),
-                                        corr.alias("corr")))
-    return df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("s")).select("s.*")
+    return _correlations(df, cols, cols)
 
 
 def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:
@@ -154,8 +190,7 @@ def top_correlations(df: DataFrame, columns: Sequence[str] | None = None, k: int
 
 def corr_to_target(df: DataFrame, target: str, columns: Sequence[str] | None = None, k: int = 4) -> DataFrame:
     cols = [c for c in _num(df, columns) if c != target]
-    entries = [F.struct(F.lit(c).alias("feature"), _pair_corr(c, target).alias("corr")) for c in cols]
-    long = df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("s")).select("s.*")
+    long = _correlations(df, cols, [target]).select(F.col("column_a").alias("feature"), "corr")
     return (long.where(F.col("corr").isNotNull()).withColumn("abs_corr", F.abs("corr"))
             .orderBy(F.col("abs_corr").desc(), "feature").limit(k))
 

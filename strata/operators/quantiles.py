@@ -1,14 +1,19 @@
 """Exact and approximate quantiles, medians and modes.
 
 Exact quantiles use linear interpolation between order statistics (the
-default of pandas, numpy and DuckDB ``quantile_cont``).  They are computed as
+default of pandas, numpy and DuckDB ``quantile_cont``).  Without groups:
 
-1. ``groupBy(segment, value).count()`` — partial aggregation collapses hot
-   values before the shuffle;
-2. a distributed running count over the distinct values (``running_total``),
-   which splits a segment holding a third of all rows over many tasks;
-3. a filter keeping only the (at most two per probability) distinct values
-   that straddle the wanted ranks.
+1. one sketch pass over all columns (``percentile_approx``, bounded state)
+   brackets the values at the wanted ranks with a margin above its rank error;
+2. one counting pass over all columns: cells outside the brackets are counted
+   per gap between them, only cells inside keep their value, so the map-side
+   combine leaves a few thousandths of the cells to shuffle;
+3. a distributed running count over those (``running_total``) and a filter
+   for the values that straddle the wanted ranks.
+
+If a rank should lie outside its bracket, every value is counted instead.
+With groups step 2 counts every (group, value), map-side combined; a group
+holding a third of all rows is split over many tasks.
 
 No step holds a whole group in one task.  ``method="approx"`` switches to
 ``percentile_approx`` (a bounded sketch per group) when speed matters more than
@@ -19,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.prefix import running_total
@@ -58,8 +63,23 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
+    if not by:
+        rows = _bracketed(df, list(columns), probs).collect()  # one row per column and probability
+        if all(r["_vlo"] is not None and r["_vhi"] is not None for r in rows):
+            got = [(r["_col"], r["_p"], r["_vlo"] if r["_frac"] == 0 else
+                    r["_vlo"] + (r["_vhi"] - r["_vlo"]) * r["_frac"]) for r in rows]
+            return df.sparkSession.createDataFrame(got, "column string, p double, value double")
     counts = long.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_total(counts, ["_v"], "_c", by + ["_col"], output="_cum", total="_n")
+    picked = _at_ranks(counts.withColumn("_i", F.lit(0)), probs, by)
+    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
+    return picked.select(*by, F.col("_col").alias("column"), F.col("_p").alias("p"),
+                         F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(value).alias("value"))
+
+
+def _at_ranks(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by..., _col, _p, _vlo, _vhi, _frac) from value counts (by..., _col, _i,
+    _v, _c) that are ordered by (_i, _v)."""
+    cum = running_total(counts, ["_i", "_v"], "_c", [*by, "_col"], output="_cum", total="_n")
     first = F.col("_cum") - F.col("_c")
 
     def straddles(rank):
@@ -79,14 +99,48 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
               .withColumn("_hi", F.ceil("_h")))
     has_lo = straddles(F.col("_lo"))
     has_hi = straddles(F.col("_hi"))
-    picked = (ranked.where(has_lo | has_hi)
-              .groupBy(*by, "_col", "_p")
-              .agg(F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"),
-                   F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
-                   F.max(F.col("_h") - F.col("_lo")).alias("_frac")))
-    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
-    return picked.select(*by, F.col("_col").alias("column"), F.col("_p").alias("p"),
-                         F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(value).alias("value"))
+    return (ranked.where(has_lo | has_hi)
+            .groupBy(*by, "_col", "_p")
+            .agg(F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"),
+                 F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
+                 F.max(F.col("_h") - F.col("_lo")).alias("_frac")))
+
+
+#: Values a sketch resolves (its rank error is one of them), and a bracket's half width in such errors.
+SKETCH, MARGIN = 10_000, 4
+
+
+def _cell(column: str) -> Column:
+    v = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``_at_ranks`` over the values inside brackets around the wanted ranks.
+    Columns of fewer than SKETCH values are one bracket."""
+    ends = {p: (max(0.0, p - MARGIN / SKETCH), min(1.0, p + MARGIN / SKETCH)) for p in map(float, probs)}
+    wanted = sorted({e for pair in ends.values() for e in pair})
+    row = df.agg(*[x for i, c in enumerate(columns) for x in (
+        F.count(_cell(c)).alias(f"n{i}"), F.percentile_approx(_cell(c), wanted, SKETCH).alias(f"q{i}"))]).first()
+    cells = []
+    for i, c in enumerate(columns):
+        ranges: list[list[float]] = []
+        if row[f"n{i}"] >= SKETCH:
+            at = dict(zip(wanted, row[f"q{i}"]))
+            for lo, hi in sorted((at[lo], at[hi]) for lo, hi in ends.values()):
+                if ranges and lo <= ranges[-1][1]:
+                    ranges[-1][1] = max(hi, ranges[-1][1])
+                else:
+                    ranges.append([lo, hi])
+        v = _cell(c)
+        place = F.lit(0 if ranges else 1)  # odd inside a bracket, even in a gap
+        for lo, hi in ranges:
+            place = place + (v >= lo).cast("int") + (v > hi).cast("int")
+        cells.append(F.when(v.isNotNull(), F.struct(
+            place.alias("i"), F.when(place % 2 == 1, v).alias("v"))).alias(c))
+    long = df.select(*cells).unpivot([], [F.col(f"`{c}`") for c in columns], "_col", "_s").where("_s is not null")
+    counts = long.groupBy("_col", F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return _at_ranks(counts, probs, [])
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

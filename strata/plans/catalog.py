@@ -1176,16 +1176,84 @@ def _(spark, d):
         bad.select("event_id", F.lit(None).cast("double").alias("prediction")))
 
 
-@q("freshness_report")
+@q("freshness_report", "SELECT 'events.parquet' AS file_name, count(*) AS rows FROM events")
 def _(spark, d):
+    """Rows per input file; the file times differ per copy of the table, so they are left out here."""
     from strata.sources.files import freshness_report
-    return freshness_report(spark, f"{d}/events.parquet", fmt="parquet")
+    return freshness_report(spark, f"{d}/events.parquet", fmt="parquet").select("file_name", "rows")
 
 
-@q("stale_check")
+def _out(spark, name):
+    """A new folder for what a query writes, below the shared checkpoint folder."""
+    import uuid
+    from strata.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}_{uuid.uuid4().hex[:8]}"
+
+
+@q("stale_check", "SELECT * FROM (VALUES ('before', true), ('after', false), ('new file', true)) AS t(step, stale)")
+def _(spark, d):
+    """Stale without a run, fresh after a logged run, stale again for a file no run has seen."""
+    from strata.streaming.incremental import log_run, stale_check
+    log = _out(spark, "run_log")
+    steps = [("before", f"{d}/events.parquet"), ("after", f"{d}/events.parquet"), ("new file", f"{d}/orders.parquet")]
+    out = []
+    for step, path in steps:
+        out.append(stale_check(spark, path, log).select(F.lit(step).alias("step"), "stale"))
+        if step == "before":
+            log_run(spark, path, log)
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+CSV_SQL = """SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'NA' WHEN 1 THEN 'n/a' WHEN 2 THEN ' NA '
+  WHEN 3 THEN 'x, "y"' ELSE c_mktsegment END AS note FROM customer"""
+
+
+@q("csv_na_tokens", S.cte(t=CSV_SQL) + "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, "
+   "CASE WHEN note IN ('NA', 'n/a') THEN NULL ELSE note END AS note FROM t")
+def _(spark, d):
+    """Customers written as CSV and read back as text with the missing-value tokens."""
+    from strata.sources.files import read_table
+    path = _out(spark, "na") + "/t.csv"
+    S.frame(spark, d, CSV_SQL).write.option("header", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_table(spark, path)
+
+
+@q("replace_outputs", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F' UNION ALL "
+   "SELECT o_orderkey, -o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'", ["o_totalprice"])
+def _(spark, d):
+    """A layer partitioned by status; one partition is then replaced, the others stay."""
+    from strata.sources.files import write_layer
+    o = S.table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = _out(spark, "layer")
+    write_layer(o, path, partition_by=["o_orderstatus"])
+    write_layer(o.where("o_orderstatus = 'F'").withColumn("o_totalprice", -F.col("o_totalprice")), path,
+                partition_by=["o_orderstatus"], dynamic=True)
+    return spark.read.schema(o.schema).parquet(path)
+
+
+@q("kpi_json_sink", "SELECT count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders", ["total"])
+def _(spark, d):
+    from strata.sources.files import write_json_row
+    row = S.table(spark, d, "orders").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    path = _out(spark, "kpi")
+    write_json_row(row, path)
+    return spark.read.schema(row.schema).json(path)
+
+
+@q("land_new_files", "SELECT 'orders' AS landed, count(*) AS files, (SELECT count(*) FROM orders) AS rows FROM (SELECT 1) t "
+   "UNION ALL SELECT 'again', 0, (SELECT count(*) FROM orders)")
 def _(spark, d):
-    from strata.streaming.incremental import stale_check
-    return stale_check(spark, f"{d}/events.parquet", f"{d}/_no_run_log_", fmt="parquet")
+    """Landed once; a second run finds nothing new and lands nothing twice."""
+    from strata.sources.files import land_new_files
+    base = _out(spark, "landing")
+    out = []
+    for step in ("orders", "again"):
+        new = land_new_files(spark, f"{d}/orders*.parquet", f"{base}/rows", f"{base}/log", fmt="parquet")
+        files = new.agg(F.count(F.lit(1)).alias("files"))
+        rows = spark.read.parquet(f"{base}/rows").agg(F.count(F.lit(1)).alias("n"))
+        out.append(files.select(F.lit(step).alias("landed"), "files", rows.scalar().alias("rows")))
+    return out[0].unionByName(out[1])
 
 
 @q("stream_score", """WITH f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM events)
@@ -1214,7 +1282,11 @@ def _(spark, d):
         spark.read.schema(schema).parquet(f"{base}/rejected"))
 
 
-@q("metadata_tables")
+@q("metadata_tables", """WITH x AS (SELECT lang, source FROM documents JOIN labels USING (doc_id))
+SELECT * FROM (VALUES ('required', 'n_chars', NULL), ('required', 'n_words', NULL), ('required', 'lang', NULL),
+  ('required', 'source', NULL), ('numeric', 'n_chars', NULL), ('numeric', 'n_words', NULL)) AS t(kind, field, value)
+UNION ALL SELECT DISTINCT 'category', 'lang', lang FROM x WHERE lang IS NOT NULL
+UNION ALL SELECT DISTINCT 'category', 'source', source FROM x WHERE source IS NOT NULL""")
 def _(spark, d):
     """Required/numeric fields and allowed categories of a fitted indexer."""
     from pyspark.ml import Pipeline

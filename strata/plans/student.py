@@ -26,7 +26,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     df = read_csv_text(spark, path).withColumn("_at", F.monotonically_increasing_id())
     # file order, then block, then the position inside the split
     place = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
-    return with_row_number(place, ["_file", "_block", "_at"], ROW).drop("_file", "_block", "_at")
+    return with_row_number(place, ["_file", "_block", "_at"], ROW, unique=True).drop("_file", "_block", "_at")
 
 
 def _dedupe_keep_first(df: DataFrame) -> DataFrame:

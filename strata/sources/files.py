@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,9 +78,10 @@ def land_new_files(spark: SparkSession, source_dir: str, landing_path: str, log_
 
     A Structured Streaming file source with ``availableNow`` lists the folder
     and remembers processed files in its checkpoint (``<log_path>/_stream``),
-    so earlier files are neither re-read nor re-landed.  Each run appends
-    (file_name, run_id, landed_at) to the log; the files of this run are
-    returned.
+    so earlier files are neither re-read nor re-landed.  Every batch writes its
+    own part (``epoch=<id>``) of landing and log, so one that is replayed after a
+    failure replaces it.  The log has (file_name, run_id, landed_at); the files
+    of this run are returned.
     """
     import uuid
     reader = spark.read.format(fmt)
@@ -93,23 +95,32 @@ def land_new_files(spark: SparkSession, source_dir: str, landing_path: str, log_
     run_id = uuid.uuid4().hex
 
     def land(batch: DataFrame, epoch: int) -> None:
-        rows = batch.withColumn("_file_name", F.col("_metadata.file_name"))
-        rows.write.mode("append").partitionBy("_file_name").parquet(landing_path)
-        (rows.select(F.col("_file_name").alias("file_name")).distinct()
+        rows = batch.withColumn("_file_name", F.col("_metadata.file_name")).drop("_metadata")
+        part = f"{landing_path}/epoch={epoch}"
+        rows.write.mode("overwrite").parquet(part)
+        (spark.read.schema(rows.schema).parquet(part).select(F.col("_file_name").alias("file_name")).distinct()
          .withColumn("run_id", F.lit(run_id)).withColumn("landed_at", F.current_timestamp())
-         .write.mode("append").parquet(f"{log_path}/entries"))
+         .write.mode("overwrite").parquet(f"{log_path}/entries/epoch={epoch}"))
 
     q = (stream.load(source_dir).select("*", "_metadata").writeStream
          .option("checkpointLocation", f"{log_path}/_stream")
          .foreachBatch(land).trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        log = spark.read.parquet(f"{log_path}/entries")
-    except Exception:  # nothing landed yet
-        return spark.createDataFrame([], "file_name string, run_id string, landed_at timestamp")
+    log = read_or_empty(spark, f"{log_path}/entries", "file_name string, run_id string, landed_at timestamp")
     return log.where(F.col("run_id") == run_id)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet table at ``path``, or no rows where nothing was written yet;
+    any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def freshness_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """(file_name, rows, modified_at) per input file, from ``_metadata``."""
     reader = spark.read.format(fmt)

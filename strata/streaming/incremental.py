@@ -15,23 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["stale_check", "refresh_if_new", "stream_score", "file_stream"]
+from strata.sources.files import read_or_empty
 
+__all__ = ["list_files", "log_run", "stale_check", "refresh_if_new", "stream_score", "file_stream"]
 
-def stale_check(spark: SparkSession, raw_path: str, run_log_path: str, fmt: str = "csv") -> DataFrame:
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, modified_at) of the files at ``path``: a listing, no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                        F.col("modificationTime").alias("modified_at"))
+
+
+def stale_check(spark: SparkSession, raw_path: str, run_log_path: str) -> DataFrame:
     """One row: newest raw file time, last successful run time, and ``stale``
     (true when a raw file is newer, a raw file name was never processed, or no
-    run exists).  The run log has (file_name, run_at)."""
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    files = reader.load(raw_path).select(F.col("_metadata.file_name").alias("file_name"),
-                                         F.col("_metadata.file_modification_time").alias("modified_at")) \
-        .groupBy("file_name").agg(F.max("modified_at").alias("modified_at"))
-    try:
-        log = spark.read.parquet(run_log_path)
-    except Exception:  # no run yet
-        log = spark.createDataFrame([], "file_name string, run_at timestamp")
+    run exists).  The run log (``log_run``) has (file_name, run_at)."""
+    files = list_files(spark, raw_path)
+    log = read_or_empty(spark, run_log_path, "file_name string, run_at timestamp")
     # two one-value results, collected once
     last = F.lit(log.agg(F.max("run_at").alias("r")).first()["r"]).cast("timestamp")
     unseen = files.join(log.select("file_name"), "file_name", "left_anti").count()
@@ -40,6 +41,12 @@ def stale_check(spark: SparkSession, raw_path: str, run_log_path: str, fmt: str
         (last.isNull() | (F.col("newest_raw_at") > last) | F.lit(unseen > 0)).alias("stale"))
 
 
+def log_run(spark: SparkSession, raw_path: str, run_log_path: str) -> None:
+    """Append the files of a finished run and its time to the run log."""
+    list_files(spark, raw_path).select("file_name", F.current_timestamp().alias("run_at")) \
+        .write.mode("append").parquet(run_log_path)
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format(fmt).schema(schema)
