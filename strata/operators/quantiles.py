@@ -22,6 +22,7 @@ exact interpolation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,22 +65,20 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
         raise ValueError(f"unknown quantile method {method!r}")
 
     if not by:
-        rows = _bracketed(df, list(columns), probs).collect()  # one row per column and probability
-        if all(r["_vlo"] is not None and r["_vhi"] is not None for r in rows):
-            got = [(r["_col"], r["_p"], r["_vlo"] if r["_frac"] == 0 else
-                    r["_vlo"] + (r["_vhi"] - r["_vlo"]) * r["_frac"]) for r in rows]
-            return df.sparkSession.createDataFrame(got, "column string, p double, value double")
+        rows = _bracketed(df, list(columns), probs)
+        if rows is not None:
+            return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
     counts = long.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    picked = _at_ranks(counts.withColumn("_i", F.lit(0)), probs, by)
+    picked = _at_ranks(counts, probs, by)
     value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return picked.select(*by, F.col("_col").alias("column"), F.col("_p").alias("p"),
                          F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(value).alias("value"))
 
 
 def _at_ranks(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """(by..., _col, _p, _vlo, _vhi, _frac) from value counts (by..., _col, _i,
-    _v, _c) that are ordered by (_i, _v)."""
-    cum = running_total(counts, ["_i", "_v"], "_c", [*by, "_col"], output="_cum", total="_n")
+    """(by..., _col, _p, _vlo, _vhi, _frac) from value counts (by..., _col,
+    _v, _c)."""
+    cum = running_total(counts, ["_v"], "_c", [*by, "_col"], output="_cum", total="_n")
     first = F.col("_cum") - F.col("_c")
 
     def straddles(rank):
@@ -107,7 +106,7 @@ def _at_ranks(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> D
 
 
 #: Values a sketch resolves (its rank error is one of them), and a bracket's half width in such errors.
-SKETCH, MARGIN = 10_000, 4
+SKETCH, MARGIN = 2_000, 4
 
 
 def _cell(column: str) -> Column:
@@ -115,14 +114,18 @@ def _cell(column: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """``_at_ranks`` over the values inside brackets around the wanted ranks.
-    Columns of fewer than SKETCH values are one bracket."""
+def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> list[tuple] | None:
+    """(column, p, value) rows from the values inside brackets around the
+    wanted ranks; None if a rank lies outside its bracket.
+
+    A value in a gap between brackets is counted as the double that follows
+    the bracket below it.  Columns of fewer than SKETCH values have no gap.
+    """
     ends = {p: (max(0.0, p - MARGIN / SKETCH), min(1.0, p + MARGIN / SKETCH)) for p in map(float, probs)}
     wanted = sorted({e for pair in ends.values() for e in pair})
     row = df.agg(*[x for i, c in enumerate(columns) for x in (
         F.count(_cell(c)).alias(f"n{i}"), F.percentile_approx(_cell(c), wanted, SKETCH).alias(f"q{i}"))]).first()
-    cells = []
+    cells, gaps = [], {}
     for i, c in enumerate(columns):
         ranges: list[list[float]] = []
         if row[f"n{i}"] >= SKETCH:
@@ -132,15 +135,22 @@ def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
                     ranges[-1][1] = max(hi, ranges[-1][1])
                 else:
                     ranges.append([lo, hi])
-        v = _cell(c)
-        place = F.lit(0 if ranges else 1)  # odd inside a bracket, even in a gap
-        for lo, hi in ranges:
-            place = place + (v >= lo).cast("int") + (v > hi).cast("int")
-        cells.append(F.when(v.isNotNull(), F.struct(
-            place.alias("i"), F.when(place % 2 == 1, v).alias("v"))).alias(c))
-    long = df.select(*cells).unpivot([], [F.col(f"`{c}`") for c in columns], "_col", "_s").where("_s is not null")
-    counts = long.groupBy("_col", F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    return _at_ranks(counts, probs, [])
+        v = F.col(f"`{c}`").cast("double")
+        gaps[c] = [-math.inf, *[math.nextafter(hi, math.inf) for _, hi in ranges]] if ranges else []
+        place = F.when(F.isnan(v), None)
+        for (lo, hi), gap in zip(ranges, gaps[c]):
+            place = place.when(v < lo, gap).when(v <= hi, v)
+        cells.append((place.otherwise(gaps[c][-1] if ranges else v) if ranges else v).alias(c))
+    nulls = [F.when(F.col(f"`{c}`").isNotNull(), cell).alias(c) for c, cell in zip(columns, cells)]
+    long = _long_form(df.select(*nulls), columns, [])
+    counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    out = []
+    for r in _at_ranks(counts, probs, []).collect():  # one row per column and probability
+        if r["_vlo"] in gaps[r["_col"]] or r["_vhi"] in gaps[r["_col"]]:
+            return None
+        out.append((r["_col"], r["_p"], r["_vlo"] if r["_frac"] == 0 else
+                    r["_vlo"] + (r["_vhi"] - r["_vlo"]) * r["_frac"]))
+    return out
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
