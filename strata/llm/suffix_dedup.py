@@ -291,9 +291,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
                 [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out],
                 ["_llm_id", "_llm_th", "gram", "at"])
 
-    # counts are partial before their shuffle, the join may split a hot gram
+    # counts are partial before their shuffle; as a written table they join by
+    # two plain exchanges, which is where a hot gram's rows can be split
     found = keyed.mapInArrow(find, "_llm_id long, _llm_th long, gram long, at long")
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = pin(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "grams")
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
     per = (found.join(often, "gram").select("_llm_id", "_llm_th", F.struct("gram", "at", salts.alias("salts")).alias("a"))
            .groupBy("_llm_id", "_llm_th").agg(F.collect_list("a").alias("a")))
