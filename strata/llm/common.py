@@ -58,8 +58,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .where("a <> b").distinct(), "cc")
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        m = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(m, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        # minima are partial before their shuffle; written, they join by plain exchanges that can be split
+        m = pin(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-min")
+        large = (both.join(m.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         lm = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lm, "a")
         new = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -173,8 +173,9 @@ def _candidate_rows(rows: DataFrame, num: int, den: int) -> DataFrame:
     asked = F.greatest(F.lit(1), F.floor(F.col("n_shingles") * EXTRA / 100))
     sure = F.least(sure, asked).cast("int")
     tokens = rows.select("doc_id", "n_shingles", F.explode("prefix").alias("token"))
-    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    per = (tokens.join(df, "token").groupBy("doc_id", "n_shingles")
+    # counts as a written table: the join is of two plain exchanges, whose hot keys can be split
+    df = pin(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
+    per = (tokens.join(df.hint("merge"), "token").groupBy("doc_id", "n_shingles")
            .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
            .where(F.size("t") >= sure))
     return per.select("doc_id", F.explode(F.slice("t", 1, F.size("t") - sure + 1)).alias("t")) \
@@ -198,8 +199,9 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
                  .select("doc_id", "sig", "rep").distinct(), "copies")
     alone = sets.join(copies.select("doc_id", "sig").hint("merge"), ["doc_id", "sig"], "left_anti")
     cand = pin(_candidate_rows(alone, num, den), "candidates")
-    pivots = cand.groupBy("token").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top")
-    groups = connected_components(cand.join(pivots, "token").select(F.col("doc_id").alias("a"), "b"))
+    pivots = pin(cand.groupBy("token").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top"),
+                 "pivots")
+    groups = connected_components(cand.join(pivots.hint("merge"), "token").select(F.col("doc_id").alias("a"), "b"))
     links = _block_links(docs, alone.select("doc_id", "n_shingles"), groups, n, num, den)
     comps = connected_components(links)
     out = (rows.select("doc_id", "n_shingles", "sig")
@@ -223,8 +225,8 @@ def _block_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, n: int, n
         bands, ["grp", "band"], "full").select(
         "grp", "band", F.coalesce("m", F.lit(0)).alias("m"), F.coalesce("m_above", F.lit(0)).alias("m_above"))
     below = bands.select("grp", (F.col("band") + 1).alias("band"), F.col("m").alias("m_below"))
-    plan = near.where("m > 0").join(below, ["grp", "band"], "left").join(whole, "grp")
-    j = members.join(plan, ["grp", "band"])
+    plan = pin(near.where("m > 0").join(below, ["grp", "band"], "left").join(whole, "grp"), "plan")
+    j = members.join(plan.hint("merge"), ["grp", "band"])
     salt = F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int")
 
     def key(lo, i, k, kind, side):
