@@ -296,7 +296,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     found = keyed.mapInArrow(find, "_llm_id long, _llm_th long, gram long, at long")
     often = pin(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "grams")
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    per = (found.join(often, "gram").select("_llm_id", "_llm_th", F.struct("gram", "at", salts.alias("salts")).alias("a"))
+    per = (found.join(often.hint("merge"), "gram").select("_llm_id", "_llm_th", F.struct("gram", "at", salts.alias("salts")).alias("a"))
            .groupBy("_llm_id", "_llm_th").agg(F.collect_list("a").alias("a")))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
