@@ -2,13 +2,15 @@
 
 raw CSV → bronze (three cleaning chains) → silver (positional alignment +
 imputation) → gold (projection) → features → warehouse (star schema) →
-marts + KPIs + layer status.  Every stage is a lazy DataFrame; only column
-statistics (medians, modes, fences) and key numbering run jobs while the plan
-is being built.
+marts + KPIs + layer status.  ``run_layers`` builds every stage as a lazy
+DataFrame (only column statistics and key numbering run jobs meanwhile);
+``write_layers`` writes each one and reads it back for the next.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,8 @@ from pyspark.sql import types as T
 from strata.functions import constants as K
 from strata.operators import align, clean, features, marts, schema
 from strata.operators.prefix import with_row_number
-from strata.sources.files import read_csv_text
+from strata.sources.files import read_csv_text, save_warehouse, write_json_row, write_layer
+from strata.streaming.incremental import list_files, log_run
 
 ROW = "_row"  # file position of a raw row (monotonic within a file read)
 
@@ -114,25 +117,81 @@ def silver(research: DataFrame, attitude: DataFrame, performance: DataFrame | No
 
 
 def run_layers(spark: SparkSession, research_path: str | None, attitude_path: str,
-               performance_path: str | None = None) -> dict[str, DataFrame]:
-    """Build every layer lazily; returns name → DataFrame."""
-    att = clean_attitude(read_raw_csv(spark, attitude_path))
-    res = clean_research(read_raw_csv(spark, research_path)) if research_path else None
-    perf = clean_performance(read_raw_csv(spark, performance_path)) if performance_path else None
+               performance_path: str | None = None,
+               keep: Callable[[str, str, DataFrame], DataFrame] = lambda layer, name, df: df) -> dict[str, DataFrame]:
+    """Build every layer; returns name → DataFrame.  ``keep(layer, name, df)``
+    may store a table: the next layer is built from what it returns."""
+    def bronze(name, chain, path):
+        return keep("bronze", name, chain(read_raw_csv(spark, path))) if path else None
+
+    att = bronze("attitude", clean_attitude, attitude_path)
+    res = bronze("research", clean_research, research_path)
+    perf = bronze("performance", clean_performance, performance_path)
     if res is None:
         res = att.select(ROW).where(F.lit(False))
-    sil = silver(res, att, perf)
-    gold = schema.gold_projection(sil)
-    feats = features.fill_bmi(features.add_ml_features(gold))
+    sil = keep("silver", "silver", silver(res, att, perf))
+    gold = keep("gold", "gold", schema.gold_projection(sil))
+    feats = keep("gold", "features", features.fill_bmi(features.add_ml_features(gold)))
     out = {"bronze_research": res.drop(ROW), "bronze_attitude": att.drop(ROW), "silver": sil, "gold": gold,
-           "features": feats, "student_overview": schema.student_overview(feats),
-           "career_summary": marts.career_summary(feats) if "career_path" in feats.columns else None,
-           "semester_summary": marts.semester_summary(feats) if "semester" in feats.columns else None,
-           "branch_summary": marts.branch_summary(feats) if "branch" in feats.columns else None,
-           "risk_summary": marts.risk_band_summary(feats),
-           "dashboard_kpis": marts.dashboard_kpis(feats)}
+           "features": feats}
     if perf is not None:
         out["bronze_performance"] = perf.drop(ROW)
-    for name, table in marts.star_schema(gold).items():
-        out[name] = table
-    return {k: v for k, v in out.items() if v is not None}
+    mart = {"student_overview": schema.student_overview(feats),
+            "career_summary": marts.career_summary(feats) if "career_path" in feats.columns else None,
+            "semester_summary": marts.semester_summary(feats) if "semester" in feats.columns else None,
+            "branch_summary": marts.branch_summary(feats) if "branch" in feats.columns else None,
+            "risk_summary": marts.risk_band_summary(feats),
+            "dashboard_kpis": marts.dashboard_kpis(feats)}
+    out |= {name: keep("marts", name, table) for name, table in mart.items() if table is not None}
+    out |= {name: keep("warehouse", name, table) for name, table in marts.star_schema(gold).items()}
+    return out
+
+
+def layer_status(spark: SparkSession, sources: Mapping[str, str],
+                 tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """The run's record, one row: status, time, (source, file, modified_at) of
+    the raw files, (layer, table, rows, columns) of every table, and how many
+    rows of silver each source covers.  Counts are one job; the lists grow with
+    the number of files and tables only."""
+    counts = files = None
+    for (layer, name), df in tables.items():
+        one = marts.layer_counts({name: df}, layer)
+        counts = one if counts is None else counts.unionByName(one)
+    for name, path in sources.items():
+        one = list_files(spark, path).where(~F.col("file_name").startswith("_")).select(F.lit(name).alias("source"), "*")
+        files = one if files is None else files.unionByName(one)
+    coverage = marts.source_coverage(tables[("silver", "silver")], ["research", "attitude", "performance"])
+    return counts.agg(F.sort_array(F.collect_list(F.struct("layer", "table", "rows", "columns"))).alias("layers")).select(
+        F.lit("success").alias("pipeline_status"), F.current_timestamp().alias("last_run_at"),
+        files.agg(F.sort_array(F.collect_list(F.struct("source", "file_name", "modified_at"))).alias("f")).scalar()
+        .alias("raw_files"),
+        "layers", coverage.select(F.struct("*").alias("c")).scalar().alias("source_coverage"))
+
+
+def write_layers(spark: SparkSession, out_dir: str, attitude_path: str, research_path: str | None = None,
+                 performance_path: str | None = None) -> DataFrame:
+    """Run the flow into ``out_dir``: every table is written under
+    ``<layer>/<name>`` and the next layer reads it from there (bronze tables
+    keep ``_row``, the order they are aligned by).  KPIs and the run's record
+    are JSON rows as well, and the raw files go to ``run_log``, which
+    ``stale_check`` reads.  Writing replaces, so a run that failed half-way is
+    run again.  Returns the record."""
+    sources = {n: p for n, p in (("attitude", attitude_path), ("research", research_path),
+                                 ("performance", performance_path)) if p}
+    tables = {("raw", n): read_csv_text(spark, p) for n, p in sources.items()}
+
+    def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
+        if layer == "warehouse":
+            save_warehouse({name: df}, f"{out_dir}/warehouse")
+        else:
+            write_layer(df, f"{out_dir}/{layer}/{name}")
+        tables[(layer, name)] = spark.read.parquet(f"{out_dir}/{layer}/{name}")
+        return tables[(layer, name)]
+
+    built = run_layers(spark, research_path, attitude_path, performance_path, keep)
+    write_json_row(built["dashboard_kpis"], f"{out_dir}/status/dashboard_kpis")
+    status = layer_status(spark, sources, tables)
+    write_json_row(status, f"{out_dir}/status/etl_status")
+    for path in sources.values():
+        log_run(spark, path, f"{out_dir}/run_log")
+    return spark.read.schema(status.schema).json(f"{out_dir}/status/etl_status")
