@@ -87,7 +87,8 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], output: str = "row_i
     whose order is unique say so and save that shuffle.
     """
     cols = df.columns
-    tie = df.withColumn("_rn_h", F.xxhash64(*cols)).withColumn("_rn_g", F.hash(*cols))
+    row = [F.col(f"`{c}`") for c in cols]  # header names may hold dots
+    tie = df.withColumn("_rn_h", F.xxhash64(*row)).withColumn("_rn_g", F.hash(*row))
     order = [*order_by, "_rn_h", "_rn_g"]
     if unique:
         out = running_total(tie, order, None, partition_by, output="_rn_x", num_partitions=num_partitions)

@@ -1426,3 +1426,44 @@ def _(spark, d):
     refresh_if_new(spark, f"{d}/events*.parquet", schema, f"{base}/_stream", rebuild, fmt="parquet")
     return spark.read.parquet(f"{base}/mart").groupBy("event_type").agg(
         F.sum("events").alias("events"), F.round(F.sum("total") / F.sum("valued"), 6).alias("avg_value"))
+
+
+# ---------------------------------------------------------------- whole flows
+
+ATTITUDE_HEADERS = ["Gender", "Department", "Height(CM)", "Weight(KG)", "salary expectation", "Do you like your degree?"]
+RAW_ATTITUDE_SQL = """
+SELECT s_suppkey AS _row,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS r_gender,
+  CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE 'D' || CAST(s_nationkey AS STRING) END AS r_department,
+  CAST(150 + s_suppkey % 40 AS STRING) AS r_heightcm,
+  CASE WHEN s_suppkey % 21 = 0 THEN 'NA' ELSE CAST(50 + s_suppkey % 30 AS STRING) END AS r_weightkg,
+  CAST(1000 * (s_suppkey % 7) AS STRING) AS r_salary_expectation,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'Yes' ELSE 'no' END AS r_like_degree
+FROM supplier
+"""
+RAW_SOURCES = [("research", RAW_RESEARCH_SQL, RESEARCH_HEADERS), ("attitude", RAW_ATTITUDE_SQL, ATTITUDE_HEADERS),
+               ("performance", RAW_PERF_SQL, PERF_HEADERS)]
+
+
+def _layer_run_oracle():
+    ctes = [f"{n}_raw AS ({sql.replace(' AS STRING)', ' AS VARCHAR)')})" for n, sql, _h in RAW_SOURCES]
+    ctes += [f"{n}_bronze AS (SELECT DISTINCT * EXCLUDE (_row) FROM {n}_raw)" for n, _s, _h in RAW_SOURCES]
+    counts = [f"SELECT '{layer}' AS layer, '{n}' AS \"table\", count(*) AS rows FROM {n}_{layer}"
+              for layer in ("raw", "bronze") for n, _s, _h in RAW_SOURCES]
+    most = "(SELECT max(rows) FROM c WHERE layer = 'bronze')"
+    return ("WITH " + ", ".join(ctes) + ", c AS (" + " UNION ALL ".join(counts) + ") SELECT * FROM c "
+            + " ".join(f"UNION ALL SELECT '{layer}', '{t}', {most}"
+                       for layer, t in (("silver", "silver"), ("gold", "gold"), ("gold", "features"))))
+
+
+@q("layer_run", _layer_run_oracle())
+def _(spark, d):
+    """The whole flow from CSV files to warehouse and marts, every layer
+    written; the row counts of the layers as the written record has them."""
+    from strata.plans import student
+    base = _out(spark, "layers")
+    for name, sql, headers in RAW_SOURCES:
+        S.frame(spark, d, sql).toDF("_row", *headers).drop("_row").write.option("header", True).csv(f"{base}/raw/{name}")
+    status = student.write_layers(spark, base, f"{base}/raw/attitude", f"{base}/raw/research", f"{base}/raw/performance")
+    return status.select(F.explode("layers").alias("t")).select("t.layer", "t.table", "t.rows") \
+        .where("layer IN ('raw', 'bronze', 'silver', 'gold')")
