@@ -2,21 +2,24 @@
 
 A page is a list of tokens: tags, each in the path of its open elements, and
 text segments.  Over the pages of a host every token's occurrence vector is
-folded into one number (exclusive-or of hashes of page and count), so tokens
-with equal vectors - an equivalence class - meet under an equal key without
-any host's pages meeting in one task.  Classes that are large enough, found on
-enough pages and nested in one order are the host's template; the slots
-between template tokens hold its content.  A slot is boilerplate if an element
-around it is a menu, header, footer, sidebar, notice, advert, form, script or
-comment list, or if its text belongs to the template itself.
+folded into one number (exclusive-or of hashes of page and count), so tokens with equal vectors - an equivalence class - meet
+under an equal key without any host's pages meeting in one task.  Classes that
+are large enough, found on enough pages, in one order on every page and nested
+are the host's template; the slots between template tokens hold its content.
+A slot is boilerplate if its few contents come back on pages of different main
+texts, or if its text belongs to the template itself; tags and words of class,
+id and role (menu, header, footer, advert, form, comments) are hints beside it.
+With an article or main element, text outside of it is left out.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -27,6 +30,8 @@ from .common import if_small, pin, small_batches, with_fields
 
 #: Least pages behind a class, least share of the host's pages, least tokens in a class.
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 3, 0.5, 2
+#: Least mean length of a slot's texts that may be boilerplate; shorter ones that come back are values.
+MIN_CHARS = 20
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -135,54 +140,159 @@ def _text_key(path: str, text: str) -> int:
     return _hash(f"{path}\x00{' '.join(html_lib.unescape(text).split())}")
 
 
-def page_tokens(page: str | None) -> list[tuple[int, int, int, int, bool]]:
-    """(token, times, first place, depth, is text) of a page's distinct tokens."""
-    count: Counter[int] = Counter()
-    first: dict[int, tuple[int, int, bool]] = {}
+def page_tokens(page: str | None) -> tuple[list[int], list[int]]:
+    """(tokens in page order, sizes): a tag's size is 0, a text's its
+    characters, less than 0 if it is not an article's own."""
+    tokens: list[int] = []
+    sizes: list[int] = []
     path = ""
-    for i, (kind, value, _, _, _) in enumerate(walk(page or "")):
+    for kind, value, _, bad, art in walk(page or ""):
         if kind == "tag":
             if not value.startswith("/"):
                 path = value
-            h = _hash(value)
+            tokens.append(_hash(value))
+            sizes.append(0)
         elif value.strip():
-            h = _text_key(path, value)
-        else:
-            continue
-        count[h] += 1
-        first.setdefault(h, (i, path.count("/"), kind == "text"))
-    return [(h, c, *first[h]) for h, c in count.items()]
+            tokens.append(_text_key(path, value))
+            sizes.append(len(value) if art and not bad else -len(value))
+    return tokens, sizes
+
+
+def _folded(values: list[int]) -> int:
+    return xxhash.xxh3_64_intdigest(array("q", values).tobytes()) - (1 << 63)
+
+
+def page_content(tokens: list[int], sizes: list[int]) -> int:
+    """Equal for pages of one article, whatever stands around it; without an
+    article, for pages of the same texts."""
+    return _folded([t for t, n in zip(tokens, sizes) if n > 0] or [t for t, n in zip(tokens, sizes) if n < 0])
+
 
+def misplaced(tokens: list[int], classes: dict[int, tuple[int, int]]) -> set[int]:
+    """Tokens that leave their class's order on this page.
 
-def extract(page: str | None, template: frozenset[int] = frozenset()) -> str:
+    ``classes`` gives a token's class and place in it.  The k-th occurrences of
+    a class's tokens must come in the class's order, before the k+1-th; of each
+    class the longest part in order stays.
+    """
+    times: Counter[int] = Counter()
+    rows: dict[int, list[tuple[tuple[int, int], int]]] = {}
+    for t in tokens:
+        if t in classes:
+            c, place = classes[t]
+            times[t] += 1
+            rows.setdefault(c, []).append(((times[t], place), t))
+    out: set[int] = set()
+    for row in rows.values():
+        if all(x[0] < y[0] for x, y in zip(row, row[1:])):
+            continue
+        tails: list[tuple[int, int]] = []
+        ends: list[int] = []
+        back: list[int] = []
+        for i, (key, _) in enumerate(row):
+            at = bisect_left(tails, key)
+            tails[at:at + 1] = [key]
+            ends[at:at + 1] = [i]
+            back.append(ends[at - 1] if at else -1)
+        stay, i = set(), ends[-1]
+        while i >= 0:
+            stay.add(i)
+            i = back[i]
+        out |= {t for i, (_, t) in enumerate(row) if i not in stay}
+    return out
+
+
+def nesting(tokens: list[int], classes: dict[int, tuple[int, int]], size: dict[int, int]) -> list[tuple[int, int, int, int, int]]:
+    """(class, other, first slot, last slot, tuples inside) of classes whose
+    tuples begin in a slot of the other's; -1 as first slot if one does not end in it."""
+    opened: list[list[int]] = []  # class, tokens seen
+    found: dict[tuple[int, int], list[int]] = {}
+    for t in tokens:
+        if t not in classes:
+            continue
+        c = classes[t][0]
+        at = next((i for i in range(len(opened) - 1, -1, -1) if opened[i][0] == c), None)
+        if at is None:
+            for o, seen in opened:
+                f = found.setdefault((c, o), [seen, seen, 0])
+                f[0], f[1], f[2] = min(f[0], seen), max(f[1], seen), f[2] + 1
+            opened.append([c, 1])
+            continue
+        for o, _ in opened[at + 1:]:
+            found[o, c][0] = -1
+        opened[at][1] += 1
+        if opened[at][1] == size[c]:
+            del opened[at]
+    return [(c, o, *f) for (c, o), f in found.items()]
+
+
+def slots(tokens: list[int], sizes: list[int], template: Collection[int]) -> list[tuple[int, int, int, int]]:
+    """(template token before it, folded texts, characters, longest text of an
+    article's other slots) of each slot that holds text."""
+    found: list[tuple[int, int, int, tuple[int, int]]] = []
+    at, texts = 0, []
+    for t, n in zip([*tokens, None], [*sizes, 0]):
+        if t is None or t in template:
+            if texts:
+                found.append((at, _folded([x for _, x in texts]), sum(abs(k) for k, _ in texts), max(texts)))
+            at, texts = t, []
+        elif n:
+            texts.append((n, t))
+    most = sorted(((x[3], i) for i, x in enumerate(found)), reverse=True)[:2]
+    out = []
+    for i, (at, content, chars, _) in enumerate(found):
+        longest = next((m for m, j in most if j != i), (0, 0))
+        out.append((at, content, chars, longest[1] if longest[0] > 0 else page_content(tokens, sizes)))
+    return out
+
+
+#: What a template says of a token: it is part of it, its text is boilerplate
+#: outside an article, inside one too, the slot behind it holds boilerplate.
+PART, OUTSIDE, INSIDE, FIXED = 1, 2, 4, 8
+
+
+def extract(page: str | None, template: dict[int, int] | None = None) -> str:
     """The main text of a page, its blocks joined by newlines.
 
-    With an ``article`` or ``main`` element its content is the text; without,
-    every slot of the page is, unless its text is part of the host's template.
+    With an ``article`` or ``main`` element its slots are the text; without,
+    every slot of the page is.  Text of the host's template and slots that it
+    says hold boilerplate are left out, in an article too.
     """
     blocks: list[tuple[bool, str]] = []
     current: list[str] = []
-    inside = False
+    inside = kept = False
     path = ""
+    template = template or {}
+    slot = template.get(0, 0)
 
     def close():
+        nonlocal kept
         text = " ".join(html_lib.unescape("".join(current)).split())
-        if text:
+        if text and kept:
             blocks.append((inside, text))
         current.clear()
+        kept = False
 
     for kind, value, breaks, bad, art in walk(page or ""):
         if kind == "tag":
             if not value.startswith("/"):
                 path = value
+            if template:
+                slot = template.get(_hash(value), slot)
             if breaks:
                 close()
             continue
-        if bad or (not art and template and _text_key(path, value) in template):
+        left_out = False
+        if template and value.strip():
+            role = template.get(_text_key(path, value), 0)
+            slot = role or slot
+            left_out = bool(role & (INSIDE if art else OUTSIDE) or not role and slot & FIXED)
+        if bad or left_out and not art:
             continue
         if art != inside:
             close()
         inside = art
+        kept = kept or bool(value.strip()) and not left_out  # a sentence keeps a repeated word
         current.append(value)
     close()
     if any(a for a, _ in blocks):
@@ -194,44 +304,135 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template: array of text tokens that belong to the template).
-
-    ``pages`` has host, _page and html.  Folding is associative, so a host
-    with a third of all pages is reduced in every task before it is shuffled.
-    """
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "_llm_page", "token", "times", "place", "depth", "is_text"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+def _rows(fn, names: list[str], kinds: list[pa.DataType], *read: str):
+    """A mapInArrow function: the rows that ``fn`` gives for the values of ``read``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for host, key, page in zip(*(b.column(c).to_pylist() for c in ("host", "_llm_page", "html"))):
-                out += [(host, key, *t) for t in page_tokens(page)]
+            out: list[tuple] = []
+            for row in zip(*(b.column(c).to_pylist() for c in read)):
+                out += fn(*row)
                 if len(out) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
                     out = []
-            cols = list(zip(*out)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+            cols = list(zip(*out)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+    return run
+
+
+def page_contents(pages: DataFrame) -> DataFrame:
+    """(host, row, tokens, sizes) of each page.  ``pages`` has host and html."""
+    def read(host, page):
+        tokens, sizes = page_tokens(page)
+        return [(host, page_content(tokens, sizes), _folded(tokens), tokens, sizes)]
+
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+    found = pages.select("host", "html").mapInArrow(
+        _rows(read, ["host", "content", "whole", "tokens", "sizes"], [pa.string(), pa.int64(), pa.int64(), longs, ints],
+              "host", "html"), "host string, content long, whole long, tokens array<long>, sizes array<int>")
+    return pin(found.withColumn("row", F.monotonically_increasing_id()).select("host", "row", "tokens", "sizes"), "contents")
 
-    found = pages.select("host", "_llm_page", "html").mapInArrow(
-        tokens, "host string, _llm_page long, token long, times int, place int, depth int, is_text boolean")
+
+def _by_host(table: DataFrame, *columns: str) -> DataFrame:
+    """(host, what: array of ``columns``), in a fixed order."""
+    return pin(table.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("what")), "by-host")
+
+
+def deduce_templates(contents: DataFrame) -> DataFrame:
+    """(host, _llm_template: array of (token, role)) from ``page_contents``.
+
+    Folding is associative, so a host with a third of all pages is reduced in
+    every task before it is shuffled.
+    """
+    long, text = pa.int64(), pa.string()
+
+    def count(host, row, tokens, sizes):
+        size = dict(zip(tokens, sizes))
+        article = sum(n for n in sizes if n > 0)
+        where: dict[int, int] = {}
+        for i, t in enumerate(tokens):
+            where.setdefault(t, i)
+        return [(host, row, t, c, where[t], size[t], article) for t, c in Counter(tokens).items()]
+
+    found = contents.mapInArrow(
+        _rows(count, ["host", "row", "token", "times", "place", "size", "article"], [text, *[long] * 6],
+              "host", "row", "tokens", "sizes"),
+        "host string, row long, token long, times long, place long, size long, article long")
     vector = found.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("pages"), F.expr("bit_xor(xxhash64(_llm_page, times))").alias("vector"),
-        F.min("times").alias("least"), F.max("times").alias("most"),
-        F.avg("place").alias("place"), F.min("depth").alias("depth"), F.max("is_text").alias("is_text")) \
+        F.count(F.lit(1)).alias("pages"), F.expr("bit_xor(xxhash64(row, times))").alias("vector"),
+        F.avg("place").alias("place"), F.max("size").alias("size"),
+        F.sum(F.expr("times * greatest(size, 0)")).alias("own"), F.sum("article").alias("article")) \
         .where(F.col("pages") >= MIN_PAGES)
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    vector = vector.join(hosts, "host").where(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
-    # a class is valid if it has enough tokens and its tokens occur equally often
-    # on every page, so that they nest in one order: place by place, depth by depth
-    classes = vector.groupBy("host", "pages", "vector").agg(
-        F.count(F.lit(1)).alias("tokens"),
-        F.sort_array(F.collect_list(F.struct("place", "depth", "token", "is_text"))).alias("members"),
-        F.max(F.when(~F.col("is_text"), 1).otherwise(0)).alias("framed"))
-    valid = classes.where((F.col("tokens") >= MIN_TOKENS) & (F.col("framed") == 1))
-    texts = F.transform(F.filter("members", lambda m: m["is_text"]), lambda m: m["token"])
-    return valid.groupBy("host").agg(F.flatten(F.collect_list(texts)).alias("_llm_template")) \
-        .where(F.size("_llm_template") > 0)
+    hosts = contents.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    vector = pin(vector.join(hosts, "host").where(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
+                 .withColumn("class", F.xxhash64("pages", "vector")), "vectors")
+
+    def enough(members: DataFrame) -> DataFrame:
+        keep = members.groupBy("host", "class").agg(F.count(F.lit(1)).alias("n"), F.min(F.abs("size")).alias("least")) \
+            .where((F.col("n") >= MIN_TOKENS) & (F.col("least") == 0)).select("host", "class")
+        return members.join(keep, ["host", "class"], "left_semi")
+
+    def places(what) -> tuple[dict[int, tuple[int, int]], dict[int, int]]:
+        n: Counter[int] = Counter()
+        out = {}
+        for m in what:
+            out[m["token"]] = m["class"], n[m["class"]]
+            n[m["class"]] += 1
+        return out, n
+
+    def with_table(table: DataFrame, fn, names: list[str], kinds: list[pa.DataType], schema: str, *columns: str) -> DataFrame:
+        j = contents.join(if_small(_by_host(table, *columns), 4096), "host")
+        return j.mapInArrow(_rows(fn, names, kinds, "host", "tokens", "sizes", "what"), schema)
+
+    # order: tokens that leave their class's order on some page are no members
+    members = pin(enough(vector), "members")
+    wrong = with_table(members, lambda host, tokens, sizes, what: [(host, t) for t in misplaced(tokens, places(what)[0])],
+                       ["host", "token"], [text, long], "host string, token long", "class", "place", "token").distinct()
+    members = pin(enough(members.join(wrong, ["host", "token"], "left_anti")), "members")
+
+    # containment: of two classes that cross, or whose tuples lie in several
+    # slots of the other or partly outside, the one on fewer pages is none
+    def pairs(host, tokens, sizes, what):
+        at, n = places(what)
+        times = Counter(tokens)
+        all_tuples = {c: times[t] for t, (c, place) in at.items() if place == 0 and times[t]}
+        return [(host, *x) for x in nesting(tokens, at, n)] + [(host, c, c, 0, 0, k) for c, k in all_tuples.items()]
+
+    inside = pin(with_table(members, pairs, ["host", "class", "other", "low", "high", "n"], [text, *[long] * 5],
+                            "host string, class long, other long, low long, high long, n long", "class", "place", "token")
+                 .groupBy("host", "class", "other")
+                 .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")), "nesting")
+    total = inside.where("class = other").select("host", "class", F.col("n").alias("total"))
+    rank = members.groupBy("host", "class").agg(F.struct(F.max("pages"), F.count(F.lit(1)), F.col("class")).alias("rank"))
+    crossed = inside.where("class <> other").join(total, ["host", "class"]).where("low < 0 or low <> high or n <> total") \
+        .join(rank, ["host", "class"]).join(rank.select("host", F.col("class").alias("other"), F.col("rank").alias("other_rank")),
+                                            ["host", "other"]) \
+        .select("host", F.when(F.col("rank") < F.col("other_rank"), F.col("class")).otherwise(F.col("other")).alias("class"))
+    members = pin(members.join(crossed.distinct(), ["host", "class"], "left_anti"), "members")
+
+    # a class with most of its pages' article text is versions of an article, not its frame
+    share = members.groupBy("host", "class").agg((2 * F.sum("own") > F.max("article")).alias("versions"))
+    roles = members.join(share, ["host", "class"]).select("host", "token", (
+        F.lit(PART) + F.when(F.col("size") != 0, OUTSIDE).otherwise(0)
+        + F.when((F.col("size") != 0) & ~F.col("versions"), INSIDE).otherwise(0)).cast("long").alias("role"))
+
+    # slots: boilerplate if their few contents come back in pages of different main texts
+    def contents_of(host, tokens, sizes, what):
+        whole = sum(n for n in sizes if n > 0) or sum(map(abs, sizes))
+        return [(host, *s, whole) for s in slots(tokens, sizes, {m["token"] for m in what})]
+
+    fixed = with_table(members, contents_of, ["host", "token", "content", "chars", "body", "whole"], [text, *[long] * 5],
+                       "host string, token long, content long, chars long, body long, whole long", "class", "place", "token") \
+        .groupBy("host", "token", "content", "body").agg(F.max("chars").alias("chars"), F.max("whole").alias("whole")) \
+        .groupBy("host", "token", "content").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("whole").alias("whole")) \
+        .groupBy("host", "token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"),
+                                      F.sum("chars").alias("chars"), F.sum("whole").alias("whole")) \
+        .where((F.col("n") >= 2 * MIN_PAGES) & (F.col("n") >= MIN_PAGES * F.col("kinds"))
+               & (F.col("chars") >= MIN_CHARS * F.col("n")) & (2 * F.col("chars") <= F.col("whole"))) \
+        .select("host", "token", F.lit(FIXED).cast("long").alias("role"))
+    roles = roles.unionByName(fixed).groupBy("host", "token").agg(F.sum("role").alias("role"))
+    return roles.groupBy("host").agg(F.collect_list(F.struct("token", "role")).alias("_llm_template"),
+                                     F.max("role").alias("most")).where(F.col("most") > PART).drop("most")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -243,21 +444,15 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """
     small_batches(pages.sparkSession)
     names = [c for c in pages.columns if c not in ("text", "n_chars", "_llm_template", "_llm_host", "_llm_page")]
-    d = pages.select(*names, host_of(F.col("url")).alias("_llm_host"),
-                     F.xxhash64("page_id", "url", F.length("html")).alias("_llm_page"))
-    templates = pin(deduce_templates(d.select(F.col("_llm_host").alias("host"), "_llm_page", "html")), "templates")
-    j = d.join(if_small(templates.withColumnRenamed("host", "_llm_host"), 256), "_llm_host", "left")
+    d = pages.select(*names, host_of(F.col("url")).alias("_llm_host"))
+    templates = pin(deduce_templates(page_contents(d.select(F.col("_llm_host").alias("host"), "html"))), "templates")
+    j = d.join(if_small(templates.withColumnRenamed("host", "_llm_host"), 4096), "_llm_host", "left")
     columns = [*names, "_llm_template"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: dict[tuple, frozenset[int]] = {}
-            out = []
-            for page, t in zip(b.column(names.index("html")).to_pylist(), b.column(len(names)).to_pylist()):
-                key = tuple(t or ())
-                if key not in seen:
-                    seen[key] = frozenset(key)
-                out.append(extract(page, seen[key]))
+            out = [extract(page, {x["token"]: x["role"] for x in t or ()})
+                   for page, t in zip(b.column(names.index("html")).to_pylist(), b.column(len(names)).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:len(names)], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 [*names, "text", "n_chars"])

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from strata.llm import jaccard_join, packing, piece_encoding, quality, suffix_dedup, toxicity
-from strata.llm.html_extraction import extract, extract_pages, op4_html_extraction
+from strata.llm.html_extraction import extract, extract_pages, misplaced, nesting, op4_html_extraction
 
 
 # 1: substrings
@@ -242,6 +242,40 @@ def test_template_text_is_left_out(spark):
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string, text string")).count() == 0
 
 
+def texts_of_pages(spark, pages):
+    rows = [(i, f"http://h.example/{i}", p) for i, p in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_template_and_slots_decide_inside_an_article(spark):
+    adverts = ["Buy the first thing of this shop now.", "Get the second thing of this shop today."]
+    page = ("<html><body><article><h1>Title {0}</h1><p class=k>Share this page with others</p><p class=c>{1}</p>"
+            "<p class=d>{2}</p><p class=t>Body {0} is about <b>things</b> {0}{0} and it is long.</p></article></body></html>")
+    pages = [page.format(f"n{i}", ("red", "blue")[i % 2], adverts[i % 3 % 2]) for i in range(12)]
+    got = texts_of_pages(spark, pages)
+    for i in range(12):
+        assert got[i] == f"Title n{i}\n{('red', 'blue')[i % 2]}\nBody n{i} is about things n{i}n{i} and it is long."
+    # versions of an article are no frame, whatever they share
+    same = "".join(f"<p class=s{k}>Paragraph {k} of a text in versions.</p>" for k in range(5))
+    got = texts_of_pages(spark, [f"<body><article><h1>One title</h1>{same}<p class=z>v{i}</p></article></body>" for i in range(8)])
+    assert all(t.startswith("One title\nParagraph 0") and t.endswith(f"versions.\nv{i}") for i, t in got.items())
+
+
+def test_template_tokens_are_in_order_and_nest(spark):
+    classes = {1: (7, 0), 2: (7, 1), 3: (7, 2)}
+    assert misplaced([1, 9, 2, 3], classes) == set() == misplaced([1, 2, 3, 1, 2, 3], classes)
+    assert misplaced([3, 1, 2], classes) == {3} and misplaced([1, 1, 2, 2, 3, 3], classes) != set()
+    two = classes | {5: (8, 0), 6: (8, 1)}
+    size = {7: 3, 8: 2}
+    assert nesting([1, 2, 5, 6, 5, 6, 3], two, size) == [(8, 7, 2, 2, 2)]
+    assert nesting([1, 5, 2, 6, 3], two, size)[0][2] == -1 and nesting([5, 6, 1, 2, 3], two, size) == []
+    # a text that stands now before and now behind the others of its class is no template
+    page = "<body><div class=a>{}</div><div class=b>{}</div><p>{}</p></body>"
+    pages = [page.format(*(("Moves about", f"u{i}") if i % 2 else (f"u{i}", "Moves about")), f"t{i}") for i in range(8)]
+    moved = [p.replace("<div class=b>Moves about</div>", "<div class=b></div>Moves about") for p in pages]
+    assert all("u" + str(i) in t and "t" + str(i) in t for i, t in texts_of_pages(spark, moved).items())
+
+
 def test_pages_give_their_article(spark, sf):
     import html
     import re
