@@ -2,7 +2,8 @@
 
 A page is a list of tokens: tags, each in the path of its open elements, and
 text segments.  Over the pages of a host every token's occurrence vector is
-folded into one number (exclusive-or of hashes of page and count), so tokens with equal vectors - an equivalence class - meet
+folded into one number (exclusive-or of hashes of page and count; pages of one
+content count once), so tokens with equal vectors - an equivalence class - meet
 under an equal key without any host's pages meeting in one task.  Classes that
 are large enough, found on enough pages, in one order on every page and nested
 are the host's template; the slots between template tokens hold its content.
@@ -320,7 +321,8 @@ def _rows(fn, names: list[str], kinds: list[pa.DataType], *read: str):
 
 
 def page_contents(pages: DataFrame) -> DataFrame:
-    """(host, row, tokens, sizes) of each page.  ``pages`` has host and html."""
+    """(host, row, tokens, sizes) of one page of each host and content, so that
+    copies of a page are no evidence of a template.  ``pages`` has host and html."""
     def read(host, page):
         tokens, sizes = page_tokens(page)
         return [(host, page_content(tokens, sizes), _folded(tokens), tokens, sizes)]
@@ -329,7 +331,9 @@ def page_contents(pages: DataFrame) -> DataFrame:
     found = pages.select("host", "html").mapInArrow(
         _rows(read, ["host", "content", "whole", "tokens", "sizes"], [pa.string(), pa.int64(), pa.int64(), longs, ints],
               "host", "html"), "host string, content long, whole long, tokens array<long>, sizes array<int>")
-    return pin(found.withColumn("row", F.monotonically_increasing_id()).select("host", "row", "tokens", "sizes"), "contents")
+    found = pin(found.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    first = found.groupBy("host", "content").agg(F.min(F.struct("whole", "row")).alias("first")).select("first.row")
+    return pin(found.join(first, "row", "left_semi").select("host", "row", "tokens", "sizes"), "contents")
 
 
 def _by_host(table: DataFrame, *columns: str) -> DataFrame:

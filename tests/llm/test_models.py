@@ -247,6 +247,17 @@ def texts_of_pages(spark, pages):
     return {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<html><body><h1>A {0}</h1><div class=x><p>First of {0}.</p><p>Second of {0}.</p></div></body></html>"
+    want = "A {0}\nFirst of {0}.\nSecond of {0}."
+    assert set(texts_of_pages(spark, [page.format("one")] * 6).values()) == {want.format("one")}
+    names = ["one"] * 5 + ["two", "three"]  # copies are most of the pages, on a tag path of their own
+    pages = [page.format(n).replace("class=x", "class=y" if n == "one" else "class=x") for n in names]
+    assert list(texts_of_pages(spark, pages).values()) == [want.format(n) for n in names]
+    notes = [f"<body><!-- {i} --><nav>{i}</nav><article><h1>A</h1><p>Same text.</p></article></body>" for i in range(6)]
+    assert set(texts_of_pages(spark, notes).values()) == {"A\nSame text."}
+
+
 def test_template_and_slots_decide_inside_an_article(spark):
     adverts = ["Buy the first thing of this shop now.", "Get the second thing of this shop today."]
     page = ("<html><body><article><h1>Title {0}</h1><p class=k>Share this page with others</p><p class=c>{1}</p>"
