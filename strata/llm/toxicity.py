@@ -10,6 +10,7 @@ scoring tasks get.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -96,11 +97,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
     """Train on labelled rows whose crc32(doc_id as text) mod 5 is not 0.
 
     Null labels and ids are no labels; a doc_id labelled twice counts as toxic
-    if one label says so.  At most MAX_TOXIC + MAX_CLEAN rows are read.
+    if one label says so.  At most MAX_TOXIC + MAX_CLEAN rows are read; the bias
+    is put back to the classes' shares of all these labels.
     """
     known = (labels.where("toxic in (0, 1) and doc_id is not null")
              .where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
              .groupBy("doc_id").agg(F.max("toxic").alias("_y")).withColumn("_o", F.xxhash64("doc_id")))
+    counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     picked = known.where("_y = 1").orderBy("_o", "doc_id").limit(MAX_TOXIC).unionByName(
         known.where("_y = 0").orderBy("_o", "doc_id").limit(MAX_CLEAN))
     sample = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
@@ -117,6 +120,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
     table = sorted((r["k"], r["w"]) for r in rows)
     bias = next((w for k, w in table if k < 0), -8.0)
     table = [(k, w) for k, w in table if k >= 0]
+    if len(counts) == 2:
+        bias += math.log(counts[1] / min(counts[1], MAX_TOXIC)) - math.log(counts[0] / min(counts[0], MAX_CLEAN))
     return np.array([k for k, _ in table], np.int64), np.array([w for _, w in table]), bias
 
 

@@ -360,6 +360,21 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(a == b for a, b in held) / len(held) > 0.9
 
 
+def test_toxicity_keeps_the_share_of_all_labels(spark, monkeypatch):
+    rows = [(i, f"w{i % 7} w{i % 3} is {'bad' if i % 10 == 0 else 'good'}") for i in range(1, 1001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    used = spark.sql("select *, xxhash64(doc_id) as o from {t} where crc32(cast(doc_id as string)) % 5 <> 0", t=labels)
+    toxic, clean = (used.where(f"toxic = {y}") for y in (1, 0))
+    picked = toxic.orderBy("o").limit(40).unionByName(clean.orderBy("o").limit(60)).select("doc_id", "toxic")
+    keys, weights, bias = toxicity.fit_toxicity(docs, picked)
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 40)
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 60)
+    got = toxicity.fit_toxicity(docs, labels)
+    assert list(got[0]) == list(keys) and np.allclose(got[1], weights)
+    assert np.isclose(got[2], bias + np.log((toxic.count() / clean.count()) / (40 / 60)))
+
+
 def test_toxicity_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)] + [(None, 1)], "doc_id long, toxic int")
     out = toxicity.score_toxicity(odd, labels)
