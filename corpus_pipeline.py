@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import pin, shared_dir
+from strata.llm.common import pin, row_key, shared_dir
 from strata.llm.jaccard_join import link_documents
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.packing import pack
@@ -53,10 +53,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 over five-word
     shingles the one with the smallest doc_id stays; documents without words
-    or without a doc_id are linked with nothing and stay."""
-    groups = link_documents(docs.select("doc_id", "text"), n=5, num=80, den=100)
-    gone = pin(groups.where("doc_id <> component_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    or without a doc_id are linked with nothing and stay.  Texts that share a
+    doc_id are documents of their own; of linked ones under one doc_id the one
+    with the smallest text hash stays."""
+    key = ["_llm_id", "_llm_th"]
+    rows = docs.select("doc_id", "text", *row_key(F.col("text"), F.col("doc_id")))
+    firsts = rows.where("doc_id is not null").groupBy("_llm_id").agg(F.min("_llm_th").alias("first"), F.max("_llm_th").alias("last"))
+    several = pin(firsts.where("first < last"), "several")
+    if several.limit(1).count() == 0:
+        groups = link_documents(docs.select("doc_id", "text"), n=5, num=80, den=100)
+        gone = pin(groups.where("doc_id <> component_id").select("doc_id").distinct(), "duplicates")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # every further text of a doc_id is linked under a number of its own
+    rows = rows.join(several, "_llm_id", "left").withColumn("node", F.when(
+        F.col("_llm_th") > F.col("first"), F.xxhash64(*key)).otherwise(F.col("doc_id").cast("long")))
+    groups = link_documents(rows.select(F.col("node").alias("doc_id"), "text"), n=5, num=80, den=100)
+    linked = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("node"), F.col("component_id").alias("group"))
+    linked = linked.unionByName(linked.select(F.col("group").alias("node"), "group")).distinct()
+    members = pin(rows.where("doc_id is not null").select("node", *key).distinct().join(linked, "node"), "linked")
+    stays = members.groupBy("group").agg(F.min(F.struct(*key)).alias("stays"))
+    gone = pin(members.join(stays, "group").where(F.struct(*key) != F.col("stays")).select(*key).distinct(), "duplicates")
+    kept = docs.select("*", *row_key(F.col("text"), F.col("doc_id"))).join(gone, key, "left_anti")
+    return kept.select(*docs.columns)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,14 @@ def test_stages_follow_their_operators(spark, sf):
     assert check_packing(out, rows) == 0
 
 
+def test_texts_under_one_doc_id_stay_apart(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (4, c), (4, a), (3, c), (7, None), (7, b), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()}
+    assert got == {(1, a), (2, b), (3, c), (7, None), (None, a)}
+
+
 def test_run_and_odd_rows(spark, sf, odd, nothing):
     assert corpus_pipeline.run(spark, sf).count() > 0
     for docs in (odd, nothing):
