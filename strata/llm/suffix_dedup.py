@@ -216,6 +216,11 @@ def _runs(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     return list(zip(lo.tolist(), hi.tolist()))
 
 
+def salt_of(doc_id: int, text_hash: int, lo: int, salts: int) -> int:
+    """A suffix's salt, even for ids and places in steps."""
+    return xxhash.xxh3_64_intdigest(b"%d %d %d" % (doc_id, text_hash, lo)) % salts if salts > 1 else 0
+
+
 def _settled(rows: list[tuple], window: int) -> list[tuple]:
     """Result rows (_id, _th, lo, hi, w) of whole (gram, salt) groups of
     (gram, salt, salts, _id, _th, lo, left, context)."""
@@ -311,7 +316,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
                     gram, at, salts = a["gram"], a["at"], a["salts"]
                     pos = at >> 16
                     hi, lo = pos - (at >> 8 & 255), pos - (at & 255)
-                    salt = (i * 31 + lo * 7 + t) % salts if salts > 1 else 0
+                    salt = salt_of(i, t, lo, salts)
                     out.append((gram, salt, salts, i, t, lo, pos - lo, raw[lo:hi + window]))
                 if len(out) >= 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*out), types)], names)

@@ -35,6 +35,12 @@ def test_substrings_equal_brute_force(spark, sf, texts):
     assert got == dict(zip(texts, brute_removed(texts.values(), 200)))
 
 
+def test_salts_are_even():
+    for step, salts in ((1, 31), (1, 62), (31, 10), (64, 64)):
+        count = Counter(suffix_dedup.salt_of(i * step, 0, 0, salts) for i in range(500 * salts))
+        assert len(count) == salts and max(count.values()) < 650
+
+
 @pytest.mark.parametrize("salt", [2000, 3])
 def test_shared_passages_under_salt(spark, monkeypatch, salt):
     monkeypatch.setattr(suffix_dedup, "SALT_ROWS", salt)
