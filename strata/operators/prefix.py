@@ -51,7 +51,7 @@ def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = N
         offsets = offsets.withColumn(total, F.sum("_rt_tot").over(seg_tot))
     offsets = offsets.drop("_rt_tot")
 
-    local = Window.partitionBy("_rt_pid", *seg).orderBy(*order).rowsBetween(
+    local = Window.partitionBy("_rt_pid", *seg).orderBy(*[F.col(c).asc_nulls_last() for c in order]).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranged = ranged.withColumn("_rt_loc", F.sum("_rt_w").over(local))
     o = offsets.alias("_rt_o")

@@ -12,8 +12,13 @@ default of pandas, numpy and DuckDB ``quantile_cont``).  Without groups:
    for the values that straddle the wanted ranks.
 
 If a rank should lie outside its bracket, every value is counted instead.
-With groups step 2 counts every (group, value), map-side combined; a group
-holding a third of all rows is split over many tasks.
+
+With groups the brackets are a table (``bracket_table``): a mergeable sketch
+per salted slice of a group, merged per group, read at the wanted ranks.  The
+brackets of the largest groups (``BRACKETS`` in all, so the table that is
+broadcast is bounded) reduce their cells before any shuffle to one count a gap
+and task; all other groups have few cells each and count every value.  A group
+whose rank lies outside its bracket is counted again in full.
 
 No step holds a whole group in one task.  ``method="approx"`` switches to
 ``percentile_approx`` (a bounded sketch per group) when speed matters more than
@@ -29,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.prefix import running_total
+from strata.session import checkpoint
 
 
 def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str],
@@ -68,8 +74,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
         rows = _bracketed(df, list(columns), probs)
         if rows is not None:
             return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
-    counts = long.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    picked = _at_ranks(counts, probs, by)
+        counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        picked = _at_ranks(counts, probs, by)
+    else:
+        picked = _grouped(df, list(columns), probs, by)
     value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return picked.select(*by, F.col("_col").alias("column"), F.col("_p").alias("p"),
                          F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(value).alias("value"))
@@ -77,8 +85,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
 
 def _at_ranks(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """(by..., _col, _p, _vlo, _vhi, _frac) from value counts (by..., _col,
-    _v, _c)."""
-    cum = running_total(counts, ["_v"], "_c", [*by, "_col"], output="_cum", total="_n")
+    _v, _c).  Counts of values between brackets have a ``_gap``: they are
+    ordered by (_gap, _v) and a rank that falls on one gives ``_missed``."""
+    gaps = "_gap" in counts.columns
+    cum = running_total(counts, ["_gap", "_v"] if gaps else ["_v"], "_c", [*by, "_col"], output="_cum", total="_n")
     first = F.col("_cum") - F.col("_c")
 
     def straddles(rank):
@@ -102,7 +112,97 @@ def _at_ranks(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> D
             .groupBy(*by, "_col", "_p")
             .agg(F.max(F.when(has_lo, F.col("_v"))).alias("_vlo"),
                  F.max(F.when(has_hi, F.col("_v"))).alias("_vhi"),
-                 F.max(F.col("_h") - F.col("_lo")).alias("_frac")))
+                 F.max(F.col("_h") - F.col("_lo")).alias("_frac"),
+                 *([F.bool_or(F.col("_gap") % 2 == 0).alias("_missed")] if gaps else [])))
+
+
+#: Size of a group's sketch (its rank error is about ERROR), a bracket's half
+#: width in such errors, salts of a group, brackets that are broadcast at most.
+KLL_K, ERROR, WIDTH, SALTS, BRACKETS = 4_000, 0.001, 2.5, 32, 200_000
+
+
+def sketch_state(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), k: int = KLL_K) -> DataFrame:
+    """(by..., n0, s0, n1, s1, ...): count and KLL sketch of each column.
+
+    Rows are salted, so a dominant group's sketches are merged by many tasks
+    first; the salt is the task's, no row moves before it is in a sketch.
+    """
+    cells = [_cell(c).alias(f"_c{i}") for i, c in enumerate(columns)]
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("_salt")
+    parts = df.select(*by, salt, *cells).groupBy(*by, "_salt").agg(*[x for i in range(len(columns)) for x in (
+        F.count(f"_c{i}").alias(f"n{i}"), F.kll_sketch_agg_double(f"_c{i}", k).alias(f"s{i}"))])
+    return merge_sketch_states(parts, len(columns), by, k)
+
+
+def merge_sketch_states(parts: DataFrame, columns: int, by: Sequence[str] = (), k: int = KLL_K) -> DataFrame:
+    return parts.groupBy(*by).agg(*[x for i in range(columns) for x in (
+        F.sum(f"n{i}").alias(f"n{i}"), F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}"))])
+
+
+def bracket_table(state: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., b0, b1, ...): per column the brackets [lo, hi] around the wanted
+    ranks, one per probability in ascending order (they may overlap); null for
+    a column of fewer than SKETCH values."""
+    ends = [e for p in sorted(map(float, probs)) for e in (max(0.0, p - WIDTH * ERROR), min(1.0, p + WIDTH * ERROR))]
+    ranks = F.array(*map(F.lit, ends))
+
+    def brackets(i: int) -> Column:
+        at = F.when(F.col(f"n{i}") >= SKETCH, F.kll_sketch_get_quantile_double(f"s{i}", ranks))
+        pairs = F.array(*[F.struct(F.element_at(at, 2 * j + 1).alias("lo"), F.element_at(at, 2 * j + 2).alias("hi"))
+                          for j in range(len(ends) // 2)])
+        return F.when(at.isNotNull(), pairs)
+
+    return state.select(*by, *[brackets(i).alias(f"b{i}") for i in range(len(columns))])
+
+
+def placed_counts(df: DataFrame, brackets: DataFrame, columns: Sequence[str], n_brackets: int,
+                  by: Sequence[str] = ()) -> DataFrame:
+    """(by..., _col, _gap, _v, _c): cells inside a bracket by value under the odd
+    number of their bracket, all others as one count per even gap number; groups
+    without brackets by value.
+
+    The brackets are broadcast: at most BRACKETS pairs of doubles and a hash of
+    the group's key.  Any bracket is sound, so groups whose hashes collide may
+    share one: a rank outside it is noticed.
+    """
+    cells = df.select(*by, *[_cell(c).alias(f"_c{i}") for i, c in enumerate(columns)])
+    if by:
+        small = brackets.select(F.xxhash64(*by).alias("_key"), *[f"b{i}" for i in range(len(columns))]).dropDuplicates(["_key"])
+        cells = cells.withColumn("_key", F.xxhash64(*by)).join(F.broadcast(small), "_key", "left")
+        at = [[(F.col(f"b{i}")[j]["lo"], F.col(f"b{i}")[j]["hi"]) for j in range(n_brackets)] for i in range(len(columns))]
+    else:  # one row of brackets, as literals
+        row = brackets.first()
+        at = [[(F.lit(x["lo"]), F.lit(x["hi"])) for x in (row[f"b{i}"] if row and row[f"b{i}"] else [])] for i in range(len(columns))]
+        cells = cells.withColumns({f"b{i}": F.lit(True if at[i] else None) for i in range(len(columns))})
+
+    def place(i: int) -> Column:
+        v = F.col(f"_c{i}")
+        gap, inside = F.when(F.col(f"b{i}").isNull(), F.lit(1)), F.when(F.col(f"b{i}").isNull(), v)
+        for j, (lo, hi) in enumerate(at[i]):
+            gap = gap.when(v < lo, F.lit(2 * j)).when(v <= hi, F.lit(2 * j + 1))
+            inside = inside.when(v < lo, None).when(v <= hi, v)
+        return F.struct(F.lit(columns[i]).alias("_col"), gap.otherwise(2 * n_brackets).alias("_gap"),
+                        inside.alias("_v"), v.isNotNull().alias("_has"))
+
+    long = cells.select(*by, F.explode(F.array(*map(place, range(len(columns))))).alias("_x")).select(*by, "_x.*").where("_has")
+    return long.groupBy(*by, "_col", "_gap", "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _grouped(df: DataFrame, columns: list[str], probs: Sequence[float], by: list[str]) -> DataFrame:
+    """``_at_ranks`` of every group and column, from cells inside brackets."""
+    state = sketch_state(df, columns, by)
+    size = F.greatest(*[F.col(f"n{i}") for i in range(len(columns))]) if len(columns) > 1 else F.col("n0")
+    # the largest groups get brackets; the sketches themselves are not kept
+    found = bracket_table(state.where(size >= SKETCH).withColumn("_size", size), columns, probs, [*by, "_size"])
+    large = checkpoint(found.orderBy(F.desc("_size"), F.xxhash64(*by)).limit(BRACKETS // (len(columns) * len(list(probs)))))
+    picked = checkpoint(_at_ranks(placed_counts(df, large, columns, len(list(probs)), by), probs, by))
+    missed = picked.where("_missed").select(*[F.col(b).alias(f"_m_{b}") for b in by], F.col("_col").alias("_m_col")).distinct()
+    if missed.isEmpty():
+        return picked
+    same = [F.col(b).eqNullSafe(F.col(f"_m_{b}")) for b in by] + [F.col("_col") == F.col("_m_col")]
+    again = _long_form(df, columns, by).join(missed, same, "left_semi")
+    full = _at_ranks(again.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c")), probs, by)
+    return picked.join(missed, same, "left_anti").drop("_missed").unionByName(full)
 
 
 #: Values a sketch resolves (its rank error is one of them), and a bracket's half width in such errors.

@@ -1,11 +1,14 @@
 """Wide correlations, bracketed quantiles and identical rows against pandas."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import prefix, profile, quantiles
+from strata.operators import quantiles as Q
 
 
 def test_wide_correlation_with_nulls_and_a_constant(spark):
@@ -50,3 +53,50 @@ def test_identical_rows_are_numbered_over_several_partitions(spark):
     assert set(rows[rows["x"] == 2]["row_id"]) == set(range(20001, 20051))
     hot = out.where("x = 1").select(F.spark_partition_id().alias("p")).distinct().count()
     assert hot > 1
+
+
+def _grouped_by_pandas(rows, probs):
+    pdf = pd.DataFrame(rows, columns=["g", "v", "w"])
+    out = {}
+    for col in ("v", "w"):
+        for g, part in pdf.groupby("g", dropna=False):
+            x = part[col].dropna().astype(float)
+            for p in probs:
+                if len(x):
+                    out[(None if g is None or g != g else g, col, p)] = float(np.quantile(x, p))
+    return out
+
+
+def test_grouped_quantiles_by_brackets(spark, monkeypatch):
+    """A hot group, many small ones, a null one, constants and nulls; every
+    path: brackets, few brackets, brackets that miss."""
+    rng = random.Random(12)
+    rows = [("hot", rng.gauss(0, 9), float(rng.randrange(4))) for _ in range(9000)]
+    rows += [(None, rng.random(), None) for _ in range(3000)] + [("flat", 2.5, 1.0)] * 4000
+    rows += [(f"s{i % 50}", rng.random(), rng.choice((None, float("nan"), 1.0))) for i in range(900)]
+    rng.shuffle(rows)
+    clean = [(g, v, None if w is None or w != w else w) for g, v, w in rows]
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(6)
+    probs = [0.0, 0.25, 0.5, 0.9]
+    want = _grouped_by_pandas(clean, probs)
+
+    def got():
+        return {(r["g"], r["column"], r["p"]): r["value"] for r in Q.quantiles(df, ["v", "w"], probs, ["g"]).collect()}
+
+    counted = []
+    real = Q.placed_counts
+    monkeypatch.setattr(Q, "placed_counts", lambda *a: counted.append(real(*a)) or counted[-1])
+    assert got() == pytest.approx(want)
+    kept = counted[0].where("g = 'hot' and _col = 'v'").count()
+    assert kept < 9000 * 0.1  # of 9,000 distinct values only those near the ranks travel
+    monkeypatch.setattr(Q, "BRACKETS", 8)  # one group gets brackets
+    assert got() == pytest.approx(want)
+    monkeypatch.setattr(Q, "BRACKETS", 200_000)
+    real_table = Q.bracket_table
+
+    def wrong(state, columns, probs, by=()):
+        shifted = F.transform("b0", lambda b: F.struct((b["lo"] + 1e6).alias("lo"), (b["hi"] + 1e6).alias("hi")))
+        return real_table(state, columns, probs, by).withColumn("b0", shifted)
+
+    monkeypatch.setattr(Q, "bracket_table", wrong)
+    assert got() == pytest.approx(want)
