@@ -1428,6 +1428,39 @@ def _(spark, d):
         F.sum("events").alias("events"), F.round(F.sum("total") / F.sum("valued"), 6).alias("avg_value"))
 
 
+REFRESH_ORACLE = f"""{EV}, c AS (
+  SELECT event_type, 'value' AS "column", CAST(value AS DOUBLE) AS v FROM ev
+  UNION ALL SELECT event_type, 'user_id', CAST(user_id AS DOUBLE) FROM ev),
+f AS (SELECT event_type, "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+      FROM c WHERE v IS NOT NULL GROUP BY ALL)
+SELECT event_type, "column", q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper, NULL::BIGINT AS missing, NULL::BIGINT AS n_unique FROM f
+UNION ALL SELECT NULL, 'event_type', NULL, NULL, NULL, NULL, NULL, count(*) - count(event_type),
+  count(DISTINCT event_type) + CAST(count(*) > count(event_type) AS INT) FROM ev
+UNION ALL SELECT NULL, 'user_id', NULL, NULL, NULL, NULL, NULL, count(*) - count(user_id),
+  count(DISTINCT user_id) + CAST(count(*) > count(user_id) AS INT) FROM ev
+UNION ALL SELECT NULL, 'props', NULL, NULL, NULL, NULL, NULL, count(*) - count(props),
+  count(DISTINCT props) + CAST(count(*) > count(props) AS INT) FROM ev"""
+
+
+@q("refresh_statistics", REFRESH_ORACLE, ["q1", "median", "q3", "lower", "upper"])
+def _(spark, d):
+    """Order statistics and distinct counts of all events after two refreshes
+    of a raw folder that grows, from mergeable state."""
+    from strata.streaming.incremental import refresh_if_new
+    from strata.streaming.statistics import StatisticsMart
+    base = _out(spark, "statistics")
+    mart = StatisticsMart(f"{base}/mart", ["value", "user_id"], ["event_type"], ["event_type", "user_id", "props"])
+    events = ev(spark, d)
+    for half in (0, 1):  # the folder gets one half of the rows, then the other
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{base}/raw")
+        refresh_if_new(spark, f"{base}/raw", events.schema, f"{base}/_stream", mart.add, fmt="parquet")
+    med = mart.medians(spark).select(F.col("event_type").alias("_e"), F.col("column").alias("_c"), F.col("value").alias("median"))
+    order = mart.fences(spark).join(med, F.col("event_type").eqNullSafe(F.col("_e")) & (F.col("column") == F.col("_c")))
+    order = order.select("event_type", "column", "q1", "median", "q3", "lower", "upper")
+    audit = mart.audit(spark).select("column", F.col("missing_count").alias("missing"), "n_unique")
+    return order.unionByName(audit, allowMissingColumns=True)
+
+
 # ---------------------------------------------------------------- whole flows
 
 ATTITUDE_HEADERS = ["Gender", "Department", "Height(CM)", "Weight(KG)", "salary expectation", "Do you like your degree?"]
