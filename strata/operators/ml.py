@@ -16,12 +16,12 @@ from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, Standard
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import expressions as X
-from strata.operators.prefix import with_row_number
+from strata.session import checkpoint, if_small
 
 
 #: Spark's limit on the depth of a tree.
@@ -98,22 +98,86 @@ def _ceil_div(n: Column, frac: float) -> Column:
     return F.floor((n * F.lit(fr.numerator) + F.lit(fr.denominator - 1)) / F.lit(fr.denominator)).cast("long")
 
 
+#: Bits of a row's split order that are compared as a number, bits a selection
+#: pass looks at, and rows of a group below which they are sorted.
+HASH_BITS, PASS_BITS, SORT_ROWS = 60, 14, 10_000
+
+
+def hash_cuts(rows: DataFrame, by: Sequence[str], wanted: Mapping[str, Column]) -> DataFrame:
+    """(by..., n, and per wanted rank ``<name>_h``, ``<name>_id``): the row of that
+    rank (1-based, a column over ``n``) in the order of (_h, _id) of each group.
+
+    ``rows`` has by..., _b (the order's leading HASH_BITS as a long), _h and
+    _id.  Passes narrow each wanted rank to the slice of _b that holds it, by
+    counts per slice (2 ** PASS_BITS a rank and pass, combined map-side); what
+    is left is a few rows a rank, which are ordered.  No row moves before that.
+    A rank of 0 has no row.
+    """
+    shift = HASH_BITS - PASS_BITS
+    counts = checkpoint(rows.groupBy(*by, F.shiftright("_b", shift).alias("_s")).agg(F.count(F.lit(1)).alias("_c")))
+    sizes = counts.groupBy(*by).agg(F.sum("_c").alias("n"))
+    ask = sizes.select(*by, "n", F.explode(F.array(*[F.struct(F.lit(k).alias("_w"), v.cast("long").alias("_r"))
+                                                      for k, v in wanted.items()])).alias("x")).select(*by, "n", "x.*")
+    ask = ask.where("_r > 0").select(*by, "_w", "_r")
+    slices = _same(counts, ask, by)
+    while True:
+        run = Window.partitionBy(*by, "_w").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        at = checkpoint(slices.withColumn("_to", F.sum("_c").over(run)).where((F.col("_to") >= F.col("_r")) & (F.col("_to") - F.col("_c") < F.col("_r")))
+                        .select(*by, "_w", "_s", (F.col("_r") - F.col("_to") + F.col("_c")).alias("_r"), "_c"))
+        most = at.agg(F.max("_c").alias("m")).first()["m"] or 0
+        here = _same(rows.withColumn("_s", F.shiftright("_b", shift)), if_small(at.drop("_c")), [*by, "_s"])
+        if most <= SORT_ROWS or shift == 0:
+            break
+        step = min(PASS_BITS, shift)
+        shift -= step
+        slices = here.groupBy(*by, "_w", "_r", F.shiftright("_b", shift).alias("_s")).agg(F.count(F.lit(1)).alias("_c"))
+    # equal (_h, _id) are counted, so that a repeated id is one row here
+    few = here.groupBy(*by, "_w", "_r", "_h", "_id").agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*by, "_w").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = few.withColumn("_to", F.sum("_c").over(run)).where((F.col("_to") >= F.col("_r")) & (F.col("_to") - F.col("_c") < F.col("_r")))
+    cuts = cut.groupBy(*by).agg(*[x for k in wanted for x in (
+        F.max(F.when(F.col("_w") == k, F.col("_h"))).alias(f"{k}_h"), F.max(F.when(F.col("_w") == k, F.col("_id"))).alias(f"{k}_id"))])
+    return _same(sizes, cuts, by, "left")
+
+
+def _same(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULL equal to NULL; ``right`` has one row a key and rank."""
+    named = right.select(*[F.col(c).alias(f"_k_{c}") if c in by else F.col(c) for c in right.columns])
+    return left.join(named, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by], how).drop(*[f"_k_{c}" for c in by])
+
+
 def stratified_split(df: DataFrame, id_col: str, label: str | None = None, test: float = 0.2,
                      validation: float = 0.25, seed: int = 42, output: str = "split") -> DataFrame:
-    """Deterministic per-class split: rank rows by md5(id ‖ seed) within class;
+    """Deterministic per-class split in the order of md5(id ‖ seed) within class:
     the first ⌈test·n⌉ go to test, the next ⌈validation·(n − n_test)⌉ to
-    validation, the rest to train.  ``label=None`` gives a plain random split."""
-    by = [label] if label else []
+    validation, the rest to train.  ``label=None`` gives a plain random split.
+
+    The last row of each part is selected per class (``hash_cuts``); a row's
+    part is then a comparison with its class's cuts, and no row is shuffled
+    where the cuts (one row a class) are broadcast by their measured size.
+    Rows that share an id fall into the same part, so a cut that lies among them
+    takes all of them.
+    """
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
-    ranked = with_row_number(df.withColumn("_sp_h", h), ["_sp_h", id_col], "_sp_r", partition_by=by)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_sp_n"))
-    j = (ranked.join(sizes.withColumnRenamed(label, "_sp_c"), F.col(label).eqNullSafe(F.col("_sp_c"))).drop("_sp_c")
-         if by else ranked.withColumn("_sp_n", sizes.select("_sp_n").scalar()))
-    n_test = _ceil_div(F.col("_sp_n"), test)
-    n_val = _ceil_div(F.col("_sp_n") - n_test, validation) if validation else F.lit(0)
-    split = (F.when(F.col("_sp_r") <= n_test, "test")
-             .when(F.col("_sp_r") <= n_test + n_val, "validation").otherwise("train"))
-    return j.withColumn(output, split).drop("_sp_h", "_sp_r", "_sp_n")
+    bits = F.conv(F.substring(h, 1, HASH_BITS // 4), 16, 10).cast("long")
+    by = ["_class"]
+    rows = df.select((F.col(label) if label else F.lit(0)).alias("_class"), bits.alias("_b"), h.alias("_h"), F.col(id_col).alias("_id"))
+    n_test = _ceil_div(F.col("n"), test)
+    n_val = _ceil_div(F.col("n") - n_test, validation) if validation else F.lit(0)
+    cuts = hash_cuts(rows, by, {"test": n_test, "val": n_test + n_val})
+
+    def upto(h_cut: Column, id_cut: Column) -> Column:
+        return F.coalesce((F.col("_h") < h_cut) | ((F.col("_h") == h_cut) & (F.col(id_col) <= id_cut)), F.lit(False))
+
+    hashed = df.withColumn("_h", h)
+    if label:
+        hashed = hashed.join(if_small(checkpoint(cuts.drop("n"))), F.col(label).eqNullSafe(F.col("_class")), "left")
+        ends = [(F.col(f"{k}_h"), F.col(f"{k}_id")) for k in ("test", "val")]
+    else:
+        row = cuts.first()  # one class
+        ends = [tuple(F.lit(row[f"{k}_{x}"] if row else None) for x in ("h", "id")) for k in ("test", "val")]
+    split = F.when(upto(*ends[0]), "test").when(upto(*ends[1]), "validation").otherwise("train")
+    return hashed.select(*[F.col(f"`{c}`") for c in df.columns if c != output], split.alias(output))
 
 
 def random_split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42, output: str = "split") -> DataFrame:

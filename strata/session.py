@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -67,3 +68,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and pins partition contents."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Bytes (as text) up to which a measured table is marked for broadcast.
+SMALL_BYTES = 8 << 20
+
+
+def if_small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its rows, measured by a job, take at most
+    ``limit`` bytes as text; else as it is, for a shuffle join.  Pass a table
+    that is pinned and cheap to read."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16).alias("b")).first()["b"] or 0
+    return F.broadcast(df) if size <= limit else df

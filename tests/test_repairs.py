@@ -56,3 +56,31 @@ def test_rows_are_numbered_in_file_order(spark, tmp_path):
 def test_duplicates_are_found_on_typed_values(spark):
     raw = spark.createDataFrame([("1", "a", 0), ("1.0", "a", 1), ("2", "b", 2)], "student_id string, major string, _row long")
     assert student.clean_performance(raw).count() == 2
+
+
+def test_split_by_selection_equals_full_order(spark, monkeypatch):
+    """Cuts found by narrowing slices are those of the full order; repeated ids
+    stay together; the rows are not shuffled."""
+    import hashlib
+    import math
+    rows = [(i, None if i % 11 == 0 else i % 3) for i in range(2500)]
+    df = spark.createDataFrame(rows, "id long, y int")
+
+    def brute(cls):
+        order = sorted((i for i, y in rows if y == cls), key=lambda i: (hashlib.md5(f"{i}42".encode()).hexdigest(), i))
+        n = len(order)
+        t = math.ceil(n / 5)
+        v = t + math.ceil((n - t) / 4)
+        return {i: "test" if r < t else "validation" if r < v else "train" for r, i in enumerate(order)}
+
+    want = {i: s for cls in (None, 0, 1, 2) for i, s in brute(cls).items()}
+    for sort_rows in (10_000, 1):  # sorted at once, or narrowed to single rows first
+        monkeypatch.setattr(ml, "SORT_ROWS", sort_rows)
+        out = ml.stratified_split(df, "id", "y")
+        assert {r["id"]: r["split"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    hot = spark.createDataFrame([(7, 1)] * 3000 + [(i, 1) for i in range(100, 1100)], "id long, y int")
+    parts = {(r["id"], r["split"]): r["n"] for r in ml.stratified_split(hot, "id", "y").groupBy("id", "split").agg(F.count("*").alias("n")).collect()}
+    assert len(parts) == 1001 and sum(parts.values()) == 4000
+    assert ml.random_split(hot.where("id < 0"), "id").count() == 0
