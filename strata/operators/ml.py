@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import expressions as X
+from strata.operators.quantiles import medians
 from strata.session import checkpoint, if_small
 
 
@@ -41,6 +42,11 @@ def category_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return out
 
 
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact median per column (one row each, distributed); none for columns without a value."""
+    return {r["column"]: r["value"] for r in medians(df, columns).collect()} if columns else {}
+
+
 def _fill_modes(modes: Mapping[str, str]) -> SQLTransformer:
     def lit(v):
         return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -48,16 +54,30 @@ def _fill_modes(modes: Mapping[str, str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
 
 
+def _fill_medians(columns: Sequence[str], values: Mapping[str, float]) -> SQLTransformer:
+    """Stored medians for missing and NaN cells (0 where a column had no value)."""
+    cols = ", ".join(f"coalesce(CASE WHEN NOT isnan(`{c}`) THEN `{c}` END, CAST('{float(values.get(c, 0.0))!r}' AS DOUBLE)) "
+                     f"AS `{c}__imp`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
+
+
 def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str],
-                       output: str = "features", modes: Mapping[str, str] | None = None) -> list:
-    """Exact median impute + standardise numerics (with the sample standard
+                       output: str = "features", modes: Mapping[str, str] | None = None,
+                       medians: Mapping[str, float] | None = None) -> list:
+    """Median impute + standardise numerics (with the sample standard
     deviation); fill NULL categories with ``modes``; index (unknown → extra
-    slot that one-hot drops, i.e. all zeros) + one-hot; assemble."""
+    slot that one-hot drops, i.e. all zeros) + one-hot; assemble.
+
+    ``medians`` (``column_medians``) are stored in the pipeline as literals, so
+    they are exact and no column's values reach the driver; without them Spark's
+    imputer fills the median of a bounded sketch.
+    """
     stages = []
     num_out = []
     if numeric:
         imp = [f"{c}__imp" for c in numeric]
-        stages.append(Imputer(strategy="median", relativeError=0.0, inputCols=list(numeric), outputCols=imp))
+        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imp) if medians is None
+                      else _fill_medians(numeric, medians))
         stages.append(VectorAssembler(inputCols=imp, outputCol="_num_vec", handleInvalid="keep"))
         stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
         num_out = ["_num_scaled"]
@@ -208,7 +228,7 @@ def fit_candidates(train: DataFrame, features: Sequence[str], label: str, weight
     to Spark's depth limit unless ``max_depth`` says otherwise."""
     num, cat = split_feature_types(train, features)
     train = prepare_numeric(train, num)
-    pre = build_preprocessor(num, cat, modes=category_modes(train, cat))
+    pre = build_preprocessor(num, cat, modes=category_modes(train, cat), medians=column_medians(train, num))
     total_w = train.agg(F.sum(weight)).first()[0] or 1.0
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=max_iter,
                             regParam=1.0 / float(total_w), elasticNetParam=0.0, standardization=False)
@@ -225,7 +245,8 @@ def fit_regressor(train: DataFrame, features: Sequence[str], label: str, num_tre
     train = prepare_numeric(train, num).withColumn(label, F.col(label).cast("double"))
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
                                minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=max_depth)
-    return Pipeline(stages=build_preprocessor(num, cat, modes=category_modes(train, cat)) + [rf]).fit(train)
+    pre = build_preprocessor(num, cat, modes=category_modes(train, cat), medians=column_medians(train, num))
+    return Pipeline(stages=pre + [rf]).fit(train)
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, output: str = "probability_1",

@@ -84,3 +84,15 @@ def test_split_by_selection_equals_full_order(spark, monkeypatch):
     parts = {(r["id"], r["split"]): r["n"] for r in ml.stratified_split(hot, "id", "y").groupBy("id", "split").agg(F.count("*").alias("n")).collect()}
     assert len(parts) == 1001 and sum(parts.values()) == 4000
     assert ml.random_split(hot.where("id < 0"), "id").count() == 0
+
+
+def test_stored_medians_are_exact_and_saved(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    df = spark.createDataFrame([(1.0, None, "a"), (2.0, float("nan"), "b"), (5.0, None, None), (8.0, None, "a"), (None, None, "a"),
+                                (float("nan"), None, "a")], "x double, empty double, c string")
+    medians = ml.column_medians(df, ["x", "empty"])
+    assert medians == {"x": 3.5}  # an even count; NULL and NaN are missing
+    pipe = Pipeline(stages=ml.build_preprocessor(["x", "empty"], ["c"], modes=ml.category_modes(df, ["c"]), medians=medians)).fit(df)
+    ml.save_model(pipe, str(tmp_path / "pipe"))
+    out = ml.load_model(str(tmp_path / "pipe")).transform(df).collect()
+    assert [r["x__imp"] for r in out] == [1.0, 2.0, 5.0, 8.0, 3.5, 3.5] and {r["empty__imp"] for r in out} == {0.0}
