@@ -13,29 +13,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.prefix import with_row_number
+from strata.operators.prefix import with_file_position, with_row_number
 from strata.operators.schema import dedupe_columns_keep_first
 
 
-def surrogate_key(df: DataFrame, order_by: Sequence[str], output: str = "student_id",
-                  start: int = 1) -> DataFrame:
-    """``output`` = start, start+1, ... in ``order_by`` order, as first column."""
-    out = with_row_number(df, order_by, output, start)
+def surrogate_key(df: DataFrame, order_by: Sequence[str] | None, output: str = "student_id",
+                  start: int = 1, unique: bool = False) -> DataFrame:
+    """``output`` = start, start+1, ... in ``order_by`` order, as first column.
+
+    ``order_by=None`` numbers rows read from files in file order, which moves
+    none of them; ``unique`` says that no two rows share an order."""
+    out = with_file_position(df, output, start) if order_by is None else with_row_number(df, order_by, output, start, unique=unique)
     return out.select(output, *[F.col(f"`{c}`") for c in df.columns if c != output])
 
 
 def positional_align(frames: Sequence[DataFrame], order_bys: Sequence[Sequence[str]],
-                     names: Sequence[str], key: str = "student_id") -> DataFrame:
+                     names: Sequence[str], key: str = "student_id", unique: bool = False) -> DataFrame:
     """Full outer join of the frames on their row position in the given order.
 
     Duplicate column names keep the first frame's column; every frame adds a
     ``<name>_record_available`` flag (1 when it had a row at that position).
-    ``key`` is the 1-based position.
+    ``key`` is the 1-based position; ``unique`` says that no two rows of a frame
+    share an order, which saves a shuffle.
     """
     numbered = []
     for df, order, name in zip(frames, order_bys, names):
         df = df.drop(key) if key in df.columns else df
-        n = with_row_number(df, order, f"_pos_{name}")
+        n = with_row_number(df, order, f"_pos_{name}", unique=unique)
         numbered.append(n.withColumn(f"{name}_record_available", F.lit(1)))
     numbered = dedupe_columns_keep_first(numbered)
     out = numbered[0].withColumnRenamed(f"_pos_{names[0]}", key)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint
+from strata.session import checkpoint, if_small
 
 
 def running_total(df: DataFrame, order_by: Sequence[str], weight: str | None = None,
@@ -90,6 +90,8 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], output: str = "row_i
     row = [F.col(f"`{c}`") for c in cols]  # header names may hold dots
     tie = df.withColumn("_rn_h", F.xxhash64(*row)).withColumn("_rn_g", F.hash(*row))
     order = [*order_by, "_rn_h", "_rn_g"]
+    if unique and not partition_by:
+        return _numbered_ranges(df, order_by, output, start, num_partitions)
     if unique:
         out = running_total(tie, order, None, partition_by, output="_rn_x", num_partitions=num_partitions)
         return (out.withColumn(output, (F.col("_rn_x") + F.lit(start - 1)).cast("long"))
@@ -105,3 +107,50 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], output: str = "row_i
             .withColumn(output, F.explode(F.sequence("_rn_s", F.least(F.col("_rn_s") + (CHUNK - 1), last)))))
     named = [F.col(f"`{c}`") for c in cols if c != output] + [F.col(output).cast("long").alias(output)]
     return few.select(*named).unionByName(many.select(*named))
+
+
+#: ``monotonically_increasing_id`` holds a row's place in its partition below this bit.
+PLACE_BITS = 33
+
+
+def _place() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+
+
+def _numbered_ranges(df: DataFrame, order_by: Sequence[str], output: str, start: int, num_partitions: int | None) -> DataFrame:
+    """Numbers in a unique order: one range shuffle, sorted and numbered inside
+    each range while it is written, plus the ranges' offsets (a row a range)."""
+    keys = [F.col(f"`{c}`").asc_nulls_last() for c in order_by]
+    ranged = df.repartitionByRange(int(num_partitions), *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = checkpoint(ranged.sortWithinPartitions(*keys).withColumn("_rn_pid", F.spark_partition_id()).withColumn("_rn_at", _place()))
+    sizes = ranged.groupBy("_rn_pid").agg(F.count(F.lit(1)).alias("_rn_n"))
+    before = Window.orderBy("_rn_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a range partition
+    offsets = checkpoint(sizes.select("_rn_pid", F.coalesce(F.sum("_rn_n").over(before), F.lit(0)).alias("_rn_off")))
+    out = ranged.join(if_small(offsets), "_rn_pid")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != output],
+                      (F.col("_rn_off") + F.col("_rn_at") + start).cast("long").alias(output))
+
+
+def with_file_position(df: DataFrame, output: str = "row_id", start: int = 1) -> DataFrame:
+    """Consecutive numbers in file order (path, then place in the file) for a
+    frame read from files, without moving a row.
+
+    Rows are counted per split (file, block); the splits' offsets are a running
+    total over that small table, and a row adds its place inside its split.
+    ``df`` must be a scan with row-wise steps only (its ``_metadata`` is read).
+    """
+    place = df.select("*", F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("_fp_key"),
+                      F.col("_metadata.file_path").alias("_fp_file"), F.col("_metadata.file_block_start").alias("_fp_block"),
+                      F.monotonically_increasing_id().alias("_fp_at"))
+    splits = checkpoint(place.groupBy("_fp_key", "_fp_file", "_fp_block").agg(
+        F.count(F.lit(1)).alias("_fp_n"), F.min("_fp_at").alias("_fp_min")))
+    upto = running_total(splits, ["_fp_file", "_fp_block"], "_fp_n", output="_fp_upto")
+    offsets = checkpoint(upto.select("_fp_key", (F.col("_fp_upto") - F.col("_fp_n") - F.col("_fp_min") + start).alias("_fp_off")))
+    if not offsets.groupBy("_fp_key").count().where("count > 1").isEmpty():
+        raise RuntimeError("two splits have one hash")
+    out = place.join(if_small(offsets, FILE_TABLE_BYTES), "_fp_key")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != output], (F.col("_fp_off") + F.col("_fp_at")).alias(output))
+
+
+#: Bytes of a table of splits (two numbers each, measured) that is broadcast at most.
+FILE_TABLE_BYTES = 64 << 20

@@ -426,7 +426,14 @@ def _(spark, d):
 @q("surrogate_key", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_id FROM orders")
 def _(spark, d):
     o = S.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    return align.surrogate_key(o, ["o_orderdate", "o_orderkey"], "row_id").select("o_orderkey", "row_id")
+    return align.surrogate_key(o, ["o_orderdate", "o_orderkey"], "row_id", unique=True).select("o_orderkey", "row_id")
+
+
+@q("surrogate_key_file_order", "SELECT l_orderkey, l_linenumber, row_number() OVER () AS row_id FROM lineitem")
+def _(spark, d):
+    """Numbers in file order: splits are counted, rows stay where they are."""
+    li = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return align.surrogate_key(li, None, "row_id")
 
 
 ALIGN_ORACLE = """
@@ -447,7 +454,7 @@ def _aligned(spark, d):
     p = S.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("c_name"))
     s = S.table(spark, d, "supplier").select("s_suppkey", "s_name")
     return align.positional_align([c, p, s], [["c_custkey"], ["p_partkey"], ["s_suppkey"]],
-                                  ["customer", "part", "supplier"])
+                                  ["customer", "part", "supplier"], unique=True)
 
 
 @q("positional_align", ALIGN_ORACLE)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from strata.functions import constants as K
 from strata.operators import align, clean, features, marts, schema
-from strata.operators.prefix import with_row_number
+from strata.operators.prefix import with_file_position
 from strata.sources.files import read_csv_text, save_warehouse, write_json_row, write_layer
 from strata.streaming.incremental import list_files, log_run
 
@@ -26,10 +26,7 @@ ROW = "_row"  # file position of a raw row (monotonic within a file read)
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Text CSV with NA tokens as NULL and the row's file position in ``_row``."""
-    df = read_csv_text(spark, path).withColumn("_at", F.monotonically_increasing_id())
-    # file order, then block, then the position inside the split
-    place = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
-    return with_row_number(place, ["_file", "_block", "_at"], ROW, unique=True).drop("_file", "_block", "_at")
+    return with_file_position(read_csv_text(spark, path), ROW)
 
 
 def _dedupe_keep_first(df: DataFrame) -> DataFrame:
@@ -107,7 +104,7 @@ def silver(research: DataFrame, attitude: DataFrame, performance: DataFrame | No
         names.append("performance")
     frames = [f.withColumnRenamed(ROW, f"_row_{n}") for f, n in zip(frames, names)]
     orders = [[f"_row_{n}"] for n in names]
-    merged = align.positional_align(frames, orders, names)
+    merged = align.positional_align(frames, orders, names, unique=True)
     merged = merged.drop(*[f"_row_{n}" for n in names])
     num = [c for c in schema.split_by_type(merged)[0]
            if c != "student_id" and not c.endswith("_record_available")]

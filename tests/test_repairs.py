@@ -96,3 +96,26 @@ def test_stored_medians_are_exact_and_saved(spark, tmp_path):
     ml.save_model(pipe, str(tmp_path / "pipe"))
     out = ml.load_model(str(tmp_path / "pipe")).transform(df).collect()
     assert [r["x__imp"] for r in out] == [1.0, 2.0, 5.0, 8.0, 3.5, 3.5] and {r["empty__imp"] for r in out} == {0.0}
+
+
+def test_file_positions_move_no_row(spark, tmp_path):
+    """Several files, several splits a file, blank lines and quoted commas: the
+    numbers follow the files, and only counts are shuffled."""
+    from strata.operators.align import surrogate_key
+    want = []
+    for f in range(3):
+        lines = [f'{f}-{i},"a, {i}"' for i in range(4000)]
+        want += [f"{f}-{i}" for i in range(4000)]
+        (tmp_path / f"part{f}.csv").write_text("k,v\n" + "\n\n".join(lines) + "\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        out = surrogate_key(files.read_csv_text(spark, str(tmp_path)), None, "n")
+        assert out.rdd.getNumPartitions() > 6
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [r["k"] for r in sorted(got, key=lambda r: r["n"])] == want
+    assert sorted(r["n"] for r in got) == list(range(1, len(want) + 1)) and got[0]["v"].startswith("a, ")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
