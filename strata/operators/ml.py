@@ -336,8 +336,6 @@ def one_hot_align(df: DataFrame, column: str, values: Sequence[str], prefix: str
 
 def fitted_stats(df: DataFrame, columns: Sequence[str], method: str = "exact") -> DataFrame:
     """Stored preprocessing statistics per column: median, mean, std (pop)."""
-    from strata.operators.prefix import with_row_number
-from strata.operators.quantiles import medians
     med = medians(df, columns, method=method).select("column", F.col("value").alias("median"))
     basic = df.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.avg(F.col(c).cast("double")).alias("mean"),
                                       F.stddev_pop(F.col(c).cast("double")).alias("std")) for c in columns])

@@ -507,6 +507,60 @@ def _(spark, d):
                             F.count_distinct("o_orderkey").alias("orders"), F.count(F.lit(1)).alias("lines")])
 
 
+GOLD_SQL = S.STU_SQL.replace("FROM lineitem", """, CAST(l_partkey % 50 AS DOUBLE) AS subjectid, CAST(l_partkey % 4 AS DOUBLE) AS theorycredit,
+  CAST(l_suppkey % 3 AS DOUBLE) AS practicalcredit, 5 + l_quantity / 10 AS sgpa, 5 + l_discount * 40 AS prsgpa, 50 + l_quantity AS thispresent
+FROM lineitem""")
+
+
+def _star_ctes():
+    """The star schema's tables in SQL: distinct dimensions and the fact."""
+    from strata.functions import constants as K
+    import re
+    have = set(re.findall(r"(?i)\bAS (\w+)", GOLD_SQL))
+    layout = {"dim_student": K.DIM_STUDENT, "dim_academic_history": K.DIM_ACADEMIC_HISTORY, "dim_student_activity": K.DIM_STUDENT_ACTIVITY,
+              "dim_behavior": K.DIM_BEHAVIOR, "dim_subject": K.DIM_SUBJECT, "fact_student_academic": K.FACT_STUDENT_ACADEMIC}
+    return S.cte(gold=GOLD_SQL, **{t: f"SELECT {'' if t.startswith('fact') else 'DISTINCT '}{', '.join(c for c in cols if c in have)} FROM gold"
+                                   for t, cols in layout.items()})
+
+
+def _warehouse_oracle():
+    from strata.sources.files import WAREHOUSE_KEYS, WAREHOUSE_REFERENCES
+    own = [f"""SELECT '{t}' AS "table", '{k}' AS key, NULL AS "references", (SELECT count(*) FROM (
+  SELECT {k} FROM {t} GROUP BY 1 HAVING count(*) > 1 OR {k} IS NULL)) AS violations, (SELECT count(*) FROM {t}) AS rows""" for t, k in WAREHOUSE_KEYS.items()]
+    other = [f"""SELECT '{t}', '{c}', '{r}', (SELECT count(DISTINCT {c}) FROM {t} WHERE {c} NOT IN (SELECT {c} FROM {r})),
+  (SELECT count(*) FROM {t})""" for (t, c), r in WAREHOUSE_REFERENCES.items()]
+    return _star_ctes() + " UNION ALL ".join(own + other)
+
+
+def _warehouse(spark, d):
+    from strata.sources.files import save_warehouse_tables
+    gold = S.frame(spark, d, GOLD_SQL)
+    base = _out(spark, "warehouse")
+    return save_warehouse_tables(marts.star_schema(gold), base.rsplit("/", 1)[1], base)
+
+
+@q("warehouse_ddl", _warehouse_oracle())
+def _(spark, d):
+    """The star schema as bucketed catalog tables: rows and key violations of each."""
+    from strata.sources.files import warehouse_violations
+    tables = _warehouse(spark, d)
+    counts = marts.layer_counts(tables).select(F.col("table").alias("_t"), "rows")
+    out = warehouse_violations(tables)
+    return out.join(counts, F.col("table") == F.col("_t")).drop("_t")
+
+
+@q("warehouse_star_join", _star_ctes() + """SELECT branch, stress_level, count(*) AS records, avg(sgpa) AS avg_sgpa, avg(gpa_2) AS avg_gpa_2
+FROM fact_student_academic JOIN dim_student USING (student_id) JOIN dim_behavior USING (student_id)
+JOIN dim_academic_history USING (student_id) GROUP BY branch, stress_level""", ["avg_sgpa", "avg_gpa_2"])
+def _(spark, d):
+    """Fact and three dimensions joined on the key they are bucketed by."""
+    t = _warehouse(spark, d)
+    dims = [(t[n].select("student_id", *cols), ["student_id"]) for n, cols in (
+        ("dim_student", ["branch"]), ("dim_behavior", ["stress_level"]), ("dim_academic_history", ["gpa_2"]))]
+    return marts.star_join(t["fact_student_academic"], dims, ["branch", "stress_level"],
+                           [F.count(F.lit(1)).alias("records"), F.avg("sgpa").alias("avg_sgpa"), F.avg("gpa_2").alias("avg_gpa_2")])
+
+
 @q("ordinal_reindex", EV + """, m AS (SELECT event_type, avg(value) AS mean FROM ev GROUP BY event_type),
 dim AS (SELECT * FROM (VALUES ('view', 0), ('click', 1), ('signup', 2), ('purchase', 3), ('error', 4), ('refund', 5)) v(event_type, r))
 SELECT dim.event_type, m.mean FROM dim LEFT JOIN m USING (event_type)""", ["mean"])

@@ -7,6 +7,7 @@ coercion rules decide types, not the reader.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,7 +19,8 @@ from strata.functions import constants as K
 
 __all__ = ["read_table", "read_csv_text", "apply_na_tokens", "write_layer", "write_json_row",
            "land_new_files", "freshness_report", "ingest_upload", "write_predictions",
-           "warehouse_schemas", "save_warehouse"]
+           "warehouse_schemas", "save_warehouse",
+           "save_warehouse_tables", "warehouse_violations"]
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], na_tokens: Sequence[str] = K.NA_TOKENS,
@@ -83,7 +85,6 @@ def land_new_files(spark: SparkSession, source_dir: str, landing_path: str, log_
     failure replaces it.  The log has (file_name, run_id, landed_at); the files
     of this run are returned.
     """
-    import uuid
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -188,3 +189,65 @@ def save_warehouse(tables: Mapping[str, DataFrame], base_path: str) -> None:
         if sch is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in sch.fields if f.name in df.columns])
         write_layer(df, f"{base_path}/{name}")
+
+
+# FIXED VALUES: keys of the star schema (table -> primary key; (table, column) -> referenced table).
+WAREHOUSE_KEYS = {"dim_student": "student_id", "dim_academic_history": "student_id", "dim_student_activity": "student_id",
+                  "dim_behavior": "student_id", "dim_subject": "subjectid"}
+WAREHOUSE_REFERENCES = {("dim_academic_history", "student_id"): "dim_student", ("dim_student_activity", "student_id"): "dim_student",
+                        ("dim_behavior", "student_id"): "dim_student", ("fact_student_academic", "student_id"): "dim_student",
+                        ("fact_student_academic", "subjectid"): "dim_subject"}
+
+
+def save_warehouse_tables(tables: Mapping[str, DataFrame], database: str, location: str, buckets: int | None = None,
+                          salts: int = 1) -> dict[str, DataFrame]:
+    """The star schema as tables of the session's catalog, cast to their layout,
+    under ``location`` (a folder all executors share).
+
+    Each table is bucketed and sorted by its key (the fact by ``student_id``)
+    into the same number of buckets, so joins and key checks on that key need no
+    shuffle.  A task writes one bucket; with ``salts`` a bucket is dealt over that
+    many tasks and files (for a key that holds a large share of a table).
+    Writing replaces.  Returns the catalog's tables.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    schemas = warehouse_schemas()
+    out = {}
+    for name, df in tables.items():
+        layout = schemas.get(name)
+        if layout is not None:
+            df = df.select(*[F.col(f.name).cast(f.dataType) for f in layout.fields if f.name in df.columns])
+        key = WAREHOUSE_KEYS.get(name, "student_id")
+        # a fresh folder a write: a reader of the old table keeps its files until the catalog points here
+        path = f"{location}/{name}-{uuid.uuid4().hex[:8]}"
+        if key in df.columns:
+            deal = [key] if salts == 1 else [key, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))]
+            writer = df.repartition(buckets * salts, *deal).write.bucketBy(buckets, key).sortBy(key)
+        else:
+            writer = df.write
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        writer.format("parquet").option("path", path).saveAsTable(f"{database}.{name}")
+        out[name] = spark.table(f"{database}.{name}")
+    return out
+
+
+def warehouse_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, key, references, violations): key values that repeat or are NULL
+    where a key is declared, and key values without a referenced row; bucketed
+    tables are checked without a shuffle on the key they are bucketed by."""
+    from strata.operators.marts import foreign_key_violations, primary_key_violations
+
+    def line(df: DataFrame, table: str, key: str, references: str | None) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(table).alias("table"), F.lit(key).alias("key"), F.lit(references).cast("string").alias("references"), "violations")
+
+    checks = [line(primary_key_violations(tables[t], [k]), t, k, None) for t, k in WAREHOUSE_KEYS.items()
+              if t in tables and k in tables[t].columns]
+    checks += [line(foreign_key_violations(tables[t], tables[ref], [c]), t, c, ref) for (t, c), ref in WAREHOUSE_REFERENCES.items()
+               if t in tables and ref in tables and c in tables[t].columns and c in tables[ref].columns]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
