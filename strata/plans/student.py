@@ -9,7 +9,7 @@ DataFrame (only column statistics and key numbering run jobs meanwhile);
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from strata.functions import constants as K
 from strata.operators import align, clean, features, marts, schema
 from strata.operators.prefix import with_file_position
-from strata.sources.files import read_csv_text, save_warehouse, write_json_row, write_layer
+from strata.session import observing_session
+from strata.sources.files import read_csv_text, save_warehouse, write_json_row, write_layer, write_observed
 from strata.streaming.incremental import list_files, log_run
 
 ROW = "_row"  # file position of a raw row (monotonic within a file read)
@@ -119,7 +120,7 @@ def run_layers(spark: SparkSession, research_path: str | None, attitude_path: st
     """Build every layer; returns name → DataFrame.  ``keep(layer, name, df)``
     may store a table: the next layer is built from what it returns."""
     def bronze(name, chain, path):
-        return keep("bronze", name, chain(read_raw_csv(spark, path))) if path else None
+        return keep("bronze", name, chain(keep("raw", name, read_raw_csv(spark, path)))) if path else None
 
     att = bronze("attitude", clean_attitude, attitude_path)
     res = bronze("research", clean_research, research_path)
@@ -144,51 +145,60 @@ def run_layers(spark: SparkSession, research_path: str | None, attitude_path: st
     return out
 
 
-def layer_status(spark: SparkSession, sources: Mapping[str, str],
-                 tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+SOURCES = ["research", "attitude", "performance"]
+LAYER_COUNTS = "array<struct<layer string, table string, rows long, columns int, missing long>>"
+
+
+def layer_status(spark: SparkSession, sources: Mapping[str, str], counts: Sequence[tuple],
+                 coverage: Mapping[str, int]) -> DataFrame:
     """The run's record, one row: status, time, (source, file, modified_at) of
-    the raw files, (layer, table, rows, columns) of every table, and how many
-    rows of silver each source covers.  Counts are one job; the lists grow with
-    the number of files and tables only."""
-    counts = files = None
-    for (layer, name), df in tables.items():
-        one = marts.layer_counts({name: df}, layer)
-        counts = one if counts is None else counts.unionByName(one)
+    the raw files, (layer, table, rows, columns, missing cells) of every table as
+    the jobs that wrote them counted, and how many rows of silver each source
+    covers.  The lists grow with the number of files and tables only."""
+    files = None
     for name, path in sources.items():
         one = list_files(spark, path).where(~F.col("file_name").startswith("_")).select(F.lit(name).alias("source"), "*")
         files = one if files is None else files.unionByName(one)
-    coverage = marts.source_coverage(tables[("silver", "silver")], ["research", "attitude", "performance"])
-    return counts.agg(F.sort_array(F.collect_list(F.struct("layer", "table", "rows", "columns"))).alias("layers")).select(
+    names = [f"{n}_record_available" for n in SOURCES]
+    one = spark.createDataFrame([(sorted(counts), tuple(int(coverage.get(n, 0)) for n in names))],
+                                f"layers {LAYER_COUNTS}, source_coverage struct<{', '.join(f'{n} long' for n in names)}>")
+    return one.select(
         F.lit("success").alias("pipeline_status"), F.current_timestamp().alias("last_run_at"),
         files.agg(F.sort_array(F.collect_list(F.struct("source", "file_name", "modified_at"))).alias("f")).scalar()
-        .alias("raw_files"),
-        "layers", coverage.select(F.struct("*").alias("c")).scalar().alias("source_coverage"))
+        .alias("raw_files"), "layers", "source_coverage")
 
 
 def write_layers(spark: SparkSession, out_dir: str, attitude_path: str, research_path: str | None = None,
                  performance_path: str | None = None) -> DataFrame:
     """Run the flow into ``out_dir``: every table is written under
-    ``<layer>/<name>`` and the next layer reads it from there (bronze tables
-    keep ``_row``, the order they are aligned by).  KPIs and the run's record
-    are JSON rows as well, and the raw files go to ``run_log``, which
-    ``stale_check`` reads.  Writing replaces, so a run that failed half-way is
-    run again.  Returns the record."""
+    ``<layer>/<name>`` (raw: ``landed/<name>``) and the next layer reads it from there (raw and bronze
+    tables keep ``_row``, the order they are aligned by).  Rows and missing cells
+    are counted by the jobs that write.  KPIs and the run's record are JSON rows
+    as well, and the raw files go to ``run_log``, which ``stale_check`` reads.
+    Writing replaces, so a run that failed half-way is run again.  Returns the
+    record."""
     sources = {n: p for n, p in (("attitude", attitude_path), ("research", research_path),
                                  ("performance", performance_path)) if p}
-    tables = {("raw", n): read_csv_text(spark, p) for n, p in sources.items()}
+    caller, spark = spark, observing_session(spark)
+    counts, coverage = [], {}
 
     def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
+        folder = "landed" if layer == "raw" else layer  # ``raw`` may be where the sources lie
+        flags = {f"{n}_record_available": F.sum(f"{n}_record_available") for n in SOURCES
+                 if layer == "silver" and f"{n}_record_available" in df.columns}
         if layer == "warehouse":
-            save_warehouse({name: df}, f"{out_dir}/warehouse")
+            seen = write_observed(df, lambda t: save_warehouse({name: t}, f"{out_dir}/warehouse"))
         else:
-            write_layer(df, f"{out_dir}/{layer}/{name}")
-        tables[(layer, name)] = spark.read.parquet(f"{out_dir}/{layer}/{name}")
-        return tables[(layer, name)]
+            seen = write_observed(df, lambda t: write_layer(t, f"{out_dir}/{folder}/{name}"), **flags)
+        coverage.update({k: seen.get(k, 0) for k in flags})
+        table = spark.read.parquet(f"{out_dir}/{folder}/{name}")
+        counts.append((layer, name, seen["rows"], len([c for c in table.columns if layer != "raw" or c != ROW]), seen["missing"]))
+        return table
 
     built = run_layers(spark, research_path, attitude_path, performance_path, keep)
     write_json_row(built["dashboard_kpis"], f"{out_dir}/status/dashboard_kpis")
-    status = layer_status(spark, sources, tables)
+    status = layer_status(spark, sources, counts, coverage)
     write_json_row(status, f"{out_dir}/status/etl_status")
     for path in sources.values():
         log_run(spark, path, f"{out_dir}/run_log")
-    return spark.read.schema(status.schema).json(f"{out_dir}/status/etl_status")
+    return caller.read.schema(status.schema).json(f"{out_dir}/status/etl_status")

@@ -80,3 +80,14 @@ def if_small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
     that is pinned and cheap to read."""
     size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16).alias("b")).first()["b"] or 0
     return F.broadcast(df) if size <= limit else df
+
+
+def observing_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` (same context, same settings) for jobs that are
+    observed: a session that has observed a job can no longer ship fitted
+    binary classifiers to tasks (their training summary holds the session)."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own

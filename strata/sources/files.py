@@ -8,16 +8,16 @@ coercion rules decide types, not the reader.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import constants as K
 
-__all__ = ["read_table", "read_csv_text", "apply_na_tokens", "write_layer", "write_json_row",
+__all__ = ["read_table", "read_csv_text", "apply_na_tokens", "write_layer", "write_observed", "write_json_row",
            "land_new_files", "freshness_report", "ingest_upload", "write_predictions",
            "warehouse_schemas", "save_warehouse",
            "save_warehouse_tables", "warehouse_violations"]
@@ -69,6 +69,20 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     w.save(path)
 
 
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict:
+    """Write ``df`` and return what the writing job itself counted: ``rows``,
+    ``missing`` (NULL cells) and the given aggregates; nothing is read again.
+    ``df`` should be of a session of its own (``session.observing_session``)."""
+    terms = [F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), total.cast("long").alias("missing"),
+                     *[m.alias(name) for name, m in metrics.items()]))
+    return {"rows": 0, "missing": 0, **{k: v for k, v in seen.get.items() if v is not None}}
+
+
 def write_json_row(df: DataFrame, path: str) -> None:
     """A one-row KPI/status/metrics table as JSON (one small file)."""
     df.coalesce(1).write.mode("overwrite").json(path)

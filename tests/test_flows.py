@@ -25,6 +25,22 @@ def test_layers_are_written_and_read_back(spark, tmp_path):
     assert not stale_check(spark, att, f"{out}/run_log").first()["stale"]
 
 
+def test_counts_come_from_the_writing_jobs(spark, tmp_path):
+    """Rows, missing cells and coverage equal those of the tables read again."""
+    raw = tmp_path / "raw.csv"
+    raw.write_text("Gender,Department\nMale,NA\nMale,NA\nFemale,cs\n,\n")
+    out = str(tmp_path / "out")
+    status = student.write_layers(spark, out, str(raw)).first()
+    for t in status["layers"]:
+        df = spark.read.parquet(f"{out}/{t['layer'].replace('raw', 'landed')}/{t['table']}")
+        assert t["rows"] == df.count() and t["columns"] == len([c for c in df.columns if t["layer"] != "raw" or c != student.ROW])
+        if t["layer"] != "warehouse":  # a warehouse table is cast when it is written
+            assert t["missing"] == sum(df.where(F.col(c).isNull()).count() for c in df.columns)
+    rows = {(t["layer"], t["table"]): t["rows"] for t in status["layers"]}
+    assert rows[("raw", "attitude")] == 4 and rows[("bronze", "attitude")] == 3
+    assert status["source_coverage"]["attitude_record_available"] == 3 and status["source_coverage"]["research_record_available"] == 0
+
+
 def test_classifier_run(spark, tmp_path):
     df = spark.range(400).select("id", (F.col("id") % 20).cast("double").alias("x"),
                                  F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("kind"),
