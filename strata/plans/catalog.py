@@ -75,9 +75,13 @@ def duck_num(expr: str) -> str:
 
 # ------------------------------------------------------------------ cleaning
 
-@q("drop_duplicate_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem")
+# all lines, some of them twice
+REPEATED_SQL = "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_quantity < 5"
+
+
+@q("drop_duplicate_rows", "SELECT DISTINCT * FROM lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 def _(spark, d):
-    return clean.drop_duplicate_rows(S.table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    return clean.drop_duplicate_rows(S.frame(spark, d, REPEATED_SQL))
 
 
 DIRTY_NUM_SQL = """
@@ -303,9 +307,10 @@ def _(spark, d):
     return schema.scatter_bins(S.table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", 5, 10000)
 
 
-@q("preview", "SELECT r_regionkey, r_name FROM region ORDER BY r_regionkey LIMIT 5")
+@q("preview", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5", ["o_totalprice"])
 def _(spark, d):
-    return schema.preview(S.table(spark, d, "region").orderBy("r_regionkey"), 5)
+    o = S.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return schema.preview(o.orderBy(F.desc("o_totalprice"), "o_orderkey"), 5)
 
 
 # ------------------------------------------------------------------ features
@@ -696,10 +701,14 @@ def _(spark, d):
     return marts.count_distinct(ev(spark, d), "event_type", dropna=False)
 
 
-@q("layer_counts", """SELECT 'raw' AS layer, 'orders' AS "table", count(*) AS rows, 6 AS columns FROM orders
-UNION ALL SELECT 'raw', 'lineitem', count(*), 11 FROM lineitem UNION ALL SELECT 'raw', 'events', count(*), 6 FROM events""")
+LAYER_COLUMNS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+                 "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
+
+
+@q("layer_counts", " UNION ALL ".join(f"""SELECT 'raw' AS layer, '{t}' AS "table", count(*) AS rows, {n} AS columns FROM {t}"""
+                                      for t, n in LAYER_COLUMNS.items()))
 def _(spark, d):
-    return marts.layer_counts({n: S.table(spark, d, n) for n in ("orders", "lineitem", "events")}, "raw")
+    return marts.layer_counts({n: S.table(spark, d, n) for n in LAYER_COLUMNS}, "raw")
 
 
 @q("distinct_dim", STU + "SELECT DISTINCT student_id, gender, branch, heightcm, weightkg, financial_status, parttime_job FROM stu",
@@ -756,9 +765,9 @@ def _(spark, d):
 
 
 @q("duplicate_row_count", """SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows FROM
-  (SELECT count(*) AS c FROM lineitem GROUP BY l_returnflag, l_linestatus, l_quantity) g""")
+  (SELECT count(*) AS c FROM (""" + REPEATED_SQL + """) r GROUP BY ALL) g""".replace("GROUP BY ALL", "GROUP BY r"))
 def _(spark, d):
-    return profile.duplicate_row_count(S.table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    return profile.duplicate_row_count(S.frame(spark, d, REPEATED_SQL))
 
 
 def _outlier_sql(cols):
@@ -1090,10 +1099,9 @@ VOCAB_ORACLE = """SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value)
   (SELECT CAST(c_mktsegment AS STRING) AS value, count(*) AS n FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1) v"""
 
 
-@q("vocabulary", VOCAB_ORACLE)
+@q("vocabulary", VOCAB_ORACLE.replace(" WHERE c_mktsegment <> 'MACHINERY'", ""))
 def _(spark, d):
-    c = S.table(spark, d, "customer").where(F.col("c_mktsegment") != "MACHINERY")
-    return ml.vocabulary(c, "c_mktsegment")
+    return ml.vocabulary(S.table(spark, d, "customer"), "c_mktsegment")
 
 
 @q("label_encode_quarantine", f"""WITH v AS ({VOCAB_ORACLE})
@@ -1343,7 +1351,7 @@ def _(spark, d):
         spark.read.schema(schema).parquet(f"{base}/rejected"))
 
 
-@q("metadata_tables", """WITH x AS (SELECT lang, source FROM documents JOIN labels USING (doc_id))
+@q("metadata_tables", """WITH x AS (SELECT lang, source FROM documents)
 SELECT * FROM (VALUES ('required', 'n_chars', NULL), ('required', 'n_words', NULL), ('required', 'lang', NULL),
   ('required', 'source', NULL), ('numeric', 'n_chars', NULL), ('numeric', 'n_words', NULL)) AS t(kind, field, value)
 UNION ALL SELECT DISTINCT 'category', 'lang', lang FROM x WHERE lang IS NOT NULL
@@ -1352,7 +1360,7 @@ def _(spark, d):
     """Required/numeric fields and allowed categories of a fitted indexer."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
-    df = _doc_frame(spark, d)
+    df = _doc_frame(spark, d, "left")
     model = Pipeline(stages=[StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"],
                                            handleInvalid="keep")]).fit(df)
     meta = ml.metadata_tables(model, DOC_FEATURES, ["n_chars", "n_words"])
@@ -1375,7 +1383,7 @@ SELECT o_orderkey AS _row,
   CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS r_major,
   CASE WHEN o_custkey % 11 = 0 THEN 'n/a' ELSE CAST(o_custkey % 9 AS STRING) || '.25' END AS r_study_hours_per_day,
   CASE WHEN o_custkey % 7 = 0 THEN 'abc' ELSE CAST(o_custkey % 8 AS STRING) || '.5' END AS r_semester,
-  CAST(o_custkey % 100 AS STRING) AS r_exam_score,
+  CAST(o_custkey % 100 AS STRING) || CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '.0' END AS r_exam_score,
   CASE WHEN o_custkey % 5 = 0 THEN NULL WHEN o_custkey % 5 = 1 THEN 'Poor' WHEN o_custkey % 5 = 2 THEN 'Good'
        ELSE 'Fair' END AS r_diet_quality
 FROM orders
@@ -1387,12 +1395,12 @@ def _mode_sql(col, src):
             f"ORDER BY count(*) DESC, {col} LIMIT 1)")
 
 
-PERF_ORACLE = S.cte(raw=RAW_PERF_SQL) + f""", d AS (SELECT DISTINCT r_student_id AS student_id, r_age AS age,
+PERF_ORACLE = S.cte(raw=RAW_PERF_SQL) + f""", d AS (SELECT DISTINCT {duck_num('r_student_id')} AS student_id, r_age AS age,
   r_gender AS gender, r_major AS major, r_study_hours_per_day AS study_hours_per_day, r_semester AS semester,
-  r_exam_score AS exam_score, r_diet_quality AS diet_quality FROM raw),
-c AS (SELECT {duck_num('student_id')} AS student_id, {duck_num('age')} AS age, gender, major,
+  {duck_num('r_exam_score')} AS exam_score, r_diet_quality AS diet_quality FROM raw),
+c AS (SELECT student_id, {duck_num('age')} AS age, gender, major,
   {duck_num('study_hours_per_day')} AS study_hours_per_day, {duck_num('semester')} AS semester,
-  {duck_num('exam_score')} AS exam_score, diet_quality FROM d)
+  exam_score, diet_quality FROM d)
 SELECT coalesce(student_id, (SELECT median(student_id) FROM c)) AS student_id,
   coalesce(age, (SELECT median(age) FROM c)) AS age,
   coalesce(gender, {_mode_sql('gender', 'c')}, 'unknown') AS gender,
@@ -1411,8 +1419,8 @@ def _(spark, d):
     return student.clean_performance(raw).drop(student.ROW)
 
 
-RAW_RESEARCH_SQL = """
-SELECT c_custkey AS _row,
+_RESEARCH = """
+SELECT c_custkey * 2 + {k} AS _row,
   c_mktsegment AS r_branch,
   CASE WHEN c_custkey % 19 = 0 THEN 'NA' ELSE CAST(c_custkey % 60 + 40 AS STRING) END AS r_marks_10th_,
   CASE c_custkey % 7 WHEN 0 THEN 'BSEB Patna' WHEN 1 THEN 'C.B.S.E' WHEN 2 THEN 'cbse' WHEN 3 THEN 'Unmapped Board'
@@ -1422,10 +1430,12 @@ SELECT c_custkey AS _row,
   CAST(c_custkey % 50 AS STRING) || '.' || CAST(c_nationkey % 10 AS STRING) AS r_cgpa,
   CASE WHEN c_custkey % 97 = 0 THEN '99' ELSE CAST(c_custkey % 4 + 6 AS STRING) END AS r_gpa_1,
   CAST(c_nationkey % 3 AS STRING) AS r_engg__coaching,
-  '0' AS r_current_back,
+  '0{zero}' AS r_current_back,
   CASE WHEN c_custkey % 23 = 0 THEN 'x' ELSE CAST(c_nationkey AS STRING) END AS r_rank
 FROM customer
 """
+# every row twice, once with 0.0 for 0: duplicates only after typing
+RAW_RESEARCH_SQL = _RESEARCH.format(k=0, zero="") + "UNION ALL" + _RESEARCH.format(k=1, zero=".0")
 
 
 def _board_case(col, mapping):
@@ -1449,11 +1459,9 @@ def _research_oracle():
     txt = ", ".join(f"coalesce({c}, {_mode_sql(c, 'c')}, 'Unknown') AS {c}" for c in ["branch", "board_10th", "board_12th"])
     capped = ", ".join(f"{_cap(c, 'm')} AS {c}" for c in num)
     return S.cte(raw=RAW_RESEARCH_SQL) + f""", d AS (SELECT DISTINCT r_branch AS branch, r_marks_10th_ AS marks_10th,
-  r_board_10th_ AS board_10th, r_board_12th_ AS board_12th, r_cgpa AS cgpa, r_gpa_1 AS gpa_1,
-  r_engg__coaching AS engg_coaching, r_current_back AS current_back, r_rank AS rank FROM raw),
-c AS (SELECT branch, {duck_num('marks_10th')} AS marks_10th, board_10th, board_12th, {duck_num('cgpa')} AS cgpa,
-  {duck_num('gpa_1')} AS gpa_1, {duck_num('engg_coaching')} AS engg_coaching,
-  {duck_num('current_back')} AS current_back, {duck_num('rank')} AS rank FROM d),
+  r_board_10th_ AS board_10th, r_board_12th_ AS board_12th, {duck_num('r_cgpa')} AS cgpa, {duck_num('r_gpa_1')} AS gpa_1,
+  {duck_num('r_engg__coaching')} AS engg_coaching, {duck_num('r_current_back')} AS current_back, r_rank AS rank FROM raw),
+c AS (SELECT * REPLACE ({duck_num('marks_10th')} AS marks_10th, {duck_num('rank')} AS rank) FROM d),
 i AS (SELECT {filled}, {txt} FROM c),
 m AS (SELECT * REPLACE ({_board_case('board_10th', K.BOARD_10TH_MAPPING)} AS board_10th,
   {_board_case('board_12th', K.BOARD_12TH_MAPPING)} AS board_12th) FROM i)
@@ -1535,13 +1543,41 @@ SELECT s_suppkey AS _row,
   CASE WHEN s_suppkey % 3 = 0 THEN 'Yes' ELSE 'no' END AS r_like_degree
 FROM supplier
 """
+
+
+def _attitude_oracle():
+    num = ["heightcm", "weightkg", "salary_expectation"]
+    filled = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM c)) AS {c}" for c in num)
+    txt = ", ".join(f"lower(coalesce({c}, {_mode_sql(c, 'c')}, 'unknown')) AS {c}" for c in ("gender", "department", "like_degree"))
+    return S.cte(raw=RAW_ATTITUDE_SQL) + f""", d AS (SELECT DISTINCT r_gender AS gender, r_department AS department,
+  {duck_num('r_heightcm')} AS heightcm, r_weightkg AS weightkg, {duck_num('r_salary_expectation')} AS salary_expectation,
+  r_like_degree AS like_degree FROM raw),
+c AS (SELECT * REPLACE ({duck_num('weightkg')} AS weightkg) FROM d),
+i AS (SELECT {filled}, {txt} FROM c)
+SELECT gender, department, CASE WHEN like_degree = 'yes' THEN 'yes' ELSE 'no' END AS like_degree, {', '.join(f"{_cap(c, 'i')} AS {c}" for c in num)} FROM i"""
+
+
+@q("clean_attitude", _attitude_oracle(), ["heightcm", "weightkg", "salary_expectation"])
+def _(spark, d):
+    from strata.plans import student
+    raw = S.frame(spark, d, RAW_ATTITUDE_SQL).toDF("_row", *ATTITUDE_HEADERS)
+    return student.clean_attitude(raw).drop(student.ROW)
+
+
 RAW_SOURCES = [("research", RAW_RESEARCH_SQL, RESEARCH_HEADERS), ("attitude", RAW_ATTITUDE_SQL, ATTITUDE_HEADERS),
                ("performance", RAW_PERF_SQL, PERF_HEADERS)]
 
 
+# columns whose every text is a number or a missing-value token
+TYPED = {"research": ["r_marks_10th_", "r_cgpa", "r_gpa_1", "r_engg__coaching", "r_current_back"],
+         "attitude": ["r_heightcm", "r_weightkg", "r_salary_expectation"],
+         "performance": ["r_student_id", "r_age", "r_study_hours_per_day", "r_exam_score"]}
+
+
 def _layer_run_oracle():
     ctes = [f"{n}_raw AS ({sql.replace(' AS STRING)', ' AS VARCHAR)')})" for n, sql, _h in RAW_SOURCES]
-    ctes += [f"{n}_bronze AS (SELECT DISTINCT * EXCLUDE (_row) FROM {n}_raw)" for n, _s, _h in RAW_SOURCES]
+    ctes += [f"{n}_bronze AS (SELECT DISTINCT * EXCLUDE (_row) REPLACE ({', '.join(f'{duck_num(c)} AS {c}' for c in TYPED[n])}) FROM {n}_raw)"
+             for n, _s, _h in RAW_SOURCES]
     counts = [f"SELECT '{layer}' AS layer, '{n}' AS \"table\", count(*) AS rows FROM {n}_{layer}"
               for layer in ("raw", "bronze") for n, _s, _h in RAW_SOURCES]
     most = "(SELECT max(rows) FROM c WHERE layer = 'bronze')"
