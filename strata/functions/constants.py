@@ -282,6 +282,21 @@ DASHBOARD_DEFAULTS = {
     "screen_time": 0,
     "exercise_frequency": 0,
 }
+# FIXED VALUES: names of the backlog count in uploaded tables, in order of preference.
+UPLOAD_BACKLOG_NAMES = ["no_of_backlog", "backlogs"]
+# FIXED VALUES: defaults of columns absent from an uploaded table (None = missing).
+UPLOAD_DEFAULTS = {
+    "attendance_percentage": 0,
+    "study_hours_per_day": 0,
+    "social_media_hours": 0,
+    "exam_score": None,
+    "gpa_1": None,
+    "gpa_6": None,
+    "exam_anxiety_score": 0,
+    "mental_health_rating": 0,
+    "screen_time": 0,
+    "exercise_frequency": 0,
+}
 DASHBOARD_NUMERIC = [
     "study_hours_per_day", "attendance_percentage", "social_media_hours",
     "exam_anxiety_score", "mental_health_rating", "screen_time",

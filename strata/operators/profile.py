@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.quantiles import column_stats_row, quantile_table, quantiles
+from strata.operators.quantiles import column_stats_row, quantile_table, quantiles, top_values
 from strata.operators.schema import split_by_type
 
 
@@ -109,14 +109,7 @@ def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) ->
     """count, unique, top, freq per text column (ties for top → smallest value)."""
     cols = list(columns) if columns is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]) \
-        .unpivot([], cols, "column", "v").where(F.col("v").isNotNull())
-    per_value = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
-    return per_value.groupBy("column").agg(
-        F.sum("c").cast("long").alias("count"),
-        F.count(F.lit(1)).alias("unique"),
-        F.min_by("v", F.struct((-F.col("c")).alias("nc"), F.col("v").alias("v"))).alias("top"),
-        F.max("c").alias("freq"))
+    return top_values(df, cols)
 
 
 def value_counts(df: DataFrame, column: str, by_value: bool = False, dropna: bool = True) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.prefix import running_total
-from strata.session import checkpoint
+from strata.session import checkpoint, if_small
 
 
 def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str],
@@ -274,15 +274,47 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
     return quantiles(df, columns, [0.5], by, method).drop("p")
 
 
-def modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Most frequent non-null value per column (ties → smallest), as text.
+#: Characters of a value that travel with its hash to settle ties.
+PREFIX = 16
+
+
+def top_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column, count, unique, top, freq) of the non-null values as text;
+    ties for the top go to the smallest.
 
-    Two aggregation stages, both with map-side combining: counts per value,
-    then ``min_by`` over (−count, value) per column.
+    Values are counted by a 128-bit hash and their first PREFIX characters, so
+    the shuffle does not follow the length of texts.  What is left after the
+    highest count and the smallest prefix (one value, unless tied values share
+    their prefix) is looked up in the rows, and the smallest text kept.
     """
     by = list(by)
-    long = _long_form(df, columns, by, value_type="string")
-    counts = long.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    best = counts.groupBy(*by, "_col").agg(
-        F.min_by("_v", F.struct((-F.col("_c")).alias("nc"), F.col("_v").alias("v"))).alias("value"))
-    return best.withColumnRenamed("_col", "column")
+
+    def cell(c: str) -> Column:
+        v = F.col(f"`{c}`").cast("string")
+        return F.struct(F.lit(c).alias("column"), F.xxhash64(v).alias("_a"), F.xxhash64(F.lit(1), v).alias("_b"), v.alias("_text"))
+
+    cells = df.select(*by, F.explode(F.array(*map(cell, columns))).alias("_x")).select(*by, "_x.*").where("_text is not null")
+    per = checkpoint(cells.groupBy(*by, "column", "_a", "_b", F.substring("_text", 1, PREFIX).alias("_pre"))
+                     .agg(F.count(F.lit(1)).alias("_c")))
+    best = checkpoint(per.groupBy(*by, "column").agg(
+        F.sum("_c").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("_c").alias("freq"),
+        F.min(F.struct((-F.col("_c")).alias("n"), F.col("_pre").alias("p"))).getField("p").alias("_first")))
+
+    def same(right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+        named = right.select(*[F.col(k).alias(f"_k_{k}") if k in keys else F.col(k) for k in right.columns])
+        return named, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+
+    named, cond = same(if_small(best.select(*by, "column", "freq", "_first")), [*by, "column"])
+    left = checkpoint(per.join(named, cond).where((F.col("_c") == F.col("freq")) & (F.col("_pre") == F.col("_first")))
+                      .select(*by, "column", "_a", "_b"))
+    named, cond = same(if_small(left), [*by, "column", "_a", "_b"])
+    texts = cells.join(named, cond, "left_semi").groupBy(*by, "column").agg(F.min("_text").alias("top"))
+    named, cond = same(texts, [*by, "column"])
+    return best.join(named, cond).select(*by, "column", "count", "unique", "top", "freq")
+
+
+def modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Most frequent non-null value per column (ties → smallest), as text."""
+    if not list(columns):
+        return _long_form(df, [df.columns[0]], by, "string").limit(0).select(*by, F.col("_col").alias("column"), F.col("_v").alias("value"))
+    return top_values(df, columns, by).select(*by, "column", F.col("top").alias("value"))

@@ -90,6 +90,19 @@ def dashboard_schema(df: DataFrame) -> DataFrame:
     return df
 
 
+def upload_schema(df: DataFrame) -> DataFrame:
+    """The columns an uploaded table must have before the dashboard's schema:
+    trimmed lower-case headers, the backlog count under its own name (from the
+    first alias present, else 0), backlog columns and defaults."""
+    df = normalize_headers_trim(df)
+    if "noofbacklog" not in df.columns:
+        source = next((c for c in K.UPLOAD_BACKLOG_NAMES if c in df.columns), None)
+        df = df.withColumn("noofbacklog", F.col(source) if source else F.lit(0))
+    if "current_back" not in df.columns:
+        df = df.withColumn("current_back", F.col("noofbacklog"))
+    return fill_default_columns(df, {"ever_back": 0, **K.UPLOAD_DEFAULTS})
+
+
 def split_by_type(df: DataFrame) -> tuple[list[str], list[str]]:
     """(numeric columns, other columns) from the schema."""
     num, other = [], []

@@ -296,6 +296,26 @@ def _(spark, d):
                      "effective_cgpa", "study_efficiency", "distraction_index", "discipline_score")
 
 
+UPLOAD_SQL = """SELECT o_orderkey, CAST(o_custkey % 5 AS DOUBLE) AS backlog, o_totalprice / 5000 AS exam, CAST(1 + o_custkey % 6 AS DOUBLE) AS hours,
+  CASE WHEN o_custkey % 4 = 0 THEN 'x' ELSE CAST(o_custkey % 100 AS STRING) END AS attendance FROM orders"""
+
+
+@q("ingest_upload", "SELECT * FROM (" + DASH_ORACLE.replace("SELECT student_id, branch, gender, semester, current_back, current_back AS noofbacklog, 0 AS ever_back,",
+   "SELECT student_id, branch, current_back, current_back AS noofbacklog,").replace(
+       "stress_level_src AS stress_level, 'GEN' AS category, effective_cgpa, study_hours_per_day,", "effective_cgpa,") + """) z UNION ALL
+SELECT o_orderkey, 'Unknown', CAST(o_custkey % 5 AS DOUBLE), CAST(o_custkey % 5 AS DOUBLE), o_totalprice / 50000,
+  least(greatest(o_totalprice / 5000 / 100 * 8 / (1 + o_custkey % 6) * 100, 0), 100), 0,
+  (CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE o_custkey % 100 END / 100 * 0.6 + least((1 + o_custkey % 6) / 8, 1) * 0.4) * 100
+FROM orders""", ["current_back", "noofbacklog", "effective_cgpa", "study_efficiency", "distraction_index", "discipline_score"])
+def _(spark, d):
+    """The dashboard's table with an upload under other headers: aliases, defaults, derived columns."""
+    upload = S.frame(spark, d, UPLOAD_SQL).toDF("Student_ID", " Backlogs", "Exam_Score ", "Study_Hours_Per_Day", "attendance_percentage")
+    from strata.sources.files import ingest_upload
+    out = ingest_upload(dash(spark, d), upload)
+    return out.select("student_id", "branch", *[F.col(c).cast("double").alias(c) for c in (
+        "current_back", "noofbacklog", "effective_cgpa", "study_efficiency", "distraction_index", "discipline_score")])
+
+
 @q("select_existing", STU + "SELECT student_id, branch, cgpa FROM stu", ["cgpa"])
 def _(spark, d):
     return schema.select_existing(stu(spark, d), ["student_id", "not_a_column", "branch", "cgpa"])
@@ -1200,10 +1220,13 @@ def _(spark, d):
 
 @q("score_table")
 def _(spark, d):
-    df = ml.class_weights(_doc_frame(spark, d), "quality")
-    model = ml.fit_candidates(df, DOC_FEATURES, "quality")["random_forest"]
+    """Every document scored by both models; the forest decides."""
+    models = ml.fit_candidates(ml.class_weights(_doc_frame(spark, d), "quality"), DOC_FEATURES, "quality")
     df = _doc_frame(spark, d, "left")  # fitted on labelled rows, scores every row
-    return ml.score_table(model, df, 0.58, ["doc_id"], "quality", ["n_chars", "n_words"])
+    for name, model in models.items():
+        df = ml.positive_probability(model, df, f"{name}_probability", ["n_chars", "n_words"]).select(*df.columns, f"{name}_probability")
+    return ml.score_table(models["random_forest"], df, 0.58, ["doc_id", *[f"{name}_probability" for name in models]],
+                          "quality", ["n_chars", "n_words"])
 
 
 @q("feature_importance")
@@ -1245,6 +1268,44 @@ def _(spark, d):
         bad.select("event_id", F.lit(None).cast("double").alias("prediction")))
 
 
+@q("save_load_model", EV + """, f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM ev)
+SELECT event_id, round(i + s * user_id, 4) AS prediction FROM ev, f WHERE user_id IS NOT NULL""", ["prediction"])
+def _(spark, d):
+    """A fitted pipeline saved, loaded again and applied to every event."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    e = ev(spark, d).where(F.col("user_id").isNotNull())
+    base = _out(spark, "model")
+    ml.save_model(Pipeline(stages=[VectorAssembler(inputCols=["user_id"], outputCol="features"),
+                                   LinearRegression(featuresCol="features", labelCol="value")]).fit(e.where("value IS NOT NULL")), base)
+    return ml.load_model(base).transform(e).select("event_id", F.round("prediction", 4).alias("prediction"))
+
+
+PREDICTIONS_SQL = """SELECT event_id AS student_id, user_id AS subjectid, p, CASE WHEN p >= 0.58 THEN 1 ELSE 0 END AS predicted
+FROM (""" + S.SCORED_SQL + ") s"
+
+
+@q("prediction_sinks", S.cte(s=PREDICTIONS_SQL) + f"""SELECT 'predictions' AS sink, count(*) AS rows, avg(p) AS mean FROM s
+UNION ALL SELECT 'test_predictions', count(*), avg(p) FROM s WHERE subjectid % 5 = 0
+UNION ALL SELECT 'dashboard_output', count(*), avg(p) FROM s""", ["mean"])
+def _(spark, d):
+    """Predictions written to the three sinks and read back."""
+    from strata.sources.files import write_predictions
+    from strata.functions import expressions as X
+    p = "backlog_risk_probability"
+    scored = S.frame(spark, d, PREDICTIONS_SQL).withColumnRenamed("p", p)
+    scored = scored.withColumns({"risk_label": X.risk_label(p), "recommended_intervention": X.recommended_intervention(p)})
+    base = _out(spark, "predictions")
+    write_predictions(scored, scored.where("subjectid % 5 = 0").select("student_id"), base, ["student_id"])
+    out = None
+    for sink in ("predictions", "test_predictions", "dashboard_output"):
+        t = spark.read.parquet(f"{base}/backlog_risk_{sink}")
+        one = t.agg(F.count(F.lit(1)).alias("rows"), F.avg(p).alias("mean")).select(F.lit(sink).alias("sink"), "rows", "mean")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @q("freshness_report", "SELECT 'events.parquet' AS file_name, count(*) AS rows FROM events")
 def _(spark, d):
     """Rows per input file; the file times differ per copy of the table, so they are left out here."""

@@ -147,9 +147,15 @@ def freshness_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFr
 
 
 def ingest_upload(base: DataFrame, upload: DataFrame) -> DataFrame:
-    """Normalise an uploaded table to the dashboard schema and union it."""
-    from strata.operators.schema import dashboard_schema
-    up = dashboard_schema(upload)
+    """Union an uploaded table with the dashboard's: its headers, aliases and
+    defaults are aligned, its derived columns (effective CGPA, efficiency,
+    distraction, discipline) computed; a column of one table only is NULL in
+    the other's rows, a column of two types takes the base's."""
+    from strata.operators.features import dashboard_frame
+    from strata.operators.schema import upload_schema
+    up = dashboard_frame(upload_schema(upload))
+    types = {f.name: f.dataType for f in base.schema.fields}
+    up = up.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if c in up.columns and up.schema[c].dataType != t})
     return base.unionByName(up, allowMissingColumns=True)
 
 

@@ -86,3 +86,13 @@ def test_save_warehouse_casts_to_layout(spark, tmp_path):
     files.save_warehouse({"dim_student": tables["dim_student"]}, str(tmp_path))
     out = spark.read.parquet(str(tmp_path / "dim_student"))
     assert dict(out.dtypes)["student_id"] == "int" and out.count() == 1
+
+
+def test_upload_aliases_defaults_and_derived_columns(spark):
+    base = spark.createDataFrame([(1, 2.0, 7.0)], "student_id long, noofbacklog double, effective_cgpa double")
+    up = spark.createDataFrame([(2, 3, 9, 80.0, 4.0)], "student_id int, ` Backlogs` int, No_Of_Backlog int, exam_score double, study_hours_per_day double")
+    row = files.ingest_upload(base, up).where("student_id = 2").first()
+    assert (row["noofbacklog"], row["current_back"], row["ever_back"]) == (9.0, 9.0, 0.0)  # the first alias wins
+    assert row["effective_cgpa"] == 8.0 and row["study_efficiency"] == 100.0 and row["discipline_score"] == 20.0
+    bare = files.ingest_upload(base, spark.createDataFrame([(3,)], "student_id int")).where("student_id = 3").first()
+    assert (bare["noofbacklog"], bare["current_back"], bare["effective_cgpa"]) == (0.0, 0.0, 0.0) and bare["exam_score"] is None

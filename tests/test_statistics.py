@@ -100,3 +100,15 @@ def test_grouped_quantiles_by_brackets(spark, monkeypatch):
 
     monkeypatch.setattr(Q, "bracket_table", wrong)
     assert got() == pytest.approx(want)
+
+
+def test_top_values_do_not_shuffle_texts(spark):
+    """Ties that share a long prefix go to the smallest text; hashes travel, not texts."""
+    long = "x" * 5000
+    rows = [("a", long + "b"), ("a", long + "a"), ("b", None), ("b", long + "b"), (None, long + "c"), (None, long + "c"), (None, "z")] * 3
+    df = spark.createDataFrame(rows, "g string, v string")
+    got = {r["column"]: (r["count"], r["unique"], r["top"], r["freq"]) for r in Q.top_values(df, ["g", "v"]).collect()}
+    assert got == {"g": (12, 2, "a", 6), "v": (18, 4, long + "b", 6)} and got["v"][2] < long + "c"
+    by = {r["g"]: (r["top"], r["freq"]) for r in Q.top_values(df, ["v"], ["g"]).collect()}
+    assert by == {"a": (long + "a", 3), "b": (long + "b", 3), None: (long + "c", 6)}
+    assert Q.top_values(df.where("v = 'none'"), ["g", "v"]).count() == 0
