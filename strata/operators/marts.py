@@ -147,6 +147,70 @@ def slice_filter(df: DataFrame, branches=None, genders=None, semesters=None) ->
     return df.where(cond)
 
 
+SLICE_DIMS = ("branch", "gender", "semester")
+# FIXED VALUES: the measures of the dashboard's figures (means) and of its activity mix (sums).
+SLICE_MEANS = ("effective_cgpa", "study_hours_per_day", "current_back")
+SLICE_SUMS = ("technical_projects", "tech_quiz")
+
+
+def slice_cube(df: DataFrame) -> DataFrame:
+    """Mergeable parts of every slice of (branch, gender, semester), one row a
+    cell of each grouping set: ``set`` (its grouping id), the dimensions,
+    records, and per measure a sum and a count.
+
+    The table has at most the product of the dimensions' sizes (plus one each)
+    rows; any selection on the dashboard is answered from it without the detail
+    table (``cube_slice``).
+    """
+    typed = df.select(F.col("branch").cast("string").alias("branch"), F.col("gender").cast("string").alias("gender"),
+                      F.col("semester").cast("int").alias("semester"),
+                      *[F.col(c).cast("double").alias(c) for c in (*SLICE_MEANS, *SLICE_SUMS) if c in df.columns],
+                      *([(F.lower(F.col("certification_course").cast("string")) == "yes").cast("double").alias("certification_course")]
+                        if "certification_course" in df.columns else []))
+    measures = [c for c in typed.columns if c not in SLICE_DIMS]
+    return typed.cube(*SLICE_DIMS).agg(
+        F.grouping_id().alias("set"), F.count(F.lit(1)).alias("records"),
+        *[x for c in measures for x in (F.sum(c).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}"))])
+
+
+def cube_slice(cube: DataFrame, branches=None, genders=None, semesters=None, by: str | None = None) -> DataFrame:
+    """The cells of ``slice_filter``'s selection, from the coarsest grouping set
+    that still tells the restricted dimensions and ``by`` apart."""
+    wanted = {"branch": branches, "gender": genders, "semester": semesters}
+    rolled = sum(1 << (len(SLICE_DIMS) - 1 - i) for i, d in enumerate(SLICE_DIMS) if wanted[d] is None and d != by)
+    out = cube.where(F.col("set") == rolled)
+    return slice_filter(out, branches, genders, semesters)
+
+
+def _cube_mean(c: str) -> Column:
+    return F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}"))
+
+
+def cube_metric_row(cube: DataFrame, branches=None, genders=None, semesters=None) -> DataFrame:
+    """``metric_row`` of a selection, read from the cube."""
+    return cube_slice(cube, branches, genders, semesters).agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"), _cube_mean("effective_cgpa").alias("avg_cgpa"),
+        _cube_mean("study_hours_per_day").alias("avg_study_hours"), _cube_mean("current_back").alias("avg_current_back"))
+
+
+def cube_mean_by(cube: DataFrame, by: str, value: str = "effective_cgpa", alias: str = "avg_cgpa", descending: bool = True,
+                 dropna: bool = False, branches=None, genders=None, semesters=None) -> DataFrame:
+    """``mean_by`` of a dimension over a selection, read from the cube."""
+    cells = cube_slice(cube, branches, genders, semesters, by)
+    cells = cells.where(F.col(by).isNotNull()) if dropna else cells
+    out = cells.groupBy(by).agg(_cube_mean(value).alias(alias))
+    return out.orderBy(F.col(alias).desc_nulls_last() if descending else F.col(by).asc_nulls_last())
+
+
+def cube_activity_mix(cube: DataFrame, branches=None, genders=None, semesters=None) -> DataFrame:
+    """``activity_mix`` of a selection, read from the cube."""
+    names = ["technical_projects", "certification_course", "tech_quiz"]
+    one = cube_slice(cube, branches, genders, semesters).agg(*[F.sum(f"sum_{c}").alias(c) for c in names])
+    one = one.withColumn("_total", F.col(names[0]) + F.col(names[1]) + F.col(names[2]))
+    return one.unpivot(["_total"], names, "activity", "value").select(
+        "activity", "value", F.try_divide(F.col("value") * 100, F.col("_total")).alias("share_pct"))
+
+
 def filter_options(df: DataFrame, column: str, as_int: bool = False) -> DataFrame:
     c = F.col(column).cast("int" if as_int else "string")
     return df.select(c.alias(column)).where(F.col(column).isNotNull()).distinct().orderBy(column)

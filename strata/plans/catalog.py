@@ -679,6 +679,45 @@ def _(spark, d):
     return marts.metric_row(marts.slice_filter(dash(spark, d), *SLICE))
 
 
+def _cube(spark, d):
+    """The cube of the dashboard's table, written and read back."""
+    full = features.dashboard_frame(stu(spark, d))
+    base = _out(spark, "cube")
+    marts.slice_cube(full).write.parquet(base)
+    return spark.read.parquet(base)
+
+
+@q("slice_cube_metrics", "SELECT count(*) AS records, avg(effective_cgpa) AS avg_cgpa, avg(study_hours_per_day) AS avg_study_hours, "
+   "avg(current_back) AS avg_current_back FROM (" + DASH_ORACLE + ") x WHERE branch IN ('CSE', 'MECH') "
+   "AND gender IN ('Female') AND semester IN (1, 2, 3, 5)", ["avg_cgpa", "avg_study_hours", "avg_current_back"])
+def _(spark, d):
+    """The metric row of a selection, read from the slice cube."""
+    return marts.cube_metric_row(_cube(spark, d), *SLICE)
+
+
+@q("slice_cube_means", " UNION ALL ".join(
+    f"SELECT '{c}' AS dimension, CAST({c} AS VARCHAR) AS value, avg(effective_cgpa) AS avg_cgpa FROM ({DASH_ORACLE}) x GROUP BY {c}"
+    for c in ("branch", "gender", "semester")), ["avg_cgpa"])
+def _(spark, d):
+    """Branch, gender and semester means of all records, read from the slice cube."""
+    cube, out = _cube(spark, d), None
+    for c in marts.SLICE_DIMS:
+        one = marts.cube_mean_by(cube, c).select(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value"), "avg_cgpa")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@q("slice_cube_activity", STU + """, a AS (SELECT CAST(sum(technical_projects) AS DOUBLE) AS tp,
+  CAST(count_if(lower(certification_course) = 'yes') AS DOUBLE) AS cc, CAST(sum(tech_quiz) AS DOUBLE) AS tq FROM stu
+  WHERE branch IN ('CSE', 'ECE'))
+SELECT 'technical_projects' AS activity, tp AS value, tp * 100 / (tp + cc + tq) AS share_pct FROM a
+UNION ALL SELECT 'certification_course', cc, cc * 100 / (tp + cc + tq) FROM a
+UNION ALL SELECT 'tech_quiz', tq, tq * 100 / (tp + cc + tq) FROM a""", ["value", "share_pct"])
+def _(spark, d):
+    """The activity mix of two branches, read from the slice cube."""
+    return marts.cube_activity_mix(_cube(spark, d), ["CSE", "ECE"])
+
+
 @q("filter_options", STU + "SELECT DISTINCT CAST(semester AS INT) AS semester FROM stu WHERE semester IS NOT NULL")
 def _(spark, d):
     return marts.filter_options(stu(spark, d), "semester", as_int=True)
@@ -1412,6 +1451,30 @@ def _(spark, d):
         spark.read.schema(schema).parquet(f"{base}/rejected"))
 
 
+@q("score_once", """WITH f AS (SELECT regr_slope(value, user_id) AS s, regr_intercept(value, user_id) AS i FROM events)
+SELECT event_id, CASE WHEN event_id % 9 > 0 THEN round(i + s * user_id, 4) END AS prediction,
+  CASE WHEN event_id % 9 = 0 THEN 'missing user_id' END AS reason FROM events, f""", ["prediction"])
+def _(spark, d):
+    """All events offered as files, then again under new names: each is scored
+    or rejected once, by the state kept behind a watermark."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from strata.streaming.incremental import score_once
+    e = S.table(spark, d, "events").select("event_id", "ts", "user_id", "value")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["user_id"], outputCol="features"),
+                             LinearRegression(featuresCol="features", labelCol="value")]).fit(e)
+    base = _out(spark, "score_once")
+    span = e.agg(F.ceil((F.unix_timestamp(F.max(F.col("ts").cast("timestamp"))) - F.unix_timestamp(F.min(F.col("ts").cast("timestamp")))) / 86400)
+                 .alias("days")).first()["days"] or 0
+    offered = e.withColumn("user_id", F.when(F.col("event_id") % 9 > 0, F.col("user_id")))
+    for _ in range(2):  # the same rows in new files
+        offered.write.mode("append").parquet(f"{base}/raw")
+        stream = spark.readStream.schema(offered.schema).parquet(f"{base}/raw")
+        score_once(stream, model, ["user_id"], ["user_id"], ["event_id"], "ts", f"{span + 1} days", f"{base}/sink", f"{base}/_stream")
+    return spark.read.parquet(f"{base}/sink").select("event_id", "prediction", "reason")
+
+
 @q("metadata_tables", """WITH x AS (SELECT lang, source FROM documents)
 SELECT * FROM (VALUES ('required', 'n_chars', NULL), ('required', 'n_words', NULL), ('required', 'lang', NULL),
   ('required', 'source', NULL), ('numeric', 'n_chars', NULL), ('numeric', 'n_words', NULL)) AS t(kind, field, value)

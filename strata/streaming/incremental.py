@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.files import read_or_empty
 
-__all__ = ["list_files", "log_run", "stale_check", "refresh_if_new", "stream_score", "file_stream"]
+__all__ = ["list_files", "log_run", "stale_check", "refresh_if_new", "seen_once", "late_rows", "score_once",
+           "stream_score", "file_stream"]
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -68,6 +69,75 @@ def refresh_if_new(spark: SparkSession, raw_path: str, schema: T.StructType | st
     q.awaitTermination()
 
 
+def seen_once(stream: DataFrame, key: list[str], event_time: str, delay: str) -> DataFrame:
+    """Rows of a stream whose ``key`` has not come before, by keyed state that
+    is kept until the watermark (``delay`` behind the newest ``event_time``).
+
+    ``delay`` bounds the state: it must cover how late rows may come or be
+    replayed; rows behind the watermark are dropped and counted by the query's
+    progress (``late_rows``).  Rows with a NULL in their key are told apart by a
+    hash of the whole row.  Rows without an event time neither move the
+    watermark nor fall behind it; the state knows them within their batch only.
+    """
+    marked = stream.withColumns({"_guard_row": F.when(_no_key(key), F.xxhash64(*[F.col(f"`{c}`") for c in stream.columns])),
+                                 "_guard_time": F.col(event_time).cast("timestamp")})
+    once = marked.withWatermark("_guard_time", delay).dropDuplicatesWithinWatermark([*key, "_guard_row"])
+    return once.select(*[F.col(f"`{c}`") for c in stream.columns])
+
+
+def _no_key(key: list[str]) -> Column:
+    nulls = F.lit(False)
+    for k in key:
+        nulls = nulls | F.col(k).isNull()
+    return nulls
+
+
+def _row_id(key: list[str], columns: list[str]) -> list[Column]:
+    """128 bits that tell rows apart as ``seen_once`` does."""
+    whole = [F.col(f"`{c}`") for c in columns]
+    return [F.when(_no_key(key), F.xxhash64(F.lit(n), *whole)).otherwise(F.xxhash64(F.lit(n + 2), *key)).alias(f"_id{n}") for n in (0, 1)]
+
+
+def late_rows(query) -> int:
+    """Rows that the finished query dropped behind its watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def score_once(stream: DataFrame, model: PipelineModel, required: list[str], numeric: list[str], key: list[str], event_time: str,
+               delay: str, path: str, checkpoint: str, output: str = "prediction", digits: int = 4):
+    """Score each arriving row once into one sink at ``path`` and stop when all
+    files are read: scored rows have ``output``, rejected ones a ``reason``.
+
+    The stream is read once; a micro-batch that is replayed after a failure
+    replaces its own part (``epoch=<id>``), and a row offered again under a new
+    file name is known to the state (``seen_once``) or, where it has no event
+    time, found in the sink.  Returns the query.
+    """
+    from strata.operators.ml import validate_for_scoring
+    columns = stream.columns
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        held = batch = batch.persist()
+        timeless = batch.where(F.col(event_time).isNull())
+        if not timeless.isEmpty():
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields) + ", epoch int"
+            known = read_or_empty(batch.sparkSession, path, schema).where(F.col(event_time).isNull() & (F.col("epoch") < epoch))
+            new = timeless.select("*", *_row_id(key, columns)).join(known.select(*_row_id(key, columns)), ["_id0", "_id1"], "left_anti")
+            batch = batch.where(F.col(event_time).isNotNull()).unionByName(new.select(*columns))
+        whole = batch.withColumn("_arrived", F.struct(*[F.col(f"`{c}`") for c in columns]))  # rows are kept as they came
+        good, bad = validate_for_scoring(whole, required, numeric)
+        scored = model.transform(good).select("_arrived.*", F.round(F.col("prediction"), digits).alias(output),
+                                              F.lit(None).cast("string").alias("reason"))
+        rejected = bad.select("_arrived.*", F.lit(None).cast("double").alias(output), "reason")
+        scored.unionByName(rejected).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        held.unpersist()
+
+    query = (seen_once(stream, key, event_time, delay).writeStream.option("checkpointLocation", checkpoint)
+             .foreachBatch(write).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
 def stream_score(stream: DataFrame, model: PipelineModel, required: list[str], numeric: list[str],
                  output: str = "prediction", digits: int = 4) -> tuple[DataFrame, DataFrame]:
     """Stateless scoring of arriving rows: (scored, rejected-with-reason) streams."""
