@@ -62,26 +62,45 @@ _CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset foot
            "option": frozenset(["option"])}
 
 
-def _marks(tag: str) -> tuple[str, ...]:
-    words: list[str] = []
-    for m in _MARKS.finditer(tag):
-        words += re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())
-    return tuple(w for w in words if w)
+#: Tags and hashes kept by their text in a worker, at most.
+KEPT = 200_000
+_TAGS: dict[str, tuple | None] = {}
+_HASHES: dict[str, int] = {}
+
+
+def _read_tag(tag: str) -> tuple[bool, str, str, tuple[str, ...], tuple[str, ...]] | None:
+    """(end tag, name, name and words, words, whole values) of class, id and
+    role of a tag; pages of a host repeat their tags, so they are kept."""
+    if tag in _TAGS:
+        return _TAGS[tag]
+    m = _TAG.match(tag)
+    out = None
+    if m:
+        values = [v for x in _MARKS.finditer(tag) for v in (x[1] or x[2] or x[3] or "").lower().split()]
+        words = tuple(w for v in values for w in re.split(r"[^a-z0-9]+", v) if w)
+        out = (bool(m[1]), m[2].lower(), ".".join((m[2].lower(), *words)), words, tuple(values))
+    if len(_TAGS) >= KEPT:
+        _TAGS.clear()
+    if len(tag) < 500:
+        _TAGS[tag] = out
+    return out
 
 
-def _is_boilerplate(name: str, marks: tuple[str, ...], in_article: bool) -> bool:
+def _is_boilerplate(name: str, words: tuple[str, ...], values: tuple[str, ...], in_article: bool) -> bool:
+    """Inside an article a word counts only as a whole value: "share" drops a
+    block there, "share-price" or "article-header" does not."""
     if name in BOILERPLATE_TAGS:
         return True
     if name == "header":  # a page's header; an article's own holds its headline
         return not in_article
     return name not in ("html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p") \
-        and any(w in BOILERPLATE_WORDS for w in marks)
+        and any(w in BOILERPLATE_WORDS for w in (values if in_article else words))
 
 
 def walk(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
     """(kind, value, breaks block, in boilerplate, in article) of each token:
     kind ``tag`` with the tag's path, or ``text`` with the raw segment."""
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, article, main
+    stack: list[tuple[str, bool, bool, str]] = []  # name, boilerplate, article, path of the blocks inside
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
@@ -91,11 +110,11 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
         if lo > at:
             yield "text", page[at:lo], False, bad, art
         at = hi
-        t = m and _TAG.match(m[0])
+        t = m and _read_tag(m[0])
         if not t:
             continue
-        name = t[2].lower()
-        if t[1]:
+        end_tag, name, label, words, values = t
+        if end_tag:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None and not (name in INLINE and any(
                     s[0] in ("article", "main", "body", "nav", "footer", "div", "aside") for s in stack[depth + 1:])):
@@ -106,17 +125,17 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
             _pop_block(stack)
         bad = bool(stack) and stack[-1][1]
         art = bool(stack) and stack[-1][2]
-        marks = _marks(m[0])
-        path = "/".join([s[0] for s in stack if s[0] not in INLINE] + [".".join((name, *marks))])
-        yield "tag", path, name not in INLINE, bad, art
+        above = stack[-1][3] if stack else ""
+        yield "tag", above + label, name not in INLINE, bad, art
         if name in VOID or m[0].endswith("/>") and name in ("svg", "math"):
             continue
         if name in RAW:  # text up to the end tag, never markup
             end = re.compile(rf"</{name}\s*[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        art = art or name in ("article", "main") or "main" in marks and name != "nav"
-        stack.append((name, bad or _is_boilerplate(name, marks, bool(stack) and stack[-1][2]), art, name == "main"))
+        bad = bad or _is_boilerplate(name, words, values, art)
+        art = art or name in ("article", "main") or "main" in words and name != "nav"
+        stack.append((name, bad, art, above if name in INLINE else f"{above}{name}/"))
 
 
 def _block_of(stack: list) -> str:
@@ -137,6 +156,15 @@ def _hash(value: str) -> int:
     return xxhash.xxh3_64_intdigest(value) - (1 << 63)
 
 
+def _tag_hash(value: str) -> int:
+    h = _HASHES.get(value)
+    if h is None:
+        if len(_HASHES) >= KEPT:
+            _HASHES.clear()
+        h = _HASHES[value] = _hash(value)
+    return h
+
+
 def _text_key(path: str, text: str) -> int:
     return _hash(f"{path}\x00{' '.join(html_lib.unescape(text).split())}")
 
@@ -151,7 +179,7 @@ def page_tokens(page: str | None) -> tuple[list[int], list[int]]:
         if kind == "tag":
             if not value.startswith("/"):
                 path = value
-            tokens.append(_hash(value))
+            tokens.append(_tag_hash(value))
             sizes.append(0)
         elif value.strip():
             tokens.append(_text_key(path, value))
@@ -279,7 +307,7 @@ def extract(page: str | None, template: dict[int, int] | None = None) -> str:
             if not value.startswith("/"):
                 path = value
             if template:
-                slot = template.get(_hash(value), slot)
+                slot = template.get(_tag_hash(value), slot)
             if breaks:
                 close()
             continue
@@ -320,6 +348,47 @@ def _rows(fn, names: list[str], kinds: list[pa.DataType], *read: str):
     return run
 
 
+class _ByHost:
+    """What ``prepare`` makes of a host's array column, made once a host and
+    task (at most KEPT elements are kept)."""
+
+    def __init__(self, prepare):
+        self.prepare, self.made, self.size = prepare, {}, 0
+
+    def get(self, host: str, column: pa.Array, i: int):
+        if host not in self.made:
+            what = column[i].as_py() or ()
+            if self.size + len(what) > KEPT:
+                self.made, self.size = {}, 0
+            self.made[host], self.size = self.prepare(what), self.size + len(what)
+        return self.made[host]
+
+
+def _rows_by_host(prepare, fn, names: list[str], kinds: list[pa.DataType]):
+    """As ``_rows`` over host, tokens, sizes and what ``prepare`` makes of the host's ``what``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts = _ByHost(prepare)
+        read = _rows(fn, names, kinds, "host", "tokens", "sizes", "what")
+        for b in batches:
+            what = b.column("what")
+            table = [hosts.get(h, what, i) for i, h in enumerate(b.column("host").to_pylist())]
+            yield from read([_Columns(b, table)])
+    return run
+
+
+class _Columns:
+    """A batch whose column ``what`` is a list of Python values."""
+
+    def __init__(self, batch: pa.RecordBatch, what: list):
+        self.batch, self.what = batch, what
+
+    def column(self, name: str):
+        return self if name == "what" else self.batch.column(name)
+
+    def to_pylist(self) -> list:
+        return self.what
+
+
 def page_contents(pages: DataFrame) -> DataFrame:
     """(host, row, tokens, sizes) of one page of each host and content, so that
     copies of a page are no evidence of a template.  ``pages`` has host and html."""
@@ -383,25 +452,25 @@ def deduce_templates(contents: DataFrame) -> DataFrame:
             n[m["class"]] += 1
         return out, n
 
-    def with_table(table: DataFrame, fn, names: list[str], kinds: list[pa.DataType], schema: str, *columns: str) -> DataFrame:
+    def with_table(table: DataFrame, prepare, fn, names: list[str], kinds: list[pa.DataType], schema: str, *columns: str) -> DataFrame:
         j = contents.join(if_small(_by_host(table, *columns), 4096), "host")
-        return j.mapInArrow(_rows(fn, names, kinds, "host", "tokens", "sizes", "what"), schema)
+        return j.mapInArrow(_rows_by_host(prepare, fn, names, kinds), schema)
 
     # order: tokens that leave their class's order on some page are no members
     members = pin(enough(vector), "members")
-    wrong = with_table(members, lambda host, tokens, sizes, what: [(host, t) for t in misplaced(tokens, places(what)[0])],
+    wrong = with_table(members, places, lambda host, tokens, sizes, at: [(host, t) for t in misplaced(tokens, at[0])],
                        ["host", "token"], [text, long], "host string, token long", "class", "place", "token").distinct()
     members = pin(enough(members.join(wrong, ["host", "token"], "left_anti")), "members")
 
     # containment: of two classes that cross, or whose tuples lie in several
     # slots of the other or partly outside, the one on fewer pages is none
-    def pairs(host, tokens, sizes, what):
-        at, n = places(what)
+    def pairs(host, tokens, sizes, placed):
+        at, n = placed
         times = Counter(tokens)
         all_tuples = {c: times[t] for t, (c, place) in at.items() if place == 0 and times[t]}
         return [(host, *x) for x in nesting(tokens, at, n)] + [(host, c, c, 0, 0, k) for c, k in all_tuples.items()]
 
-    inside = pin(with_table(members, pairs, ["host", "class", "other", "low", "high", "n"], [text, *[long] * 5],
+    inside = pin(with_table(members, places, pairs, ["host", "class", "other", "low", "high", "n"], [text, *[long] * 5],
                             "host string, class long, other long, low long, high long, n long", "class", "place", "token")
                  .groupBy("host", "class", "other")
                  .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")), "nesting")
@@ -422,9 +491,9 @@ def deduce_templates(contents: DataFrame) -> DataFrame:
     # slots: boilerplate if their few contents come back in pages of different main texts
     def contents_of(host, tokens, sizes, what):
         whole = sum(n for n in sizes if n > 0) or sum(map(abs, sizes))
-        return [(host, *s, whole) for s in slots(tokens, sizes, {m["token"] for m in what})]
+        return [(host, *s, whole) for s in slots(tokens, sizes, what)]
 
-    fixed = with_table(members, contents_of, ["host", "token", "content", "chars", "body", "whole"], [text, *[long] * 5],
+    fixed = with_table(members, lambda what: {m["token"] for m in what}, contents_of, ["host", "token", "content", "chars", "body", "whole"], [text, *[long] * 5],
                        "host string, token long, content long, chars long, body long, whole long", "class", "place", "token") \
         .groupBy("host", "token", "content", "body").agg(F.max("chars").alias("chars"), F.max("whole").alias("whole")) \
         .groupBy("host", "token", "content").agg(
@@ -451,12 +520,14 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     d = pages.select(*names, host_of(F.col("url")).alias("_llm_host"))
     templates = pin(deduce_templates(page_contents(d.select(F.col("_llm_host").alias("host"), "html"))), "templates")
     j = d.join(if_small(templates.withColumnRenamed("host", "_llm_host"), 4096), "_llm_host", "left")
-    columns = [*names, "_llm_template"]
+    columns = [*names, "_llm_template", "_llm_host"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts = _ByHost(lambda what: {x["token"]: x["role"] for x in what})
         for b in batches:
-            out = [extract(page, {x["token"]: x["role"] for x in t or ()})
-                   for page, t in zip(b.column(names.index("html")).to_pylist(), b.column(len(names)).to_pylist())]
+            template, host = b.column(len(names)), b.column(len(names) + 1).to_pylist()
+            out = [extract(page, hosts.get(h, template, i))
+                   for i, (page, h) in enumerate(zip(b.column(names.index("html")).to_pylist(), host))]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:len(names)], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 [*names, "text", "n_chars"])

@@ -452,3 +452,11 @@ def test_jaccard_odd_rows(spark, odd, odd_rows, nothing):
     assert {r["doc_id"]: r["component_id"] for r in out if r["doc_id"] is not None} == want
     assert all(r["component_id"] is None for r in out if r["doc_id"] is None)
     assert jaccard_join.link_documents(nothing).count() == 0
+
+
+def test_class_words_inside_an_article_count_as_whole_values():
+    page = "<article><div class='article-header'><h1>Headline</h1><p>Lead.</p></div><p>Body.</p></article>"
+    assert extract(page) == "Headline\nLead.\nBody."
+    page = ("<article><section class='legal-analysis'>x</section><figure class='share-price'>y</figure><div class='related-work'>z</div>"
+            "<div class='wide share'>no</div><div id=comments>no</div><p>Body</p></article><div class='ad-slot'>no</div>")
+    assert extract(page) == "x\ny\nz\nBody"
