@@ -58,8 +58,45 @@ def test_entry_smoke(spark):
 ROWS_ONLY = sorted(set(CATALOG) - set(entry.oracle_sql()))
 
 
+def _candidates(rows):
+    assert {r["model"] for r in rows} == {"logistic_regression", "random_forest"}
+    assert all(r["accuracy"] > 0.8 and r["f1"] > 0.85 and r["roc_auc"] > 0.6 for r in rows)
+
+
+def _regressor(rows):
+    assert len(rows) == 1 and rows[0]["n"] == 100 and rows[0]["rmse"] < 3.4 and abs(rows[0]["rse"] + rows[0]["r2"] - 1) < 1e-5
+
+
+def _multiclass(rows):
+    by = {}
+    for r in rows:
+        assert r["class_name"] == f"class_{r['class_id']}"
+        by.setdefault(r["vec_id"], []).append((r["rank"], -r["p"]))
+    assert len(by) == 500 and all(len(x) == 10 and sorted(x) == sorted(x, key=lambda t: t[1]) for x in by.values())
+    assert all(abs(sum(-p for _, p in x) - 1) < 1e-4 for x in by.values())
+
+
+def _importance(rows):
+    values = [r["importance"] for r in rows]
+    assert values == sorted(values, reverse=True) and 0.9 < sum(values) <= 1 + 1e-6
+    assert {r["feature"] for r in rows[:2]} == {"_num_scaled_0", "_num_scaled_1"}
+
+
+def _scores(rows):
+    names = ("logistic_regression_probability", "random_forest_probability")
+    assert len(rows) == len({r["doc_id"] for r in rows}) == 200 and all(0 <= r[n] <= 1 for r in rows for n in names)
+    for n in names:  # good documents score higher than bad ones
+        good, bad = ([r[n] for r in rows if r["backlog_risk_actual"] == y] for y in (1, 0))
+        assert sum(good) / len(good) > sum(bad) / len(bad) + 0.05
+    assert all(r["backlog_risk_prediction"] == (r["random_forest_probability"] >= 0.58) for r in rows)
+
+
+FLOORS = {"fit_candidates": _candidates, "fit_regressor": _regressor, "multiclass_score": _multiclass,
+          "feature_importance": _importance, "score_table": _scores}
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only_query_runs(spark, name):
-    df = entry.queries()[name](spark, SF)
-    assert df.count() > 0
-    assert df.columns
+    rows = entry.queries()[name](spark, SF).collect()
+    assert rows
+    FLOORS.get(name, lambda _: None)(rows)
