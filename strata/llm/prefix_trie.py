@@ -99,7 +99,8 @@ def stored_prefixes(hashed: DataFrame, attempt: int) -> DataFrame:
     tasks); slices are scanned by themselves and multiplied with the product of
     the slices before them.
     """
-    rows = hashed.select("conv_id", "turn", "hi", "lo", F.regexp_count("text", F.lit(WORDS)).cast("long").alias("words"))
+    # written without the texts: finding the ranges reads the rows a second time
+    rows = pin(hashed.select("conv_id", "turn", "hi", "lo", F.regexp_count("text", F.lit(WORDS)).cast("long").alias("words")), "trie-rows")
     order = [F.col("turn").asc_nulls_first(), F.col("hi"), F.col("lo")]
     ranged = (rows.repartitionByRange(shuffle_partitions(hashed.sparkSession), "conv_id", *order)
               .withColumn("pid", F.spark_partition_id()))
