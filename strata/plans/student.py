@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from strata.functions import constants as K
 from strata.operators import align, clean, features, marts, schema
 from strata.operators.prefix import with_file_position
-from strata.session import observing_session
+from strata.session import observing_session, pinned
 from strata.sources.files import read_csv_text, save_warehouse, write_json_row, write_layer, write_observed
 from strata.streaming.incremental import list_files, log_run
 
@@ -51,7 +51,7 @@ def _infer_numeric(df: DataFrame, columns) -> DataFrame:
 def clean_research(raw: DataFrame) -> DataFrame:
     df = _rename_keep_row(raw, schema.bracket_name)
     df = _infer_numeric(df, [c for c in df.columns if c != ROW])
-    df = _dedupe_keep_first(df)  # on typed values: 1 and 1.0 are equal
+    df = pinned(_dedupe_keep_first(df))  # on typed values: 1 and 1.0 are equal
     df = clean.coerce_numeric(df, K.RESEARCH_NUMERIC)
     num = [c for c in schema.split_by_type(df)[0] if c != ROW]
     df = clean.impute_median(df, num)
@@ -67,7 +67,7 @@ def clean_attitude(raw: DataFrame) -> DataFrame:
     df = _rename_keep_row(raw, schema.alnum_name)
     df = schema.rename_columns(df, K.ATTITUDE_RENAMES)
     df = _infer_numeric(df, [c for c in df.columns if c != ROW])
-    df = _dedupe_keep_first(df)  # on typed values: 1 and 1.0 are equal
+    df = pinned(_dedupe_keep_first(df))  # on typed values: 1 and 1.0 are equal
     df = clean.coerce_numeric(df, K.ATTITUDE_NUMERIC)
     df = clean.percent_to_number(df, ["career_willingness"])
     num = [c for c in schema.split_by_type(df)[0] if c != ROW]
@@ -83,7 +83,7 @@ def clean_attitude(raw: DataFrame) -> DataFrame:
 def clean_performance(raw: DataFrame) -> DataFrame:
     df = _rename_keep_row(raw, schema.alnum_name)
     df = _infer_numeric(df, [c for c in df.columns if c != ROW])
-    df = _dedupe_keep_first(df)  # on typed values: 1 and 1.0 are equal
+    df = pinned(_dedupe_keep_first(df))  # on typed values: 1 and 1.0 are equal
     df = clean.coerce_numeric(df, K.PERFORMANCE_NUMERIC)
     num = [c for c in schema.split_by_type(df)[0] if c != ROW]
     df = clean.impute_median(df, num)
@@ -106,7 +106,7 @@ def silver(research: DataFrame, attitude: DataFrame, performance: DataFrame | No
     frames = [f.withColumnRenamed(ROW, f"_row_{n}") for f, n in zip(frames, names)]
     orders = [[f"_row_{n}"] for n in names]
     merged = align.positional_align(frames, orders, names, unique=True)
-    merged = merged.drop(*[f"_row_{n}" for n in names])
+    merged = pinned(merged.drop(*[f"_row_{n}" for n in names]))  # the statistics below read it several times
     num = [c for c in schema.split_by_type(merged)[0]
            if c != "student_id" and not c.endswith("_record_available")]
     merged = clean.impute_median(merged, num)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet below the checkpoint folder and read back:
+    several jobs read it by column instead of computing it again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Bytes (as text) up to which a measured table is marked for broadcast.
 SMALL_BYTES = 8 << 20
 
