@@ -321,6 +321,71 @@ def _(spark, d):
     return schema.select_existing(stu(spark, d), ["student_id", "not_a_column", "branch", "cgpa"])
 
 
+@q("rename_columns", "SELECT p_partkey AS part_id, p_name AS name, p_brand, p_type, p_size, p_retailprice FROM part", ["p_retailprice"])
+def _(spark, d):
+    return schema.rename_columns(S.table(spark, d, "part"), {"p_partkey": "part_id", "p_name": "name", "absent": "never"})
+
+
+@q("drop_columns", "SELECT * EXCLUDE (p_name, p_type) FROM part", ["p_retailprice"])
+def _(spark, d):
+    return schema.drop_columns(S.table(spark, d, "part"), ["p_name", "absent", "p_type"])
+
+
+@q("require_columns", "SELECT event_type, count(*) AS rows, 'Missing required columns: [''grade'']' AS refused FROM events GROUP BY event_type")
+def _(spark, d):
+    """All events pass the check of columns they have; one they lack is refused by name."""
+    e = S.table(spark, d, "events")
+    try:
+        schema.require_columns(e, ["event_type", "grade"])
+        refused = None
+    except ValueError as err:
+        refused = str(err)
+    return schema.require_columns(e, ["event_type"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows")) \
+        .withColumn("refused", F.lit(refused))
+
+
+@q("auto_target", """SELECT 'l_tax' AS target, avg(l_tax) AS mean FROM lineitem
+UNION ALL SELECT 'l_discount', avg(l_discount) FROM lineitem""", ["mean"])
+def _(spark, d):
+    """The target picked from the whole table's columns: the last numeric one, or the first candidate present."""
+    li, out = S.table(spark, d, "lineitem"), None
+    for names in (["cgpa"], ["cgpa", "l_discount", "l_quantity"]):
+        target = profile.auto_target(li, names)
+        one = li.agg(F.avg(target).alias("mean")).select(F.lit(target).alias("target"), "mean")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@q("empty_guard", """SELECT event_type, count(*) AS rows, count_if(value > 1000000) = 0 AS none_large, false AS none FROM events GROUP BY event_type""")
+def _(spark, d):
+    """Per event type whether a selection of its rows is empty, one short job each."""
+    e = S.table(spark, d, "events")
+    types = [r["event_type"] for r in marts.filter_options(e, "event_type").collect()]  # a handful of types
+    guard = [(t, marts.empty_guard(e.where((F.col("event_type") == t) & (F.col("value") > 1000000))),
+              marts.empty_guard(e.where(F.col("event_type") == t))) for t in types]
+    counts = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.join(spark.createDataFrame(guard, "event_type string, none_large boolean, none boolean"), "event_type")
+
+
+READ_SQL = """SELECT CAST(c_custkey AS STRING) AS k, CASE WHEN c_custkey % 9 = 0 THEN 'NA' WHEN c_custkey % 9 = 1 THEN ' NA '
+  ELSE c_mktsegment END AS segment, CAST(c_acctbal AS STRING) AS balance FROM customer"""
+
+
+@q("read_table", S.cte(t=READ_SQL) + " UNION ALL ".join(
+    f"SELECT '{fmt}' AS format, k, {'nullif(segment, ' + repr('NA') + ')' if fmt == 'csv' else 'segment'} AS segment, balance FROM t"
+    for fmt in ("csv", "json", "parquet")))
+def _(spark, d):
+    """The customers written as CSV, JSON and Parquet and read by suffix; NA tokens are a matter of CSV."""
+    from strata.sources.files import read_table
+    src, base, out = S.frame(spark, d, READ_SQL), _out(spark, "read"), None
+    for fmt in ("csv", "json", "parquet"):
+        src.write.format(fmt).options(**({"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+                                         if fmt == "csv" else {})).save(f"{base}.{fmt}")
+        one = read_table(spark, f"{base}.{fmt}").select(F.lit(fmt).alias("format"), "k", "segment", F.col("balance").cast("string").alias("balance"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @q("scatter_bins", """SELECT CAST(floor(l_quantity / 5) AS BIGINT) AS x_bin,
   CAST(floor(l_extendedprice / 10000) AS BIGINT) AS y_bin, count(*) AS points FROM lineitem GROUP BY ALL""")
 def _(spark, d):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import expressions as X
 from strata.operators.clean import cap_outliers_iqr
+from strata.session import pinned
 
 # band edges on the capped order revenue (right-closed, like the support-need bands)
 REVENUE_BANDS = [("low", None, 50000.0), ("medium", 50000.0, 150000.0), ("high", 150000.0, None)]
@@ -22,7 +23,8 @@ def segment_revenue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (per_order.join(orders.select("o_orderkey", "o_custkey"), per_order.l_orderkey == orders.o_orderkey)
               .join(cust.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
               .select("l_orderkey", "c_mktsegment", "revenue"))
-    capped = cap_outliers_iqr(joined, ["revenue"])
+    # pinned: the fences read it twice, the summary once, and all of them the same sums
+    capped = cap_outliers_iqr(pinned(joined), ["revenue"])
     banded = capped.withColumn("revenue_band", X.risk_band("revenue", REVENUE_BANDS))
     out = banded.groupBy("c_mktsegment", "revenue_band").agg(
         F.count(F.lit(1)).alias("orders"), F.round(F.avg("revenue"), 3).alias("avg_capped_revenue"),
