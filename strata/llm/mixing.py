@@ -232,7 +232,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
-        F.xxhash64(text).alias("th")), "mix-sizes")
+        F.xxhash64(text).alias("th"), F.monotonically_increasing_id().alias("row")), "mix-sizes")  # row: spreads equal rows
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumns({
         "last": F.col("source").isNull(), "name": F.coalesce("source", F.lit(""))})  # by code point, null last
     sources = with_row_number(sources, ["last", "name"], "source_no", 0, unique=True).drop("last", "name")
@@ -248,7 +248,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
     drawn = pin(_drawn(_quotas(sources, blocks, shards, seed), seed), "mix-blocks")
 
     numbered = _known(sized, sources.select("source", "source_no"))
-    stream = running_total(numbered.where("size > 0").drop("source"), ["key", "size", "th"], "size", ["source_no"], "upto")
+    stream = running_total(numbered.where("size > 0").drop("source"), ["key", "size", "th", "row"], "size", ["source_no"], "upto")
     stream = pin(stream.select("doc_id", "source_no", "size", (F.col("upto") - F.col("size")).alias("at")), "mix-stream")
     facts = sources.select("source_no", "source", "source_size", "target", "words")
     facts = F.broadcast(facts) if (sources.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 64).alias("b")).first()["b"] or 0) \
