@@ -100,8 +100,10 @@ def stored_prefixes(hashed: DataFrame, attempt: int) -> DataFrame:
     the slices before them.
     """
     # written without the texts: finding the ranges reads the rows a second time
-    rows = pin(hashed.select("conv_id", "turn", "hi", "lo", F.regexp_count("text", F.lit(WORDS)).cast("long").alias("words")), "trie-rows")
-    order = [F.col("turn").asc_nulls_first(), F.col("hi"), F.col("lo")]
+    rows = pin(hashed.select("conv_id", "turn", "hi", "lo", F.regexp_count("text", F.lit(WORDS)).cast("long").alias("words"),
+                             F.monotonically_increasing_id().alias("row")), "trie-rows")
+    # row: equal turns, whose order does not matter, are spread over ranges
+    order = [F.col("turn").asc_nulls_first(), F.col("hi"), F.col("lo"), F.col("row")]
     ranged = (rows.repartitionByRange(shuffle_partitions(hashed.sparkSession), "conv_id", *order)
               .withColumn("pid", F.spark_partition_id()))
     slice_ = Window.partitionBy("pid", "conv_id").orderBy(*order)

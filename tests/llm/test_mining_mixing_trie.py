@@ -225,3 +225,16 @@ def test_trie_of_nothing_and_of_collisions(spark, monkeypatch):
     twin = spark.createDataFrame([(1, 1, 5, 5, 5, 0, 0, 0, 7, 7, 1, True), (2, 1, 5, 5, 5, 0, 0, 0, 8, 7, 1, True)],
                                  "conv_id long, depth long, f1 long, f2 long, f3 long, p1 long, p2 long, p3 long, hi long, lo long, words long, is_end boolean")
     assert not prefix_trie._nodes(twin).first()["equal"]
+
+
+def test_equal_rows_are_spread(spark):
+    """A third of all rows that are equal in every column does not meet in one range."""
+    docs = spark.range(3000).selectExpr("if(id < 1200, 7L, id) as doc_id", "if(id < 1200, 'same words here', concat('w ', id)) as text", "'s' as source")
+    rows, pieces = mixing.mix_documents(docs, block_words=64, shard_words=640)
+    check_mix(rows.collect(), pieces.collect(), 64, 640)
+    turns = spark.range(900).selectExpr("if(id < 600, 41L, id) as conv_id", "if(id < 600, null, id) as turn", "'u' as role", "if(id < 600, 'same', 'x') as text")
+    stored = prefix_trie.stored_prefixes(prefix_trie._hashed(prefix_trie._turns(turns), 0), 0)
+    place = stored.where("conv_id = 41").collect()
+    assert sorted(r["pos"] for r in place) == list(range(1, 601)) and len({r["f1"] for r in place}) == 600
+    got = {tuple(r) for r in prefix_trie.prefix_trie(turns).collect()}
+    assert got == brute_trie([tuple(r) for r in turns.collect()])
