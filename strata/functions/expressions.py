@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions import constants as K
 
@@ -41,13 +42,20 @@ def col_or(df: DataFrame, name: str, default=0) -> Column:
     return F.col(name) if name in df.columns else F.lit(default)
 
 
-def to_number(c: Column | str) -> Column:
+def to_number(c: Column | str, df: DataFrame | None = None) -> Column:
     """Coerce to double like ``to_numeric(errors="coerce")``: invalid → NULL.
 
     Spark casts also accept suffixes such as ``"1d"``; a regex guard keeps only
-    plain decimal / scientific text.  NaN becomes NULL.
+    plain decimal / scientific text.  NaN becomes NULL.  With the frame that
+    holds column ``c``, numbers are not written as text and read again; the
+    result is the same (infinite ones are no such text: NULL).
     """
+    kind = next((f.dataType for f in df.schema.fields if f.name == c), None) if df is not None and isinstance(c, str) else None
     c = F.col(c) if isinstance(c, str) else c
+    if isinstance(kind, T.DoubleType):
+        return F.when(F.abs(c) < float("inf"), c)  # NaN is above
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return c.cast("double")
     text = c.cast("string")
     num = F.when(text.rlike(_NUMBER_RE), F.trim(text).try_cast("double"))
     return F.when(F.isnan(num), None).otherwise(num)
@@ -266,33 +274,33 @@ def bmi_raw() -> Column:
 
 
 def effective_cgpa(df: DataFrame) -> Column:
-    parts = [to_number(c) for c in ("cgpa", "gpa_6", "gpa_1") if c in df.columns]
+    parts = [to_number(c, df) for c in ("cgpa", "gpa_6", "gpa_1") if c in df.columns]
     if "exam_score" in df.columns:
-        parts.append(to_number("exam_score") / 10)
+        parts.append(to_number("exam_score", df) / 10)
     return F.coalesce(*parts, F.lit(0.0)) if parts else F.lit(0.0)
 
 
 def _hours(df: DataFrame) -> Column:
-    h = to_number("study_hours_per_day") if "study_hours_per_day" in df.columns else F.lit(0.0)
+    h = to_number("study_hours_per_day", df) if "study_hours_per_day" in df.columns else F.lit(0.0)
     return F.when(h != 0, h)
 
 
 def study_efficiency(df: DataFrame, effective: str = "effective_cgpa") -> Column:
     """(marks/100)·(8/hours)·100 clipped to [0, 100]; no hours → 0."""
-    marks = to_number("exam_score") if "exam_score" in df.columns else F.lit(None).cast("double")
+    marks = to_number("exam_score", df) if "exam_score" in df.columns else F.lit(None).cast("double")
     marks = F.coalesce(marks, F.col(effective) * 10)
     raw = F.try_divide(marks / 100 * 8, _hours(df)) * 100
     return clip(F.coalesce(raw, F.lit(0.0)), 0.0, 100.0)
 
 
 def distraction_index(df: DataFrame) -> Column:
-    sm = to_number("social_media_hours") if "social_media_hours" in df.columns else F.lit(0.0)
+    sm = to_number("social_media_hours", df) if "social_media_hours" in df.columns else F.lit(0.0)
     return F.coalesce(F.try_divide(sm, _hours(df)), F.lit(0.0))
 
 
 def discipline_score(df: DataFrame) -> Column:
-    att = to_number("attendance_percentage") if "attendance_percentage" in df.columns else F.lit(0.0)
-    hrs = to_number("study_hours_per_day") if "study_hours_per_day" in df.columns else F.lit(0.0)
+    att = to_number("attendance_percentage", df) if "attendance_percentage" in df.columns else F.lit(0.0)
+    hrs = to_number("study_hours_per_day", df) if "study_hours_per_day" in df.columns else F.lit(0.0)
     att = clip(F.coalesce(att, F.lit(0.0)), 0.0, 100.0) / 100
     hrs = clip(F.coalesce(hrs, F.lit(0.0)) / 8, 0.0, 1.0)
     return (att * 0.6 + hrs * 0.4) * 100

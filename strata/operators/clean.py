@@ -39,7 +39,7 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cols = _existing(df, columns)
-    return df.withColumns({c: X.to_number(c) for c in cols}) if cols else df
+    return df.withColumns({c: X.to_number(c, df) for c in cols}) if cols else df
 
 
 def percent_to_number(df: DataFrame, columns: Sequence[str]) -> DataFrame:

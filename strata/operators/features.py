@@ -65,7 +65,7 @@ def dashboard_frame(df: DataFrame) -> DataFrame:
     from strata.operators.schema import dashboard_schema
     df = dashboard_schema(df)
     df = df.withColumn("effective_cgpa", X.effective_cgpa(df))
-    df = df.withColumns({c: F.coalesce(X.to_number(c), F.lit(0.0)) for c in K.DASHBOARD_NUMERIC if c in df.columns})
+    df = df.withColumns({c: F.coalesce(X.to_number(c, df), F.lit(0.0)) for c in K.DASHBOARD_NUMERIC if c in df.columns})
     return df.withColumns({"study_efficiency": X.study_efficiency(df),
                            "distraction_index": X.distraction_index(df),
                            "discipline_score": X.discipline_score(df)})
@@ -73,7 +73,7 @@ def dashboard_frame(df: DataFrame) -> DataFrame:
 
 def risk_pct_rescale(df: DataFrame, column: str, output: str = "risk_probability_pct") -> DataFrame:
     """×100 when the column's global max ≤ 1.1, then clip to [0, 100]."""
-    mx = F.lit(df.agg(F.max(X.to_number(column)).alias("m")).first()["m"]).cast("double")
-    v = X.to_number(column)
+    mx = F.lit(df.agg(F.max(X.to_number(column, df)).alias("m")).first()["m"]).cast("double")
+    v = X.to_number(column, df)
     scaled = F.when(mx <= 1.1, v * 100).otherwise(v)
     return df.withColumn(output, X.clip(scaled, 0.0, 100.0))

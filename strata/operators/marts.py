@@ -218,7 +218,7 @@ def filter_options(df: DataFrame, column: str, as_int: bool = False) -> DataFram
 
 def target_not_null(df: DataFrame, target: str) -> DataFrame:
     from strata.functions.expressions import to_number
-    return df.withColumn(target, to_number(target)).where(F.col(target).isNotNull())
+    return df.withColumn(target, to_number(target, df)).where(F.col(target).isNotNull())
 
 
 def empty_guard(df: DataFrame) -> bool:

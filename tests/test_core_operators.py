@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.functions import expressions as X
-from strata.operators import align, clean, metrics, profile, schema
+from strata.operators import align, clean, features, metrics, profile, schema
 from strata.operators.prefix import running_total, with_row_number
 from strata.operators.quantiles import modes, quantiles
 
@@ -192,3 +192,13 @@ def test_approx_quantiles_close_to_exact(spark):
     for p, v in got.items():
         rank = (pdf.v <= v).mean()
         assert abs(rank - p) < 0.01
+
+
+def test_numbers_are_not_read_back_from_text(spark):
+    rows = [(1.5, 7, "8", 0.1), (float("nan"), -3, "1d", 2.5), (float("inf"), None, " 2e3 ", None), (None, 2**53 + 1, "NaN", -0.25),
+            (-0.0, 0, None, 1e-9), (1e300, 1, ".5", 3.0)]
+    df = spark.createDataFrame(rows, "d double, i long, s string, f float")
+    fast = df.select(*[X.to_number(c, df).alias(c) for c in df.columns])
+    assert [tuple(r) for r in fast.collect()] == [tuple(r) for r in df.select(*[X.to_number(c).alias(c) for c in df.columns]).collect()]
+    plan = features.dashboard_frame(df.select(F.col("d").alias("exam_score"), F.col("i").alias("study_hours_per_day")))
+    assert "RLIKE" not in plan._jdf.queryExecution().optimizedPlan().toString()
