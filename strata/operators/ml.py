@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from strata.functions import expressions as X
 from strata.operators.prefix import with_row_number
 from strata.operators.quantiles import medians
-from strata.session import checkpoint, if_small
+from strata.session import checkpoint, if_small, pinned
 
 
 #: Spark's limit on the depth of a tree.
@@ -228,26 +228,48 @@ def fit_candidates(train: DataFrame, features: Sequence[str], label: str, weight
     """Logistic regression and random forest, both class-weighted; trees grow
     to Spark's depth limit unless ``max_depth`` says otherwise."""
     num, cat = split_feature_types(train, features)
-    train = prepare_numeric(train, num)
-    pre = build_preprocessor(num, cat, modes=category_modes(train, cat), medians=column_medians(train, num))
-    total_w = train.agg(F.sum(weight)).first()[0] or 1.0
+    pre, ready = _prepared(train, num, cat, [F.col(label), F.col(weight)])
+    total_w = ready.agg(F.sum(weight)).first()[0] or 1.0
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=max_iter,
                             regParam=1.0 / float(total_w), elasticNetParam=0.0, standardization=False)
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=weight, numTrees=num_trees,
                                 minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
-                                maxDepth=max_depth)
-    return {"logistic_regression": Pipeline(stages=pre + [lr]).fit(train),
-            "random_forest": Pipeline(stages=pre + [rf]).fit(train)}
+                                maxDepth=max_depth, cacheNodeIds=True)
+    return {"logistic_regression": _pipeline_model(pre, lr.fit(ready)),
+            "random_forest": _pipeline_model(pre, rf.fit(ready))}
 
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 160,
                   seed: int = 42, max_depth: int = MAX_DEPTH) -> PipelineModel:
     num, cat = split_feature_types(train, features)
-    train = prepare_numeric(train, num).withColumn(label, F.col(label).cast("double"))
+    pre, ready = _prepared(train, num, cat, [F.col(label).cast("double").alias(label)])
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                               minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=max_depth)
-    pre = build_preprocessor(num, cat, modes=category_modes(train, cat), medians=column_medians(train, num))
-    return Pipeline(stages=pre + [rf]).fit(train)
+                               minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=max_depth,
+                               cacheNodeIds=True)
+    return _pipeline_model(pre, rf.fit(ready))
+
+
+#: Training rows of a task (a forest keeps a count and a node for each of its trees with every row).
+FIT_ROWS = 20_000
+
+
+def _prepared(train: DataFrame, num: Sequence[str], cat: Sequence[str], others: Sequence[Column]) -> tuple[PipelineModel, DataFrame]:
+    """The fitted preprocessor and its pinned ``features`` beside ``others``.
+
+    ``train`` is computed once; the modes, medians and scales and every
+    candidate read what was written.  The rows are dealt over all cores: a level
+    of a forest is a job, and a few small files would be as few tasks.
+    """
+    train = pinned(prepare_numeric(train, num).select(*num, *cat, *others))
+    names = train.columns[len(num) + len(cat):]
+    pre = Pipeline(stages=build_preprocessor(num, cat, modes=category_modes(train, cat), medians=column_medians(train, num))).fit(train)
+    ready = pinned(pre.transform(train).select("features", *names))
+    tasks = max(train.sparkSession.sparkContext.defaultParallelism, -(-ready.count() // FIT_ROWS))
+    return pre, ready.repartition(tasks)
+
+
+def _pipeline_model(pre: PipelineModel, last) -> PipelineModel:
+    return PipelineModel(stages=[*pre.stages, last])
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, output: str = "probability_1",

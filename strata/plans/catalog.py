@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from strata.functions import expressions as X
 from strata.operators import align, clean, features, marts, metrics, ml, profile, schema
 from strata.plans import standins as S
+from strata.session import pinned
 
 Fn = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, tuple[Fn, str | None]] = {}
@@ -1304,7 +1305,8 @@ def _(spark, d):
     models = ml.fit_candidates(train, DOC_FEATURES, "quality", num_trees=500)
     rows = None
     for name, m in models.items():
-        scored = ml.positive_probability(m, valid, "p", ["n_chars", "n_words"])
+        # scored once: a job that scores ships the whole forest to its tasks
+        scored = pinned(ml.positive_probability(m, valid, "p", ["n_chars", "n_words"]).select("quality", "p"))
         sweep = metrics.best_threshold(metrics.threshold_sweep(scored, "quality", "p"))
         met = metrics.classification_metrics(scored, "quality", "p", float(sweep.first()["threshold"]))
         met = met.withColumn("model", F.lit(name))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import metrics, ml
+from strata.session import pinned
 from strata.sources.files import write_json_row, write_layer, write_predictions
 
 
@@ -43,12 +44,13 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, id_cols
     threshold = {}
     for name, model in models.items():
         ml.save_model(model, f"{out_dir}/models/{name}")
-        valid = ml.positive_probability(model, part["validation"], "_p", numeric)
-        best = metrics.best_threshold(metrics.threshold_sweep(valid, label, "_p")).first()
+        # scored once: a job that scores ships the whole model to its tasks
+        scored = {which: pinned(ml.positive_probability(model, part[which], "_p", numeric).select(label, "_p"))
+                  for which in ("validation", "test")}
+        best = metrics.best_threshold(metrics.threshold_sweep(scored["validation"], label, "_p")).first()
         threshold[name] = float(best["threshold"]) if best else 0.5
         for which in ("validation", "test"):
-            scored = ml.positive_probability(model, part[which], "_p", numeric)
-            one = metrics.classification_metrics(scored, label, "_p", threshold[name]).select(
+            one = metrics.classification_metrics(scored[which], label, "_p", threshold[name]).select(
                 F.lit(name).alias("model"), F.lit(which).alias("split"), "*")
             figures = one if figures is None else figures.unionByName(one)
     figures = _split(figures, f"{out_dir}/figures")

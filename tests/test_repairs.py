@@ -119,3 +119,20 @@ def test_file_positions_move_no_row(spark, tmp_path):
     assert sorted(r["n"] for r in got) == list(range(1, len(want) + 1)) and got[0]["v"].startswith("a, ")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_fitting_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def once(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([(float(i), "a" if i % 3 else "b", i % 2, 1.0) for i in range(30)], "x double, c string, y int, w double")
+    df = df.withColumn("x", once("x"))
+    models = ml.fit_candidates(df, ["x", "c"], "y", weight="w", num_trees=3)
+    assert seen.value == 30 and models["random_forest"].stages[-1].getCacheNodeIds()
+    assert models["random_forest"].transform(df).count() == 30
+    tree = ml.fit_regressor(df, ["x", "c"], "y", num_trees=2)
+    assert seen.value <= 90 and tree.stages[-1].getCacheNodeIds()
