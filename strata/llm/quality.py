@@ -1,9 +1,10 @@
 """Quality rules: an isolation forest on rule statistics (op 3).
 
 Each document is reduced to counts; ratios of them are the forest's features.
-Trees split random features at random values over small draws of labelled
-rows; short path lengths mark anomalous documents, and the score from which a
-document goes is set on the labelled rows.
+Trees split random features at random values over draws of DRAW rows, as is
+the method; every labelled row is equally likely in each draw.  Short path
+lengths mark anomalous documents.  How often a feature is split on and the
+score from which a document goes come from all labelled rows.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.metrics import roc_auc
+from ..operators.prefix import running_total, with_row_number
 from .common import documents, pin, small_batches
 
-#: Bound of the labelled rows that the forest and its threshold are fitted on.
-MAX_LABELLED = 8000
 TREES, DRAW = 150, 256
 #: Share of label-0 rows in a draw, and the share of label-1 rows that may go.
 CONTAMINATION, MAX_LOSS = 0.025, 0.01
@@ -71,17 +72,29 @@ def rule_features(s: np.ndarray) -> np.ndarray:
         np.log1p(c["n_distinct"]) / np.log1p(words)])
 
 
-def rule_weights(clean: np.ndarray, junk: np.ndarray) -> np.ndarray:
+FEATURES = ["symbols", "dup_lines", "repeats", "word_length", "upper", "digits", "bangs", "variety"]
+
+
+def split_weights(auc: np.ndarray) -> np.ndarray:
     """How often a feature is split on: by how well it tells the labels apart
     (twice the distance of its AUC from one half), with a floor for all."""
-    if not len(junk):
-        return np.full(clean.shape[1], 1 / clean.shape[1])
-    w = []
-    for f in range(clean.shape[1]):
-        ref = np.sort(clean[:, f])
-        below = (np.searchsorted(ref, junk[:, f], "left") + np.searchsorted(ref, junk[:, f], "right")) / 2
-        w.append(0.05 + abs(2 * below.mean() / len(ref) - 1))
-    return np.array(w) / sum(w)
+    w = 0.05 + np.abs(2 * auc - 1)
+    return w / w.sum()
+
+
+def rule_weights(rows: DataFrame) -> np.ndarray:
+    """``split_weights`` of FEATURES from all of ``rows`` (STATS, _q): exact
+    AUCs, by running totals over ranges of each feature's values."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = rule_features(np.column_stack([b.column(c).to_numpy() for c in STATS]))
+            yield pa.RecordBatch.from_arrays([b.column("_q"), *(pa.array(x[:, i]) for i in range(x.shape[1]))],
+                                             ["_q", *FEATURES])
+
+    x = rows.select("_q", *STATS).mapInArrow(run, "_q int, " + ", ".join(f"{c} double" for c in FEATURES))
+    long = x.unpivot([(1 - F.col("_q")).alias("junk")], FEATURES, "feature", "value")
+    auc = {r["feature"]: r["roc_auc"] for r in roc_auc(long, "junk", "value", ["feature"]).collect()}
+    return split_weights(np.array([0.5 if auc.get(c) is None else auc[c] for c in FEATURES]))
 
 
 def _norm(n: float) -> float:
@@ -89,17 +102,26 @@ def _norm(n: float) -> float:
     return 0.0 if n <= 1 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else 1.0
 
 
-def grow_forest(clean: np.ndarray, junk: np.ndarray, trees: int = TREES, draw: int = DRAW, seed: int = 7):
-    """Flat trees: (feature, cut, left child, path length at a leaf)."""
+def tree_draws(n_clean: int, n_junk: int, trees: int = TREES, draw: int = DRAW, seed: int = 7):
+    """(clean, junk) row numbers of each tree's draw, without repeats."""
+    rng = np.random.default_rng(seed)
+    bad = min(n_junk, int(round(draw * CONTAMINATION)))
+    return [(rng.choice(n_clean, min(n_clean, draw - bad), replace=False),
+             rng.choice(n_junk, bad, replace=False) if bad else np.empty(0, np.int64)) for _ in range(trees)]
+
+
+def grow_forest(clean: np.ndarray, junk: np.ndarray, trees: int = TREES, draw: int = DRAW, seed: int = 7,
+                draws=None, weight: np.ndarray | None = None):
+    """Flat trees: (feature, cut, left child, path length at a leaf).  ``draws``
+    are row numbers in ``clean`` and ``junk`` (by default ``tree_draws`` of
+    them), ``weight`` the features' (by default equal)."""
     rng = np.random.default_rng(seed)
     limit = int(np.ceil(np.log2(draw))) + 3
     forest = []
-    bad = min(len(junk), int(round(draw * CONTAMINATION)))
-    weight = rule_weights(clean, junk)
-    for _ in range(trees):
-        x = clean[rng.choice(len(clean), min(len(clean), draw - bad), replace=False)]
-        if bad:
-            x = np.vstack([x, junk[rng.choice(len(junk), bad, replace=False)]])
+    draws = tree_draws(len(clean), len(junk), trees, draw, seed) if draws is None else draws
+    weight = np.full(clean.shape[1], 1 / clean.shape[1]) if weight is None else weight
+    for at_clean, at_junk in draws:
+        x = np.vstack([clean[at_clean], junk[at_junk]])
         nodes: list[list[float]] = [[-1, 0.0, 0, 0.0]]
         todo = [(0, x, 0)]
         while todo:
@@ -117,7 +139,7 @@ def grow_forest(clean: np.ndarray, junk: np.ndarray, trees: int = TREES, draw: i
             nodes += [[-1, 0.0, 0, 0.0], [-1, 0.0, 0, 0.0]]
         # a side that got no row is a leaf at once
         forest.append(tuple(np.array(c) for c in zip(*nodes)))
-    return forest, limit, _norm(min(draw, len(clean) + bad))
+    return forest, limit, _norm(max(map(sum, ((len(c), len(j)) for c, j in draws))))
 
 
 def anomaly(x: np.ndarray, model) -> np.ndarray:
@@ -139,26 +161,60 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
 
 
-def fit_quality(sample: np.ndarray, label: np.ndarray):
-    """(forest, threshold) from counts and quality labels.  Without label-1
-    rows there is no forest and the rules alone decide."""
-    ok = ~base_failed(sample[:, 0], sample[:, 4])
-    sample, label = sample[ok], label[ok]
-    x = rule_features(sample)
-    clean, junk = x[label == 1], x[label == 0]
-    if len(clean) < 8:
-        return None, 1.0
-    model = grow_forest(clean, junk)
-    good = np.sort(anomaly(clean, model))
-    bad = anomaly(junk, model)
-    floor = good[int(np.ceil((1 - MAX_LOSS) * (len(good) - 1)))]
-    cuts = np.unique(np.concatenate([good[good >= floor], bad[bad >= floor], [1.0]]))
-    lost = 1 - np.searchsorted(good, cuts, side="right") / len(good)
-    caught = (bad[None, :] > cuts[:, None]).mean(1) if len(bad) else np.zeros(len(cuts))
-    best = int(np.argmax(caught - 3 * lost))
+def drawn_forest(rows: DataFrame, n_clean: int, n_junk: int):
+    """The forest over ``rows`` (STATS, _q).  Rows are numbered by label in an
+    order of hashes, so the draws are the same in whatever order they come;
+    only drawn rows, at most TREES times DRAW, are fetched."""
+    draws = tree_draws(n_clean, n_junk)
+    wanted = [np.unique(np.concatenate([d[i] for d in draws])) for i in (0, 1)]
+    places = pa.table({"_q": pa.array(np.repeat([1, 0], [len(w) for w in wanted]).astype(np.int32)),
+                       "_at": pa.array(np.concatenate(wanted).astype(np.int64))})
+    numbered = with_row_number(rows, [], "_at", 0, ["_q"])
+    drawn = numbered.join(F.broadcast(rows.sparkSession.createDataFrame(places)), ["_q", "_at"])
+    table = np.array([tuple(r) for r in drawn.select("_q", "_at", *STATS).collect()], np.int64).reshape(-1, len(STATS) + 2)
+    table = table[np.argsort(table[:, 1])]
+    clean, junk = (rule_features(table[table[:, 0] == q][:, 2:]) for q in (1, 0))
+    draws = [tuple(np.searchsorted(w, d) for w, d in zip(wanted, pair)) for pair in draws]
+    return grow_forest(clean, junk, draws=draws, weight=rule_weights(rows))
+
+
+def fit_threshold(scores: DataFrame, n_clean: int, n_junk: int) -> float:
+    """The score up to which documents stay, from all of ``scores`` (anomaly,
+    _q): the cut that catches most of the junk less three times the share of
+    clean rows lost, among the cuts that lose at most MAX_LOSS of those."""
+    q = F.col("_q")
+    per = scores.groupBy("anomaly").agg(F.sum(q.cast("long")).alias("good"), F.sum((1 - q).cast("long")).alias("bad"))
+    least = int(np.ceil((1 - MAX_LOSS) * (n_clean - 1))) + 1
+    tail = running_total(per, ["anomaly"], "good", output="upto").where(F.col("upto") >= least)
+    # shares in whole numbers: times both classes' sizes
+    worth = n_clean * F.col("bad") - 3 * max(n_junk, 1) * F.col("good")
+    gains = pin(running_total(tail.select("anomaly", worth.alias("worth")), ["anomaly"], "worth", output="below", total="all")
+                .select("anomaly", (F.col("all") - F.col("below")).alias("gain")), "cuts")
+    best = -gains.agg(F.max(F.struct("gain", (-F.col("anomaly")).alias("cut"))).alias("m")).first()["m"]["cut"]
     # halfway to the next score above, so that neither class sits on the edge
-    above = cuts[min(best + 1, len(cuts) - 1)]
-    return model, float((cuts[best] + above) / 2)
+    above = gains.where(F.col("anomaly") > best).agg(F.min("anomaly").alias("a")).first()["a"]
+    return (best + (1.0 if above is None else above)) / 2
+
+
+def fit_quality(rows: DataFrame):
+    """(forest, threshold) from ``rows`` (STATS, _q: quality label 0 or 1), all
+    of which passed the rules.  Without label-1 rows there is no forest and the
+    rules alone decide."""
+    n = {r["_q"]: r["count"] for r in rows.groupBy("_q").count().collect()}
+    n_clean, n_junk = n.get(1, 0), n.get(0, 0)
+    if n_clean < 8:
+        return None, 1.0
+    model = drawn_forest(rows, n_clean, n_junk)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = np.column_stack([b.column(c).to_numpy() for c in STATS])
+            a = anomaly(rule_features(s), shared.value) if len(s) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([b.column("_q"), pa.array(a)], ["_q", "anomaly"])
+
+    scores = rows.select("_q", *STATS).mapInArrow(run, "_q int, anomaly double")
+    return model, fit_threshold(scores, n_clean, n_junk)
 
 
 def document_stats(docs: DataFrame) -> DataFrame:
@@ -185,11 +241,9 @@ def judge_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = pin(document_stats(docs), "stats")
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
         F.min("quality").alias("_q"))
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    rows = stats.join(F.broadcast(picked), "doc_id").select(*STATS, "_q").collect()
-    table = np.array([tuple(r) for r in rows], np.int64).reshape(-1, len(STATS) + 1)
-    table = table[np.lexsort(table.T)]  # the same draws in whatever order the rows came
-    model, threshold = fit_quality(table[:, :-1], table[:, -1])
+    passed = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    rows = pin(passed.join(known, "doc_id").select(*STATS, F.col("_q").cast("int").alias("_q")), "labelled")
+    model, threshold = fit_quality(rows)
     shared = docs.sparkSession.sparkContext.broadcast((model, threshold))
     names = stats.columns
 

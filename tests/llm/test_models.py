@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import jaccard_join, packing, piece_encoding, quality, suffix_dedup, toxicity
 from strata.llm.html_extraction import extract, extract_pages, misplaced, nesting, op4_html_extraction
@@ -213,6 +214,38 @@ def test_forest_scores_equal_single_walks():
     assert far[-1] > np.median(far[:-1])
 
 
+def test_every_labelled_row_counts(spark):
+    """8,100 clean rows come first in the order of hashed ids, all junk after
+    them; the fit sees both, and equals one in memory over all rows."""
+    ids = [r["id"] for r in spark.range(8600).orderBy(F.xxhash64("id"), "id").collect()]
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for n, i in enumerate(ids):
+        junk = n >= 8100
+        words = ["".join(map(chr, rng.integers(97, 123, rng.integers(3, 9)))) for _ in range(60)]
+        for k in rng.choice(60, int(rng.integers(8, 16)) if junk else int(rng.integers(0, 4)), replace=False):
+            words[k] = "#" + words[k]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(not junk)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = quality.judge_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    label = dict(labels)
+    kept = {q: [r["kept"] for r in out if label[r["doc_id"]] == q and not r["base_failed"]] for q in (0, 1)}
+    assert sum(kept[1]) > 0.97 * len(kept[1]) and sum(kept[0]) < 0.2 * len(kept[0])
+
+    good, bad = (np.array([r["anomaly"] for r in out if label[r["doc_id"]] == q]) for q in (1, 0))
+    cuts = np.unique(np.concatenate([good, bad]))
+    cuts = cuts[cuts >= np.sort(good)[int(np.ceil(0.99 * (len(good) - 1)))]]
+    gain = [(bad > c).mean() - 3 * (good > c).mean() for c in cuts]
+    assert max(r["anomaly"] for r in out if r["kept"]) == cuts[int(np.argmax(np.round(gain, 12)))]
+
+    rows = spark.createDataFrame([(*quality.rule_stats(t), label[i]) for i, t in rows], ", ".join(f"{c} long" for c in [*quality.STATS, "_q"]))
+    table = np.array([tuple(r) for r in rows.collect()])
+    x, q = quality.rule_features(table[:, :-1]), table[:, -1]
+    auc = [((x[q == 1, f][None] < x[q == 0, f][:, None]).mean() + (x[q == 1, f][None] <= x[q == 0, f][:, None]).mean()) / 2 for f in range(8)]
+    assert np.allclose(quality.rule_weights(rows.withColumn("_q", F.col("_q").cast("int"))), quality.split_weights(np.array(auc)))
+
+
 def test_quality_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(5, 1), (None, 1), (3, None)], "doc_id long, quality int")
     out = quality.judge_quality(odd, labels)
