@@ -243,15 +243,18 @@ def fact_table(df: DataFrame, columns: Sequence[str], renames: Mapping[str, str]
     return out.withColumnsRenamed(dict(renames)) if renames else out
 
 
-def star_schema(gold: DataFrame) -> dict[str, DataFrame]:
-    """Five dimensions and one fact; tables with no existing column are skipped."""
+def star_schema(gold: DataFrame, distinct: bool = True) -> dict[str, DataFrame]:
+    """Five dimensions and one fact; tables with no existing column are skipped.
+    Without ``distinct`` the dimensions keep their repeated rows, for a writer
+    that drops them (``save_warehouse_tables``)."""
     ren = {"travelling_time_": "travelling_time"}
+    dim = distinct_dim if distinct else fact_table
     tables = {
-        "dim_student": distinct_dim(gold, K.DIM_STUDENT),
-        "dim_academic_history": distinct_dim(gold, K.DIM_ACADEMIC_HISTORY),
-        "dim_student_activity": distinct_dim(gold, K.DIM_STUDENT_ACTIVITY),
-        "dim_behavior": distinct_dim(gold, K.DIM_BEHAVIOR, ren),
-        "dim_subject": distinct_dim(gold, K.DIM_SUBJECT),
+        "dim_student": dim(gold, K.DIM_STUDENT),
+        "dim_academic_history": dim(gold, K.DIM_ACADEMIC_HISTORY),
+        "dim_student_activity": dim(gold, K.DIM_STUDENT_ACTIVITY),
+        "dim_behavior": dim(gold, K.DIM_BEHAVIOR, ren),
+        "dim_subject": dim(gold, K.DIM_SUBJECT),
         "fact_student_academic": fact_table(gold, K.FACT_STUDENT_ACADEMIC, ren),
     }
     return {k: v for k, v in tables.items() if v is not None}

@@ -624,10 +624,10 @@ def _warehouse_oracle():
 
 
 def _warehouse(spark, d):
-    from strata.sources.files import save_warehouse_tables
+    from strata.sources.files import WAREHOUSE_KEYS, save_warehouse_tables
     gold = S.frame(spark, d, GOLD_SQL)
     base = _out(spark, "warehouse")
-    return save_warehouse_tables(marts.star_schema(gold), base.rsplit("/", 1)[1], base)
+    return save_warehouse_tables(marts.star_schema(gold, distinct=False), base.rsplit("/", 1)[1], base, distinct=WAREHOUSE_KEYS)
 
 
 @q("warehouse_ddl", _warehouse_oracle())

@@ -8,10 +8,10 @@ coercion rules decide types, not the reader.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -219,15 +219,51 @@ WAREHOUSE_REFERENCES = {("dim_academic_history", "student_id"): "dim_student", (
                         ("fact_student_academic", "subjectid"): "dim_subject"}
 
 
+#: Share of distinct rows from which repeats are dropped after a table is dealt by its key, not before.
+MOSTLY_DISTINCT = 0.9
+
+
+def mostly_distinct(df: DataFrame) -> bool:
+    """Whether nearly all rows differ, judged by the rows in one of 64 classes of
+    row hashes (all repeats of a row are in one class).  It chooses between two
+    orders of the same steps only: an early distinct of such a table moves it
+    without making it smaller."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    n, different = df.select(h.alias("h")).where("h & 63 = 0").agg(F.count("h"), F.count_distinct("h")).first()
+    return n > 0 and different >= MOSTLY_DISTINCT * n
+
+
+def dealt(df: DataFrame, columns: Sequence[Column], key: Column, buckets: int, salts: int = 1, distinct: bool = False) -> DataFrame:
+    """``columns`` of ``df``, a bucket of ``key`` a task (or ``salts`` of them).
+
+    With ``distinct`` repeated rows are dropped.  Equal rows share key and salt,
+    so where they are few that takes no shuffle of its own, and one sort by key
+    and row, from which the writer's sort by key takes runs in order.
+    """
+    late = distinct and mostly_distinct(df)
+    if distinct and not late:
+        df = df.distinct()
+    names = [F.col(f"`{c}`") for c in df.columns]
+    deal = {"_deal_key": key}
+    if salts > 1:
+        deal["_deal_salt"] = F.pmod(F.xxhash64(*names), F.lit(salts))
+    out = df.withColumns(deal).repartition(buckets * salts, *deal)
+    if late:
+        same = Window.partitionBy(*deal, *names).orderBy(F.lit(1))
+        out = out.withColumn("_deal_nth", F.row_number().over(same)).where("_deal_nth = 1")
+    return out.select(*columns)
+
+
 def save_warehouse_tables(tables: Mapping[str, DataFrame], database: str, location: str, buckets: int | None = None,
-                          salts: int = 1) -> dict[str, DataFrame]:
+                          salts: int = 1, distinct: Collection[str] = ()) -> dict[str, DataFrame]:
     """The star schema as tables of the session's catalog, cast to their layout,
     under ``location`` (a folder all executors share).
 
     Each table is bucketed and sorted by its key (the fact by ``student_id``)
     into the same number of buckets, so joins and key checks on that key need no
     shuffle.  A task writes one bucket; with ``salts`` a bucket is dealt over that
-    many tasks and files (for a key that holds a large share of a table).
+    many tasks and files (for a key that holds a large share of a table).  Rows
+    that repeat in a table named in ``distinct`` are written once.
     Writing replaces.  Returns the catalog's tables.
     """
     spark = next(iter(tables.values())).sparkSession
@@ -237,16 +273,17 @@ def save_warehouse_tables(tables: Mapping[str, DataFrame], database: str, locati
     out = {}
     for name, df in tables.items():
         layout = schemas.get(name)
+        columns = {c: F.col(f"`{c}`") for c in df.columns}
         if layout is not None:
-            df = df.select(*[F.col(f.name).cast(f.dataType) for f in layout.fields if f.name in df.columns])
+            columns = {f.name: F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.fields if f.name in df.columns}
         key = WAREHOUSE_KEYS.get(name, "student_id")
         # a fresh folder a write: a reader of the old table keeps its files until the catalog points here
         path = f"{location}/{name}-{uuid.uuid4().hex[:8]}"
-        if key in df.columns:
-            deal = [key] if salts == 1 else [key, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))]
-            writer = df.repartition(buckets * salts, *deal).write.bucketBy(buckets, key).sortBy(key)
+        if key in columns:
+            rows = dealt(df, [*columns.values()], columns[key], buckets, salts, name in distinct)
+            writer = rows.write.bucketBy(buckets, key).sortBy(key)
         else:
-            writer = df.write
+            writer = (df.distinct() if name in distinct else df).select(*columns.values()).write
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         writer.format("parquet").option("path", path).saveAsTable(f"{database}.{name}")
         out[name] = spark.table(f"{database}.{name}")

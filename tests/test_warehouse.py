@@ -62,3 +62,24 @@ def test_a_hot_key_is_written_by_several_tasks(spark, tmp_path):
     assert no_key_exchange(marts.primary_key_violations(t, ["student_id"]), "student_id")
     again = files.save_warehouse_tables({"fact_student_academic": hot.limit(10)}, "wh_hot", str(tmp_path / "wh"), buckets=4)
     assert again["fact_student_academic"].count() == 10
+
+
+def test_repeats_are_dropped_where_the_rows_are_dealt(spark, tmp_path):
+    """A dimension of mostly different rows is moved once; one of many repeats is made distinct first."""
+    gold = spark.range(3000).selectExpr("if(id % 50 = 7, null, id) as student_id", "concat('b', id % 3) as branch", "cast(id % 9 as double) as cgpa",
+                                        "cast(id % 4 as double) as subjectid", "1.5D as theorycredit", "cast(id % 10 as double) as sgpa")
+    gold = gold.unionByName(gold.where("student_id % 40 = 3"))
+    loose, star = marts.star_schema(gold, distinct=False), marts.star_schema(gold)
+    assert loose["dim_student"].count() > star["dim_student"].count()
+    for salts in (1, 3):
+        got = files.save_warehouse_tables(loose, f"wh_late{salts}", str(tmp_path / f"late{salts}"), buckets=4, salts=salts, distinct=files.WAREHOUSE_KEYS)
+        want = files.save_warehouse_tables(star, f"wh_early{salts}", str(tmp_path / f"early{salts}"), buckets=4, salts=salts)
+        assert set(got) == set(want)
+        for t in got:
+            assert got[t].schema == want[t].schema
+            assert sorted(map(str, got[t].collect())) == sorted(map(str, want[t].collect()))
+    exchanges = lambda t, key: files.dealt(loose[t], [F.col(c) for c in loose[t].columns], F.col(key).cast("int"), 4, 1, True
+                                           )._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges("dim_student", "student_id") == 1 and exchanges("dim_subject", "subjectid") == 2
+    nothing = files.save_warehouse_tables({"dim_student": loose["dim_student"].limit(0)}, "wh_none", str(tmp_path / "none"), buckets=2, distinct=["dim_student"])
+    assert nothing["dim_student"].count() == 0
