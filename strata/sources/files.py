@@ -223,24 +223,26 @@ WAREHOUSE_REFERENCES = {("dim_academic_history", "student_id"): "dim_student", (
 MOSTLY_DISTINCT = 0.9
 
 
-def mostly_distinct(df: DataFrame) -> bool:
+def mostly_distinct(df: DataFrame, key: Column) -> bool:
     """Whether nearly all rows differ, judged by the rows in one of 64 classes of
-    row hashes (all repeats of a row are in one class).  It chooses between two
-    orders of the same steps only: an early distinct of such a table moves it
-    without making it smaller."""
+    ``key`` hashes (all repeats of a row are in one class; the other rows'
+    columns are not computed).  It chooses between two orders of the same steps
+    only: an early distinct of such a table moves it without making it smaller."""
     h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    n, different = df.select(h.alias("h")).where("h & 63 = 0").agg(F.count("h"), F.count_distinct("h")).first()
+    n, different = df.where(F.xxhash64(key).bitwiseAND(63) == 0).agg(F.count(h), F.count_distinct(h)).first()
     return n > 0 and different >= MOSTLY_DISTINCT * n
 
 
 def dealt(df: DataFrame, columns: Sequence[Column], key: Column, buckets: int, salts: int = 1, distinct: bool = False) -> DataFrame:
-    """``columns`` of ``df``, a bucket of ``key`` a task (or ``salts`` of them).
+    """``columns`` of ``df``, a bucket of ``key`` a task (or ``salts`` of them),
+    in order of ``key``: the writer's sort compares whole rows by hashed bucket
+    and key, and takes rows in order as one run.
 
     With ``distinct`` repeated rows are dropped.  Equal rows share key and salt,
     so where they are few that takes no shuffle of its own, and one sort by key
-    and row, from which the writer's sort by key takes runs in order.
+    and row.
     """
-    late = distinct and mostly_distinct(df)
+    late = distinct and mostly_distinct(df, key)
     if distinct and not late:
         df = df.distinct()
     names = [F.col(f"`{c}`") for c in df.columns]
@@ -249,8 +251,12 @@ def dealt(df: DataFrame, columns: Sequence[Column], key: Column, buckets: int, s
         deal["_deal_salt"] = F.pmod(F.xxhash64(*names), F.lit(salts))
     out = df.withColumns(deal).repartition(buckets * salts, *deal)
     if late:
+        # a lag, not a row number: the optimizer puts two more steps before a limit on row numbers
         same = Window.partitionBy(*deal, *names).orderBy(F.lit(1))
-        out = out.withColumn("_deal_nth", F.row_number().over(same)).where("_deal_nth = 1")
+        out = out.withColumn("_deal_again", F.lag(F.lit(True)).over(same)).where("_deal_again IS NULL")
+    else:
+        # true of every row; without it the optimizer drops this sort before the writer's
+        out = out.sortWithinPartitions("_deal_key").where(F.spark_partition_id() >= 0)
     return out.select(*columns)
 
 

@@ -83,3 +83,18 @@ def test_repeats_are_dropped_where_the_rows_are_dealt(spark, tmp_path):
     assert exchanges("dim_student", "student_id") == 1 and exchanges("dim_subject", "subjectid") == 2
     nothing = files.save_warehouse_tables({"dim_student": loose["dim_student"].limit(0)}, "wh_none", str(tmp_path / "none"), buckets=2, distinct=["dim_student"])
     assert nothing["dim_student"].count() == 0
+
+
+def test_rows_reach_the_writer_in_order_of_the_key(spark, tmp_path):
+    """The cheap sort by key stays before the writer's; repeats are dropped without a limit on row numbers."""
+    rows = spark.range(3000).selectExpr("if(id % 50 = 7, null, pmod(hash(id), 2000)) as student_id", "concat('b', id % 3) as branch", "cast(id as double) as sgpa")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    key, columns = F.col("student_id").cast("int"), [F.col("student_id").cast("int"), "branch", "sgpa"]
+    fact = files.dealt(rows, columns, key, 4)
+    assert "Sort [_deal_key" in plan(fact.sortWithinPartitions(F.pmod(F.hash("student_id"), F.lit(4)), "student_id"))
+    for df in (fact, files.dealt(rows.unionByName(rows.limit(40)), columns, key, 4, 1, True)):
+        assert df.count() == 3000 and "WindowGroupLimit" not in plan(df)
+        for part in df.rdd.map(lambda r: r["student_id"]).glom().collect():
+            assert part == sorted(part, key=lambda k: (k is not None, k))
+    t = files.save_warehouse_tables({"fact_student_academic": rows}, "wh_order", str(tmp_path / "wh"), buckets=4)["fact_student_academic"]
+    assert sorted(map(str, t.collect())) == sorted(map(str, rows.select(key.alias("student_id"), "sgpa").collect()))
