@@ -2,12 +2,13 @@
 
 1. Every text becomes its sorted set of shingle hashes.  Equal sets collapse
    to the smallest doc_id holding them.
-2. Prefix by hash: a linked pair shares at least L of the first
-   (n - least overlap + L) shingles in hash order, so only those travel.
-   Their exact document frequencies put the rare ones first, and a document
-   stays only if enough of them occur elsewhere.
-3. Documents that share a token of their rare-first prefix form candidate
-   groups (connected components over token -> smallest holder edges).
+2. Parts: the hash range is cut into k parts (k by classes of set size).  Linked
+   sets differ in at most H shingles, so at least k - H of their parts are equal;
+   the fullest of these is among the H + 1 fullest parts of either set, and only
+   the signatures of those travel.  A part holds several shingles: sets that
+   share single shingles by chance do not meet, however many sets there are.
+3. Documents that share a part form candidate groups (connected components over
+   part -> smallest holder edges).
 4. Groups are cut into blocks of bounded size: first by bands of set size
    (linked sets lie in the same or adjacent bands), then by salt, every pair of
    salts meeting in one block.  A task links its block with adaptive prefixes:
@@ -16,13 +17,14 @@
    are compared.  Sets already connected are not compared again, and a block
    returns a spanning forest of its links.
 
-No pair list is ever made: all tables are linear in documents, prefix tokens
-or block members.
+No pair list is ever made: all tables are linear in documents, parts or block
+members.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, documents, pin, shuffle_partitions, small_batches
 
-#: Extra shared tokens asked of the hash-order prefix, as a share of the set (per cent).
-EXTRA = 5
+#: Parts beyond the least number, per cent (so the thinnest ones are left out).
+EXTRA = 25
 #: Bounds of a block: sets, and shingles of all its sets together.
 BLOCK_SETS, BLOCK_TOKENS = 2000, 4_000_000
 #: Prefix lengthening tried per set, and the cost of comparing two sets in posting reads.
@@ -75,11 +77,35 @@ def least_overlap(size: int, num: int, den: int) -> int:
     return -(-num * size // den)
 
 
-def prefix_plan(size: int, num: int, den: int) -> tuple[int, int]:
-    """(hash-order prefix length, tokens of it that any linked set shares)."""
-    asked = max(1, size * EXTRA // 100)
-    sure = max(1, (-(-num * size // den)) * EXTRA // 100)  # the partner may be smaller and ask for less
-    return min(size, size - least_overlap(size, num, den) + asked), min(sure, asked)
+@lru_cache(maxsize=256)
+def _parts(size_class: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """First hash and salt of every part for sets of 2 ** size_class to 2 ** (size_class + 1) - 1 shingles."""
+    most = 2 * ((2 << size_class) - 1) * (den - num) // (den + num)  # shingles in which linked sets can differ
+    k = -(-(most + 1) * (100 + EXTRA) // 100)
+    first = np.array([(i << 64) // k for i in range(k)], np.uint64)
+    return first, _mix(_mix(first) + np.uint64(size_class + 1))
+
+
+def part_signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Signatures of the fullest parts of a sorted set; linked, unequal sets have one in common.
+
+    A pair meets in the class of its larger set, so a set has parts in every
+    class up to that of the largest set it can link to.
+    """
+    n = len(s)
+    largest = n * den // num
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(s), dtype=np.uint64)))
+    out = []
+    for c in range(n.bit_length() - 1, largest.bit_length()):
+        differ = (n + min(largest, (2 << c) - 1)) * (den - num) // (den + num)
+        if not differ:  # only equal sets link
+            continue
+        first, salts = _parts(c, num, den)
+        cuts = np.append(np.searchsorted(s, first), n)
+        sizes = np.diff(cuts)
+        sigs = _mix(sums[cuts[1:]] - sums[cuts[:-1]] + salts)
+        out.append(sigs[np.lexsort((sigs, sizes))[-differ - 1:]])
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def link_block(ids: list[int], sets: list[np.ndarray], sides: list[int], num: int, den: int) -> list[tuple[int, int]]:
@@ -147,7 +173,7 @@ def link_block(ids: list[int], sets: list[np.ndarray], sides: list[int], num: in
 
 
 def _profile(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, sig (128-bit hash of the set), prefix (tokens in hash order)."""
+    """doc_id, n_shingles, sig (128-bit hash of the set), parts (signatures)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, sigs, flat, cuts = [], [], [], [0]
@@ -155,31 +181,16 @@ def _profile(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 s = shingle_set(text, n)
                 sizes.append(len(s))
                 sigs.append(xxhash.xxh3_128_digest(s.tobytes()))
-                flat.append(s[:prefix_plan(len(s), num, den)[0]] if len(s) else s)
+                flat.append(part_signatures(s, num, den) if len(s) else s)
                 cuts.append(cuts[-1] + len(flat[-1]))
             tokens = np.concatenate(flat).view(np.int64) if flat else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens))],
-                ["doc_id", "n_shingles", "sig", "prefix"])
+                ["doc_id", "n_shingles", "sig", "parts"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, sig binary, prefix array<long>")
-
-
-def _candidate_rows(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(token, doc_id) of the rare-first prefixes of documents that can link."""
-    sure = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * num / den) * EXTRA / 100))
-    asked = F.greatest(F.lit(1), F.floor(F.col("n_shingles") * EXTRA / 100))
-    sure = F.least(sure, asked).cast("int")
-    tokens = rows.select("doc_id", "n_shingles", F.explode("prefix").alias("token"))
-    # counts as a written table: the join is of two plain exchanges, whose hot keys can be split
-    df = pin(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
-    per = (tokens.join(df.hint("merge"), "token").groupBy("doc_id", "n_shingles")
-           .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-           .where(F.size("t") >= sure))
-    return per.select("doc_id", F.explode(F.slice("t", 1, F.size("t") - sure + 1)).alias("t")) \
-        .select("doc_id", "t.token")
+        run, "doc_id long, n_shingles long, sig binary, parts array<long>")
 
 
 def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -198,10 +209,11 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
     copies = pin(sets.select("doc_id", "sig").join(reps.where("n > 1"), "sig").where("doc_id <> rep")
                  .select("doc_id", "sig", "rep").distinct(), "copies")
     alone = sets.join(copies.select("doc_id", "sig").hint("merge"), ["doc_id", "sig"], "left_anti")
-    cand = pin(_candidate_rows(alone, num, den), "candidates")
-    pivots = pin(cand.groupBy("token").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top"),
-                 "pivots")
-    groups = connected_components(cand.join(pivots.hint("merge"), "token").select(F.col("doc_id").alias("a"), "b"))
+    parts = alone.select("doc_id", F.explode("parts").alias("part"))
+    # minima as a written table: the join is of two plain exchanges, whose hot keys can be split
+    pivots = pin(parts.groupBy("part").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b < top")
+                 .select("part", "b"), "pivots")
+    groups = connected_components(parts.join(pivots.hint("merge"), "part").select(F.col("doc_id").alias("a"), "b"))
     links = _block_links(docs, alone.select("doc_id", "n_shingles"), groups, n, num, den)
     comps = connected_components(links)
     out = (rows.select("doc_id", "n_shingles", "sig")

@@ -478,6 +478,42 @@ def test_jaccard_blocks_do_not_change_the_links(spark, monkeypatch):
     assert got == brute_components(rows, 3, 90, 100)
 
 
+@pytest.mark.parametrize("num,den", [(95, 100), (90, 100), (80, 100), (50, 100)])
+def test_linked_sets_share_a_part(num, den):
+    rng = np.random.default_rng(num)
+    for _ in range(2000):
+        n = int(rng.integers(2, 30 if rng.random() < 0.5 else 700))
+        a = np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
+        least = jaccard_join.least_overlap(n, num, den)  # a part of a that still links, and one that takes as much anew
+        b = a[np.sort(rng.permutation(n)[:least])]
+        c = np.unique(np.concatenate((a, rng.integers(0, 2 ** 64, n * den // num - n, dtype=np.uint64))))
+        half = (n - least) // 2
+        d = np.unique(np.concatenate((a[half:], rng.integers(0, 2 ** 64, half, dtype=np.uint64))))
+        for x in (b, c, d):
+            both = len(np.intersect1d(a, x))
+            if len(x) and not np.array_equal(a, x) and den * both >= num * (len(a) + len(x) - both):
+                assert np.isin(jaccard_join.part_signatures(a, num, den), jaccard_join.part_signatures(x, num, den)).any()
+
+
+def test_jaccard_sets_that_share_phrases_form_no_group(spark, monkeypatch):
+    rng = random.Random(4)
+    phrases = [" ".join(f"p{p}w{i}" for i in range(8)) for p in range(300)]
+    rows = [(i, " ".join(rng.sample(phrases, 12))) for i in range(400)]
+    rows += [(1000 + i, f"{rows[i][1]} end") for i in range(5)]
+    grouped = []
+    components = jaccard_join.connected_components
+
+    def seen(edges):
+        out = components(edges)
+        grouped.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "connected_components", seen)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(df).collect()}
+    assert got == {i: i % 1000 for i, _ in rows} and grouped[0] == 10
+
+
 def test_jaccard_odd_rows(spark, odd, odd_rows, nothing):
     out = jaccard_join.link_documents(odd).collect()
     assert len(out) == len(odd_rows)
