@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import expressions as X
+from strata.operators import forest
 from strata.operators.prefix import with_row_number
 from strata.operators.quantiles import medians
 from strata.session import checkpoint, if_small, pinned
@@ -232,21 +233,26 @@ def fit_candidates(train: DataFrame, features: Sequence[str], label: str, weight
     total_w = ready.agg(F.sum(weight)).first()[0] or 1.0
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=max_iter,
                             regParam=1.0 / float(total_w), elasticNetParam=0.0, standardization=False)
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=weight, numTrees=num_trees,
-                                minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
-                                maxDepth=max_depth, cacheNodeIds=True)
-    return {"logistic_regression": _pipeline_model(pre, lr.fit(ready)),
-            "random_forest": _pipeline_model(pre, rf.fit(ready))}
+    logistic = lr.fit(ready)
+    # trees grown in tasks; rows that no task can hold go to Spark's trainer, which grows level by level
+    trees = forest.fit(ready, "features", label, weight, logistic.numClasses, num_trees, seed, max_depth, "sqrt")
+    if trees is None:
+        trees = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=weight, numTrees=num_trees,
+                                       minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
+                                       maxDepth=max_depth, cacheNodeIds=True).fit(ready)
+    return {"logistic_regression": _pipeline_model(pre, logistic), "random_forest": _pipeline_model(pre, trees)}
 
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 160,
                   seed: int = 42, max_depth: int = MAX_DEPTH) -> PipelineModel:
     num, cat = split_feature_types(train, features)
     pre, ready = _prepared(train, num, cat, [F.col(label).cast("double").alias(label)])
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                               minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=max_depth,
-                               cacheNodeIds=True)
-    return _pipeline_model(pre, rf.fit(ready))
+    trees = forest.fit(ready, "features", label, None, 0, num_trees, seed, max_depth, "all")
+    if trees is None:
+        trees = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
+                                      minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed, maxDepth=max_depth,
+                                      cacheNodeIds=True).fit(ready)
+    return _pipeline_model(pre, trees)
 
 
 #: Training rows of a task (a forest keeps a count and a node for each of its trees with every row).
@@ -301,7 +307,7 @@ def feature_importance(model: PipelineModel, sample: DataFrame, k: int = 15) ->
     model feature, so it is bounded by the feature count, not by the data.
     """
     last = model.stages[-1]
-    vec = model.transform(sample.limit(1)).schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    vec = PipelineModel(stages=model.stages[:-1]).transform(sample.limit(1)).schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     names = {}
     for group in vec.values():
         for a in group:
