@@ -100,3 +100,25 @@ def test_forest_learns_scores_and_is_saved(spark, tmp_path, monkeypatch):
     # more rows than a task may hold: Spark's own trainer
     monkeypatch.setattr(forest, "TASK_BYTES", 100)
     assert ml.fit_regressor(df, ["a", "b"], "t", num_trees=2, max_depth=3).stages[-1].totalNumNodes > 2
+
+
+def test_scoring_walks_equal_binned_rows_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 4), i % 4 // 2, 1.0) for i in range(400)], "id long, a double, y int, w double")
+    model = ml.fit_candidates(df, ["a"], "y", weight="w", num_trees=8)["random_forest"]
+    asked, scores = [], forest.ForestModel._scores
+
+    def seen(self, keys):
+        asked.append(keys.count())
+        return scores(self, keys)
+
+    monkeypatch.setattr(forest.ForestModel, "_scores", seen)
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def once(x):
+        calls.add(1)
+        return x
+
+    out = ml.score_table(model, df.withColumn("a", once("a")), 0.5, ["id"], "y", ["a"]).collect()
+    assert asked == [4] and calls.value == 400
+    assert len(out) == 400 and all(r["backlog_risk_prediction"] == r["backlog_risk_actual"] for r in out)
