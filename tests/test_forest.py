@@ -122,3 +122,15 @@ def test_scoring_walks_equal_binned_rows_once(spark, monkeypatch):
     out = ml.score_table(model, df.withColumn("a", once("a")), 0.5, ["id"], "y", ["a"]).collect()
     assert asked == [4] and calls.value == 400
     assert len(out) == 400 and all(r["backlog_risk_prediction"] == r["backlog_risk_actual"] for r in out)
+
+
+def test_importances_take_no_more_jobs_for_deeper_trees(spark):
+    df = _rows(spark).withColumn("w", F.lit(1.0) + F.col("y"))
+    sc, jobs = spark.sparkContext, []
+    for depth in (1, 30):
+        sc.setJobGroup(f"classes-{depth}", "fit")
+        model = ml.fit_candidates(df, ["a", "b", "c"], "y", weight="w", num_trees=10, max_depth=depth, max_iter=5)["random_forest"]
+        top = ml.feature_importance(model, df, 3).collect()
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"classes-{depth}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] and len(top) == 3 and top[0]["feature"] == "_num_scaled_0"
